@@ -53,6 +53,15 @@ class Catalog:
     def order_wide(self) -> DataFrame:
         return orders.order_wide(self.order_info, self.order_detail)
 
+    def order_wide_within(self, bound: str = "24 hours") -> DataFrame:
+        """D8 with the streaming join's time bound; the line's event time is
+        its ship date (the only line time independent of the order)."""
+        from pyspark.sql import functions as F
+        o = self.order_info.withColumn("_et", F.to_timestamp("create_time"))
+        d = (tables.order_detail(self.spark, self.sf_dir, with_ship_time=True)
+             .withColumn("_et", F.to_timestamp("ship_time")))
+        return orders.order_wide_within(o, d, "_et", "_et", bound)
+
     @cached_property
     def movies(self) -> DataFrame:
         return tables.movies(self.spark, self.sf_dir)

@@ -68,6 +68,103 @@ def _dau_realtime(spark, sf_dir):
     return Q.dau_realtime(cat(spark, sf_dir).dau_info(), TD)
 
 
+# ---------------------------------------------------------------- orders
+
+DAY = "1997-05-20"
+_RED = ["red"]
+_RED_BOLT = ["red", "bolt"]
+
+
+@register("order_info_enriched", O.with_views(["order_enriched"], "SELECT * FROM order_enriched"))
+def _order_info(spark, sf_dir):
+    return cat(spark, sf_dir).order_info
+
+
+@register("order_wide", O.with_views(["order_wide"], "SELECT * FROM order_wide"))
+def _order_wide(spark, sf_dir):
+    return cat(spark, sf_dir).order_wide
+
+
+@register("order_wide_within_24h", O.with_views(["order_enriched", "order_detail"], f"""
+SELECT {O._WIDE}
+FROM order_enriched o JOIN order_detail d
+  ON o.id = d.order_id
+ AND CAST(d.ship_time AS TIMESTAMP) BETWEEN CAST(o.create_time AS TIMESTAMP) - INTERVAL 24 HOUR
+                                        AND CAST(o.create_time AS TIMESTAMP) + INTERVAL 24 HOUR"""))
+def _order_wide_within(spark, sf_dir):
+    return cat(spark, sf_dir).order_wide_within("24 hours")
+
+
+def _gender_sql(words, day=None):
+    where = O.all_terms_sql("sku_name", words) + (f" AND create_date = '{day}'" if day else "")
+    return O.with_views(["order_wide"], f"""
+SELECT CASE WHEN user_gender = 'F' THEN '女' WHEN user_gender = 'M' THEN '男' ELSE user_gender END AS name,
+       {O.money_sum_sql('split_total_amount')} AS value
+FROM order_wide WHERE {where} AND user_gender IS NOT NULL
+GROUP BY user_gender""")
+
+
+def _age_sql(words, day=None):
+    where = O.all_terms_sql("sku_name", words) + (f" AND create_date = '{day}'" if day else "")
+    amt = "CAST(split_total_amount AS DECIMAL(18,2))"
+    return O.with_views(["order_wide"], f"""
+SELECT name, value FROM (
+  SELECT SUM(CASE WHEN user_age < 20 THEN {amt} END) AS s0,
+         SUM(CASE WHEN user_age >= 20 AND user_age < 30 THEN {amt} END) AS s1,
+         SUM(CASE WHEN user_age >= 30 THEN {amt} END) AS s2,
+         COUNT(user_age) AS n
+  FROM order_wide WHERE {where}) a,
+LATERAL (VALUES ('20岁以下', CAST(COALESCE(a.s0, 0) AS DOUBLE)),
+                ('20岁到29', CAST(COALESCE(a.s1, 0) AS DOUBLE)),
+                ('30岁以上', CAST(COALESCE(a.s2, 0) AS DOUBLE))) v(name, value)
+WHERE a.n > 0""")
+
+
+@register("stats_by_item_gender", _gender_sql(_RED))
+def _stats_gender(spark, sf_dir):
+    return Q.stats_by_item(cat(spark, sf_dir).order_wide, ITEM, None, "gender")
+
+
+@register("stats_by_item_age", _age_sql(_RED))
+def _stats_age(spark, sf_dir):
+    return Q.stats_by_item(cat(spark, sf_dir).order_wide, ITEM, None, "age")
+
+
+@register("stats_by_item_gender_day", _gender_sql(_RED, DAY))
+def _stats_gender_day(spark, sf_dir):
+    return Q.stats_by_item(cat(spark, sf_dir).order_wide, ITEM, DAY, "gender")
+
+
+@register("stats_by_item_age_two_words", _age_sql(_RED_BOLT))
+def _stats_age2(spark, sf_dir):
+    return Q.stats_by_item(cat(spark, sf_dir).order_wide, "Bolt RED", None, "age")
+
+
+def _detail_sql(words, day, page_no, page_size):
+    where = O.all_terms_sql("sku_name", words) + (f" AND create_date = '{day}'" if day else "")
+    return O.with_views(["order_wide"], f"""
+SELECT create_time, order_price, province_name, {O.highlight_sql('sku_name', words)} AS sku_name,
+       sku_num, split_total_amount AS total_amount, user_age, user_gender,
+       (SELECT COUNT(*) FROM order_wide WHERE {where}) AS total
+FROM order_wide WHERE {where}
+ORDER BY detail_id LIMIT {page_size} OFFSET {(page_no - 1) * page_size}""")
+
+
+@register("detail_by_item", _detail_sql(_RED, None, 1, 20))
+def _detail(spark, sf_dir):
+    return Q.detail_by_item(cat(spark, sf_dir).order_wide, None, ITEM, 1, 20)
+
+
+@register("detail_by_item_page3", _detail_sql(_RED_BOLT, None, 3, 10))
+def _detail_p3(spark, sf_dir):
+    return Q.detail_by_item(cat(spark, sf_dir).order_wide, None, "bolt red", 3, 10)
+
+
+@register("detail_by_item_day", _detail_sql(_RED, DAY, 1, 20))
+def _detail_day(spark, sf_dir):
+    return Q.detail_by_item(cat(spark, sf_dir).order_wide, DAY, ITEM, 1, 20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
