@@ -62,6 +62,14 @@ class Catalog:
              .withColumn("_et", F.to_timestamp("ship_time")))
         return orders.order_wide_within(o, d, "_et", "_et", bound)
 
+    @cached_property
+    def app_log(self) -> DataFrame:
+        return tables.app_log(self.spark, self.sf_dir)
+
+    @cached_property
+    def change_log(self) -> DataFrame:
+        return tables.change_log(self.spark, self.sf_dir)
+
     @cached_property
     def movies(self) -> DataFrame:
         return tables.movies(self.spark, self.sf_dir)

@@ -165,6 +165,167 @@ def _detail_day(spark, sf_dir):
     return Q.detail_by_item(cat(spark, sf_dir).order_wide, DAY, ITEM, 1, 20)
 
 
+
+# ---------------------------------------------------------------- app log routing
+
+_COMMON = ("p.mid, p.user_id, p.province_id, p.channel, p.is_new, p.model, p.operate_system, "
+           "p.version_code, p.brand")
+_PAGE6 = "p.page_id, p.last_page_id, p.page_item, p.page_item_type, p.during_time, p.sourceType"
+_K = "CAST(p.page_item AS BIGINT)"
+
+
+def _parsed_log(spark, sf_dir):
+    from martflow.operators import parse
+    return parse.parse_log(cat(spark, sf_dir).app_log)
+
+
+@register("log_page_rows", O.with_views(["page_log"], f"""
+SELECT {_COMMON}, {_PAGE6}, p.ts FROM page_log p WHERE p.page_id IN ('view', 'click', 'purchase')"""))
+def _log_page(spark, sf_dir):
+    from martflow.operators import parse
+    return parse.page_rows(_parsed_log(spark, sf_dir))
+
+
+@register("log_display_rows", O.with_views(["page_log"], f"""
+SELECT {_COMMON}, {_PAGE6},
+       CASE WHEN i % 2 = 1 THEN 'query' ELSE 'promotion' END AS display_type,
+       CAST({_K} + i AS VARCHAR) AS display_item, 'sku_id' AS display_item_type,
+       CAST(i AS VARCHAR) AS display_order, CAST(i AS VARCHAR) AS display_pos_id, p.ts
+FROM (SELECT *, unnest(generate_series(1, CAST(page_item AS BIGINT) % 3)) AS i
+      FROM page_log WHERE page_id IN ('view', 'click')) p"""))
+def _log_display(spark, sf_dir):
+    from martflow.operators import parse
+    return parse.display_rows(_parsed_log(spark, sf_dir))
+
+
+@register("log_action_rows", O.with_views(["page_log"], f"""
+SELECT {_COMMON}, {_PAGE6},
+       CASE WHEN i = 1 THEN 'cart_add' ELSE 'favor_add' END AS action_id,
+       CAST({_K} + 10 * i AS VARCHAR) AS action_item, 'sku_id' AS action_item_type,
+       p.ts + i * 1000 AS ts
+FROM (SELECT *, unnest(generate_series(1, CAST(page_item AS BIGINT) % 2 + 1)) AS i
+      FROM page_log WHERE page_id = 'click') p"""))
+def _log_action(spark, sf_dir):
+    from martflow.operators import parse
+    return parse.action_rows(_parsed_log(spark, sf_dir))
+
+
+_START_SQL = O.with_views(["page_log"], f"""
+SELECT {_COMMON}, 'icon' AS entry, CAST({_K} % 5 AS VARCHAR) AS open_ad_id,
+       CAST(FLOOR(e.value * 10) AS BIGINT) AS loading_time_ms, {_K} * 10 AS open_ad_ms,
+       CAST(0 AS BIGINT) AS open_ad_skip_ms, p.ts
+FROM page_log p JOIN events e ON p.ts = CAST(epoch_us(e.ts) // 1000 AS BIGINT)
+ AND p.user_id = CAST(e.user_id AS VARCHAR) AND p.page_id = e.event_type
+ AND p.page_item = json_extract_string(e.props, '$.k') AND p.during_time = CAST(FLOOR(e.value * 100) AS BIGINT)
+WHERE p.page_id IN ('signup', 'purchase')""")
+
+
+@register("log_start_rows", _START_SQL)
+def _log_start(spark, sf_dir):
+    from martflow.operators import parse
+    return parse.start_rows(_parsed_log(spark, sf_dir))
+
+
+@register("log_error_records", O.with_views(["page_log"], """
+SELECT CAST(page_item AS BIGINT) AS error_code, mid, ts FROM page_log WHERE page_id = 'error'"""))
+def _log_errors(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.operators import parse
+    e = parse.error_records(_parsed_log(spark, sf_dir))
+    return e.select(F.get_json_object("value", "$.err.error_code").cast("long").alias("error_code"),
+                    F.get_json_object("value", "$.common.mid").alias("mid"),
+                    F.get_json_object("value", "$.ts").cast("long").alias("ts"))
+
+
+@register("log_route_counts", O.with_views(["page_log"], f"""
+SELECT topic, n FROM (
+  SELECT 'DWD_PAGE_LOG_TOPIC' AS topic, COUNT(*) AS n FROM page_log p WHERE p.page_id IN ('view', 'click', 'purchase')
+  UNION ALL SELECT 'DWD_PAGE_DISPLAY_TOPIC', SUM({_K} % 3) FROM page_log p WHERE p.page_id IN ('view', 'click')
+  UNION ALL SELECT 'DWD_PAGE_ACTION_TOPIC', SUM({_K} % 2 + 1) FROM page_log p WHERE p.page_id = 'click'
+  UNION ALL SELECT 'DWD_START_LOG_TOPIC', COUNT(*) FROM page_log p WHERE p.page_id IN ('signup', 'purchase')
+  UNION ALL SELECT 'DWD_ERROR_LOG_TOPIC', COUNT(*) FROM page_log p WHERE p.page_id = 'error') t
+WHERE n > 0"""))
+def _log_route_counts(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.operators import parse
+    return (parse.route_log(_parsed_log(spark, sf_dir))
+            .groupBy("topic").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("log_route_page_roundtrip", O.with_views(["page_log"], f"""
+SELECT {_COMMON}, {_PAGE6}, p.ts FROM page_log p WHERE p.page_id IN ('view', 'click', 'purchase')"""))
+def _log_roundtrip(spark, sf_dir):
+    from martflow.operators import parse
+    routed = parse.route_log(_parsed_log(spark, sf_dir))
+    return parse.read_topic_rows(routed, parse.PAGE_TOPIC)
+
+
+# ---------------------------------------------------------------- change records
+
+_OP_SQL = ("CASE event_type WHEN 'signup' THEN 'I' WHEN 'view' THEN 'I' WHEN 'click' THEN 'U' "
+           "WHEN 'purchase' THEN 'D' END")
+
+
+def _changes(spark, sf_dir):
+    from martflow.operators import cdc
+    return cdc.parse_change(cat(spark, sf_dir).change_log, keep=["offset"])
+
+
+@register("cdc_fact_messages", f"""
+SELECT 'DWD_ORDER_INFO_' || op AS topic, user_id AS id, value AS amount, event_id AS src_offset
+FROM (SELECT *, {_OP_SQL} AS op FROM events) e
+WHERE op IS NOT NULL AND user_id % 2 = 1""")
+def _cdc_facts(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.operators import cdc
+    m = cdc.fact_messages(_changes(spark, sf_dir), cdc.table_list(spark, cdc.FACT_TABLES), keep=["offset"])
+    return m.select("topic", F.get_json_object("value", "$.id").cast("long").alias("id"),
+                    F.get_json_object("value", "$.value").cast("double").alias("amount"),
+                    F.col("offset").alias("src_offset"))
+
+
+def _dim_sql(apply_deletes: bool) -> str:
+    extra = " AND op <> 'D'" if apply_deletes else ""
+    return f"""
+SELECT table_name, id, op, amount, src_offset FROM (
+  SELECT 'user_info' AS table_name, user_id AS id, op, value AS amount, event_id AS src_offset,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+  FROM (SELECT *, {_OP_SQL} AS op FROM events) e
+  WHERE op IS NOT NULL AND user_id % 2 = 0) t
+WHERE rn = 1{extra}"""
+
+
+def _dim_snapshot(spark, sf_dir, apply_deletes):
+    from pyspark.sql import functions as F
+    from martflow.operators import cdc
+    ch = cdc.dim_changes(_changes(spark, sf_dir), cdc.table_list(spark, cdc.DIM_TABLES))
+    snap = cdc.upsert_dimension(ch, apply_deletes=apply_deletes)
+    return snap.select(F.col("table").alias("table_name"), F.col("id").cast("long").alias("id"), "op",
+                       F.get_json_object("data", "$.value").cast("double").alias("amount"),
+                       F.col("offset").alias("src_offset"))
+
+
+@register("cdc_dim_snapshot", _dim_sql(False))
+def _cdc_dim(spark, sf_dir):
+    return _dim_snapshot(spark, sf_dir, False)
+
+
+@register("cdc_dim_snapshot_apply_deletes", _dim_sql(True))
+def _cdc_dim_del(spark, sf_dir):
+    return _dim_snapshot(spark, sf_dir, True)
+
+
+@register("cdc_topic_counts", f"""
+SELECT 'DWD_ORDER_INFO_' || op AS topic, COUNT(*) AS n
+FROM (SELECT *, {_OP_SQL} AS op FROM events) e
+WHERE op IS NOT NULL AND user_id % 2 = 1 GROUP BY op""")
+def _cdc_counts(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.operators import cdc
+    m = cdc.fact_messages(_changes(spark, sf_dir), cdc.table_list(spark, cdc.FACT_TABLES))
+    return m.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
