@@ -326,6 +326,218 @@ def _cdc_counts(spark, sf_dir):
     return m.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+
+# ---------------------------------------------------------------- documents demo
+
+_TITLES = "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS movie_name FROM part"
+
+
+def _part(spark, sf_dir):
+    return cat(spark, sf_dir).table("part")
+
+
+@register("docs_get_by_id", f"SELECT * FROM ({_TITLES}) t WHERE id = '7'")
+def _docs_get(spark, sf_dir):
+    from martflow.operators import docs
+    return docs.get_by_id(cat(spark, sf_dir).movie_titles, "7")
+
+
+@register("docs_bulk_put", f"""
+SELECT t.* FROM ({_TITLES}) t
+WHERE t.id NOT IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size >= 45)
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name || ' II' FROM part WHERE p_size >= 45
+UNION ALL SELECT CAST(p_partkey + 1000000 AS VARCHAR), 'new ' || p_name FROM part WHERE p_size <= 3""")
+def _docs_bulk_put(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.operators import docs
+    p = _part(spark, sf_dir)
+    patch = (p.where(F.col("p_size") >= 45)
+              .select(F.col("p_partkey").cast("string").alias("id"),
+                      F.concat("p_name", F.lit(" II")).alias("movie_name"))
+              .unionByName(p.where(F.col("p_size") <= 3)
+                           .select((F.col("p_partkey") + 1000000).cast("string").alias("id"),
+                                   F.concat(F.lit("new "), "p_name").alias("movie_name"))))
+    return docs.upsert(cat(spark, sf_dir).movie_titles, patch)
+
+
+@register("docs_delete", f"""
+SELECT t.* FROM ({_TITLES}) t
+WHERE t.id NOT IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size = 1)""")
+def _docs_delete(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.operators import docs
+    ids = _part(spark, sf_dir).where(F.col("p_size") == 1).select(F.col("p_partkey").cast("string").alias("id"))
+    return docs.delete_by_id(cat(spark, sf_dir).movie_titles, ids)
+
+
+@register("docs_update", """
+SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size = 2 THEN upper(p_name) ELSE p_name END AS movie_name
+FROM part""")
+def _docs_update(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.operators import docs
+    patch = (_part(spark, sf_dir).where(F.col("p_size") == 2)
+             .select(F.col("p_partkey").cast("string").alias("id"), F.upper("p_name").alias("movie_name")))
+    return docs.update_by_id(cat(spark, sf_dir).movie_titles, patch)
+
+
+@register("docs_update_by_query", """
+SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_name = 'red bolt' THEN 'blue bolt' ELSE p_name END AS movie_name
+FROM part""")
+def _docs_ubq(spark, sf_dir):
+    from martflow.functions import text
+    from martflow.operators import docs
+    return docs.update_by_query(cat(spark, sf_dir).movie_titles,
+                                text.exact_term("movie_name", "red bolt"), {"movie_name": "blue bolt"})
+
+
+@register("docs_post", f"""
+SELECT movie_name, 36 AS id_length FROM ({_TITLES}) t
+UNION ALL SELECT p_name || ' (new)', 36 FROM part WHERE p_size = 50""")
+def _docs_post(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.operators import docs
+    base = cat(spark, sf_dir).movie_titles.withColumn("id", F.expr("uuid()"))
+    new = (_part(spark, sf_dir).where(F.col("p_size") == 50)
+           .select(F.concat("p_name", F.lit(" (new)")).alias("movie_name")))
+    out = docs.append_new(base.select("id", "movie_name"), new)
+    return out.select("movie_name", F.length("id").alias("id_length"))
+
+
+def _search_sql(words, min_score, page_no, page_size):
+    where = f"doubanScore >= {min_score} AND {O.any_term_sql('name', words)}"
+    return O.with_views(["movies"], f"""
+SELECT id, {O.highlight_sql('name', words)} AS name, doubanScore,
+       (SELECT COUNT(*) FROM movies WHERE {where}) AS total
+FROM movies WHERE {where}
+ORDER BY doubanScore DESC, id LIMIT {page_size} OFFSET {(page_no - 1) * page_size}""")
+
+
+@register("movie_search", _search_sql(["red", "bolt"], 5.0, 1, 1))
+def _movie_search(spark, sf_dir):
+    return Q.search_by_filter(cat(spark, sf_dir).movies, 5.0, "red bolt", 1, 1)
+
+
+@register("movie_search_page2", _search_sql(["red", "bolt"], 5.0, 2, 2))
+def _movie_search2(spark, sf_dir):
+    return Q.search_by_filter(cat(spark, sf_dir).movies, 5.0, "Red  BOLT", 2, 2)
+
+
+_ACTOR_STATS = O.with_views(["movies", "movie_actors"], """
+SELECT a.actor, COUNT(*) AS doc_count,
+       CAST(SUM(CAST(m.doubanScore AS DECIMAL(18,2))) AS DOUBLE) / COUNT(m.doubanScore) AS avg_metric
+FROM movie_actors a JOIN movies m ON a.movie_id = m.id
+WHERE a.actor IS NOT NULL GROUP BY a.actor""")
+
+
+@register("actor_stats", _ACTOR_STATS)
+def _actor_stats(spark, sf_dir):
+    from martflow.operators import aggregates
+    return aggregates.array_element_stats(cat(spark, sf_dir).movies, "actorList", "name",
+                                          "doubanScore", key_alias="actor")
+
+
+@register("actor_avg_score_top10", f"""
+SELECT actor, doc_count AS movies, avg_metric AS avg_score FROM ({_ACTOR_STATS}) s
+ORDER BY avg_score DESC, actor LIMIT 10""")
+def _actor_top(spark, sf_dir):
+    return Q.avg_score_by_actor(cat(spark, sf_dir).movies, 10)
+
+
+# ---------------------------------------------------------------- dashboard contracts
+
+_DAY_OF_TS = "strftime(epoch_ms(ts), '%Y-%m-%d')"
+
+
+@register("pv_uv_by_day", O.with_views(["page_log"], f"""
+SELECT {_DAY_OF_TS} AS dt, COUNT(*) AS pv, COUNT(DISTINCT mid) AS uv FROM page_log GROUP BY 1"""))
+def _pv_uv(spark, sf_dir):
+    return Q.pv_uv_by_day(cat(spark, sf_dir).page_log)
+
+
+@register("visit_total", O.with_views(["page_log"], """
+SELECT COUNT(*) AS pv_count, COUNT(DISTINCT mid) AS uv_count,
+       COUNT(DISTINCT CASE WHEN is_new = '1' THEN mid END) AS new_count FROM page_log"""))
+def _visit_total(spark, sf_dir):
+    return Q.visit_total(cat(spark, sf_dir).page_log)
+
+
+@register("new_visit_stats", O.with_views(["page_log"], """
+SELECT is_new, views, visitors, sessions, mean_during_time,
+       CASE WHEN sessions > 0 THEN views / sessions END AS pages_per_session FROM (
+  SELECT is_new, COUNT(*) AS views, COUNT(DISTINCT mid) AS visitors,
+         COUNT(CASE WHEN last_page_id IS NULL THEN 1 END) AS sessions,
+         SUM(during_time) / COUNT(during_time) AS mean_during_time
+  FROM page_log GROUP BY is_new) t"""))
+def _new_visit(spark, sf_dir):
+    return Q.new_visit_stats(cat(spark, sf_dir).page_log)
+
+
+@register("channel_views", O.with_views(["page_log"], """
+SELECT channel, COUNT(*) AS pv, COUNT(DISTINCT mid) AS uv FROM page_log GROUP BY channel"""))
+def _channel(spark, sf_dir):
+    return Q.channel_views(cat(spark, sf_dir).page_log)
+
+
+@register("page_path", O.with_views(["page_log"], """
+SELECT last_page_id AS source, page_id AS target, COUNT(*) AS value FROM page_log GROUP BY 1, 2"""))
+def _page_path(spark, sf_dir):
+    return Q.page_path(cat(spark, sf_dir).page_log)
+
+
+@register("funnel", O.with_views(["page_log"], """
+SELECT step, name, value FROM (
+  SELECT COUNT(DISTINCT CASE WHEN page_id = 'view' THEN user_id END) AS s0,
+         COUNT(DISTINCT CASE WHEN page_id = 'click' THEN user_id END) AS s1,
+         COUNT(DISTINCT CASE WHEN page_id = 'purchase' THEN user_id END) AS s2 FROM page_log) a,
+LATERAL (VALUES (1, 'view', a.s0), (2, 'click', a.s1), (3, 'purchase', a.s2)) v(step, name, value)"""))
+def _funnel(spark, sf_dir):
+    return Q.funnel(cat(spark, sf_dir).page_log)
+
+
+@register("user_total", O.with_views(["page_log", "order_info"], f"""
+SELECT (SELECT COUNT(DISTINCT user_id) FROM page_log) AS user_total,
+       (SELECT COUNT(DISTINCT CASE WHEN is_new = '1' THEN user_id END) FROM page_log) AS new_user_count,
+       COUNT(DISTINCT user_id) AS order_user_total,
+       {O.money_sum_sql('final_total_amount')} / COUNT(DISTINCT user_id) AS amount_per_buyer
+FROM order_info"""))
+def _user_total(spark, sf_dir):
+    c = cat(spark, sf_dir)
+    return Q.user_total(c.page_log, c.order_info_raw)
+
+
+@register("order_total_by_day", O.with_views(["order_enriched"], f"""
+SELECT create_date, COUNT(*) AS order_count, {O.money_sum_sql('final_total_amount')} AS order_amount,
+       COUNT(DISTINCT user_id) AS order_user FROM order_enriched GROUP BY create_date"""))
+def _order_total(spark, sf_dir):
+    return Q.order_total_by_day(cat(spark, sf_dir).order_info)
+
+
+@register("orders_by_area", O.with_views(["order_enriched"], """
+SELECT province_name AS name, COUNT(*) AS value FROM order_enriched GROUP BY province_name"""))
+def _area(spark, sf_dir):
+    return Q.orders_by_area(cat(spark, sf_dir).order_info)
+
+
+def _top_items_sql(col):
+    return O.with_views(["order_wide"], f"""
+SELECT p.{col} AS name, COUNT(*) AS num, {O.money_sum_sql('w.split_total_amount')} AS amount
+FROM order_wide w LEFT JOIN part p ON w.sku_id = p.p_partkey
+GROUP BY p.{col} ORDER BY num DESC, name LIMIT 10""")
+
+
+@register("top_categories", _top_items_sql("p_type"))
+def _top_cat(spark, sf_dir):
+    c = cat(spark, sf_dir)
+    return Q.top_items(c.order_wide, c.table("part"), "p_type")
+
+
+@register("top_brands", _top_items_sql("p_brand"))
+def _top_brand(spark, sf_dir):
+    c = cat(spark, sf_dir)
+    return Q.top_items(c.order_wide, c.table("part"), "p_brand")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
