@@ -25,8 +25,10 @@ DETAIL_FIELDS = ["sku_id", "order_price", "sku_num", "sku_name", "split_total_am
 
 
 def enrich_orders(orders: DataFrame, users: DataFrame, provinces: DataFrame,
-                  as_of=None, fill_3166_2: bool = False) -> DataFrame:
-    """D3 + D4 + I1 + I4: the 22-field order row."""
+                  as_of=None, fill_3166_2: bool = False, keep_extra: bool = False) -> DataFrame:
+    """D3 + D4 + I1 + I4: the 22-field order row (``keep_extra`` keeps
+    other input columns after them)."""
+    extra = [c for c in orders.columns if c not in schemas.names(schemas.ORDER_INFO)] if keep_extra else []
     cols = dict(ORDER_PROVINCE_COLUMNS)
     if fill_3166_2:
         cols["province_3166_2_code"] = "iso_3166_2"
@@ -36,7 +38,7 @@ def enrich_orders(orders: DataFrame, users: DataFrame, provinces: DataFrame,
           .withColumn("create_hour", text_hour("create_time")))
     if "province_3166_2_code" not in o.columns:
         o = o.withColumn("province_3166_2_code", F.lit(None).cast("string"))
-    return o.select(*schemas.names(schemas.ORDER_INFO))
+    return o.select(*schemas.names(schemas.ORDER_INFO), *extra)
 
 
 def wide_row(o: DataFrame, d: DataFrame) -> DataFrame:
@@ -79,3 +81,22 @@ def order_wide_within(orders: DataFrame, details: DataFrame, order_time: str,
             & (dt >= ot - F.expr(f"INTERVAL {bound}"))
             & (dt <= ot + F.expr(f"INTERVAL {bound}")))
     return o.join(d, cond, "inner").select(*wide_row(o, d))
+
+
+DETAIL_PREFIX = "d_"
+
+
+def wide_from_pairs(pairs: DataFrame) -> DataFrame:
+    """B11 for rows holding an enriched order and its line, the line's
+    fields prefixed ``d_`` (the stream join's output)."""
+    out = []
+    for f in schemas.ORDER_WIDE.fields:
+        if f.name == "detail_id":
+            out.append(F.col(DETAIL_PREFIX + "id").alias("detail_id"))
+        elif f.name == "order_id":
+            out.append(F.col("id").alias("order_id"))
+        elif f.name in DETAIL_FIELDS:
+            out.append(F.col(DETAIL_PREFIX + f.name).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return pairs.select(*out)

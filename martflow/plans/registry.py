@@ -538,6 +538,54 @@ def _top_brand(spark, sf_dir):
     return Q.top_items(c.order_wide, c.table("part"), "p_brand")
 
 
+
+# ---------------------------------------------------------------- streaming jobs (stream = batch)
+
+@register("stream_dau_info", O.with_views(["dau"], "SELECT * FROM dau"))
+def _stream_dau(spark, sf_dir):
+    """Raw app log through the log-split and DAU streaming jobs."""
+    from martflow.streaming import pipeline
+    return pipeline.run_dau(spark, sf_dir, as_of=AS_OF)
+
+
+@register("stream_order_wide", O.with_views(["order_wide"], "SELECT * FROM order_wide"))
+def _stream_order_wide(spark, sf_dir):
+    """Order and line topics through the time-bounded stream join."""
+    from martflow.streaming import pipeline
+    return pipeline.run_order_join(spark, sf_dir, as_of=AS_OF)
+
+
+@register("stream_cdc_dim_snapshot", _dim_sql(False))
+def _stream_cdc_dim(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.streaming import pipeline
+    _, dims_table = pipeline.run_cdc(spark, sf_dir)
+    snap = dims_table.table()
+    return snap.select(F.col("table").alias("table_name"), F.col("id").cast("long").alias("id"), "op",
+                       F.get_json_object("data", "$.value").cast("double").alias("amount"),
+                       F.col("offset").alias("src_offset"))
+
+
+@register("stream_cdc_fact_counts", f"""
+SELECT 'DWD_ORDER_INFO_' || op AS topic, COUNT(*) AS n
+FROM (SELECT *, {_OP_SQL} AS op FROM events) e
+WHERE op IS NOT NULL AND user_id % 2 = 1 GROUP BY op""")
+def _stream_cdc_facts(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.streaming import pipeline
+    facts, _ = pipeline.run_cdc(spark, sf_dir)
+    return facts.read().groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_log_route_counts", REGISTRY["log_route_counts"][1])
+def _stream_log_counts(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from martflow.streaming import pipeline
+    dwd = pipeline.run_log_split(spark, sf_dir)
+    return (spark.read.parquet(dwd).where(F.col("topic") != "BAD_RECORDS")
+            .groupBy("topic").agg(F.count(F.lit(1)).alias("n")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
