@@ -50,9 +50,12 @@ def parse_change(raw: DataFrame, value_col: str = "value", keep: list[str] | Non
     env = F.from_json(F.col(value_col), schemas.CDC_ENVELOPE)
     out = raw.select(*(keep or []), env.alias("_e"),
                      F.get_json_object(F.col(value_col), "$.data").alias("data"))
-    out = out.select(*(keep or []), F.col("_e.type").alias("type"), F.col("_e.table").alias("table"),
-                     operation("_e.type").alias("op"), "data")
-    return out.where(F.col("op").isNotNull())
+    row = F.struct(*[F.col(c) for c in (keep or [])], F.col("_e.type").alias("type"),
+                   F.col("_e.table").alias("table"), operation("_e.type").alias("op"), F.col("data"))
+    # Filter behind a generator so the envelope is parsed once per record
+    # (a pushed-down ``where`` would re-run ``from_json`` in the predicate).
+    return (out.select(F.explode(F.when(operation("_e.type").isNotNull(), F.array(row))).alias("_r"))
+               .select("_r.*"))
 
 
 def _in_list(changes: DataFrame, tables: DataFrame) -> DataFrame:

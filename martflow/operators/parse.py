@@ -26,26 +26,39 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """B1: add the parsed document as struct ``log``; keeps all input
     columns (the raw text is needed for error pass-through)."""
     return raw.withColumn("log", F.from_json(F.col(value_col), schemas.LOG_SCHEMA,
-                                             {"mode": "PERMISSIVE"}))
+                                             {"mode": "PERMISSIVE",
+                                              "columnNameOfCorruptRecord": "_corrupt_record"}))
+
+
+def is_bad() -> Column:
+    """Text that is not a JSON object of the log's shape (malformed JSON,
+    an array, a string where a number belongs)."""
+    return F.col("log._corrupt_record").isNotNull()
 
 
 def bad_records(parsed: DataFrame, value_col: str = "value") -> DataFrame:
     """Records whose text is not a JSON object (the original fails the task)."""
-    return parsed.where(F.col(value_col).isNotNull() & F.col("log").isNull()).drop("log")
+    keep = [c for c in parsed.columns if c != "log"]
+    bad = F.col(value_col).isNotNull() & is_bad()
+    return _rows(parsed, F.when(bad, F.array(F.struct(*[F.col(c) for c in keep]))))
 
 
 def is_error() -> Column:
     """An ``err`` object is present (``{}`` counts; JSON null does not)."""
-    return F.col("log.err").isNotNull()
+    return F.col("log.err").isNotNull() & ~is_bad()
 
 
 def error_records(parsed: DataFrame, value_col: str = "value") -> DataFrame:
     """C1 + B9: error records, forwarded as their original text."""
-    return parsed.where(is_error()).select(F.col(value_col).alias("value"))
+    return parsed.select(F.explode(F.when(is_error(), F.array(F.col(value_col)))).alias("value"))
+
+
+def is_normal() -> Column:
+    return F.col("log").isNotNull() & ~is_bad() & F.col("log.err").isNull()
 
 
 def normal_records(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("log").isNotNull() & ~is_error())
+    return parsed.where(is_normal())
 
 
 # ---------------------------------------------------------------- expressions
@@ -101,29 +114,43 @@ def start_row_exprs() -> list[Column]:
 
 
 # ---------------------------------------------------------------- typed outputs
+#
+# Each output is one projection whose rows come out of an ``explode`` of a
+# zero-or-one (or n) element array.  A plain ``where`` on the parsed struct
+# would be pushed below the parse by the optimizer with ``from_json``
+# inlined into every predicate - one JSON parse per condition.  Behind the
+# generator the document is parsed once per record.
+
+def _rows(parsed: DataFrame, rows: Column) -> DataFrame:
+    return parsed.select(F.explode(rows).alias("_r")).select("_r.*")
+
+
+def _when_normal(cond: Column, value: Column) -> Column:
+    return F.when(is_normal() & cond, value)
+
 
 def page_rows(parsed: DataFrame) -> DataFrame:
     """B4 (+C2): one page row per record with a ``page`` section."""
-    return normal_records(parsed).where(F.col("log.page").isNotNull()).select(*page_row_exprs())
+    return _rows(parsed, _when_normal(F.col("log.page").isNotNull(),
+                                      F.array(F.struct(*page_row_exprs()))))
 
 
 def display_rows(parsed: DataFrame, strict_reference: bool = False) -> DataFrame:
     """B5 (+C3): one row per display of a page record."""
-    n = normal_records(parsed).where(F.col("log.page").isNotNull())
-    ex = n.select("log", F.explode("log.displays").alias("_d"))
-    return ex.select(*display_exprs(F.col("_d"), strict_reference))
+    return _rows(parsed, _when_normal(F.col("log.page").isNotNull(), F.transform(
+        "log.displays", lambda d: F.struct(*display_exprs(d, strict_reference)))))
 
 
 def action_rows(parsed: DataFrame, strict_reference: bool = False) -> DataFrame:
     """B6 (+C3): one row per action of a page record."""
-    n = normal_records(parsed).where(F.col("log.page").isNotNull())
-    ex = n.select("log", F.explode("log.actions").alias("_a"))
-    return ex.select(*action_exprs(F.col("_a"), strict_reference))
+    return _rows(parsed, _when_normal(F.col("log.page").isNotNull(), F.transform(
+        "log.actions", lambda a: F.struct(*action_exprs(a, strict_reference)))))
 
 
 def start_rows(parsed: DataFrame) -> DataFrame:
     """B7 (+C2): one start row per record with a ``start`` section."""
-    return normal_records(parsed).where(F.col("log.start").isNotNull()).select(*start_row_exprs())
+    return _rows(parsed, _when_normal(F.col("log.start").isNotNull(),
+                                      F.array(F.struct(*start_row_exprs()))))
 
 
 # ---------------------------------------------------------------- one-pass routing
@@ -152,7 +179,7 @@ def route_log(parsed: DataFrame, value_col: str = "value", strict_reference: boo
     start_part = F.when(F.col("log.start").isNotNull(),
                         one(msg(START_TOPIC, start_row_exprs()))).otherwise(empty)
     err_part = one(F.struct(F.lit(ERROR_TOPIC).alias("topic"), F.col(value_col).alias("value")))
-    messages = (F.when(F.col("log").isNull(), empty)
+    messages = (F.when(F.col("log").isNull() | is_bad(), empty)
                  .when(is_error(), err_part)
                  .otherwise(F.concat(page_part, disp_part, act_part, start_part)))
     out = parsed.select(*(keep or []), F.explode(messages).alias("_m"))

@@ -38,6 +38,8 @@ LOG_SCHEMA = _struct(
                       ("loading_time", L), ("open_ad_id", S))),
     ("err", _struct(("error_code", L), ("msg", S))),
     ("ts", L),
+    # Filled with the record's text when it is not a JSON object of this shape.
+    ("_corrupt_record", S),
 )
 
 PAGE_COLUMNS = ["page_id", "last_page_id", "page_item", "page_item_type", "during_time", "sourceType"]

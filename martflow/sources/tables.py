@@ -132,9 +132,10 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``page`` + ``start``.  ``k`` of ``props`` drives the number of displays
     (k % 3) and actions (k % 2 + 1).
     """
-    e = events_with_nation(spark, sf_dir)
+    e = events_with_nation(spark, sf_dir).withColumn(
+        "_k", F.get_json_object("props", "$.k").cast("long"))
     et, u = F.col("event_type"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("long")
+    k = F.col("_k")
     ms = ts_to_millis("ts")
     common = F.struct(
         F.col("c_nationkey").cast("string").alias("ar"),
