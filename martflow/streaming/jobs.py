@@ -69,9 +69,12 @@ def log_split_job(raw: DataFrame, out_path: str, checkpoint: str, trigger: str |
     return _start(writer, checkpoint, trigger, "log_split", out_path)
 
 
-def read_routed(spark, path: str, topic: str, schema) -> DataFrame:
+def read_routed(spark, path: str, topic: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
     """B2: one routed topic as a typed stream (``offset`` kept)."""
-    s = spark.readStream.schema(ROUTED_SCHEMA).parquet(path)
+    r = spark.readStream.schema(ROUTED_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    s = r.parquet(path)
     return (s.where(F.col("topic") == topic)
              .select("offset", F.from_json("value", schema).alias("r")).select("offset", "r.*"))
 

@@ -73,7 +73,8 @@ def run_dau(spark: SparkSession, sf_dir: str, as_of=None, files: int = 1,
     """Raw log -> log split job -> page topic -> DAU job -> daily-active table."""
     base = work_dir(spark, "dau_pipeline")
     dwd = run_log_split(spark, sf_dir, files, base)
-    page = jobs.read_routed(spark, dwd, parse.PAGE_TOPIC, schemas.PAGE_LOG).drop("offset")
+    page = jobs.read_routed(spark, dwd, parse.PAGE_TOPIC, schemas.PAGE_LOG,
+                            max_files_per_trigger=1 if files > 1 else None).drop("offset")
     table = jobs.dau_table(spark, f"{base}/dau_info")
     _await(jobs.dau_job(page, _dims(spark, sf_dir), table, f"{base}/_ckpt/dau", "availableNow",
                         as_of=as_of, mode=mode))
