@@ -53,9 +53,12 @@ def bm25(matches: DataFrame, id_col: str, text_col: str, q: str,
     dfs = (toks.select(F.explode(F.array_intersect("_t", qt)).alias("term"))
                .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
                .agg(F.map_from_entries(F.collect_list(F.struct("term", "df"))).alias("m")))
-    n_docs = stats.select("n_docs").scalar()
-    avgdl = stats.select("avgdl").scalar()
-    df_map = dfs.select("m").scalar()
+    # The statistics enter as columns (scalar subqueries, computed once);
+    # a subquery may not appear inside the scoring lambda itself.
+    scored = (matches.withColumn("_n_docs", stats.select("n_docs").scalar())
+                     .withColumn("_avgdl", stats.select("avgdl").scalar())
+                     .withColumn("_dfm", dfs.select("m").scalar()))
+    n_docs, avgdl, df_map = F.col("_n_docs"), F.col("_avgdl"), F.col("_dfm")
 
     doc_toks = text.tokens(text_col)
     dl = F.size(doc_toks)
@@ -68,4 +71,4 @@ def bm25(matches: DataFrame, id_col: str, text_col: str, q: str,
         return acc + idf * tf * F.lit(BM25_K1 + 1) / norm
 
     score = F.aggregate(qt, F.lit(0.0).cast("double"), term_score)
-    return matches.withColumn("score", score)
+    return scored.withColumn("score", score).drop("_n_docs", "_avgdl", "_dfm")
