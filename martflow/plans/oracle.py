@@ -33,6 +33,8 @@ def _order(names: list[str]) -> list[str]:
 
 
 def with_views(names: list[str], body: str) -> str:
+    """Prefix ``body`` with the views it needs; a body starting with ``,``
+    adds CTEs of its own after them."""
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n]}\n)" for n in _order(names))
     return f"WITH {ctes}\n{body.strip()}"
 

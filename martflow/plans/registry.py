@@ -586,6 +586,39 @@ def _stream_log_counts(spark, sf_dir):
             .groupBy("topic").agg(F.count(F.lit(1)).alias("n")))
 
 
+
+def _relevance_sql(words, page_no, page_size):
+    """BM25 (k1 = 1.2, b = 0.75) over all wide rows as the corpus, the same
+    operation order as the Spark expression; only the page order is
+    compared (the score is not an output column)."""
+    where = O.all_terms_sql("sku_name", words)
+    terms = []
+    for w in words:
+        tf = f"CAST(len(list_filter(c.toks, lambda x: x = '{w}')) AS DOUBLE)"
+        n = f"CAST(COALESCE((SELECT df FROM dfq WHERE term = '{w}'), 0) AS DOUBLE)"
+        idf = f"ln(1.0 + (st.n - {n} + 0.5) / ({n} + 0.5))"
+        norm = f"({tf} + 1.2 * (0.25 + 0.75 * len(c.toks) / st.avgdl))"
+        terms.append(f"{idf} * {tf} * 2.2 / {norm}")
+    score = "0.0"
+    for t in terms:
+        score = f"({score} + {t})"
+    return O.with_views(["order_wide"], f"""
+, c AS (SELECT *, {O.tokens_sql('sku_name')} AS toks FROM order_wide),
+st AS (SELECT COUNT(*) AS n, AVG(len(toks)) AS avgdl FROM c),
+dfq AS (SELECT t AS term, COUNT(*) AS df FROM (SELECT list_distinct(toks) AS u FROM c) x, unnest(x.u) AS z(t)
+        GROUP BY t),
+m AS (SELECT c.*, {score} AS score FROM c, st WHERE {where.replace('sku_name', 'c.sku_name')})
+SELECT create_time, order_price, province_name, {O.highlight_sql('sku_name', words)} AS sku_name,
+       sku_num, split_total_amount AS total_amount, user_age, user_gender,
+       (SELECT COUNT(*) FROM m) AS total
+FROM m ORDER BY score DESC, detail_id LIMIT {page_size} OFFSET {(page_no - 1) * page_size}""")
+
+
+@register("detail_by_item_relevance", _relevance_sql(_RED_BOLT, 2, 15))
+def _detail_rel(spark, sf_dir):
+    return Q.detail_by_item(cat(spark, sf_dir).order_wide, None, "red bolt", 2, 15, order="score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
