@@ -33,15 +33,30 @@ def is_small(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_side(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``dim`` with a broadcast hint if its size is proven small, else as is."""
+def sized_side(dim: DataFrame, max_rows: int | None = None, small: bool | None = None) -> DataFrame:
+    """``dim`` with a broadcast hint if its size is proven small, else as is.
+
+    ``small`` passes a check already made on the same table (a catalogue
+    checks each dimension once); ``None`` checks now.
+    """
     if dim.isStreaming:
         return dim
-    limit = max_rows if max_rows is not None else broadcast_rows_limit(dim.sparkSession)
-    return F.broadcast(dim) if is_small(dim, limit) else dim
+    if small is None:
+        limit = max_rows if max_rows is not None else broadcast_rows_limit(dim.sparkSession)
+        small = is_small(dim, limit)
+    return F.broadcast(dim) if small else dim
+
+
+class Dimension:
+    """A dimension table with its broadcast decision made once."""
+
+    def __init__(self, df: DataFrame, max_rows: int | None = None):
+        self.df = df
+        limit = max_rows if max_rows is not None else broadcast_rows_limit(df.sparkSession)
+        self.small = is_small(df, limit)
 
 
-def lookup(fact: DataFrame, dim: DataFrame, fact_key, dim_key: str,
+def lookup(fact: DataFrame, dim: "DataFrame | Dimension", fact_key, dim_key: str,
            columns: dict[str, str], max_rows: int | None = None,
            key_type: str | None = None) -> DataFrame:
     """Left join ``fact`` with ``dim`` on ``fact_key == dim_key`` and add
@@ -50,13 +65,16 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key, dim_key: str,
 
     ``key_type`` casts both keys (string ids in logs, long ids in orders).
     """
+    small = None
+    if isinstance(dim, Dimension):
+        dim, small = dim.df, dim.small
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     dk = F.col(dim_key)
     if key_type:
         fk, dk = fk.cast(key_type), dk.cast(key_type)
     alias = "_dk"
     d = dim.select(dk.alias(alias), *[F.col(src).alias(dst) for dst, src in columns.items()])
-    d = sized_side(d, max_rows)
+    d = sized_side(d, max_rows, small)
     return fact.join(d, fk == F.col(alias), "left").drop(alias)
 
 

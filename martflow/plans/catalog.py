@@ -11,9 +11,20 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martflow.operators import dau, orders
+from martflow.operators import dau, dims, orders
 from martflow.sources import tables
 
+_CATALOGS: dict = {}
+
+
+def catalog(spark: SparkSession, sf_dir: str, as_of=None) -> "Catalog":
+    """One catalogue per (session, folder, as_of), so plans and broadcast
+    decisions are shared by the queries of a session."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), str(as_of))
+    if key not in _CATALOGS:
+        _CATALOGS[key] = Catalog(spark, sf_dir, as_of)
+    return _CATALOGS[key]
+
 
 class Catalog:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=None):
@@ -23,12 +34,12 @@ class Catalog:
         return tables.table(self.spark, self.sf_dir, name)
 
     @cached_property
-    def users(self) -> DataFrame:
-        return tables.user_info(self.spark, self.sf_dir)
+    def users(self) -> dims.Dimension:
+        return dims.Dimension(tables.user_info(self.spark, self.sf_dir))
 
     @cached_property
-    def provinces(self) -> DataFrame:
-        return tables.base_province(self.spark, self.sf_dir)
+    def provinces(self) -> dims.Dimension:
+        return dims.Dimension(tables.base_province(self.spark, self.sf_dir))
 
     @cached_property
     def page_log(self) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.plans import oracle as O
-from martflow.plans.catalog import Catalog
+from martflow.plans.catalog import Catalog, catalog
 from martflow.plans import queries as Q
 
 AS_OF = O.AS_OF
@@ -33,7 +33,7 @@ def register(name: str, sql: str | None):
 
 
 def cat(spark: SparkSession, sf_dir: str) -> Catalog:
-    return Catalog(spark, sf_dir, as_of=AS_OF)
+    return catalog(spark, sf_dir, as_of=AS_OF)
 
 
 # ---------------------------------------------------------------- daily active

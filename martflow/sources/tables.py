@@ -34,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that came back in fewer partitions than there are task
+    slots (a small file with one row group) before per-row heavy work such
+    as JSON building or parsing.  Large inputs already split into at least
+    that many partitions and are left as they are (no extra shuffle)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def _lookup(mapping: dict, col) -> F.Column:
     expr = None
     for k, v in mapping.items():
@@ -132,7 +141,7 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``page`` + ``start``.  ``k`` of ``props`` drives the number of displays
     (k % 3) and actions (k % 2 + 1).
     """
-    e = events_with_nation(spark, sf_dir).withColumn(
+    e = spread(events_with_nation(spark, sf_dir)).withColumn(
         "_k", F.get_json_object("props", "$.k").cast("long"))
     et, u = F.col("event_type"), F.col("user_id")
     k = F.col("_k")
@@ -198,7 +207,7 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change-record topic: ``topic, partition, offset, value`` where
     value is ``{"type":…, "table":…, "data":{"id":…, "value":…}}``."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    e = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"))
     env = F.struct(
         _lookup(EVENT_TO_CHANGE_TYPE, F.col("event_type")).alias("type"),
         F.when(F.col("user_id") % 2 == 0, CHANGE_TABLE_EVEN).otherwise(CHANGE_TABLE_ODD).alias("table"),
