@@ -44,14 +44,23 @@ class KeyedTable:
     VERSION, DELETED = "_version", "_deleted"
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], slice_col: str,
-                 order_cols: list[str] | None = None, slice_expr=None):
+                 order_cols: list[str] | None = None, slice_expr=None, keep: str = "latest"):
         """``slice_expr`` derives the storage slice from other columns when
         the batch lacks ``slice_col`` (e.g. the month of a day), so slices
-        can be sized to the data: a slice should hold a few hundred MB."""
+        can be sized to the data: a slice should hold a few hundred MB.
+
+        ``keep='latest'`` lets the newest batch win (then ``order_cols``);
+        ``keep='earliest'`` keeps the smallest ``order_cols`` whatever batch
+        brought it (a first-visit table), so replays, restarts without
+        state and late arrivals can never replace an earlier row.
+        """
+        if keep not in ("latest", "earliest"):
+            raise ValueError(keep)
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.slice_col = keys, slice_col
         self.order_cols = order_cols or []
         self.slice_expr = slice_expr
+        self.keep = keep
         self.data_path = f"{self.path}/data"
 
     def read(self) -> DataFrame | None:
@@ -109,9 +118,16 @@ class KeyedTable:
             batch.unpersist()
 
     def _latest(self, merged: DataFrame, columns: list[str]) -> DataFrame:
-        order = [self.VERSION] + [c for c in self.order_cols if c != self.VERSION]
-        rest = [c for c in columns if c not in self.keys and c not in order]
-        agg = merged.groupBy(*self.keys).agg(F.max(F.struct(*order, *rest)).alias("_l"))
+        if self.keep == "earliest":
+            # Tombstones sort first among equals so a delete still wins.
+            order = [c for c in self.order_cols if c != self.VERSION]
+            rest = [c for c in columns if c not in self.keys and c not in order]
+            pick = F.min(F.struct(*order, (~F.col(self.DELETED)).alias("_live"), *rest))
+            agg = merged.groupBy(*self.keys).agg(pick.alias("_l"))
+        else:
+            order = [self.VERSION] + [c for c in self.order_cols if c != self.VERSION]
+            rest = [c for c in columns if c not in self.keys and c not in order]
+            agg = merged.groupBy(*self.keys).agg(F.max(F.struct(*order, *rest)).alias("_l"))
         return agg.select(*self.keys, *[F.col(f"_l.{c}").alias(c) for c in order + rest])
 
     def delete(self, ids: DataFrame, batch_id: int) -> None:
