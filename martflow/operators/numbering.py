@@ -1,0 +1,102 @@
+"""``row_number() over (partition by key order by ...)`` that never gathers
+a key's rows in one task.
+
+A window would send every row of a key to one task, so a key holding a
+third of the table would be one task's work.  Here the rows are
+range-partitioned on (key, order...) - the partitioner samples the full
+tuple, so a hot key's rows spread over several contiguous partitions -
+and sorted inside each partition.  Then:
+
+1. each partition numbers its rows per key (a vectorised pandas pass
+   over the sorted Arrow batches, carrying the run across batches);
+2. each partition reports its first key, last key and the row count of
+   its last key (one row per partition);
+3. a key continuing from earlier partitions gets the counts of those
+   partitions as an offset.  The offsets table has at most one row per
+   partition, so its broadcast size is bounded by the partition count,
+   not by the data.
+
+Rows with equal (key, order...) fall in the same partition, so the
+numbering equals the window's up to the order of identical rows.
+``key`` must not be null.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _local_ranks(key: str):
+    def run(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        last, count = None, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            k = pdf[key]
+            starts = k.ne(k.shift())
+            if last is not None:
+                starts.iloc[0] = k.iloc[0] != last
+            groups = starts.cumsum()
+            local = pdf.groupby(groups, sort=False).cumcount() + 1
+            if last is not None and not starts.iloc[0]:
+                local[groups == groups.iloc[0]] += count
+            last, count = k.iloc[-1], int(local.iloc[-1])
+            yield pdf.assign(_p=pid, _local=local.astype("int64"))
+    return run
+
+
+def _partition_summary(key: str):
+    def run(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        first = last = None
+        tail = 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            k = pdf[key]
+            if first is None:
+                first = k.iloc[0]
+            end = k.iloc[-1]
+            # Sorted: a batch ending on the previous last key holds only it.
+            tail = tail + len(k) if end == last else int((k == end).sum())
+            last = end
+        if first is not None:
+            yield pd.DataFrame({"_p": [pid], "_first": [first], "_last": [last], "_tail": [tail]})
+    return run
+
+
+def number_within(df: DataFrame, key: str, order: list[str], out: str,
+                  partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 1-based position of each row inside its ``key`` group
+    in ``order`` (ascending, nulls first), like ``row_number()``."""
+    spark = df.sparkSession
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          spark.sparkContext.defaultParallelism)
+    sort = [F.col(c).asc_nulls_first() for c in [key] + order]
+    ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    key_type = df.schema[key].dataType
+
+    ranked = ranged.mapInPandas(
+        _local_ranks(key),
+        T.StructType(df.schema.fields + [T.StructField("_p", T.IntegerType()),
+                                         T.StructField("_local", T.LongType())]))
+    summary = ranged.select(key).mapInPandas(
+        _partition_summary(key),
+        T.StructType([T.StructField("_p", T.IntegerType()), T.StructField("_first", key_type),
+                      T.StructField("_last", key_type), T.StructField("_tail", T.LongType())]))
+    # Rows of a partition's first key that sit in earlier partitions: those
+    # partitions end on that key.  At most one row per partition each side.
+    a, b = summary.alias("a"), summary.alias("b")
+    offsets = (a.join(b, (F.col("b._last") == F.col("a._first")) & (F.col("b._p") < F.col("a._p")))
+                .groupBy(F.col("a._p").alias("_op"), F.col("a._first").alias("_ok"))
+                .agg(F.sum("b._tail").alias("_offset")))
+    joined = ranked.join(F.broadcast(offsets),
+                         (F.col("_p") == F.col("_op")) & (F.col(key) == F.col("_ok")), "left")
+    return (joined.withColumn(out, F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0)))
+                  .drop("_p", "_local", "_op", "_ok", "_offset"))
