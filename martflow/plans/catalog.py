@@ -29,6 +29,7 @@ def catalog(spark: SparkSession, sf_dir: str, as_of=None) -> "Catalog":
 class Catalog:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=None):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self._by_day: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return tables.table(self.spark, self.sf_dir, name)
@@ -64,6 +65,20 @@ class Catalog:
     def order_wide(self) -> DataFrame:
         return orders.order_wide(self.order_info, self.order_detail)
 
+    def order_wide_on(self, day: str | None) -> DataFrame:
+        """The wide rows of the orders created on ``day`` (C12 at the
+        source: the day range is a pushed filter of the orders scan and the
+        lines are cut to that day's orders before the joins).  ``None`` is
+        every day."""
+        if day is None:
+            return self.order_wide
+        if day not in self._by_day:
+            info = orders.enrich_orders(tables.order_info(self.spark, self.sf_dir, day=day),
+                                        self.users, self.provinces, as_of=self.as_of)
+            self._by_day[day] = orders.order_wide(
+                info, tables.order_detail(self.spark, self.sf_dir, day=day))
+        return self._by_day[day]
+
     def order_wide_within(self, bound: str = "24 hours") -> DataFrame:
         """D8 with the streaming join's time bound; the line's event time is
         its ship date (the only line time independent of the order)."""

@@ -132,7 +132,7 @@ def _stats_age(spark, sf_dir):
 
 @register("stats_by_item_gender_day", _gender_sql(_RED, DAY))
 def _stats_gender_day(spark, sf_dir):
-    return Q.stats_by_item(cat(spark, sf_dir).order_wide, ITEM, DAY, "gender")
+    return Q.stats_by_item(cat(spark, sf_dir).order_wide_on(DAY), ITEM, DAY, "gender")
 
 
 @register("stats_by_item_age_two_words", _age_sql(_RED_BOLT))
@@ -162,7 +162,7 @@ def _detail_p3(spark, sf_dir):
 
 @register("detail_by_item_day", _detail_sql(_RED, DAY, 1, 20))
 def _detail_day(spark, sf_dir):
-    return Q.detail_by_item(cat(spark, sf_dir).order_wide, DAY, ITEM, 1, 20)
+    return Q.detail_by_item(cat(spark, sf_dir).order_wide_on(DAY), DAY, ITEM, 1, 20)
 
 
 
