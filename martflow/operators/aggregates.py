@@ -95,6 +95,23 @@ def array_element_stats(docs: DataFrame, array_col: str, field: str, metric_col:
                    (labels.money_sum(metric_col) / F.count(F.col(metric_col))).alias("avg_metric")))
 
 
+def pair_stats(pairs: DataFrame, docs: DataFrame, pair_doc: str, doc_id: str, value_col: str,
+               metric_col: str, key_alias: str = "key") -> DataFrame:
+    """E5 over the long form of an array field: ``pairs`` holds one
+    ``(pair_doc, value_col)`` row per document and element.  Same result as
+    :func:`array_element_stats` on the array (a document counts once per
+    distinct value; null values left out), but no document's elements are
+    ever gathered into one row: the distinct pairs are partial aggregates,
+    the join to the documents' metric is an equi-join whose hot document
+    key AQE splits, and the per-value aggregate has a map-side step."""
+    p = pairs.where(F.col(value_col).isNotNull()).select(pair_doc, value_col).distinct()
+    d = docs.select(F.col(doc_id).alias("_doc"), F.col(metric_col).alias("_metric"))
+    j = p.join(d, F.col(pair_doc) == F.col("_doc"), "inner")
+    return (j.groupBy(F.col(value_col).alias(key_alias))
+             .agg(F.count(F.lit(1)).alias("doc_count"),
+                  (labels.money_sum("_metric") / F.count(F.col("_metric"))).alias("avg_metric")))
+
+
 def with_total(page: DataFrame, matches: DataFrame, alias: str = "total") -> DataFrame:
     """The number of rows of ``matches`` beside every row of ``page``,
     computed once as a scalar subquery (no single-task window, no join)."""

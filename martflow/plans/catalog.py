@@ -100,6 +100,10 @@ class Catalog:
     def movies(self) -> DataFrame:
         return tables.movies(self.spark, self.sf_dir)
 
+    @cached_property
+    def movie_actors(self) -> DataFrame:
+        return tables.movie_actors(self.spark, self.sf_dir)
+
     @cached_property
     def movie_titles(self) -> DataFrame:
         return tables.movie_titles(self.spark, self.sf_dir)

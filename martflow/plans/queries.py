@@ -87,10 +87,16 @@ def search_by_filter(movies: DataFrame, min_score: float, words: str, page_no: i
     return aggregates.with_total(page, m)
 
 
-def avg_score_by_actor(movies: DataFrame, top: int = 10) -> DataFrame:
+def avg_score_by_actor(movies: DataFrame, top: int = 10, actors: DataFrame | None = None) -> DataFrame:
     """The ``top`` actors by mean score of their films (descending,
-    ties by name): ``actor, movies, avg_score``."""
-    s = aggregates.array_element_stats(movies, "actorList", "name", "doubanScore", key_alias="actor")
+    ties by name): ``actor, movies, avg_score``.  ``actors`` (``movie_id,
+    actor`` rows) uses the long form of the actor field instead of the
+    ``actorList`` array."""
+    if actors is None:
+        s = aggregates.array_element_stats(movies, "actorList", "name", "doubanScore", key_alias="actor")
+    else:
+        s = aggregates.pair_stats(actors, movies, "movie_id", "id", "actor", "doubanScore",
+                                  key_alias="actor")
     s = s.select("actor", F.col("doc_count").alias("movies"), F.col("avg_metric").alias("avg_score"))
     return s.orderBy(F.desc("avg_score"), F.col("actor")).limit(top)
 

@@ -433,15 +433,17 @@ WHERE a.actor IS NOT NULL GROUP BY a.actor""")
 @register("actor_stats", _ACTOR_STATS)
 def _actor_stats(spark, sf_dir):
     from martflow.operators import aggregates
-    return aggregates.array_element_stats(cat(spark, sf_dir).movies, "actorList", "name",
-                                          "doubanScore", key_alias="actor")
+    c = cat(spark, sf_dir)
+    return aggregates.pair_stats(c.movie_actors, c.movies, "movie_id", "id", "actor", "doubanScore",
+                                 key_alias="actor")
 
 
 @register("actor_avg_score_top10", f"""
 SELECT actor, doc_count AS movies, avg_metric AS avg_score FROM ({_ACTOR_STATS}) s
 ORDER BY avg_score DESC, actor LIMIT 10""")
 def _actor_top(spark, sf_dir):
-    return Q.avg_score_by_actor(cat(spark, sf_dir).movies, 10)
+    c = cat(spark, sf_dir)
+    return Q.avg_score_by_actor(c.movies, 10, actors=c.movie_actors)
 
 
 # ---------------------------------------------------------------- dashboard contracts

@@ -350,6 +350,19 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "array<struct<id:int,name:string>>")).alias("actorList")))
 
 
+def movie_actors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The demo index's actor field in long form: one ``movie_id, actor``
+    row per movie and distinct actor name (null names kept, as in the
+    array).  Built from distinct pairs (partial aggregates), never as one
+    array per movie, so a movie with a huge cast is no single row."""
+    pairs = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return (pairs.join(sup, pairs.l_suppkey == sup.s_suppkey, "left")
+                 .select(F.col("l_partkey").cast("string").alias("movie_id"),
+                         F.col("s_name").alias("actor"))
+                 .distinct())
+
+
 def movie_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Demo title index ``id, movie_name`` (one document per part)."""
     return table(spark, sf_dir, "part").select(

@@ -24,9 +24,15 @@ from martflow.streaming.sources import read_topic
 def stage_topic(df: DataFrame, path: str, files: int = 1, ordered: bool = True) -> str:
     """Write a topic frame as ``files`` files.  ``ordered`` writes offset
     ranges one after another (so file age follows offsets, as a log
-    would); otherwise the rows are spread at random."""
+    would); otherwise the rows are spread at random.
+
+    ``files <= 1`` stages the topic for one micro-batch: it is written with
+    the plan's own parallelism (one file per task), and the reader, with no
+    per-trigger file limit, takes every file in its first batch.  Forcing a
+    single file would run the whole upstream plan in one task.
+    """
     if files <= 1:
-        df.coalesce(1).write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return path
     if not ordered:
         df.repartition(files).write.mode("overwrite").parquet(path)

@@ -34,6 +34,18 @@ def test_actor_stats_count_once_per_film(spark):
     assert [r["actor"] for r in top] == ["zhang", "huang", "liang"]
 
 
+def test_actor_stats_long_form_equals_array_form(spark):
+    m = movies(spark)
+    pairs = m.select(F.col("id").alias("movie_id"), F.explode("actorList").alias("a")).select(
+        "movie_id", F.col("a.name").alias("actor"))
+    pairs = pairs.unionByName(spark.createDataFrame([("4", None)], "movie_id string, actor string"))
+    long_form = aggregates.pair_stats(pairs, m, "movie_id", "id", "actor", "doubanScore")
+    array_form = aggregates.array_element_stats(m, "actorList", "name", "doubanScore")
+    assert sorted(map(tuple, long_form.collect())) == sorted(map(tuple, array_form.collect()))
+    top = Q.avg_score_by_actor(m, 10, actors=pairs).collect()
+    assert [(r["actor"], r["movies"]) for r in top] == [("zhang", 1), ("huang", 2), ("liang", 1)]
+
+
 def test_document_writes(spark):
     base = spark.createDataFrame([("1001", "a"), ("1002", "b")], "id string, movie_name string")
     assert docs.get_by_id(base, "1002").first()["movie_name"] == "b"
