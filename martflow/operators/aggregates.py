@@ -1,6 +1,6 @@
 """Aggregations of the dashboard.
 
-All of them are hash aggregates with a map-side partial step; groups with a
+All of them are aggregates with a map-side partial step; groups with a
 third of all rows are pre-reduced per task before the shuffle.  Results
 that must list every hour or bucket are expanded from one global-aggregate
 row, so no spine table or join is needed.

@@ -81,8 +81,9 @@ def dim_changes(changes: DataFrame, dim_tables: DataFrame, offset_col: str = "of
 def upsert_dimension(changes: DataFrame, snapshot: DataFrame | None = None,
                      apply_deletes: bool = False) -> DataFrame:
     """A10: the latest change per ``(table, id)`` by offset merged over the
-    previous snapshot (same columns).  A hash aggregate of
-    ``max(struct(offset, ...))`` - partial per task, so a hot id never
+    previous snapshot (same columns).  An aggregate of
+    ``max(struct(offset, ...))`` (sort-based: the buffer is a struct) -
+    partial per task, so a hot id never
     gathers in one task.  Deletes are kept as the latest value (as in the
     original) unless ``apply_deletes``.
     """

@@ -32,10 +32,13 @@ def with_day(page_log: DataFrame) -> DataFrame:
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row per ``keys`` by ``order`` (then by all other columns).
 
-    Expressed as ``min(struct(order..., rest...))`` per group, a hash
+    Expressed as ``min(struct(order..., rest...))`` per group, an
     aggregate with a map-side partial step: a key holding a third of all
     rows is reduced to one row per map task before the shuffle, so no task
-    ever holds a whole hot group (a ``row_number`` window would).
+    ever holds a whole hot group (a ``row_number`` window would).  A struct
+    buffer is not fixed-width, so Spark runs it as a sort-based aggregate
+    (spills, never gathers a group); a ``min(ts)`` hash aggregate joined
+    back would shuffle the whole input a second time.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest]).alias("_first")
