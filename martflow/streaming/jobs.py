@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from martflow import schemas
 from martflow.functions.dates import day_of_millis
 from martflow.operators import cdc, dau, orders, parse
-from martflow.streaming.sinks import KeyedTable, TopicFiles
+from martflow.streaming.sinks import KeyedTable, TopicFiles, writer_tag
 
 # The micro-batch interval and the time bounds of state.
 BATCH_INTERVAL = "5 seconds"
@@ -96,7 +96,8 @@ def cdc_split_job(raw: DataFrame, facts: TopicFiles, dims_table: KeyedTable,
             facts.write_batch(cdc.fact_messages(batch, fact_tables(), keep=["offset"]), batch_id)
             latest = cdc.upsert_dimension(cdc.dim_changes(batch, dim_tables()))
             deleted = (F.col("op") == "D") if apply_deletes else F.lit(False)
-            dims_table.upsert(latest.withColumn(KeyedTable.DELETED, deleted), batch_id)
+            dims_table.upsert(latest.withColumn(KeyedTable.DELETED, deleted), batch_id,
+                              writer=writer_tag(checkpoint))
         finally:
             batch.unpersist()
 
@@ -151,7 +152,8 @@ def dau_job(page_log: DataFrame, dims: Dims, table: KeyedTable, checkpoint: str,
             if seen is not None:
                 seen = seen.where(~F.col(KeyedTable.DELETED)).select("mid", "dt")
                 visits = visits.join(seen, ["mid", "dt"], "left_anti")
-        table.upsert(dau.to_dau_info(visits, users, provinces, as_of), batch_id)
+        table.upsert(dau.to_dau_info(visits, users, provinces, as_of), batch_id,
+                     writer=writer_tag(checkpoint))
 
     writer = firsts.writeStream.outputMode(output_mode).foreachBatch(each)
     return _start(writer, checkpoint, trigger, f"dau_{mode}")
@@ -187,7 +189,7 @@ def order_join_job(order_info: DataFrame, order_detail: DataFrame, dims: Dims, t
     def each(batch: DataFrame, batch_id: int) -> None:
         users, provinces = dims()
         enriched = orders.enrich_orders(batch, users, provinces, as_of=as_of, keep_extra=True)
-        table.upsert(orders.wide_from_pairs(enriched), batch_id)
+        table.upsert(orders.wide_from_pairs(enriched), batch_id, writer=writer_tag(checkpoint))
 
     return _start(pairs.writeStream.outputMode("append").foreachBatch(each), checkpoint, trigger,
                   "order_join")

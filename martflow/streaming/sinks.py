@@ -1,13 +1,17 @@
 """Sinks (A6-A11, A16, A18, J6).
 
 ``KeyedTable`` is the idempotent "bulk save by id into a day slice": a
-Parquet table partitioned by a day (or any slice) column where each key
-appears once.  An upsert rewrites only the touched slices: their current
-rows are unioned with the batch, the latest row per key is kept (a hash
-aggregate with a partial step), the result is staged under the batch's
-id and then swapped in by dynamic partition overwrite.  Replaying a batch
-produces the same table, so at-least-once delivery plus this sink is
-effectively once.
+Parquet table partitioned by a day (or any slice) column where each key has
+one current row.  It is merge-on-read: a micro-batch writes only its own
+rows, into one folder per (slice, writer, batch id), by dynamic partition
+overwrite, so a replayed batch replaces exactly what it wrote before and
+a write costs the size of the batch, not of the slices it touches.
+Readers resolve the current row per key (partial aggregate on the key);
+a filter on the slice column prunes folders before that.  ``compact``
+folds a slice's folders into one (run every ``compact_every`` batches, or
+as maintenance); it only deletes the folders it read, after its output is
+complete, so a crash or a concurrent write at any point leaves a table
+that still resolves to the same rows.
 
 ``TopicFiles`` is a topic on files: each micro-batch is written once into
 its own ``batch_id=`` folder, so a replay overwrites rather than
@@ -17,6 +21,7 @@ is available.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,26 +38,37 @@ def _readable(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def writer_tag(checkpoint: str) -> str:
+    """A short stable tag for the query writing a table (its checkpoint):
+    batch ids restart at 0 on a new checkpoint, so folders are keyed by
+    (writer, batch id)."""
+    return hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
+
+
 class KeyedTable:
-    """A table with one row per ``keys``, partitioned by ``slice_col``.
+    """A table with one current row per ``keys``, partitioned by
+    ``slice_col`` (a function of the key) and by the writing batch.
 
     Competing rows of one key are ordered by the batch id (``_version``)
     and then ``order_cols``; the greatest wins.  Deletes are tombstones
     (``_deleted``), so they are upserts too and replay the same way.
     """
 
-    VERSION, DELETED = "_version", "_deleted"
+    VERSION, DELETED, BATCH = "_version", "_deleted", "_batch"
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], slice_col: str,
-                 order_cols: list[str] | None = None, slice_expr=None, keep: str = "latest"):
+                 order_cols: list[str] | None = None, slice_expr=None, keep: str = "latest",
+                 compact_every: int = 50):
         """``slice_expr`` derives the storage slice from other columns when
-        the batch lacks ``slice_col`` (e.g. the month of a day), so slices
-        can be sized to the data: a slice should hold a few hundred MB.
+        the batch lacks ``slice_col`` (e.g. the month of a day).
 
         ``keep='latest'`` lets the newest batch win (then ``order_cols``);
         ``keep='earliest'`` keeps the smallest ``order_cols`` whatever batch
         brought it (a first-visit table), so replays, restarts without
         state and late arrivals can never replace an earlier row.
+
+        ``compact_every`` compacts the slices of every n-th batch (0: only
+        when :meth:`compact` is called).
         """
         if keep not in ("latest", "earliest"):
             raise ValueError(keep)
@@ -61,15 +77,29 @@ class KeyedTable:
         self.order_cols = order_cols or []
         self.slice_expr = slice_expr
         self.keep = keep
+        self.compact_every = compact_every
         self.data_path = f"{self.path}/data"
 
-    def read(self) -> DataFrame | None:
-        if not _readable(self.spark, self.data_path):
+    # ------------------------------------------------------------ reading
+
+    def _raw(self, folders: list[str] | None = None) -> DataFrame | None:
+        """Every stored row version (with ``_batch``), or those of the
+        given folders."""
+        if folders is not None:
+            df = self.spark.read.option("basePath", self.data_path).parquet(*folders)
+        elif _readable(self.spark, self.data_path):
+            df = self.spark.read.parquet(self.data_path)
+        else:
             return None
-        df = self.spark.read.parquet(self.data_path)
         # Slice values are text; undo partition-value type inference
         # (a day such as 2024-01-15 would come back as a date).
-        return df.withColumn(self.slice_col, F.col(self.slice_col).cast("string"))
+        return (df.withColumn(self.slice_col, F.col(self.slice_col).cast("string"))
+                  .withColumn(self.BATCH, F.col(self.BATCH).cast("string")))
+
+    def read(self) -> DataFrame | None:
+        """The current row per key, tombstones and ``_version`` included."""
+        raw = self._raw()
+        return None if raw is None else self._resolve(raw)
 
     def table(self) -> DataFrame:
         """The current rows, without tombstones and bookkeeping columns."""
@@ -78,66 +108,106 @@ class KeyedTable:
             raise FileNotFoundError(self.data_path)
         return df.where(~F.col(self.DELETED)).drop(self.VERSION, self.DELETED)
 
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge ``batch`` into the table, idempotently for ``batch_id``."""
-        if self.slice_col not in batch.columns and self.slice_expr is not None:
-            batch = batch.withColumn(self.slice_col, self.slice_expr)
-        if self.VERSION not in batch.columns:
-            batch = batch.withColumn(self.VERSION, F.lit(batch_id).cast("long"))
-        if self.DELETED not in batch.columns:
-            batch = batch.withColumn(self.DELETED, F.lit(False))
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            current = self.read()
-            if current is not None:
-                # Only the slices the batch touches are read (partition
-                # pruning through the semi join) and rewritten.
-                slices = batch.select(self.slice_col).distinct()
-                current = current.join(slices, self.slice_col, "left_semi")
-                merged = current.unionByName(batch.select(*current.columns))
-            else:
-                merged = batch
-            latest = self._latest(merged, batch.columns)
-            # Rebalance on the slice: AQE packs small slices into one file
-            # and splits a hot slice over several tasks, so a day holding a
-            # third of the rows is not written by one task.
-            latest = latest.hint("rebalance", self.slice_col)
-            if current is None:
-                latest.write.mode("overwrite").partitionBy(self.slice_col).parquet(self.data_path)
-                return
-            # Reading and overwriting the same slices in one job is not
-            # possible: stage under the batch id, then swap the slices in.
-            staged = f"{self.path}/_staging/batch_id={batch_id}"
-            latest.write.mode("overwrite").partitionBy(self.slice_col).parquet(staged)
-            (self.spark.read.parquet(staged).hint("rebalance", self.slice_col)
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(self.slice_col).parquet(self.data_path))
-        finally:
-            batch.unpersist()
-
-    def _latest(self, merged: DataFrame, columns: list[str]) -> DataFrame:
+    def _resolve(self, raw: DataFrame) -> DataFrame:
+        """Latest (or earliest) row per key.  The slice column is grouped on
+        as well (it is a function of the key), so a slice filter on the
+        result is pushed below the aggregate into the scan."""
+        raw = raw.drop(self.BATCH)
+        group = self.keys + ([self.slice_col] if self.slice_col not in self.keys else [])
         if self.keep == "earliest":
             # Tombstones sort first among equals so a delete still wins.
             order = [c for c in self.order_cols if c != self.VERSION]
-            rest = [c for c in columns if c not in self.keys and c not in order]
+            rest = [c for c in raw.columns if c not in group and c not in order]
             pick = F.min(F.struct(*order, (~F.col(self.DELETED)).alias("_live"), *rest))
-            agg = merged.groupBy(*self.keys).agg(pick.alias("_l"))
         else:
             order = [self.VERSION] + [c for c in self.order_cols if c != self.VERSION]
-            rest = [c for c in columns if c not in self.keys and c not in order]
-            agg = merged.groupBy(*self.keys).agg(F.max(F.struct(*order, *rest)).alias("_l"))
-        return agg.select(*self.keys, *[F.col(f"_l.{c}").alias(c) for c in order + rest])
+            rest = [c for c in raw.columns if c not in group and c not in order]
+            pick = F.max(F.struct(*order, *rest))
+        agg = raw.groupBy(*group).agg(pick.alias("_l"))
+        return agg.select(*group, *[F.col(f"_l.{c}").alias(c) for c in order + rest])
 
-    def delete(self, ids: DataFrame, batch_id: int) -> None:
+    # ------------------------------------------------------------ writing
+
+    def upsert(self, batch: DataFrame, batch_id: int, writer: str = "") -> None:
+        """Write ``batch`` as the rows of (``writer``, ``batch_id``);
+        replaying the same batch id replaces them."""
+        if self.slice_col not in batch.columns and self.slice_expr is not None:
+            batch = batch.withColumn(self.slice_col, self.slice_expr)
+        if self.VERSION not in batch.columns:
+            batch = batch.withColumn(self.VERSION, F.lit(batch_id).cast("long"))
+        if self.DELETED not in batch.columns:
+            batch = batch.withColumn(self.DELETED, F.lit(False))
+        out = batch.withColumn(self.BATCH, F.lit(f"b{writer}_{batch_id:012d}"))
+        # Rebalance on the slice: AQE packs small slices into one file and
+        # splits a hot slice over several tasks, so a day holding a third
+        # of the rows is not written by one task.
+        (out.hint("rebalance", self.slice_col)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.slice_col, self.BATCH).parquet(self.data_path))
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.compact(min_folders=2, writer=writer, batch_id=batch_id)
+
+    def delete(self, ids: DataFrame, batch_id: int, writer: str = "") -> None:
         """A19 on the stored table: tombstone the rows of the given keys."""
         cur = self.read()
         if cur is None:
             return
         hit = cur.join(ids.select(*self.keys).distinct(), self.keys, "left_semi")
         self.upsert(hit.withColumn(self.VERSION, F.lit(batch_id).cast("long"))
-                       .withColumn(self.DELETED, F.lit(True)), batch_id)
+                       .withColumn(self.DELETED, F.lit(True)), batch_id, writer)
+
+    # ------------------------------------------------------------ compaction
+
+    def _fs(self):
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.data_path)
+        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), root
+
+    def _folders(self) -> dict[str, list[str]]:
+        """Slice folder -> its batch folders (file listing, no data read)."""
+        fs, root = self._fs()
+        if not fs.exists(root):
+            return {}
+        out = {}
+        for s in fs.listStatus(root):
+            name = s.getPath().getName()
+            if s.isDirectory() and name.startswith(f"{self.slice_col}="):
+                out[s.getPath().toString()] = [
+                    b.getPath().toString() for b in fs.listStatus(s.getPath())
+                    if b.isDirectory() and b.getPath().getName().startswith(f"{self.BATCH}=")]
+        return out
+
+    def compact(self, min_folders: int = 2, writer: str = "", batch_id: int = 0) -> int:
+        """Fold each slice holding at least ``min_folders`` batch folders
+        into one folder of its resolved rows (tombstones kept, each row with
+        its own ``_version``).  Returns the number of slices compacted.
+
+        The rows are resolved from the listed folders only, staged, swapped
+        in under a new folder name, and only then are the listed folders
+        deleted; until the delete the old and new rows coexist and resolve
+        to the same current rows."""
+        listed = {s: b for s, b in self._folders().items() if len(b) >= min_folders}
+        if not listed:
+            return 0
+        folders = [f for bs in listed.values() for f in bs]
+        resolved = self._resolve(self._raw(folders))
+        out = resolved.withColumn(self.BATCH, F.lit(f"c{writer}_{batch_id:012d}"))
+        staged = f"{self.path}/_staging/compact_{writer}_{batch_id}"
+        (out.hint("rebalance", self.slice_col)
+            .write.mode("overwrite").partitionBy(self.slice_col, self.BATCH).parquet(staged))
+        (self.spark.read.parquet(staged)
+             .withColumn(self.slice_col, F.col(self.slice_col).cast("string"))
+             .withColumn(self.BATCH, F.col(self.BATCH).cast("string"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(self.slice_col, self.BATCH).parquet(self.data_path))
+        fs, _ = self._fs()
+        jvm = self.spark._jvm
+        new_name = f"{self.BATCH}=c{writer}_{batch_id:012d}"
+        for f in folders:
+            if not f.rstrip("/").endswith(new_name):
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+        return len(listed)
 
 
 class TopicFiles:

@@ -203,3 +203,33 @@ def test_earliest_table_keeps_first_visit(spark, tmp_dir):
     t.upsert(mk(r0), 0)
     t.upsert(mk(r1), 1)  # a later batch with a later visit does not replace it
     assert [x["page_id"] for x in t.table().collect()] == ["early"]
+
+
+def test_keyed_sink_merge_on_read_compaction(spark, tmp_dir):
+    schema = "id long, dt string, v string"
+    t = KeyedTable(spark, f"{tmp_dir}/kt_c", keys=["id"], slice_col="dt", compact_every=0)
+    t.upsert(spark.createDataFrame([(1, "2024-01-01", "a"), (2, "2024-01-02", "b")], schema), 0, writer="w")
+    t.upsert(spark.createDataFrame([(2, "2024-01-02", "c"), (3, "2024-01-02", "d")], schema), 1, writer="w")
+    t.delete(spark.createDataFrame([(3,)], "id long"), 2, writer="w")
+    expected = [("2024-01-01", 1, "a"), ("2024-01-02", 2, "c")]
+    assert rows(t.table()) == expected
+    # a batch writes its own folder per slice; day 2 holds three of them
+    assert sorted(len(b) for b in t._folders().values()) == [1, 3]
+    assert t.compact(min_folders=2, writer="w", batch_id=2) == 1
+    assert sorted(len(b) for b in t._folders().values()) == [1, 1]
+    assert rows(t.table()) == expected
+    # replaying batch 1 after compaction and a new writer restarting at
+    # batch 0 leave the resolved rows as they were / apply the new put
+    t.upsert(spark.createDataFrame([(2, "2024-01-02", "c"), (3, "2024-01-02", "d")], schema), 1, writer="w")
+    assert rows(t.table()) == expected
+    t.upsert(spark.createDataFrame([(4, "2024-01-01", "e")], schema), 0, writer="other")
+    assert rows(t.table()) == sorted(expected + [("2024-01-01", 4, "e")])
+    # a slice filter reaches the scan as a partition filter
+    plan = t.table().where(F.col("dt") == "2024-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-01" in plan
+    # compaction every second batch runs inside upsert
+    auto = KeyedTable(spark, f"{tmp_dir}/kt_auto", keys=["id"], slice_col="dt", compact_every=2)
+    for b, v in enumerate(["x", "y", "z"]):
+        auto.upsert(spark.createDataFrame([(9, "2024-01-03", v)], schema), b, writer="w")
+    assert [len(f) for f in auto._folders().values()] == [1]
+    assert rows(auto.table()) == [("2024-01-03", 9, "z")]
