@@ -44,6 +44,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+_SMALL: dict = {}
+
+
+def _checked_small(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> bool:
+    """The bounded row-count check of ``dims.is_small`` for a given table,
+    made once per session and folder."""
+    from martflow.operators.dims import broadcast_rows_limit, is_small
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name,
+           broadcast_rows_limit(spark))
+    if key not in _SMALL:
+        _SMALL[key] = is_small(df, broadcast_rows_limit(spark))
+    return _SMALL[key]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that came back in fewer partitions than there are task
     slots (a small file with one row group) before per-row heavy work such
@@ -297,14 +311,20 @@ def order_detail(spark: SparkSession, sf_dir: str, with_ship_time: bool = False,
     if day is not None:
         keys = orders.select(F.col("o_orderkey").alias("_day_key"))
         li = li.join(keys, F.col("l_orderkey") == F.col("_day_key"), "left_semi")
-    # The part join comes first: when part is too large to broadcast it
-    # shuffles the lines on the part key, and the window's exchange on the
-    # order key is then shared by the order join here and the order/line
-    # join of the wide row (two shuffles of the lines instead of three).
+    # Where the part join goes depends on part's checked size.  Within the
+    # broadcast bound it is a map-side join after the numbering, so the
+    # window's shuffle stays narrow.  Beyond it, the part join comes first
+    # (a shuffle on the part key), and the window's exchange on the order
+    # key is then shared by the order join here and the order/line join of
+    # the wide row: two shuffles of the lines instead of three.
     # Fixture-only numbering: real order lines carry their own id.
-    li = li.join(part, li.l_partkey == part.p_partkey, "left")
+    part_small = _checked_small(spark, sf_dir, "part", part)
+    if not part_small:
+        li = li.join(part, li.l_partkey == part.p_partkey, "left")
     w = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
     li = li.withColumn("_rn", F.row_number().over(w))
+    if part_small:
+        li = li.join(F.broadcast(part), li.l_partkey == part.p_partkey, "left")
     d = li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
     zero = F.lit(0.0).cast("double")
     cols = [
