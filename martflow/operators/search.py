@@ -2,8 +2,8 @@
 
 Relevance (G5) is BM25 computed as a DataFrame job: corpus statistics
 (document count, mean field length, per-term document frequency) are
-global aggregates over the corpus - the per-term counts only for the
-query's few terms - and each match is scored by JVM expressions.
+one aggregate over the corpus - the per-term counts only for the query's
+few terms - and each match is scored by JVM expressions.
 """
 
 from __future__ import annotations
@@ -40,27 +40,32 @@ def bm25(matches: DataFrame, id_col: str, text_col: str, q: str,
     """Add ``score`` = BM25 of ``text_col`` for the query ``q``.
 
     ``corpus`` is the set the statistics come from (default: ``matches``).
-    The document frequency of each query term is counted over the corpus
-    tokens that equal one of the query's terms, then folded into one
-    ``term -> df`` map; scalar subqueries carry the three statistics into
-    the scoring expression.
+    Document count, mean length and the document frequency of each query
+    term come from one aggregate over the corpus, folded into one row; a
+    single scalar subquery carries them into the scoring expression.
     """
     corpus = matches if corpus is None else corpus
     qt = text.query_tokens(q)
-    toks = corpus.select(F.array_distinct(text.tokens(text_col)).alias("_t"),
-                         F.size(text.tokens(text_col)).alias("_len"))
-    stats = toks.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("_len").alias("avgdl"))
-    dfs = (toks.select(F.explode(F.array_intersect("_t", qt)).alias("term"))
-               .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-               .agg(F.map_from_entries(F.collect_list(F.struct("term", "df"))).alias("m")))
-    # The statistics enter as columns (scalar subqueries, computed once);
-    # a subquery may not appear inside the scoring lambda itself.
-    scored = (matches.withColumn("_n_docs", stats.select("n_docs").scalar())
-                     .withColumn("_avgdl", stats.select("avgdl").scalar())
-                     .withColumn("_dfm", dfs.select("m").scalar()))
-    n_docs, avgdl, df_map = F.col("_n_docs"), F.col("_avgdl"), F.col("_dfm")
-
-    doc_toks = text.tokens(text_col)
+    toks = text.tokens(text_col)
+    # One pass over the corpus: each document gives a row with a null term
+    # (its length) and a row per query term it contains.  Grouped by term
+    # (at most one group per query term plus one), the null group holds the
+    # document count and mean length, the others the document frequencies.
+    hits = F.coalesce(F.array_intersect(F.array_distinct(toks), qt), F.array().cast("array<string>"))
+    per_doc = corpus.select(F.size(toks).alias("_len"),
+                            F.explode(F.concat(F.array(F.lit(None).cast("string")), hits)).alias("term"))
+    groups = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("avgdl"))
+    is_all = F.col("term").isNull()
+    stats = groups.agg(
+        F.coalesce(F.max(F.when(is_all, F.col("n"))), F.lit(0)).alias("n_docs"),
+        F.max(F.when(is_all, F.col("avgdl"))).alias("avgdl"),
+        F.map_from_entries(F.collect_list(F.when(~is_all, F.struct("term", "n")))).alias("m"))
+    # The statistics enter as one struct column (a scalar subquery,
+    # computed once); a subquery may not appear inside the scoring lambda.
+    scored = matches.withColumn("_st", stats.select(F.struct("n_docs", "avgdl", "m")).scalar())
+    n_docs, avgdl, df_map = F.col("_st.n_docs"), F.col("_st.avgdl"), F.col("_st.m")
+
+    doc_toks = toks
     dl = F.size(doc_toks)
 
     def term_score(acc, t):
@@ -71,4 +76,4 @@ def bm25(matches: DataFrame, id_col: str, text_col: str, q: str,
         return acc + idf * tf * F.lit(BM25_K1 + 1) / norm
 
     score = F.aggregate(qt, F.lit(0.0).cast("double"), term_score)
-    return scored.withColumn("score", score).drop("_n_docs", "_avgdl", "_dfm")
+    return scored.withColumn("score", score).drop("_st")
