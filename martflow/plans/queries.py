@@ -191,9 +191,17 @@ def orders_by_area(order_info: DataFrame) -> DataFrame:
 
 def top_items(order_wide: DataFrame, parts: DataFrame, by: str, top: int = 10) -> DataFrame:
     """Line count and amount per product attribute (category, brand),
-    the ``top`` by count (ties by name)."""
+    the ``top`` by count (ties by name).
+
+    The lines are aggregated per product first (map-side partial step), so
+    only one row per product meets the product table, never the wide rows
+    themselves.  Amounts stay exact decimals through both levels.  A product
+    missing from the table counts under a null name, as a left join would."""
+    per_sku = order_wide.groupBy(F.col("sku_id").alias("_sku_id")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.col("split_total_amount").cast("decimal(18,2)")).alias("_amount"))
     p = parts.select(F.col("p_partkey").alias("_sku"), F.col(by).alias("name"))
-    j = order_wide.join(p, order_wide.sku_id == p._sku, "left")
-    return (j.groupBy("name").agg(F.count(F.lit(1)).alias("num"),
-                                  labels.money_sum("split_total_amount").alias("amount"))
+    j = per_sku.join(p, per_sku._sku_id == p._sku, "left")
+    return (j.groupBy("name").agg(F.sum("_n").alias("num"),
+                                  F.sum("_amount").cast("double").alias("amount"))
             .orderBy(F.desc("num"), F.col("name")).limit(top))
