@@ -36,13 +36,16 @@ def range_gte(c: str, v: float):
 
 
 def bm25(matches: DataFrame, id_col: str, text_col: str, q: str,
-         corpus: DataFrame | None = None) -> DataFrame:
+         corpus: DataFrame | None = None, count_matches=None) -> DataFrame:
     """Add ``score`` = BM25 of ``text_col`` for the query ``q``.
 
     ``corpus`` is the set the statistics come from (default: ``matches``).
     Document count, mean length and the document frequency of each query
     term come from one aggregate over the corpus, folded into one row; a
     single scalar subquery carries them into the scoring expression.
+    ``count_matches`` (the predicate that selects ``matches`` from
+    ``corpus``) also counts the matches in that pass, as column ``_total``
+    (E6 without another pass over the corpus).
     """
     corpus = matches if corpus is None else corpus
     qt = text.query_tokens(q)
@@ -52,17 +55,22 @@ def bm25(matches: DataFrame, id_col: str, text_col: str, q: str,
     # (at most one group per query term plus one), the null group holds the
     # document count and mean length, the others the document frequencies.
     hits = F.coalesce(F.array_intersect(F.array_distinct(toks), qt), F.array().cast("array<string>"))
-    per_doc = corpus.select(F.size(toks).alias("_len"),
+    hit = count_matches if count_matches is not None else F.lit(False)
+    per_doc = corpus.select(F.size(toks).alias("_len"), F.when(hit, 1).otherwise(0).alias("_hit"),
                             F.explode(F.concat(F.array(F.lit(None).cast("string")), hits)).alias("term"))
-    groups = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("avgdl"))
+    groups = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("avgdl"),
+                                         F.sum("_hit").alias("n_hit"))
     is_all = F.col("term").isNull()
     stats = groups.agg(
         F.coalesce(F.max(F.when(is_all, F.col("n"))), F.lit(0)).alias("n_docs"),
         F.max(F.when(is_all, F.col("avgdl"))).alias("avgdl"),
-        F.map_from_entries(F.collect_list(F.when(~is_all, F.struct("term", "n")))).alias("m"))
+        F.map_from_entries(F.collect_list(F.when(~is_all, F.struct("term", "n")))).alias("m"),
+        F.coalesce(F.max(F.when(is_all, F.col("n_hit"))), F.lit(0)).cast("long").alias("n_hit"))
     # The statistics enter as one struct column (a scalar subquery,
     # computed once); a subquery may not appear inside the scoring lambda.
-    scored = matches.withColumn("_st", stats.select(F.struct("n_docs", "avgdl", "m")).scalar())
+    scored = matches.withColumn("_st", stats.select(F.struct("n_docs", "avgdl", "m", "n_hit")).scalar())
+    if count_matches is not None:
+        scored = scored.withColumn("_total", F.col("_st.n_hit"))
     n_docs, avgdl, df_map = F.col("_st.n_docs"), F.col("_st.avgdl"), F.col("_st.m")
 
     doc_toks = toks

@@ -59,16 +59,22 @@ def detail_by_item(order_wide: DataFrame, day: str | None, item: str, page_no: i
     (G5), ties by line id.  The page is a top-(from+size) selection per
     task followed by a merge, not a full sort of the match set.
     """
-    m = _day_slice(order_wide, day, "create_date").where(text.match_all("sku_name", item))
+    corpus = _day_slice(order_wide, day, "create_date")
+    is_match = text.match_all("sku_name", item)
+    m = corpus.where(is_match)
     if order == "score":
-        m = search.bm25(m, "detail_id", "sku_name", item, corpus=_day_slice(order_wide, day, "create_date"))
+        # The match count comes from the corpus-statistics pass.
+        m = search.bm25(m, "detail_id", "sku_name", item, corpus=corpus, count_matches=is_match)
         keys = [F.desc("score"), F.col("detail_id")]
     else:
         keys = [F.col("detail_id")]
     start = (max(page_no, 1) - 1) * page_size
     page = m.orderBy(*keys).offset(start).limit(page_size) if start else m.orderBy(*keys).limit(page_size)
-    page = page.select(*DETAIL_FIELDS).withColumn("sku_name", text.highlight("sku_name", item))
+    extra = ["_total"] if order == "score" else []
+    page = page.select(*DETAIL_FIELDS, *extra).withColumn("sku_name", text.highlight("sku_name", item))
     page = rename(page, {"split_total_amount": "total_amount"})
+    if order == "score":
+        return page.withColumnRenamed("_total", "total")
     return aggregates.with_total(page, m)
 
 
