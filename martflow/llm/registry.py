@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import exact_dedup, minhash, mixing, packing, quality
+from . import (exact_dedup, html_extract, language_id, line_dedup, minhash, mixing, packing, quality,
+               substring_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": html_extract.op1_html_extraction,
+        "op2_language_id": language_id.op2_language_id,
         "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
         "op4_quality_rules": quality.op4_quality_rules,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
+        "op7_substring_dedup": substring_dedup.op7_substring_dedup,
         "op8_mixing": mixing.op8_mixing,
+        "op9_line_dedup": line_dedup.op9_line_dedup,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
         "pipeline": corpus_pipeline.run,
     }
