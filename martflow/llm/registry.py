@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 
 from . import (exact_dedup, html_extract, language_id, line_dedup, minhash, mixing, packing, quality,
-               substring_dedup)
+               substring_dedup, token_counts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": language_id.op2_language_id,
         "op3_minhash_near_dedup": minhash.op3_minhash_near_dedup,
         "op4_quality_rules": quality.op4_quality_rules,
+        "op5_token_counts": token_counts.op5_token_counts,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_substring_dedup": substring_dedup.op7_substring_dedup,
         "op8_mixing": mixing.op8_mixing,

@@ -2,7 +2,7 @@
 
 ``ids`` are those of the ``tokenizers`` library for the given file, with special tokens'
 strings taken as ordinary text. That library is slow for corpora, so texts of characters
-below U+0250 go to ``tiktoken`` with the same merges, which gives the same ids there
+up to U+024F go to ``tiktoken`` with the same merges, which gives the same ids there
 (tested); every other text goes to ``tokenizers`` itself, whose Unicode tables decide.
 """
 
@@ -14,8 +14,12 @@ import re
 
 import numpy as np
 
-LAST_PLAIN = "ɏ"
-_BEYOND = re.compile(f"[^\x00-{LAST_PLAIN}]")
+# Letters, digits and white space are the same to all the libraries up to U+024F, but
+# for four control characters.
+_BEYOND = re.compile("[^\\x00-\\x1b\\x20-\u024f]")
+# The vocabulary's pre-token pattern, said for Python's ``re`` within those characters.
+_PRE_TOKEN = re.compile(
+    "'(?:[sdmt]|ll|ve|re)| ?[^\\W\\d_²³¹¼½¾]+| ?[\\d²³¹¼½¾]+| ?(?:[^\\s\\w]|_)+|\\s+(?!\\S)|\\s+")
 
 
 @functools.lru_cache(maxsize=2)
@@ -42,11 +46,22 @@ class Encoder:
         self.fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges,
                                       special_tokens={})
 
+    def pre_tokens(self, text: str) -> list[str]:
+        """The text cut where no merge crosses; each piece is encoded on its own."""
+        if self.fast is not None and not _BEYOND.search(text):
+            return _PRE_TOKEN.findall(text)
+        return [text[a:b] for _, (a, b) in self.exact.pre_tokenizer.pre_tokenize_str(text)]
+
     def ids(self, text: str) -> np.ndarray:
         if self.fast is not None and not _BEYOND.search(text):
             return np.array(self.fast.encode_ordinary(text), dtype="<u4")
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
+    def count(self, piece: str) -> int:
+        if self.fast is not None and not _BEYOND.search(piece):
+            return len(self.fast.encode_ordinary(piece))
+        return len(self.exact.encode(piece, add_special_tokens=False).ids)
+
 
 def default_path() -> str:
     import public_tokenizers
