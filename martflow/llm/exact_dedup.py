@@ -51,10 +51,6 @@ def _digest(keyed: DataFrame) -> DataFrame:
     return map_texts(keyed, "text", make, schema)
 
 
-def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
-
-
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 digest_all: bool = False) -> DataFrame:
     """Rows (doc_id, keep_id, group_size, kept, digest, n_bytes, prefix_hash), one per input row.
@@ -65,8 +61,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         keyed = save(_digest(_keys(docs, id_col, text_col)), "exact-keys")
     else:
         keyed = save(_keys(docs, id_col, text_col).drop("text"), "exact-keys")
-    by_length = keyed.join(_shared(keyed, ["n_bytes"]), "n_bytes", "left_semi")
-    by_prefix = broadcast_if_small(save(_shared(by_length, ["n_bytes", "prefix_hash"]), "exact-open"))
+    # counts are summed per task before they meet, so a hot length is a few rows
+    counted = keyed.groupBy("n_bytes", "prefix_hash").agg(F.count(F.lit(1)).alias("n"))
+    lengths = counted.groupBy("n_bytes").agg(F.sum("n").alias("rows")).where("rows > 1").select("n_bytes")
+    by_prefix = broadcast_if_small(save(counted.where("n > 1").join(lengths, "n_bytes", "left_semi")
+                                        .select("n_bytes", "prefix_hash"), "exact-open"))
     open_rows = keyed.join(by_prefix, ["n_bytes", "prefix_hash"], "left_semi")
     if digest_all:
         rows = keyed
