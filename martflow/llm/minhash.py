@@ -13,8 +13,9 @@ union; classes are the connected components of the links.
    goes on, so copies never meet each other again.
 3. Banding: ``BANDS`` bands of ``ROWS`` coordinates. At similarity 0.75 a pair shares no
    band with probability (1 - 0.75^4)^32 = 5e-6.
-4. Star pass: each band bucket pairs its members with its smallest id, and the pairs are
-   verified on their full shingle sets. Linked texts are merged.
+4. Star pass: the smallest id of a band bucket is its centre. Each text tries one centre,
+   the one that it shares most bands with, and these pairs are verified on their full
+   shingle sets. Linked texts are merged, which settles most buckets.
 5. Rest pass: a bucket that still holds several classes compares its members across
    classes by sketch, in blocks, and passes on the pairs whose estimate is at least
    ``MIN_ESTIMATE`` (a pair at 0.75 falls below it with probability under 1e-6), in the
@@ -243,17 +244,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = ["d1", "d2", "n_shingles"]
     reps = save(rows.join(classes, key).where("doc_id = rep").dropDuplicates(["rep"])
                 .select("rep", "n_shingles", "bands", "sketch"), "near-reps")
-    exploded = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "key"))
-    centres = exploded.groupBy("key").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = save(exploded.join(centres, "key").select("key", "band", "id", "b"), "near-shared")
-    star = save(shared.where("id <> b").select(F.col("id").alias("a"), "b").distinct()
-                .join(reps.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na")), "a")
-                .join(reps.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb")), "b")
-                .where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").select("a", "b"), "near-star")
+    exploded = reps.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
+    centres = exploded.groupBy("key").agg(F.min(F.struct("id", "n")).alias("centre"), F.count(F.lit(1)).alias("members")) \
+        .where("members > 1").select("key", F.col("centre.id").alias("b"), F.col("centre.n").alias("nb"))
+    shared = save(exploded.join(centres, "key").select("key", "band", "id", "n", "b", "nb"), "near-shared")
+    # each text tries one centre, the one that it shares most bands with
+    tries = shared.where("id <> b").where(f"100 * least(n, nb) >= {PERCENT} * greatest(n, nb)") \
+        .groupBy("id", "b").agg(F.count(F.lit(1)).alias("bands"))
+    star = save(tries.groupBy(F.col("id").alias("a")).agg(F.max(F.struct("bands", (-F.col("b")).alias("first"))).alias("best"))
+                .select("a", (-F.col("best.first")).alias("b")), "near-star")
     links = save(verified(star, docs, id_col, text_col), "near-links")
     tree = components(links, "near-star-components")
     # buckets that still hold several classes
-    placed = shared.join(tree, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = shared.select("key", "band", "id").join(tree, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo < hi").select("key")
     open_rows = placed.join(mixed, "key", "left_semi").join(reps.withColumnRenamed("rep", "id"), "id")
