@@ -17,10 +17,11 @@ union; classes are the connected components of the links.
    the one that it shares most bands with, and these pairs are verified on their full
    shingle sets. Linked texts are merged, which settles most buckets.
 5. Rest pass: a bucket that still holds several classes compares its members across
-   classes by sketch, in blocks, and passes on the pairs whose estimate is at least
-   ``MIN_ESTIMATE`` (a pair at 0.75 falls below it with probability under 1e-6), in the
-   first band they share. These pairs are verified too. So every link between
-   candidates is found up to connectivity, and no bucket is expanded into all its pairs.
+   classes, in blocks of bounded size. Pairs whose sketch estimate is at least
+   ``MIN_ESTIMATE`` (a pair at 0.75 falls below it with probability under 1e-6) are
+   verified on their full sets there, in the first band they share, and only links that
+   join two classes leave the task. So every link between candidates is found up to
+   connectivity, and no bucket is expanded into its pairs.
 6. Components by repeated minimum over links, each round written to shared storage.
 
 Defined cases: null text, or a text without words, has an empty set, is linked with
@@ -45,7 +46,8 @@ COORDS = 128
 ROWS = 4
 BANDS = COORDS // ROWS
 MIN_ESTIMATE = 0.55
-BLOCK = 1024      # members of a bucket compared at a time in the rest pass
+BLOCK = 1024                # members of a bucket in a block of the rest pass
+BLOCK_SHINGLES = 1 << 20    # and about so many shingles
 
 
 def shingle_sets(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -141,8 +143,10 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     n = len(a) + len(b)
     if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
         return False
-    union = len(np.union1d(a, b))
-    return 100 * (n - union) >= PERCENT * union
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.searchsorted(large, small)
+    common = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(large) else 0
+    return 100 * common >= PERCENT * (n - common)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -201,18 +205,19 @@ def components(links: DataFrame, name: str) -> DataFrame:
                     f"{name}-{step}")
 
 
-def _rest_pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs (a, b) across classes inside the given buckets (key, band, id, component, n,
-    bands, sketch), by sketch estimate, in blocks of bounded size."""
-    sized = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
-    rows = buckets.join(sized, "key").withColumn("blocks", blocks) \
+def _rest_links(buckets: DataFrame) -> DataFrame:
+    """Links (a, b) across classes inside the given buckets (key, band, id, component,
+    n_shingles, bands, sketch, packed), in blocks of bounded size. Sketches choose the
+    pairs, full sets decide, and only links that join two classes of a block come out."""
+    sized = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("shingles"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    rows = buckets.join(sized.select("key", blocks.cast("int").alias("blocks")), "key") \
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # block x meets block y in the task of (x, y), x <= y
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                        lambda o: F.struct(F.least(o, F.col("block")).alias("x"), F.greatest(o, F.col("block")).alias("y")))
     rows = rows.withColumn("cell", F.explode(meet)).select(
-        "key", "band", "id", "component", "n_shingles", "bands", "sketch", "block", "cell.x", "cell.y")
+        "key", "band", "id", "component", "n_shingles", "bands", "sketch", "packed", "block", "cell.x", "cell.y")
 
     def compare(table: pa.Table) -> pa.Table:
         band = table.column("band")[0].as_py()
@@ -220,19 +225,25 @@ def _rest_pairs(buckets: DataFrame) -> DataFrame:
         ids, comp, n, block = (table.column(c).to_numpy() for c in ("id", "component", "n_shingles", "block"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), COORDS)
         bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
-        out_a, out_b = [], []
+        unpack = zstandard.ZstdDecompressor()
+        values, first = shingle_sets([unpack.decompress(t) for t in table.column("packed").to_pylist()])
+        root = np.unique(comp, return_inverse=True)[1]
+        out = []
         for i in np.flatnonzero(block == x):
-            other = (comp != comp[i]) & (block == y)
+            other = (root != root[i]) & (block == y)
             if x == y:
                 other &= ids > ids[i]
             other &= (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i]))
             near = np.flatnonzero(other)
             # a pair belongs to the first band that it shares
             near = near[(bands[near] == bands[i]).argmax(axis=1) == band]
-            near = near[(sketch[near] == sketch[i]).sum(axis=1) >= MIN_ESTIMATE * COORDS]
-            out_a += [ids[i]] * len(near)
-            out_b += list(ids[near])
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+            same = (sketch[near] == sketch[i]).sum(axis=1)
+            order = np.argsort(-same, kind="stable")
+            for j in near[order][same[order] >= MIN_ESTIMATE * COORDS]:
+                if root[j] != root[i] and linked(values[first[i]:first[i + 1]], values[first[j]:first[j + 1]]):
+                    out.append((ids[i], ids[j]))
+                    root[root == root[j]] = root[i]
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
     return rows.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long")
 
 
@@ -259,9 +270,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = shared.select("key", "band", "id").join(tree, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo < hi").select("key")
-    open_rows = placed.join(mixed, "key", "left_semi").join(reps.withColumnRenamed("rep", "id"), "id")
-    rest = save(_rest_pairs(open_rows).join(star, ["a", "b"], "left_anti"), "near-rest")
-    more = save(verified(rest, docs, id_col, text_col), "near-more-links")
+    members = save(placed.join(mixed, "key", "left_semi"), "near-open")
+    texts = save(_packed_texts(docs, save(members.select(F.col("id").alias("doc_id")).distinct(), "near-open-ids"),
+                               id_col, text_col), "near-open-texts").withColumnRenamed("doc_id", "id")
+    open_rows = members.join(reps.withColumnRenamed("rep", "id"), "id").join(texts, "id")
+    more = save(_rest_links(open_rows), "near-more-links")
     tree = components(links.unionByName(more), "near-components")
     top = classes.join(tree, F.col("rep") == F.col("id"), "left") \
         .select(*key, F.coalesce("component", "rep").alias("component"))
