@@ -165,6 +165,14 @@ class Words:
         return np.repeat(self.first[1:], self.counts) - np.arange(len(self.starts))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by sorting."""
+    x = np.sort(x)
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
 _STEP = 0xA0761D6478BD642F | 1
 
 

@@ -79,8 +79,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("digest", F.lit(None).cast("binary"))
         rows = undecided.unionByName(alone)
     key = ["n_bytes", "prefix_hash", "digest"]
-    groups = undecided.groupBy(*key).agg(F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n")) \
-        .where("n > 1")
+    groups = broadcast_if_small(save(undecided.groupBy(*key).agg(
+        F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1"), "exact-groups"))
     out = rows.join(groups, key, "left")
     keep = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("top"))
     return out.select("doc_id", keep.alias("keep_id"),

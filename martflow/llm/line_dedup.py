@@ -4,22 +4,22 @@ A line (cut at line feeds) is the set of its distinct words, lower-cased A-Z. A
 removed when an earlier line, in order of document id and position, has a Jaccard
 similarity of at least ``PERCENT`` / 100 with it, whether or not that one stays.
 
-1. Texts go into blobs of a few MB. Word frequencies are summed in a table of fixed size
-   by hash; ordering words by that count and then by their hash is one fixed order for
-   all lines, rare words first, which is all that the filters below need.
-2. Prefix filter: two lines can only match when they share one of their first
-   s - ceil(t s) + 1 words. A first exchange drops prefix words that no second line has.
-3. Lines that share a prefix word meet in that word's bucket. There the length filter,
-   the positional filter (words left behind the shared one) and a bound from 128-bit
-   signatures (a bit that only one line has is a word that only it has) leave few pairs.
+1. Texts go into blobs of a few MB, with a hash of each line's word sequence and the
+   blob's word counts in a table of fixed size. Lines of the same sequence are one class;
+   its first line leads it and all others are removed. Only leaders go on, so a frequent
+   line is compared once.
+2. Words are ordered by their count (summed over all blobs, by hash) and then by hash:
+   one fixed order for all lines, rare words first, which is all that the filters need.
+3. Prefix filter: two lines can only match when they share one of their first
+   s - ceil(t s) + 1 words. Leaders meet in the buckets of these words, where the length
+   filter, the positional filter (words left behind the shared one) and a bound from
+   128-bit signatures (a bit that only one line has is a word that only it has) leave few
+   pairs.
 4. Remaining pairs are verified on the full word sets. A line needs one earlier match, so
    at first only its ``FIRST_TRIES`` closest candidates of a word go on; lines without a
    match that had more get all their candidates in a second pass. Nothing is lost, and a
    large group of variants of a line isn't expanded into all its pairs.
 
-Equal sets are one class by a 64-bit digest; a class is decided once, and a blob sends
-it once, however often the line occurs.
-
 Defined cases: a null text has no line; lines without words are never removed and match
 nothing; a repeated row is a later document, ties of ids go by the rows' place in the
 input; null ids come first; an empty table gives no rows; extra columns are ignored.
@@ -31,226 +31,306 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, broadcast_if_small, mix, read_table, save
-from .substring_dedup import (BUCKET_VALUES, _RUNS, _answers, _bits_of, _blobs, _by_blob, _runs, _texts, _with_answers)
+from .common import Words, chunks, distinct, mix, read_table, save
+from .substring_dedup import BLOB_BYTES, BROADCAST_BYTES, pack, unpack
 
-PERCENT = 80
+PERCENT = 85
 COUNTERS_LOG2 = 18
 FIRST_TRIES = 3
-ID_BITS = 44            # of a word: 14 of frequency, 30 of hash
+ID_BITS = 44                   # of a word: 14 of frequency, 30 of hash
+BUCKET_WORDS = 6_000_000       # words of text whose prefixes a bucket should hold
 MAX_BUCKET_BITS = 16
-PAIR_BLOCK = 1 << 22    # pairs compared at a time in a bucket
+PAIR_BLOCK = 1 << 20           # pairs compared at a time in a bucket
+FIRST_ID = -(1 << 63)          # where null ids are ordered
+
+
+def _order_ids(ids) -> np.ndarray:
+    return np.array([FIRST_ID if i is None else i for i in ids], np.int64)
+
 
+# ---------------------------------------------------------------------------
+# Blobs
 
 class Lines:
-    """The lines with words of one blob, their word sets in rarity order, and digests."""
+    """The lines with words of a blob's texts: ``doc`` (index of the text), ``number`` in
+    it, byte ``begin`` and ``end``, and their words ``first:last``."""
 
-    def __init__(self, ids, sizes, data, counts: np.ndarray | None):
-        self.ids, self.texts = ids, _texts(sizes, data)
-        self.words = Words(self.texts)
-        self.h = self.words.hashes(lower=True)
+    def __init__(self, texts: list[bytes]):
+        self.words = Words(texts)
         ends = np.flatnonzero(self.words.data == 0x0A)
-        self.line_ends = ends
         starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-        first = np.searchsorted(self.words.starts, starts)
-        last = np.searchsorted(self.words.starts, ends)
-        self.doc_of_line = np.searchsorted(self.words.offsets, starts, side="right") - 1
-        self.first_line = np.searchsorted(starts, self.words.offsets)
-        self.number = np.arange(len(starts)) - self.first_line[self.doc_of_line]
-        self.full = np.flatnonzero(last > first)          # lines with a word
-        owner = np.repeat(np.arange(len(self.full)), (last - first)[self.full])
-        if counts is None:
-            return
-        # ids by rarity: the count's magnitude, then the hash
-        rank = np.minimum(np.log2(counts[(self.h >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)] + 1) * 400, 16383)
-        word = (rank.astype(np.uint64) << np.uint64(30)) | (self.h & np.uint64((1 << 30) - 1))
-        self.owner, self.word = self._distinct(owner, word)
-        self.size = np.bincount(self.owner, minlength=len(self.full))
-        self.begin = np.concatenate([[0], np.cumsum(self.size)])
-        self.place = np.arange(len(self.word)) - self.begin[self.owner]
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(self.word, 51))])
-        self.digest = mix(sums[self.begin[1:]] - sums[self.begin[:-1]], 52) ^ mix(self.size.astype(np.uint64), 53)
-        # the blob's first line of each digest, by (id, line, place), speaks for it
-        ids = np.array([-(1 << 63) if i is None else i for i in self.ids], np.int64)
-        self.doc, self.line = ids[self.doc_of_line[self.full]], self.number[self.full]
-        order = np.lexsort((np.arange(len(self.full)), self.line, self.doc, self.digest))
-        first = np.ones(len(order), bool)
-        first[1:] = self.digest[order[1:]] != self.digest[order[:-1]]
-        self.speaks = np.zeros(len(self.full), bool)
-        self.speaks[order[first]] = True
-
-    @staticmethod
-    def _distinct(owner, word):
-        """Distinct words of each line in order; lines in slices so that one sort key holds both."""
-        out_owner, out_word, at = [], [], 0
-        step = 1 << (64 - ID_BITS)
-        n = int(owner[-1]) + 1 if len(owner) else 0
-        for low in range(0, n, step):
-            to = np.searchsorted(owner, low + step)
-            key = np.unique(((owner[at:to] - low).astype(np.uint64) << np.uint64(ID_BITS)) | word[at:to])
-            out_owner.append((key >> np.uint64(ID_BITS)).astype(np.int64) + low)
-            out_word.append(key & np.uint64((1 << ID_BITS) - 1))
-            at = to
-        if not out_owner:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        return np.concatenate(out_owner), np.concatenate(out_word)
+        first, last = np.searchsorted(self.words.starts, starts), np.searchsorted(self.words.starts, ends)
+        doc = np.searchsorted(self.words.offsets, starts, side="right") - 1
+        number = np.arange(len(starts)) - np.searchsorted(starts, self.words.offsets)[doc]
+        full = last > first
+        self.doc, self.number, self.begin, self.end = doc[full], number[full], starts[full], ends[full]
+        self.first, self.last = first[full], last[full]
+        self.h = self.words.hashes(lower=True)
 
-    def prefix(self) -> np.ndarray:
-        """Positions of the prefix words of the lines that speak."""
-        keep = self.size - -(-PERCENT * self.size // 100) + 1
-        return np.flatnonzero(self.speaks[self.owner] & (self.place < keep[self.owner]))
+    def sequences(self) -> np.ndarray:
+        """A hash of each line's words in order."""
+        place = np.arange(len(self.h)) - np.repeat(self.first, self.last - self.first)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(self.h ^ mix(place.astype(np.uint64), 56), 57))])
+        return mix(sums[self.last] - sums[self.first], 58) ^ mix((self.last - self.first).astype(np.uint64), 59)
 
-    def signatures(self) -> tuple[np.ndarray, np.ndarray]:
-        bit = mix(self.word, 54)
-        low = np.where(bit & np.uint64(64), np.uint64(0), np.uint64(1) << (bit & np.uint64(63)))
-        high = np.where(bit & np.uint64(64), np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
-        if not len(self.full):
-            return low, high
-        return tuple(np.bitwise_or.reduceat(x, self.begin[:-1]) for x in (low, high))
+
+_BLOB = "blob long, ids array<long>, sizes array<long>, n_words long, data binary, docs binary, numbers binary, " \
+    "sequences binary, slots binary, slot_counts binary"
+_BLOB_KINDS = pa.schema([("blob", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
+                         ("n_words", pa.int64()), *((c, pa.binary()) for c in
+                                                    ("data", "docs", "numbers", "sequences", "slots", "slot_counts"))])
+
+
+def _blobs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    def run(batches):
+        task, k = TaskContext.get().partitionId(), 0
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch, texts in chunks(batches, "text", BLOB_BYTES):
+            lines = Lines(texts)
+            counts = np.bincount((lines.h >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64), minlength=1 << COUNTERS_LOG2)
+            slots = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_pydict(
+                {"blob": [(task << 32) + k], "ids": [batch.column(0).to_pylist()], "sizes": [[len(t) for t in texts]],
+                 "n_words": [len(lines.h)], "data": [squeeze.compress(b"".join(texts))],
+                 "docs": [pack(lines.doc.astype(np.uint32))], "numbers": [pack(lines.number.astype(np.uint32))],
+                 "sequences": [pack(lines.sequences())], "slots": [pack(slots.astype(np.uint32))],
+                 "slot_counts": [pack(counts[slots].astype(np.uint32))]}, schema=_BLOB_KINDS)
+            k += 1
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _BLOB)
+
+
+def _texts(row) -> list[bytes]:
+    whole, at, out = zstandard.ZstdDecompressor().decompress(row["data"]), 0, []
+    for n in row["sizes"]:
+        out.append(whole[at:at + n])
+        at += n
+    return out
 
 
 def word_counts(blobs: DataFrame) -> np.ndarray:
-    """Occurrences of all words by hash, in a table of fixed size; the counters of the
-    driver's copy are sums made by Spark."""
+    """Occurrences of all words by hash, in a table of fixed size, summed by Spark."""
     def run(batches):
         total = np.zeros(1 << COUNTERS_LOG2, np.int64)
         for batch in batches:
             for row in batch.to_pylist():
-                h = Words(_texts(row["sizes"], row["data"])).hashes(lower=True)
-                total += np.bincount((h >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64), minlength=len(total))
+                np.add.at(total, unpack(row["slots"], np.uint32), unpack(row["slot_counts"], np.uint32).astype(np.int64))
         slots = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(total[slots])], ["slot", "n"])
-    rows = blobs.mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    table = rows.toArrow()
+    table = blobs.select("slots", "slot_counts").mapInArrow(run, "slot int, n long") \
+        .groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << COUNTERS_LOG2, np.int64)
     out[table.column("slot").to_numpy()] = table.column("n").to_numpy()
     return out
 
 
-_POSTING = [("token", np.uint32), ("digest", np.uint64), ("doc", np.int64), ("line", np.int32), ("size", np.int32),
-            ("place", np.int32), ("low", np.uint64), ("high", np.uint64)]
+def _leaders(blobs: DataFrame) -> DataFrame:
+    """(blob, leaders): the places of the lines of each blob that lead their class."""
+    schema = "sequence long, doc long, line int, blob long, place int"
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                sequence, doc = unpack(row["sequences"], np.uint64), unpack(row["docs"], np.uint32)
+                number, ids = unpack(row["numbers"], np.uint32).astype(np.int64), _order_ids(row["ids"])
+                # the blob's first line of each class stands for the others
+                order = np.lexsort((np.arange(len(doc)), number, ids[doc], sequence))
+                new = np.ones(len(order), bool)
+                new[1:] = sequence[order[1:]] != sequence[order[:-1]]
+                own = order[new]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sequence[own].view(np.int64)), pa.array(ids[doc[own]]), pa.array(number[own], pa.int32()),
+                     pa.array(np.full(len(own), row["blob"]), pa.int64()), pa.array(own, pa.int32())],
+                    [f.split()[0] for f in schema.split(", ")])
+    firsts = blobs.select("blob", "ids", "docs", "numbers", "sequences").mapInArrow(run, schema)
+    tops = firsts.groupBy("sequence").agg(F.min(F.struct("doc", "line", "blob", "place")).alias("top"))
+    return tops.groupBy("top.blob").agg(F.collect_list("top.place").alias("leaders"))
+
+
+def _beside(blobs: DataFrame, lists: DataFrame) -> DataFrame:
+    """Blobs joined with a saved (blob, array<int>) table, broadcast only when measured small."""
+    name = next(c for c in lists.columns if c != "blob")
+    measured = lists.agg(F.sum(40 + 4 * F.size(name))).first()[0] or 0
+    return blobs.join(F.broadcast(lists) if measured <= BROADCAST_BYTES else lists, "blob", "left")
+
+
+# ---------------------------------------------------------------------------
+# Candidates
+
+class WordSets:
+    """Distinct words of the leading lines, in rarity order."""
+
+    def __init__(self, lines: Lines, leaders: np.ndarray, counts: np.ndarray):
+        n = (lines.last - lines.first)[leaders]
+        owner = np.repeat(np.arange(len(leaders)), n)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lines.first[leaders], n)
+        h = lines.h[at]
+        # ids by rarity: the count's magnitude, then the hash
+        rank = _ranks(counts)[(h >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)]
+        word = (rank << np.uint64(30)) | (h & np.uint64((1 << 30) - 1))
+        self.owner, self.word = _distinct_by_line(owner, word)
+        self.size = np.bincount(self.owner, minlength=len(leaders))
+        self.begin = np.concatenate([[0], np.cumsum(self.size)])
+        self.place = np.arange(len(self.word)) - self.begin[self.owner]
+
+    def prefix(self) -> np.ndarray:
+        keep = self.size - -(-PERCENT * self.size // 100) + 1
+        return np.flatnonzero(self.place < keep[self.owner])
+
+    def signatures(self) -> tuple[np.ndarray, np.ndarray]:
+        bit = mix(self.word, 54)
+        one, upper = np.uint64(1) << (bit & np.uint64(63)), (bit & np.uint64(64)) != 0
+        zero = np.uint64(0)
+        if not len(self.size):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return (np.bitwise_or.reduceat(np.where(upper, zero, one), self.begin[:-1]),
+                np.bitwise_or.reduceat(np.where(upper, one, zero), self.begin[:-1]))
+
+
+def _ranks(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(counts + 1.0) * 400, 16383).astype(np.uint64)
+
+
+def _distinct_by_line(owner: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words of each line in order; lines in slices so that one sort key holds both."""
+    owners, words, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    step = 1 << (64 - ID_BITS)
+    n = int(owner[-1]) + 1 if len(owner) else 0
+    for low in range(0, n, step):
+        to = np.searchsorted(owner, low + step)
+        key = distinct(((owner[at:to] - low).astype(np.uint64) << np.uint64(ID_BITS)) | word[at:to])
+        owners.append((key >> np.uint64(ID_BITS)).astype(np.int64) + low)
+        words.append(key & np.uint64((1 << ID_BITS) - 1))
+        at = to
+    return np.concatenate(owners), np.concatenate(words)
+
+
+_POSTING = [("token", np.uint32), ("doc", np.uint64), ("line", np.uint32), ("leader", np.uint32), ("size", np.uint32),
+            ("place", np.uint32), ("low", np.uint64), ("high", np.uint64)]
 
 
 def _ones(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x).astype(np.int32)
-
-
-def _candidates(column: dict, tries: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs of one bucket: digests of the later and the earlier line, and whether
-    the later one had more candidates than ``tries`` for the shared word."""
-    order = np.lexsort((column["line"], column["doc"], column["digest"], column["token"]))
-    c = {k: v[order] for k, v in column.items()}
-    first = np.ones(len(order), bool)
-    first[1:] = (c["token"][1:] != c["token"][:-1]) | (c["digest"][1:] != c["digest"][:-1])
-    c = {k: v[first] for k, v in c.items()}
-    # within a word by size, so that lines of a fitting length are neighbours
-    order = np.lexsort((c["size"], c["token"]))
-    c = {k: v[order] for k, v in c.items()}
-    n = len(order)
-    size = c["size"].astype(np.int64)
+    return np.bitwise_count(x).astype(np.int64)
+
+
+def _candidates(c: dict, tries: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs of one bucket: rows of the later and the earlier line, and whether
+    the later one had more candidates than ``tries`` for the shared word. ``c`` has the
+    postings sorted by word and size."""
+    n = len(c["token"])
+    size, place = c["size"].astype(np.int64), c["place"].astype(np.int64)
     # each line meets the following ones of the same word that are at most 1/t times as long
     key = c["token"].astype(np.uint64) << np.uint64(32)
     reach = np.searchsorted(key | size.astype(np.uint64), key | (size * 100 // PERCENT).astype(np.uint64), side="right")
     width = reach - np.arange(n) - 1
-    found = []
-    at = 0
+    ends = np.cumsum(width)
+    found, at = [], 0
     while at < n:
-        # blocks of left lines with a bounded number of pairs
-        to = max(at + 1, int(np.searchsorted(np.cumsum(width[at:]), PAIR_BLOCK, side="right")) + at)
+        # lines with a bounded number of pairs together
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + PAIR_BLOCK, side="right")))
         left = np.repeat(np.arange(at, to), width[at:to])
-        inner = np.arange(len(left)) - np.repeat(np.cumsum(width[at:to]) - width[at:to], width[at:to])
-        right = left + 1 + inner
-        both = size[left] + size[right]
-        need = -(-PERCENT * both // (100 + PERCENT))        # common words a match must have
-        rest = 1 + np.minimum(size[left] - c["place"][left], size[right] - c["place"][right]) - 1
-        ok = rest + np.minimum(c["place"][left], c["place"][right]) >= need
-        left, right, need, both = left[ok], right[ok], need[ok], both[ok]
-        only_left = _ones(c["low"][left] & ~c["low"][right]) + _ones(c["high"][left] & ~c["high"][right])
-        only_right = _ones(c["low"][right] & ~c["low"][left]) + _ones(c["high"][right] & ~c["high"][left])
+        right = left + 1 + np.arange(len(left)) - np.repeat(ends[at:to] - width[at:to] - done, width[at:to])
+        need = -(-PERCENT * (size[left] + size[right]) // (100 + PERCENT))     # common words a match must have
+        a, b = place[left], place[right]
+        ok = np.minimum(a, b) + np.minimum(size[left] - a, size[right] - b) >= need
+        left, right, need = left[ok], right[ok], need[ok]
+        low_l, low_r, high_l, high_r = c["low"][left], c["low"][right], c["high"][left], c["high"][right]
+        only_left = _ones(low_l & ~low_r) + _ones(high_l & ~high_r)
+        only_right = _ones(low_r & ~low_l) + _ones(high_r & ~high_l)
         ok = (size[left] - only_left >= need) & (size[right] - only_right >= need)
-        found.append((left[ok], right[ok], (only_left + only_right)[ok] / both[ok]))
+        left, right = left[ok], right[ok]
+        found.append((left, right, (only_left + only_right)[ok] / (size[left] + size[right])))
         at = to
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)
-    left, right, apart = (np.concatenate(x) for x in zip(*found))
-    swap = (c["doc"][left] > c["doc"][right]) | ((c["doc"][left] == c["doc"][right]) & (c["line"][left] > c["line"][right]))
+    left, right, apart = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+    doc, line = c["doc"].view(np.int64), c["line"]
+    swap = (doc[left] > doc[right]) | ((doc[left] == doc[right]) & (line[left] > line[right])) \
+        | ((doc[left] == doc[right]) & (line[left] == line[right])
+           & ((c["blob"][left] > c["blob"][right]) | ((c["blob"][left] == c["blob"][right]) & (c["leader"][left] > c["leader"][right]))))
     later, earlier = np.where(swap, left, right), np.where(swap, right, left)
-    more = np.zeros(len(later), bool)
-    if tries is not None and len(later):
-        order = np.lexsort((apart, later))
-        later, earlier = later[order], earlier[order]
-        start = np.concatenate([[True], later[1:] != later[:-1]])
-        rank = np.arange(len(later)) - np.maximum.accumulate(np.where(start, np.arange(len(later)), 0))
-        crowded = np.bincount(later, minlength=n) > tries
-        take = rank < tries
-        later, earlier = later[take], earlier[take]
-        more = crowded[later]
-    return c["digest"][later], c["digest"][earlier], more
-
-
-def _pairs(blobs: DataFrame, shared: DataFrame, counts, bits: int, tries: int | None) -> DataFrame:
-    """(x, y, more): candidate pairs of digests, x the later line."""
+    if tries is None or not len(later):
+        return later, earlier, np.zeros(len(later), bool)
+    order = np.lexsort((apart, later))
+    later, earlier = later[order], earlier[order]
+    start = np.concatenate([[True], later[1:] != later[:-1]])
+    rank = np.arange(len(later)) - np.maximum.accumulate(np.where(start, np.arange(len(later)), 0))
+    crowded = np.bincount(later, minlength=n) > tries
+    take = rank < tries
+    return later[take], earlier[take], crowded[later[take]]
+
+
+_SIDES = ["x_blob", "x_place", "y_blob", "y_place"]
+
+
+def _pairs(blobs: DataFrame, counts, bits: int, tries: int | None) -> DataFrame:
+    """(x_blob, x_place, y_blob, y_place, more): candidate pairs of leaders, x the later line."""
     context = blobs.sparkSession.sparkContext.broadcast(counts)   # fixed size
 
     def post(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                lines = Lines(row["ids"], row["sizes"], row["data"], context.value)
-                at = lines.prefix()
-                value = mix(lines.word[at], 55) >> np.uint64(32 - bits)
-                distinct, inverse = np.unique(value, return_inverse=True)
-                yes = _bits_of(row["answers"])
-                ok = yes[inverse] if len(yes) else np.zeros(len(at), bool)
-                at, value = at[ok], value[ok]
-                own = lines.owner[at]
-                low, high = lines.signatures()
-                column = {"token": value & np.uint64((1 << 32) - 1), "digest": lines.digest[own],
-                          "doc": lines.doc[own], "line": lines.line[own], "size": lines.size[own],
-                          "place": lines.place[at], "low": low[own], "high": high[own]}
+                lines, leaders = Lines(_texts(row)), np.array(sorted(row["leaders"] or []), np.int64)
+                sets = WordSets(lines, leaders, context.value)
+                at = sets.prefix()
+                own, value = sets.owner[at], mix(sets.word[at], 55) >> np.uint64(32 - bits)
+                low, high = sets.signatures()
+                doc = _order_ids(row["ids"])[lines.doc[leaders]]
+                column = {"token": value & np.uint64((1 << 32) - 1), "doc": doc.view(np.uint64)[own],
+                          "line": lines.number[leaders][own], "leader": leaders[own], "size": sets.size[own],
+                          "place": sets.place[at], "low": low[own], "high": high[own]}
                 bucket = (value >> np.uint64(32)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
+                order = np.argsort(bucket, kind="stable")           # by line within a bucket, so ids pack well
                 cuts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
                 used = np.flatnonzero(np.diff(cuts))
-                arrays = [pa.array(used, pa.int32())]
+                arrays = [pa.array(used, pa.int32()), pa.array(np.full(len(used), row["blob"]), pa.int64())]
                 for name, kind in _POSTING:
                     v = column[name][order].astype(kind)
-                    arrays.append(pa.array([v[cuts[b]:cuts[b + 1]].tobytes() for b in used], pa.binary()))
-                yield pa.RecordBatch.from_arrays(arrays, ["bucket", *(n for n, _ in _POSTING)])
+                    arrays.append(pa.array([pack(v[cuts[b]:cuts[b + 1]]) for b in used], pa.binary()))
+                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "blob", *(n for n, _ in _POSTING)])
 
     def meet(table: pa.Table) -> pa.Table:
-        column = {name: np.frombuffer(b"".join(table.column(name).to_pylist()), kind) for name, kind in _POSTING}
-        x, y, more = _candidates(column, tries)
-        return pa.table({"x": pa.array(x.view(np.int64)), "y": pa.array(y.view(np.int64)), "more": pa.array(more)})
-    postings = _with_answers(blobs, shared).mapInArrow(
-        post, "bucket int, " + ", ".join(f"{n} binary" for n, _ in _POSTING))
-    met = postings.groupBy("bucket").applyInArrow(meet, "x long, y long, more boolean")
-    return met.groupBy("x", "y").agg(F.max("more").alias("more"))
-
-
-def _matches(pairs: DataFrame, blobs: DataFrame, counts) -> DataFrame:
-    """The pairs whose full word sets reach the similarity."""
-    wanted = broadcast_if_small(save(pairs.select(F.explode(F.array("x", "y")).alias("digest")).distinct(), "line-wanted"))
-    context = blobs.sparkSession.sparkContext.broadcast(counts)
+        runs = {name: [unpack(v, kind) for v in table.column(name).to_pylist()] for name, kind in _POSTING}
+        c = {name: np.concatenate(v) for name, v in runs.items()}
+        c["blob"] = np.repeat(table.column("blob").to_numpy(), [len(v) for v in runs["token"]])
+        del runs
+        order = np.argsort((c["token"].astype(np.uint64) << np.uint64(32)) | c["size"], kind="stable")
+        c = {k: v[order] for k, v in c.items()}
+        later, earlier, more = _candidates(c, tries)
+        sides = [c[k][s].astype(kind) for s in (later, earlier) for k, kind in (("blob", np.int64), ("leader", np.int32))]
+        return pa.table([*map(pa.array, sides), pa.array(more)], [*_SIDES, "more"])
+    posted = blobs.select("blob", "ids", "sizes", "data", "leaders").mapInArrow(
+        post, "bucket int, blob long, " + ", ".join(f"{n} binary" for n, _ in _POSTING))
+    met = posted.groupBy("bucket").applyInArrow(
+        meet, "x_blob long, x_place int, y_blob long, y_place int, more boolean")
+    return met.groupBy(*_SIDES).agg(F.max("more").alias("more"))
+
+
+def _matches(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
+    """(blob, place) of the later lines of the pairs whose full word sets reach the similarity."""
+    sides = F.explode(F.array(*[F.struct(F.col(f"{s}_blob").alias("blob"), F.col(f"{s}_place").alias("place")) for s in "xy"]))
+    wanted = save(pairs.select(sides.alias("s")).select("s.*").distinct().groupBy("blob")
+                  .agg(F.collect_list("place").alias("places")), "line-wanted")
 
     def emit(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                lines = Lines(row["ids"], row["sizes"], row["data"], context.value)
-                raw, speakers = lines.words.data.tobytes(), np.flatnonzero(lines.speaks)
-                ends = lines.line_ends[lines.full[speakers]]
-                begins = np.concatenate([[-1], lines.line_ends])[lines.full[speakers]] + 1
-                for at in range(0, len(speakers), 20_000):
-                    some = slice(at, at + 20_000)
+                lines, places = Lines(_texts(row)), np.array(row["places"], np.int64)
+                raw = lines.words.data.tobytes()
+                for at in range(0, len(places), 20_000):
+                    some = places[at:at + 20_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(lines.digest[speakers[some]].view(np.int64)),
-                         pa.array([raw[a:b] for a, b in zip(begins[some], ends[some])], pa.binary())], ["digest", "line"])
-    lines = save(blobs.mapInArrow(emit, "digest long, line binary").join(wanted, "digest", "left_semi")
-                 .dropDuplicates(["digest"]), "line-texts")
-    joined = pairs.join(lines.select(F.col("digest").alias("x"), F.col("line").alias("lx")), "x") \
-        .join(lines.select(F.col("digest").alias("y"), F.col("line").alias("ly")), "y")
+                        [pa.array(np.full(len(some), row["blob"]), pa.int64()), pa.array(some, pa.int32()),
+                         pa.array([raw[lines.begin[p]:lines.end[p]] for p in some], pa.binary())], ["blob", "place", "line"])
+    source = _beside(blobs.select("blob", "sizes", "data"), wanted).where("places IS NOT NULL")
+    lines = save(source.mapInArrow(emit, "blob long, place int, line binary"), "line-texts")
+    joined = pairs
+    for s in "xy":
+        joined = joined.join(lines.select(F.col("blob").alias(f"{s}_blob"), F.col("place").alias(f"{s}_place"),
+                                          F.col("line").alias(f"{s}_line")), [f"{s}_blob", f"{s}_place"])
 
     def verify(batches):
         for batch in batches:
@@ -259,82 +339,55 @@ def _matches(pairs: DataFrame, blobs: DataFrame, counts) -> DataFrame:
                 a, b = set(a.lower().split()), set(b.lower().split())
                 common = len(a & b)
                 keep.append(100 * common >= PERCENT * (len(a) + len(b) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
-    return joined.select("x", "y", "lx", "ly").mapInArrow(verify, "x long, y long")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["blob", "place"]) \
+                .filter(pa.array(keep, pa.bool_()))
+    return joined.select("x_blob", "x_place", "x_line", "y_line").mapInArrow(verify, "blob long, place int").distinct()
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_lines, n_removed, kept_sha256, kept_text), one per input row."""
-    blobs = save(_blobs(docs, id_col, text_col), "line-blobs")
-    counts = word_counts(blobs)
-    total = int(counts.sum())
-    bits = min(MAX_BUCKET_BITS, max(3, int(np.ceil(np.log2(max(1, total / (10 * BUCKET_VALUES)))))))
-    context = blobs.sparkSession.sparkContext.broadcast(counts)
-
-    def ask(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                lines = Lines(row["ids"], row["sizes"], row["data"], context.value)
-                value, times = np.unique(mix(lines.word[lines.prefix()], 55) >> np.uint64(32 - bits), return_counts=True)
-                yield _runs(row["blob"], value, times > 1, np.ones(len(value), bool), bits, 32, np.uint32)
-    shared = _by_blob(_answers(blobs.mapInArrow(ask, _RUNS), np.uint32), "line-shared")
-
-    first_pairs = save(_pairs(blobs, shared, counts, bits, FIRST_TRIES), "line-pairs")
-    matched = save(_matches(first_pairs, blobs, counts).select("x").distinct(), "line-matched")
+    plain = save(_blobs(docs, id_col, text_col), "line-blobs")
+    counts = word_counts(plain)
+    bits = min(MAX_BUCKET_BITS, max(3, int(np.ceil(np.log2(max(1, int(counts.sum()) / BUCKET_WORDS))))))
+    leaders = save(_leaders(plain), "line-leaders")
+    blobs = _beside(plain, leaders)
+
+    pairs = save(_pairs(blobs, counts, bits, FIRST_TRIES), "line-pairs")
+    matched = save(_matches(pairs, plain), "line-matched")
     # lines that had more candidates and no match: all their candidates
-    undecided = save(first_pairs.where("more").select("x").distinct().join(matched, "x", "left_anti"), "line-undecided")
+    later = [F.col("x_blob").alias("blob"), F.col("x_place").alias("place")]
+    undecided = save(pairs.where("more").select(*later).distinct().join(matched, ["blob", "place"], "left_anti"),
+                     "line-undecided").select(F.col("blob").alias("x_blob"), F.col("place").alias("x_place"))
     if not undecided.isEmpty():
-        rest = save(_pairs(blobs, shared, counts, bits, None).join(broadcast_if_small(undecided), "x", "left_semi")
-                    .join(first_pairs.select("x", "y"), ["x", "y"], "left_anti"), "line-more-pairs")
-        matched = save(matched.union(_matches(rest, blobs, counts).select("x")).distinct(), "line-all-matched")
-    return _kept(blobs, counts, matched)
-
-
-def _kept(blobs: DataFrame, counts, matched: DataFrame) -> DataFrame:
-    context = blobs.sparkSession.sparkContext.broadcast(counts)
-    where = "digest long, blob long, doc long, line int, place int"
+        rest = save(_pairs(blobs, counts, bits, None).join(undecided, ["x_blob", "x_place"], "left_semi")
+                    .join(pairs.select(*_SIDES), _SIDES, "left_anti"), "line-more-pairs")
+        matched = matched.union(_matches(rest, plain)).distinct()
+    gone = save(matched.groupBy("blob").agg(F.collect_list("place").alias("matched")), "line-gone")
 
-    def first_lines(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                lines = Lines(row["ids"], row["sizes"], row["data"], context.value)
-                own = np.flatnonzero(lines.speaks)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lines.digest[own].view(np.int64)), pa.array([row["blob"]] * len(own), pa.int64()),
-                     pa.array(lines.doc[own]), pa.array(lines.line[own], pa.int32()), pa.array(own, pa.int32())],
-                    [x.split()[0] for x in where.split(", ")])
-    firsts = save(blobs.mapInArrow(first_lines, where), "line-firsts")
-    classes = firsts.groupBy("digest").agg(F.min(F.struct("doc", "line", "blob", "place")).alias("top"),
-                                           F.count(F.lit(1)).alias("blobs"))
-    decided = classes.join(matched.select(F.col("x").alias("digest"), F.lit(True).alias("matched")), "digest", "left") \
-        .where("blobs > 1 OR matched")
-    told = firsts.select("digest", "blob", "place").join(decided, "digest").select(
-        "blob", "digest", (F.coalesce("matched", F.lit(False))
-                           | (F.col("top.blob") != F.col("blob")) | (F.col("top.place") != F.col("place"))).alias("gone"))
-    per_blob = save(told.where("gone").groupBy("blob").agg(F.collect_list("digest").alias("gone")), "line-gone")
     schema = "doc_id long, n_lines long, n_removed long, kept_sha256 string, kept_text string"
 
     def remove(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                lines = Lines(row["ids"], row["sizes"], row["data"], context.value)
-                own = np.flatnonzero(lines.speaks)
-                gone = np.ones(len(lines.full), bool)
-                gone[own] = np.isin(lines.digest[own].view(np.int64), np.array(row["gone"] or [], np.int64))
-                out = np.zeros(len(lines.line_ends), bool)
-                out[lines.full[gone]] = True
+                doc, number = unpack(row["docs"], np.uint32), unpack(row["numbers"], np.uint32)
+                stays = np.zeros(len(doc), bool)
+                stays[np.array(row["leaders"] or [], np.int64)] = True
+                stays[np.array(row["matched"] or [], np.int64)] = False
+                cuts = np.searchsorted(doc, np.arange(len(row["ids"]) + 1))
                 kept_texts, n_lines, n_removed = [], [], []
-                for d, text in enumerate(lines.texts):
-                    drop = out[lines.first_line[d]:lines.first_line[d + 1]]
+                for d, text in enumerate(_texts(row)):
+                    own = slice(cuts[d], cuts[d + 1])
+                    drop = set(number[own][~stays[own]].tolist())
                     split = text.split(b"\n")
-                    kept_texts.append(b"\n".join(s for s, x in zip(split, drop) if not x) if drop.any() else text)
+                    kept_texts.append(b"\n".join(s for k, s in enumerate(split) if k not in drop) if drop else text)
                     n_lines.append(len(split) if text else 0)
-                    n_removed.append(int(drop.sum()))
+                    n_removed.append(len(drop))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["ids"], pa.int64()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()),
                      pa.array([hashlib.sha256(t).hexdigest() for t in kept_texts]),
-                     pa.array([t.decode() for t in kept_texts], pa.string())], [x.split()[0] for x in schema.split(", ")])
-    return blobs.join(per_blob, "blob", "left").mapInArrow(remove, schema)
+                     pa.array([t.decode() for t in kept_texts], pa.string())], [f.split()[0] for f in schema.split(", ")])
+    source = plain.select("blob", "ids", "sizes", "data", "docs", "numbers")
+    return _beside(_beside(source, leaders), gone).mapInArrow(remove, schema)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, broadcast_if_small, chunks, read_table, save, window_hashes
+from .common import Words, chunks, distinct, read_table, save, window_hashes
 
 WINDOW = 35
 BLOCK = (WINDOW + 1) // 2
@@ -229,7 +229,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 blob = Blob(row["sizes"], row["data"])
                 values, _, block = blob.anchors(bits)
                 starts, h = blob.candidates(bits, values[block][_bits_of(row["hits"])])
-                again = np.unique(h)[_bits_of(row["answers"])]
+                again = distinct(h)[_bits_of(row["answers"])]
                 yield pa.RecordBatch.from_pydict(_without(blob, row["ids"], starts[np.isin(h, again)]), schema=kind)
     both = _with_answers(_with_answers(blobs, hits).withColumnRenamed("answers", "hits"), found)
     return both.mapInArrow(remove, schema)

@@ -59,7 +59,7 @@ def without_repeats(rows, width=35):
     return out
 
 
-def removed_lines(rows, percent=80):
+def removed_lines(rows, percent=85):
     """{(position of row, line)} of lines with an earlier match; rows in order of id."""
     lines = []
     for k, (i, t) in enumerate(rows):
