@@ -73,8 +73,3 @@ def text_hour(datetime_text) -> Column:
 def previous_day(day: str) -> str:
     """I6 on a parameter (a query argument, not a column)."""
     return str(_dt.date.fromisoformat(day) - _dt.timedelta(days=1))
-
-
-def parse_date(text) -> Column:
-    """ISO date text to date, null when unparsable."""
-    return F.try_to_date(_col(text).cast("string"), "yyyy-MM-dd")

@@ -38,15 +38,9 @@ def age_bucket(age) -> Column:
     return F.when(col < 20, 0).when(col < 30, 1).when(col >= 30, 2)
 
 
-def age_bucket_label(idx) -> Column:
-    col = F.col(idx) if isinstance(idx, str) else idx
-    return F.element_at(F.array(*[F.lit(x) for x in AGE_BUCKET_LABELS]), col + 1)
-
-
 def to_number(c) -> Column:
     """Text to double; bad text gives null instead of an ANSI error."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.try_cast(col.cast("string"), "double") if hasattr(F, "try_cast") else col.try_cast("double")
+    return (F.col(c) if isinstance(c, str) else c).try_cast("double")
 
 
 def money_sum(c) -> Column:

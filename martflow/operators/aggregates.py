@@ -112,7 +112,32 @@ def pair_stats(pairs: DataFrame, docs: DataFrame, pair_doc: str, doc_id: str, va
                   (labels.money_sum("_metric") / F.count(F.col("_metric"))).alias("avg_metric")))
 
 
-def with_total(page: DataFrame, matches: DataFrame, alias: str = "total") -> DataFrame:
-    """The number of rows of ``matches`` beside every row of ``page``,
-    computed once as a scalar subquery (no single-task window, no join)."""
-    return page.withColumn(alias, matches.select(F.count(F.lit(1))).scalar())
+def with_total(page: DataFrame, total: DataFrame, alias: str = "total") -> DataFrame:
+    """A page's rows with the number of all matches beside each.  A page
+    without rows (past the end, or no match) gives one row of nulls with the
+    number, so the number is never lost.
+
+    ``total`` is a one-row, one-column frame; the page (bounded by its size) is folded
+    into one row to meet it, so no join is needed.
+    """
+    folded = page.agg(F.collect_list(F.struct(*page.columns)).alias("_rows"))
+    out = folded.select(F.explode_outer("_rows").alias("_r"), total.scalar().alias(alias))
+    return out.select("_r.*", alias)
+
+
+def count_of(df: DataFrame) -> DataFrame:
+    return df.select(F.count(F.lit(1)).alias("n"))
+
+
+def dense_days(df: DataFrame, day_col: str, first: str, last: str, metrics: dict) -> DataFrame:
+    """One row per day ``first``..``last``, days without rows as zeros: ``dt`` and the
+    named aggregates of ``metrics``.  The per-day rows (at most one per day of the
+    range) are folded into one map, from which the series is generated."""
+    per_day = df.where(F.col(day_col).between(first, last)).groupBy(day_col) \
+        .agg(*[m.cast("long").alias(name) for name, m in metrics.items()])
+    folded = per_day.agg(F.map_from_entries(F.collect_list(
+        F.struct(F.col(day_col), F.struct(*metrics)))).alias("m"))
+    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    rows = folded.select("m", F.explode(F.transform(days, lambda d: F.date_format(d, "yyyy-MM-dd"))).alias("dt"))
+    found = F.element_at("m", F.col("dt"))
+    return rows.select("dt", *[F.coalesce(found[name], F.lit(0)).cast("long").alias(name) for name in metrics])

@@ -23,8 +23,11 @@ OPERATIONS = {"bootstrap-insert": "I", "insert": "I", "update": "U", "delete": "
 FACT_TABLES = ["order_info", "order_detail"]
 DIM_TABLES = ["user_info", "base_province"]
 
-# Config tables are lists of table names; this many rows is ample.
-CONFIG_MAX_ROWS = 100_000
+BAD_TOPIC = "BAD_RECORDS"
+
+# What makes a change the later one of its key: offsets of different topic
+# partitions aren't comparable, so the record's time comes first.
+CHANGE_ORDER = ["timestamp", "partition", "offset"]
 
 
 def table_list(spark: SparkSession, names: list[str] | None = None, path: str | None = None,
@@ -33,7 +36,8 @@ def table_list(spark: SparkSession, names: list[str] | None = None, path: str |
     stored config table (re-read on every call) or from given names."""
     if path is not None:
         return spark.read.format(fmt).load(path).select(F.col("table").cast("string"))
-    return spark.createDataFrame([(n,) for n in (names or [])], "table string")
+    listed = F.array(*[F.lit(n) for n in names or []]).cast("array<string>")
+    return spark.range(1).select(F.explode(listed).alias("table"))
 
 
 def operation(type_col="type"):
@@ -46,7 +50,8 @@ def operation(type_col="type"):
 
 def parse_change(raw: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
     """B1 + C5: ``type, table, op, data`` (``data`` kept as the raw JSON
-    text, B9); records with an unknown type or malformed text are dropped."""
+    text, B9).  Other change types are left out (C5); malformed records are
+    those of :func:`bad_changes`."""
     env = F.from_json(F.col(value_col), schemas.CDC_ENVELOPE)
     out = raw.select(*(keep or []), env.alias("_e"),
                      F.get_json_object(F.col(value_col), "$.data").alias("data"))
@@ -58,9 +63,17 @@ def parse_change(raw: DataFrame, value_col: str = "value", keep: list[str] | Non
                .select("_r.*"))
 
 
+def bad_changes(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """B1: records whose text is no JSON object or names no change type, as messages of
+    ``BAD_RECORDS`` with their text (a known type that isn't I/U/D is left out by C5)."""
+    kind = F.from_json(F.col(value_col), schemas.CDC_ENVELOPE)["type"]
+    return raw.where(F.col(value_col).isNotNull() & kind.isNull()) \
+        .select(F.lit(BAD_TOPIC).alias("topic"), F.col(value_col).alias("value"))
+
+
 def _in_list(changes: DataFrame, tables: DataFrame) -> DataFrame:
     """Semi join with a size-checked broadcast config table."""
-    t = sized_side(tables.select(F.col("table").alias("_t")).distinct(), CONFIG_MAX_ROWS)
+    t = sized_side(tables.select(F.col("table").alias("_t")).distinct())
     return changes.join(t, changes["table"] == t["_t"], "left_semi")
 
 
@@ -71,30 +84,27 @@ def fact_messages(changes: DataFrame, fact_tables: DataFrame, keep: list[str] |
     return f.select(*(keep or []), topic.alias("topic"), F.col("data").alias("value"))
 
 
-def dim_changes(changes: DataFrame, dim_tables: DataFrame, offset_col: str = "offset") -> DataFrame:
-    """Dimension changes: ``table, id, op, data, offset``."""
+def dim_changes(changes: DataFrame, dim_tables: DataFrame) -> DataFrame:
+    """Dimension changes: ``table, id, op, data`` and the columns of ``CHANGE_ORDER``."""
     d = _in_list(changes, dim_tables)
-    return d.select("table", F.get_json_object("data", "$.id").alias("id"), "op", "data",
-                    F.col(offset_col).alias("offset"))
+    return d.select("table", F.get_json_object("data", "$.id").alias("id"), "op", "data", *CHANGE_ORDER)
 
 
 def upsert_dimension(changes: DataFrame, snapshot: DataFrame | None = None,
                      apply_deletes: bool = False) -> DataFrame:
-    """A10: the latest change per ``(table, id)`` by offset merged over the
-    previous snapshot (same columns).  An aggregate of
-    ``max(struct(offset, ...))`` (sort-based: the buffer is a struct) -
-    partial per task, so a hot id never
-    gathers in one task.  Deletes are kept as the latest value (as in the
+    """A10: the latest change per ``(table, id)`` by ``CHANGE_ORDER`` merged
+    over the previous snapshot (same columns).  An aggregate of
+    ``max(struct(timestamp, ...))`` (sort-based: the buffer is a struct) -
+    partial per task, so a hot id never gathers in one task.  Deletes are kept as the latest value (as in the
     original) unless ``apply_deletes``.
     """
-    cols = ["table", "id", "op", "data", "offset"]
+    cols = ["table", "id", "op", "data", *CHANGE_ORDER]
     allc = changes.select(*cols)
     if snapshot is not None:
         allc = snapshot.select(*cols).unionByName(allc)
     latest = (allc.groupBy("table", "id")
-                  .agg(F.max(F.struct("offset", "op", "data")).alias("_l"))
-                  .select("table", "id", F.col("_l.op").alias("op"), F.col("_l.data").alias("data"),
-                          F.col("_l.offset").alias("offset")))
+                  .agg(F.max(F.struct(*CHANGE_ORDER, "op", "data")).alias("_l"))
+                  .select("table", "id", "_l.op", "_l.data", *[f"_l.{c}" for c in CHANGE_ORDER]))
     if apply_deletes:
         latest = latest.where(F.col("op") != "D")
     return latest

@@ -51,6 +51,13 @@ def first_visit_per_day(page_log: DataFrame) -> DataFrame:
     return first_per_key(with_day(session_entries(page_log)), ["mid", "dt"], ["ts"])
 
 
+def active_devices(starts: DataFrame) -> DataFrame:
+    """``mid, dt, hr`` per (device, day) from session starts (``mid, ts``): the day's
+    first visit, as a ``min`` with a map-side hash aggregate."""
+    first = with_day(starts).groupBy("mid", "dt").agg(F.min("ts").alias("ts"))
+    return first.select("mid", "dt", hour_of_millis("ts").alias("hr"))
+
+
 def to_dau_info(visits: DataFrame, users: DataFrame, provinces: DataFrame,
                 as_of=None) -> DataFrame:
     """B10 + D1 + D2 + I1 + I3: enrich first visits into ``dau_info`` rows.

@@ -2,10 +2,11 @@
 
 The reference looks up one key per record in a key-value store.  Here the
 lookup is a left join against the dimension table.  A dimension is
-broadcast only after a bounded check shows it holds at most
-``max_rows`` rows (the check reads at most ``max_rows + 1`` rows);
-beyond that the planner's shuffle join (with AQE's runtime re-planning)
-is used, so nothing unbounded is ever shipped to every task.
+broadcast only when its measured size, the bytes of its files as the
+optimizer's statistics have them, is within ``martflow.broadcast.maxBytes``;
+beyond that (or where the size isn't known) the planner's shuffle join with
+AQE's runtime re-planning is used.  Reading the statistics runs no job, and
+they are read again for every plan, so a grown dimension changes its join.
 """
 
 from __future__ import annotations
@@ -15,80 +16,66 @@ from pyspark.sql import functions as F
 
 from martflow.functions.dates import age_years
 
-# Rows of a dimension that may be broadcast; about 100 bytes a row, so the
-# default keeps a broadcast under ~100 MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# File bytes of a dimension that may be broadcast.
+DEFAULT_BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_rows_limit(spark) -> int:
-    return int(spark.conf.get("martflow.broadcast.maxRows", str(DEFAULT_BROADCAST_ROWS)))
+def broadcast_bytes_limit(spark) -> int:
+    return int(spark.conf.get("martflow.broadcast.maxBytes", str(DEFAULT_BROADCAST_BYTES)))
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def size_in_bytes(df: DataFrame) -> int:
+    """The optimizer's size of ``df``; unknown sizes come out huge."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    Runs one job that stops after ``max_rows + 1`` rows, so its cost is
-    bounded whatever the table size.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    limit = max_bytes if max_bytes is not None else broadcast_bytes_limit(df.sparkSession)
+    return size_in_bytes(df) <= limit
 
-def sized_side(dim: DataFrame, max_rows: int | None = None, small: bool | None = None) -> DataFrame:
-    """``dim`` with a broadcast hint if its size is proven small, else as is.
 
-    ``small`` passes a check already made on the same table (a catalogue
-    checks each dimension once); ``None`` checks now.
-    """
+def sized_side(dim: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``dim`` with a broadcast hint if its size is known to be small, else as is."""
     if dim.isStreaming:
         return dim
-    if small is None:
-        limit = max_rows if max_rows is not None else broadcast_rows_limit(dim.sparkSession)
-        small = is_small(dim, limit)
-    return F.broadcast(dim) if small else dim
-
-
-class Dimension:
-    """A dimension table with its broadcast decision made once."""
+    return F.broadcast(dim) if is_small(dim, max_bytes) else dim
 
-    def __init__(self, df: DataFrame, max_rows: int | None = None):
-        self.df = df
-        limit = max_rows if max_rows is not None else broadcast_rows_limit(df.sparkSession)
-        self.small = is_small(df, limit)
 
-
-def lookup(fact: DataFrame, dim: "DataFrame | Dimension", fact_key, dim_key: str,
-           columns: dict[str, str], max_rows: int | None = None,
-           key_type: str | None = None) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, fact_key, dim_key: str, columns: dict[str, str],
+           max_bytes: int | None = None, key_type: str | None = None) -> DataFrame:
     """Left join ``fact`` with ``dim`` on ``fact_key == dim_key`` and add
     ``columns`` (output name -> dimension column).  Unmatched rows keep
     null attributes (the reference would fail on them).
 
-    ``key_type`` casts both keys (string ids in logs, long ids in orders).
+    ``key_type`` casts both keys.  Log records carry ids as text, which need
+    not be numbers, so they are compared as text (``key_type='string'``).
     """
-    small = None
-    if isinstance(dim, Dimension):
-        dim, small = dim.df, dim.small
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     dk = F.col(dim_key)
     if key_type:
         fk, dk = fk.cast(key_type), dk.cast(key_type)
     alias = "_dk"
     d = dim.select(dk.alias(alias), *[F.col(src).alias(dst) for dst, src in columns.items()])
-    d = sized_side(d, max_rows, small)
-    return fact.join(d, fk == F.col(alias), "left").drop(alias)
+    return fact.join(sized_side(d, max_bytes), fk == F.col(alias), "left").drop(alias)
 
 
-def with_user(fact: DataFrame, users: DataFrame, key: str, as_of=None,
-              age_type: str = "int", max_rows: int | None = None) -> DataFrame:
+def with_user(fact: DataFrame, users: DataFrame, key: str, as_of=None, age_type: str = "int",
+              max_bytes: int | None = None, key_type: str = "string") -> DataFrame:
     """Add ``user_gender`` and ``user_age`` (I1, I13) from the user
     dimension (``id, gender, birthday``)."""
     out = lookup(fact, users, key, "id", {"user_gender": "gender", "_birthday": "birthday"},
-                 max_rows=max_rows, key_type="long")
+                 max_bytes=max_bytes, key_type=key_type)
     return (out.withColumn("user_age", age_years(F.col("_birthday"), as_of).cast(age_type))
                .drop("_birthday"))
 
 
-def with_province(fact: DataFrame, provinces: DataFrame, key: str,
-                  columns: dict[str, str], max_rows: int | None = None) -> DataFrame:
+def with_province(fact: DataFrame, provinces: DataFrame, key: str, columns: dict[str, str],
+                  max_bytes: int | None = None, key_type: str = "string") -> DataFrame:
     """Add province attributes (output name -> dimension column)."""
-    return lookup(fact, provinces, key, "id", columns, max_rows=max_rows, key_type="long")
+    return lookup(fact, provinces, key, "id", columns, max_bytes=max_bytes, key_type=key_type)
+
+
+def unmatched(gender: str = "user_gender", province: str = "province_name") -> list:
+    """Counts of rows without a user or province row, for ``observe``."""
+    return [F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col(gender).isNull(), 1)).alias("no_user"),
+            F.count(F.when(F.col(province).isNull(), 1)).alias("no_province")]

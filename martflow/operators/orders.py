@@ -32,8 +32,8 @@ def enrich_orders(orders: DataFrame, users: DataFrame, provinces: DataFrame,
     cols = dict(ORDER_PROVINCE_COLUMNS)
     if fill_3166_2:
         cols["province_3166_2_code"] = "iso_3166_2"
-    o = dims.with_user(orders, users, "user_id", as_of=as_of, age_type="int")
-    o = dims.with_province(o, provinces, "province_id", cols)
+    o = dims.with_user(orders, users, "user_id", as_of=as_of, age_type="int", key_type="long")
+    o = dims.with_province(o, provinces, "province_id", cols, key_type="long")
     o = (o.withColumn("create_date", text_day("create_time"))
           .withColumn("create_hour", text_hour("create_time")))
     if "province_3166_2_code" not in o.columns:
@@ -41,18 +41,19 @@ def enrich_orders(orders: DataFrame, users: DataFrame, provinces: DataFrame,
     return o.select(*schemas.names(schemas.ORDER_INFO), *extra)
 
 
-def wide_row(o: DataFrame, d: DataFrame) -> DataFrame:
-    """The 30-field wide row from a joined order (``o``) and line (``d``)."""
+def wide_row(line_columns: list[str]) -> list:
+    """The 30-field wide row from a joined order (alias ``o``) and line
+    (``d``).  A line without a field of its own takes the order's."""
     out = []
     for f in schemas.ORDER_WIDE.fields:
         if f.name == "detail_id":
-            out.append(d["id"].alias("detail_id"))
+            out.append(F.col("d.id").alias("detail_id"))
         elif f.name == "order_id":
-            out.append(o["id"].alias("order_id"))
-        elif f.name in DETAIL_FIELDS:
-            out.append(d[f.name].alias(f.name))
+            out.append(F.col("o.id").alias("order_id"))
+        elif f.name in DETAIL_FIELDS and f.name in line_columns:
+            out.append(F.col(f"d.{f.name}").alias(f.name))
         else:
-            out.append(o[f.name].alias(f.name))
+            out.append(F.col(f"o.{f.name}").alias(f.name))
     return out
 
 
@@ -64,7 +65,7 @@ def order_wide(orders: DataFrame, details: DataFrame) -> DataFrame:
     skew-join handling (the order side of a key is a single row).
     """
     o, d = orders.alias("o"), details.alias("d")
-    return o.join(d, F.col("o.id") == F.col("d.order_id"), "inner").select(*wide_row(o, d))
+    return o.join(d, F.col("o.id") == F.col("d.order_id"), "inner").select(*wide_row(details.columns))
 
 
 def order_wide_within(orders: DataFrame, details: DataFrame, order_time: str,
@@ -80,7 +81,7 @@ def order_wide_within(orders: DataFrame, details: DataFrame, order_time: str,
     cond = ((F.col("o.id") == F.col("d.order_id"))
             & (dt >= ot - F.expr(f"INTERVAL {bound}"))
             & (dt <= ot + F.expr(f"INTERVAL {bound}")))
-    return o.join(d, cond, "inner").select(*wide_row(o, d))
+    return o.join(d, cond, "inner").select(*wide_row(details.columns))
 
 
 DETAIL_PREFIX = "d_"

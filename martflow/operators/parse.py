@@ -32,7 +32,7 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 def is_bad() -> Column:
     """Text that is not a JSON object of the log's shape (malformed JSON,
-    an array, a string where a number belongs)."""
+    an array, text where a section belongs)."""
     return F.col("log._corrupt_record").isNotNull()
 
 
@@ -44,7 +44,8 @@ def bad_records(parsed: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def is_error() -> Column:
-    """An ``err`` object is present (``{}`` counts; JSON null does not)."""
+    """An ``err`` is present, an object or any other value (``{}`` and
+    text count; JSON null does not)."""
     return F.col("log.err").isNotNull() & ~is_bad()
 
 
@@ -57,10 +58,6 @@ def is_normal() -> Column:
     return F.col("log").isNotNull() & ~is_bad() & F.col("log.err").isNull()
 
 
-def normal_records(parsed: DataFrame) -> DataFrame:
-    return parsed.where(is_normal())
-
-
 # ---------------------------------------------------------------- expressions
 
 def common_exprs() -> list[Column]:
@@ -77,7 +74,7 @@ def page_exprs(item: Column | None = None, item_type: Column | None = None) -> l
         F.col(f"{p}.last_page_id").alias("last_page_id"),
         (item if item is not None else F.col(f"{p}.item")).alias("page_item"),
         (item_type if item_type is not None else F.col(f"{p}.item_type")).alias("page_item_type"),
-        F.col(f"{p}.during_time").alias("during_time"),
+        F.col(f"{p}.during_time").try_cast("long").alias("during_time"),
         F.col(f"{p}.source_type").alias("sourceType"),
     ]
 
@@ -88,7 +85,7 @@ def display_exprs(d: Column, strict_reference: bool = False) -> list[Column]:
     return [*common_exprs(), *page,
             d["display_type"].alias("display_type"), d["item"].alias("display_item"),
             d["item_type"].alias("display_item_type"), d["order"].alias("display_order"),
-            d["pos_id"].alias("display_pos_id"), F.col("log.ts").alias("ts")]
+            d["pos_id"].alias("display_pos_id"), F.col("log.ts").try_cast("long").alias("ts")]
 
 
 def action_exprs(a: Column, strict_reference: bool = False) -> list[Column]:
@@ -96,21 +93,21 @@ def action_exprs(a: Column, strict_reference: bool = False) -> list[Column]:
     page = page_exprs(a["item"], a["item_type"]) if strict_reference else page_exprs()
     return [*common_exprs(), *page,
             a["action_id"].alias("action_id"), a["item"].alias("action_item"),
-            a["item_type"].alias("action_item_type"), a["ts"].alias("ts")]
+            a["item_type"].alias("action_item_type"), a["ts"].try_cast("long").alias("ts")]
 
 
 def page_row_exprs() -> list[Column]:
-    return [*common_exprs(), *page_exprs(), F.col("log.ts").alias("ts")]
+    return [*common_exprs(), *page_exprs(), F.col("log.ts").try_cast("long").alias("ts")]
 
 
 def start_row_exprs() -> list[Column]:
     s = "log.start"
     return [*common_exprs(),
             F.col(f"{s}.entry").alias("entry"), F.col(f"{s}.open_ad_id").alias("open_ad_id"),
-            F.col(f"{s}.loading_time").alias("loading_time_ms"),
-            F.col(f"{s}.open_ad_ms").alias("open_ad_ms"),
-            F.col(f"{s}.open_ad_skip_ms").alias("open_ad_skip_ms"),
-            F.col("log.ts").alias("ts")]
+            F.col(f"{s}.loading_time").try_cast("long").alias("loading_time_ms"),
+            F.col(f"{s}.open_ad_ms").try_cast("long").alias("open_ad_ms"),
+            F.col(f"{s}.open_ad_skip_ms").try_cast("long").alias("open_ad_skip_ms"),
+            F.col("log.ts").try_cast("long").alias("ts")]
 
 
 # ---------------------------------------------------------------- typed outputs

@@ -1,4 +1,4 @@
-"""Column-level reshaping helpers."""
+"""Column-level reshaping helpers."""
 
 from __future__ import annotations
 
@@ -17,20 +17,8 @@ def copy_matching(src: DataFrame, dest: T.StructType, extra: list[str] | None =
     return src.select(*keep)
 
 
-def to_json_text(df: DataFrame, alias: str = "value") -> DataFrame:
-    """Every row as one JSON text; null fields are left out."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(alias))
-
-
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename result fields."""
     for old, new in mapping.items():
         df = df.withColumnRenamed(old, new)
     return df
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select ``schema``'s fields in order, casting, null for missing ones."""
-    have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])

@@ -25,59 +25,39 @@ def page(df: DataFrame, keys: list, page_no: int = 1, page_size: int = 20) -> Da
     return (ordered.offset(start) if start else ordered).limit(page_size)
 
 
-def top_n(df: DataFrame, keys: list, n: int) -> DataFrame:
-    """The first ``n`` rows in ``keys`` order."""
-    return df.orderBy(*keys).limit(n)
-
-
-def range_gte(c: str, v: float):
-    """C9."""
-    return F.col(c) >= F.lit(v)
-
-
-def bm25(matches: DataFrame, id_col: str, text_col: str, q: str,
-         corpus: DataFrame | None = None, count_matches=None) -> DataFrame:
+def bm25(docs: DataFrame, text_col: str, q: str, weight: str) -> DataFrame:
     """Add ``score`` = BM25 of ``text_col`` for the query ``q``.
 
-    ``corpus`` is the set the statistics come from (default: ``matches``).
-    Document count, mean length and the document frequency of each query
-    term come from one aggregate over the corpus, folded into one row; a
-    single scalar subquery carries them into the scoring expression.
-    ``count_matches`` (the predicate that selects ``matches`` from
-    ``corpus``) also counts the matches in that pass, as column ``_total``
-    (E6 without another pass over the corpus).
+    ``docs`` has one row per distinct document, and ``weight`` how many times
+    the corpus holds it (order lines of a product, say), so texts are
+    tokenized once each and the corpus statistics are weighted sums.
+    Document count, mean length and the document frequency of each query term
+    come from one aggregate, folded into one row; a single scalar subquery
+    carries them into the scoring expression.
     """
-    corpus = matches if corpus is None else corpus
     qt = text.query_tokens(q)
     toks = text.tokens(text_col)
-    # One pass over the corpus: each document gives a row with a null term
-    # (its length) and a row per query term it contains.  Grouped by term
-    # (at most one group per query term plus one), the null group holds the
-    # document count and mean length, the others the document frequencies.
+    # Each document gives a row with a null term (its length) and a row per
+    # query term it contains.  Grouped by term (at most one group per query
+    # term plus one), the null group holds the document count and the length,
+    # the others the document frequencies.
     hits = F.coalesce(F.array_intersect(F.array_distinct(toks), qt), F.array().cast("array<string>"))
-    hit = count_matches if count_matches is not None else F.lit(False)
-    per_doc = corpus.select(F.size(toks).alias("_len"), F.when(hit, 1).otherwise(0).alias("_hit"),
-                            F.explode(F.concat(F.array(F.lit(None).cast("string")), hits)).alias("term"))
-    groups = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("avgdl"),
-                                         F.sum("_hit").alias("n_hit"))
+    per_doc = docs.select(F.col(weight).alias("_w"), F.size(toks).alias("_len"),
+                          F.explode(F.concat(F.array(F.lit(None).cast("string")), hits)).alias("term"))
+    groups = per_doc.groupBy("term").agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_len")).alias("length"))
     is_all = F.col("term").isNull()
     stats = groups.agg(
         F.coalesce(F.max(F.when(is_all, F.col("n"))), F.lit(0)).alias("n_docs"),
-        F.max(F.when(is_all, F.col("avgdl"))).alias("avgdl"),
-        F.map_from_entries(F.collect_list(F.when(~is_all, F.struct("term", "n")))).alias("m"),
-        F.coalesce(F.max(F.when(is_all, F.col("n_hit"))), F.lit(0)).cast("long").alias("n_hit"))
+        F.max(F.when(is_all, F.col("length") / F.col("n"))).alias("avgdl"),
+        F.map_from_entries(F.collect_list(F.when(~is_all, F.struct("term", "n")))).alias("m"))
     # The statistics enter as one struct column (a scalar subquery,
     # computed once); a subquery may not appear inside the scoring lambda.
-    scored = matches.withColumn("_st", stats.select(F.struct("n_docs", "avgdl", "m", "n_hit")).scalar())
-    if count_matches is not None:
-        scored = scored.withColumn("_total", F.col("_st.n_hit"))
+    scored = docs.withColumn("_st", stats.select(F.struct("n_docs", "avgdl", "m")).scalar())
     n_docs, avgdl, df_map = F.col("_st.n_docs"), F.col("_st.avgdl"), F.col("_st.m")
-
-    doc_toks = toks
-    dl = F.size(doc_toks)
+    dl = F.size(toks)
 
     def term_score(acc, t):
-        tf = F.size(F.filter(doc_toks, lambda x: x == t)).cast("double")
+        tf = F.size(F.filter(toks, lambda x: x == t)).cast("double")
         n = F.coalesce(F.element_at(df_map, t), F.lit(0)).cast("double")
         idf = F.log(F.lit(1.0) + (n_docs - n + 0.5) / (n + 0.5))
         norm = tf + F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * dl / avgdl)

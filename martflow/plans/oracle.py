@@ -154,13 +154,12 @@ FROM order_info o
 LEFT JOIN user_info u ON o.user_id = u.id
 LEFT JOIN base_province bp ON o.province_id = bp.id""", ["order_info", "user_info", "base_province"])
 
-_LINE_ORDER = ("l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, "
-               "l_tax, l_shipdate, l_returnflag, l_linestatus")
+_CENTS = ", ".join(f"CAST(round({c} * 100) AS BIGINT)" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+_LINE_ID = ("CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+            f"{_CENTS}, strftime(l_shipdate, '%Y-%m-%d'), l_returnflag, l_linestatus)), 1, 15) AS BIGINT)")
 
 view("order_detail", f"""
-SELECT l.l_orderkey * 1000 + row_number() OVER (
-         PARTITION BY l.l_orderkey
-         ORDER BY {', '.join(f'l.{c} ASC NULLS FIRST' for c in _LINE_ORDER.split(', '))}) AS id,
+SELECT {_LINE_ID} AS id,
        l.l_orderkey AS order_id, l.l_partkey AS sku_id, p.p_retailprice AS order_price,
        CAST(l.l_quantity AS BIGINT) AS sku_num, p.p_name AS sku_name,
        strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time,

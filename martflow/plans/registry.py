@@ -13,8 +13,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martflow import schemas
+from martflow.functions.dates import previous_day
 from martflow.plans import oracle as O
-from martflow.plans.catalog import Catalog, catalog
+from martflow.plans.catalog import Catalog
 from martflow.plans import queries as Q
 
 AS_OF = O.AS_OF
@@ -33,7 +35,7 @@ def register(name: str, sql: str | None):
 
 
 def cat(spark: SparkSession, sf_dir: str) -> Catalog:
-    return catalog(spark, sf_dir, as_of=AS_OF)
+    return Catalog(spark, sf_dir, AS_OF)
 
 
 # ---------------------------------------------------------------- daily active
@@ -47,14 +49,14 @@ def _dau_info(spark, sf_dir):
 SELECT dt, hr, COUNT(*) AS n FROM dau GROUP BY dt, hr"""))
 def _dau_hourly(spark, sf_dir):
     from martflow.operators import aggregates
-    return aggregates.per_hour(cat(spark, sf_dir).dau_info())
+    return aggregates.per_hour(cat(spark, sf_dir).active_devices())
 
 
 @register("dau_daily_total", O.with_views(["dau"], """
 SELECT dt, COUNT(*) AS n FROM dau GROUP BY dt"""))
 def _dau_daily(spark, sf_dir):
     from martflow.operators import aggregates
-    return aggregates.total_per_day(cat(spark, sf_dir).dau_info())
+    return aggregates.total_per_day(cat(spark, sf_dir).active_devices())
 
 
 @register("dau_realtime", O.with_views(["dau"], f"""
@@ -65,7 +67,7 @@ CROSS JOIN generate_series(0, 23) h(h)
 LEFT JOIN (SELECT dt, hr, COUNT(*) AS n FROM dau GROUP BY dt, hr) c
   ON c.dt = s.day AND c.hr = lpad(CAST(h.h AS VARCHAR), 2, '0')"""))
 def _dau_realtime(spark, sf_dir):
-    return Q.dau_realtime(cat(spark, sf_dir).dau_info(), TD)
+    return Q.dau_realtime(cat(spark, sf_dir).active_devices(previous_day(TD), TD), TD)
 
 
 # ---------------------------------------------------------------- orders
@@ -122,48 +124,69 @@ WHERE a.n > 0""")
 
 @register("stats_by_item_gender", _gender_sql(_RED))
 def _stats_gender(spark, sf_dir):
-    return Q.stats_by_item(cat(spark, sf_dir).order_wide, ITEM, None, "gender")
+    return Q.stats_by_item(cat(spark, sf_dir).buyer_sales(), ITEM, None, "gender")
 
 
 @register("stats_by_item_age", _age_sql(_RED))
 def _stats_age(spark, sf_dir):
-    return Q.stats_by_item(cat(spark, sf_dir).order_wide, ITEM, None, "age")
+    return Q.stats_by_item(cat(spark, sf_dir).buyer_sales(), ITEM, None, "age")
 
 
 @register("stats_by_item_gender_day", _gender_sql(_RED, DAY))
 def _stats_gender_day(spark, sf_dir):
-    return Q.stats_by_item(cat(spark, sf_dir).order_wide_on(DAY), ITEM, DAY, "gender")
+    return Q.stats_by_item(cat(spark, sf_dir).buyer_sales(DAY), ITEM, DAY, "gender")
 
 
 @register("stats_by_item_age_two_words", _age_sql(_RED_BOLT))
 def _stats_age2(spark, sf_dir):
-    return Q.stats_by_item(cat(spark, sf_dir).order_wide, "Bolt RED", None, "age")
+    return Q.stats_by_item(cat(spark, sf_dir).buyer_sales(), "Bolt RED", None, "age")
 
 
 def _detail_sql(words, day, page_no, page_size):
     where = O.all_terms_sql("sku_name", words) + (f" AND create_date = '{day}'" if day else "")
     return O.with_views(["order_wide"], f"""
-SELECT create_time, order_price, province_name, {O.highlight_sql('sku_name', words)} AS sku_name,
-       sku_num, split_total_amount AS total_amount, user_age, user_gender,
-       (SELECT COUNT(*) FROM order_wide WHERE {where}) AS total
-FROM order_wide WHERE {where}
-ORDER BY detail_id LIMIT {page_size} OFFSET {(page_no - 1) * page_size}""")
+SELECT p.*, t.total FROM (SELECT COUNT(*) AS total FROM order_wide WHERE {where}) t LEFT JOIN (
+  SELECT create_time, order_price, province_name, {O.highlight_sql('sku_name', words)} AS sku_name,
+         sku_num, split_total_amount AS total_amount, user_age, user_gender
+  FROM order_wide WHERE {where}
+  ORDER BY detail_id LIMIT {page_size} OFFSET {(page_no - 1) * page_size}) p ON true""")
+
+
+def _detail_page(spark, sf_dir, item, page_no, page_size, day=None, order="id"):
+    c = cat(spark, sf_dir)
+    return Q.detail_by_item(c.sales(day), c.enrich_sales, item, page_no, page_size, order)
 
 
 @register("detail_by_item", _detail_sql(_RED, None, 1, 20))
 def _detail(spark, sf_dir):
-    return Q.detail_by_item(cat(spark, sf_dir).order_wide, None, ITEM, 1, 20)
+    return _detail_page(spark, sf_dir, ITEM, 1, 20)
 
 
 @register("detail_by_item_page3", _detail_sql(_RED_BOLT, None, 3, 10))
 def _detail_p3(spark, sf_dir):
-    return Q.detail_by_item(cat(spark, sf_dir).order_wide, None, "bolt red", 3, 10)
+    return _detail_page(spark, sf_dir, "bolt red", 3, 10)
 
 
 @register("detail_by_item_day", _detail_sql(_RED, DAY, 1, 20))
 def _detail_day(spark, sf_dir):
-    return Q.detail_by_item(cat(spark, sf_dir).order_wide_on(DAY), DAY, ITEM, 1, 20)
+    return _detail_page(spark, sf_dir, ITEM, 1, 20, DAY)
+
+
+@register("detail_by_item_past_end", _detail_sql(_RED, DAY, 1000, 20))
+def _detail_past_end(spark, sf_dir):
+    """Past the last page: no detail, the total kept."""
+    return _detail_page(spark, sf_dir, ITEM, 1000, 20, DAY)
+
+
+@register("detail_by_item_no_match", _detail_sql(["nosuchthing"], None, 1, 20))
+def _detail_no_match(spark, sf_dir):
+    return _detail_page(spark, sf_dir, "nosuchthing", 1, 20)
+
 
+@register("stats_by_item_gender_top1", _gender_sql(_RED) + " ORDER BY COUNT(*) DESC, user_gender LIMIT 1")
+def _stats_gender_top1(spark, sf_dir):
+    """The group with the most lines."""
+    return Q.stats_by_item(cat(spark, sf_dir).buyer_sales(), ITEM, None, "gender", max_groups=1)
 
 
 # ---------------------------------------------------------------- app log routing
@@ -266,9 +289,9 @@ _OP_SQL = ("CASE event_type WHEN 'signup' THEN 'I' WHEN 'view' THEN 'I' WHEN 'cl
            "WHEN 'purchase' THEN 'D' END")
 
 
-def _changes(spark, sf_dir):
+def _changes(spark, sf_dir, keep=("offset",)):
     from martflow.operators import cdc
-    return cdc.parse_change(cat(spark, sf_dir).change_log, keep=["offset"])
+    return cdc.parse_change(cat(spark, sf_dir).change_log, keep=list(keep))
 
 
 @register("cdc_fact_messages", f"""
@@ -289,7 +312,7 @@ def _dim_sql(apply_deletes: bool) -> str:
     return f"""
 SELECT table_name, id, op, amount, src_offset FROM (
   SELECT 'user_info' AS table_name, user_id AS id, op, value AS amount, event_id AS src_offset,
-         row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM (SELECT *, {_OP_SQL} AS op FROM events) e
   WHERE op IS NOT NULL AND user_id % 2 = 0) t
 WHERE rn = 1{extra}"""
@@ -298,7 +321,7 @@ WHERE rn = 1{extra}"""
 def _dim_snapshot(spark, sf_dir, apply_deletes):
     from pyspark.sql import functions as F
     from martflow.operators import cdc
-    ch = cdc.dim_changes(_changes(spark, sf_dir), cdc.table_list(spark, cdc.DIM_TABLES))
+    ch = cdc.dim_changes(_changes(spark, sf_dir, cdc.CHANGE_ORDER), cdc.table_list(spark, cdc.DIM_TABLES))
     snap = cdc.upsert_dimension(ch, apply_deletes=apply_deletes)
     return snap.select(F.col("table").alias("table_name"), F.col("id").cast("long").alias("id"), "op",
                        F.get_json_object("data", "$.value").cast("double").alias("amount"),
@@ -392,25 +415,29 @@ def _docs_ubq(spark, sf_dir):
 
 
 @register("docs_post", f"""
-SELECT movie_name, 36 AS id_length FROM ({_TITLES}) t
-UNION ALL SELECT p_name || ' (new)', 36 FROM part WHERE p_size = 50""")
+SELECT movie_name, id AS old_id, NULL AS id_length, 1 AS id_uses FROM ({_TITLES}) t
+UNION ALL SELECT p_name || ' (new)', NULL, 36, 1 FROM part WHERE p_size = 50""")
 def _docs_post(spark, sf_dir):
     from pyspark.sql import functions as F
     from martflow.operators import docs
-    base = cat(spark, sf_dir).movie_titles.withColumn("id", F.expr("uuid()"))
+    base = cat(spark, sf_dir).movie_titles.withColumn("old_id", F.col("id"))
     new = (_part(spark, sf_dir).where(F.col("p_size") == 50)
-           .select(F.concat("p_name", F.lit(" (new)")).alias("movie_name")))
-    out = docs.append_new(base.select("id", "movie_name"), new)
-    return out.select("movie_name", F.length("id").alias("id_length"))
+           .select(F.concat("p_name", F.lit(" (new)")).alias("movie_name"), F.lit(None).cast("string").alias("old_id")))
+    out = docs.append_new(base.select("id", "movie_name", "old_id"), new)
+    # base ids must come through unchanged; new ids have 36 characters; each id is used once
+    per_id = out.groupBy("id").agg(F.max("movie_name").alias("movie_name"), F.max("old_id").alias("old_id"),
+                                   F.count(F.lit(1)).alias("id_uses"))
+    kept = per_id.where("old_id IS NULL OR id = old_id")
+    return kept.select("movie_name", "old_id", F.when(F.col("old_id").isNull(), F.length("id")).alias("id_length"),
+                       "id_uses")
 
 
 def _search_sql(words, min_score, page_no, page_size):
     where = f"doubanScore >= {min_score} AND {O.any_term_sql('name', words)}"
     return O.with_views(["movies"], f"""
-SELECT id, {O.highlight_sql('name', words)} AS name, doubanScore,
-       (SELECT COUNT(*) FROM movies WHERE {where}) AS total
-FROM movies WHERE {where}
-ORDER BY doubanScore DESC, id LIMIT {page_size} OFFSET {(page_no - 1) * page_size}""")
+SELECT p.*, t.total FROM (SELECT COUNT(*) AS total FROM movies WHERE {where}) t LEFT JOIN (
+  SELECT id, {O.highlight_sql('name', words)} AS name, doubanScore FROM movies WHERE {where}
+  ORDER BY doubanScore DESC, id LIMIT {page_size} OFFSET {(page_no - 1) * page_size}) p ON true""")
 
 
 @register("movie_search", _search_sql(["red", "bolt"], 5.0, 1, 1))
@@ -423,6 +450,11 @@ def _movie_search2(spark, sf_dir):
     return Q.search_by_filter(cat(spark, sf_dir).movies, 5.0, "Red  BOLT", 2, 2)
 
 
+@register("movie_search_past_end", _search_sql(["red", "bolt"], 5.0, 100000, 5))
+def _movie_search_past_end(spark, sf_dir):
+    return Q.search_by_filter(cat(spark, sf_dir).movies, 5.0, "red bolt", 100000, 5)
+
+
 _ACTOR_STATS = O.with_views(["movies", "movie_actors"], """
 SELECT a.actor, COUNT(*) AS doc_count,
        CAST(SUM(CAST(m.doubanScore AS DECIMAL(18,2))) AS DOUBLE) / COUNT(m.doubanScore) AS avg_metric
@@ -512,34 +544,192 @@ def _user_total(spark, sf_dir):
 SELECT create_date, COUNT(*) AS order_count, {O.money_sum_sql('final_total_amount')} AS order_amount,
        COUNT(DISTINCT user_id) AS order_user FROM order_enriched GROUP BY create_date"""))
 def _order_total(spark, sf_dir):
-    return Q.order_total_by_day(cat(spark, sf_dir).order_info)
+    return Q.order_total_by_day(cat(spark, sf_dir).order_facts())
 
 
 @register("orders_by_area", O.with_views(["order_enriched"], """
 SELECT province_name AS name, COUNT(*) AS value FROM order_enriched GROUP BY province_name"""))
 def _area(spark, sf_dir):
-    return Q.orders_by_area(cat(spark, sf_dir).order_info)
+    return Q.orders_by_area(cat(spark, sf_dir).order_provinces())
 
 
-def _top_items_sql(col):
+def _top_items_sql(col, num=10, where="true"):
     return O.with_views(["order_wide"], f"""
 SELECT p.{col} AS name, COUNT(*) AS num, {O.money_sum_sql('w.split_total_amount')} AS amount
-FROM order_wide w LEFT JOIN part p ON w.sku_id = p.p_partkey
-GROUP BY p.{col} ORDER BY num DESC, name LIMIT 10""")
+FROM order_wide w LEFT JOIN part p ON w.sku_id = p.p_partkey WHERE {where}
+GROUP BY p.{col} ORDER BY num DESC, name LIMIT {num}""")
 
 
 @register("top_categories", _top_items_sql("p_type"))
 def _top_cat(spark, sf_dir):
     c = cat(spark, sf_dir)
-    return Q.top_items(c.order_wide, c.table("part"), "p_type")
+    return Q.top_items(c.sold_lines(), c.products, "category", 10)
 
 
 @register("top_brands", _top_items_sql("p_brand"))
 def _top_brand(spark, sf_dir):
     c = cat(spark, sf_dir)
-    return Q.top_items(c.order_wide, c.table("part"), "p_brand")
+    return Q.top_items(c.sold_lines(), c.products, "tm", 10)
+
+
+# ---------------------------------------------------------------- dashboard contracts over the last 7 days
+
+LOG_SPAN = Q.day_span(TD)
+ORDER_SPAN = Q.day_span(DAY)
+_IN_LOG = f"strftime(epoch_ms(ts), '%Y-%m-%d') BETWEEN '{LOG_SPAN[0]}' AND '{LOG_SPAN[1]}'"
+_IN_ORDERS = f"substr(create_time, 1, 10) BETWEEN '{ORDER_SPAN[0]}' AND '{ORDER_SPAN[1]}'"
+_LOG7 = f"log7 AS (SELECT *, {_DAY_OF_TS} AS dt FROM page_log WHERE {_IN_LOG})"
+
+
+def _log7(spark, sf_dir):
+    return cat(spark, sf_dir).page_log_on(*LOG_SPAN)
+
+
+@register("m1_pv_uv_days", O.with_views(["page_log"], f"""
+, {_LOG7}
+SELECT strftime(d.day, '%Y-%m-%d') AS dt, COUNT(l.ts) AS pv, COUNT(DISTINCT l.mid) AS uv
+FROM (SELECT unnest(generate_series(DATE '{LOG_SPAN[0]}', DATE '{LOG_SPAN[1]}', INTERVAL 1 DAY)) AS day) d
+LEFT JOIN log7 l ON l.dt = strftime(d.day, '%Y-%m-%d') GROUP BY 1"""))
+def _m1(spark, sf_dir):
+    return Q.pv_uv_series(_log7(spark, sf_dir), TD)
+
+
+@register("m2_visit_total_days", O.with_views(["page_log"], f"""
+, {_LOG7}
+SELECT COUNT(*) AS pv_count, COUNT(DISTINCT mid) AS uv_count,
+       COUNT(DISTINCT CASE WHEN is_new = '1' THEN mid END) AS new_count FROM log7"""))
+def _m2(spark, sf_dir):
+    return Q.visit_total(_log7(spark, sf_dir))
+
+
+def _m3_side(flag):
+    return f"""(SELECT CAST(SUM(views) AS DOUBLE) AS views, CAST(COUNT(DISTINCT mid) AS DOUBLE) AS visitors,
+  100.0::DOUBLE * COUNT(CASE WHEN views = 1 THEN 1 END) / COUNT(*) AS bounce_percent,
+  CAST(SUM(time) AS DOUBLE) / CAST(SUM(timed) AS DOUBLE) AS mean_time,
+  CAST(SUM(views) AS DOUBLE) / COUNT(*) AS mean_pages FROM visits WHERE is_new = '{flag}')"""
+
+
+@register("m3_new_visit_days", O.with_views(["page_log"], f"""
+, {_LOG7},
+visits AS (SELECT is_new, mid, dt, COUNT(*) AS views, SUM(during_time) AS time, COUNT(during_time) AS timed
+           FROM log7 GROUP BY is_new, mid, dt)
+SELECT f.field, f.o AS old, f.n AS new FROM {_m3_side('0')} o, {_m3_side('1')} n,
+LATERAL (VALUES ('views', o.views, n.views), ('visitors', o.visitors, n.visitors),
+  ('bounce_percent', o.bounce_percent, n.bounce_percent), ('mean_time', o.mean_time, n.mean_time),
+  ('mean_pages', o.mean_pages, n.mean_pages)) f(field, o, n)"""))
+def _m3(spark, sf_dir):
+    return Q.new_visit_table(_log7(spark, sf_dir))
+
+
+@register("m4_channel_pv_days", O.with_views(["page_log"], f"""
+, {_LOG7} SELECT channel AS name, CAST(COUNT(*) AS DOUBLE) AS value FROM log7 GROUP BY channel"""))
+def _m4_pv(spark, sf_dir):
+    return Q.channel(_log7(spark, sf_dir), "pv")
+
+
+@register("m4_channel_br_days", O.with_views(["page_log"], f"""
+, {_LOG7},
+visits AS (SELECT channel, mid, dt, COUNT(*) AS views FROM log7 GROUP BY channel, mid, dt)
+SELECT channel AS name, 100.0::DOUBLE * COUNT(CASE WHEN views = 1 THEN 1 END) / COUNT(*) AS value
+FROM visits GROUP BY channel"""))
+def _m4_br(spark, sf_dir):
+    return Q.channel(_log7(spark, sf_dir), "br")
+
+
+@register("m5_page_links_days", O.with_views(["page_log"], f"""
+, {_LOG7} SELECT last_page_id AS source, page_id AS target, COUNT(*) AS value FROM log7 GROUP BY 1, 2"""))
+def _m5_links(spark, sf_dir):
+    return Q.page_path(_log7(spark, sf_dir))
+
+
+@register("m5_page_nodes_days", O.with_views(["page_log"], f"""
+, {_LOG7} SELECT DISTINCT name FROM (SELECT last_page_id AS name FROM log7 UNION ALL SELECT page_id FROM log7) t
+WHERE name IS NOT NULL"""))
+def _m5_nodes(spark, sf_dir):
+    return Q.page_nodes(_log7(spark, sf_dir))
+
+
+@register("m6_user_action_convert_days", O.with_views(["page_log", "order_info"], f"""
+, {_LOG7}
+SELECT s.step, s.name, s.value FROM (
+  SELECT COUNT(DISTINCT CASE WHEN page_id = 'view' THEN user_id END) AS home,
+         COUNT(DISTINCT CASE WHEN page_id = 'click' THEN user_id END) AS detail,
+         COUNT(DISTINCT CASE WHEN page_id = 'purchase' THEN user_id END) AS pay FROM log7) a,
+  (SELECT COUNT(DISTINCT user_id) AS buyers FROM order_info WHERE {_IN_ORDERS}) b,
+LATERAL (VALUES (1, 'home', a.home), (2, 'good_detail', a.detail), (3, 'cart', a.detail), (4, 'order', b.buyers),
+  (5, 'pay', a.pay)) s(step, name, value) WHERE s.value > 0"""))
+def _m6(spark, sf_dir):
+    """Home = a session start, detail = a click, cart = an action that adds to the cart
+    (from the action rows of the app log), order = an order, pay = a purchase page."""
+    from pyspark.sql import functions as F
+    from martflow.operators import parse
+    from martflow.sources import tables
+    c, log = cat(spark, sf_dir), _log7(spark, sf_dir)
+    actions = parse.action_rows(parse.parse_log(tables.app_log(spark, sf_dir, *LOG_SPAN)))
+    return Q.user_action_convert({
+        "home": log.where("last_page_id IS NULL"), "good_detail": log.where("page_id = 'click'"),
+        "cart": actions.where(F.col("action_id") == "cart_add"), "order": c.order_facts(*ORDER_SPAN),
+        "pay": log.where("page_id = 'purchase'")})
+
+
+@register("m6_user_paid_days", O.with_views(["page_log"], f"""
+, {_LOG7}
+SELECT v.name, v.value FROM (SELECT COUNT(DISTINCT user_id) AS n,
+  COUNT(DISTINCT CASE WHEN page_id = 'purchase' THEN user_id END) AS paid FROM log7) a,
+LATERAL (VALUES ('paid', a.paid), ('unpaid', a.n - a.paid)) v(name, value)"""))
+def _m6_paid(spark, sf_dir):
+    return Q.user_paid(_log7(spark, sf_dir))
+
+
+@register("m7_user_total_days", O.with_views(["page_log", "order_info"], f"""
+, {_LOG7}, orders7 AS (SELECT * FROM order_info WHERE {_IN_ORDERS}),
+debut AS (SELECT user_id, MIN(substr(create_time, 1, 10)) AS debut FROM order_info GROUP BY user_id)
+SELECT (SELECT COUNT(DISTINCT user_id) FROM log7) AS user_total,
+       (SELECT COUNT(DISTINCT user_id) FROM orders7) AS order_user_total,
+       (SELECT COUNT(DISTINCT CASE WHEN is_new = '1' THEN user_id END) FROM log7) AS new_user_count,
+       (SELECT COUNT(DISTINCT o.user_id) FROM orders7 o JOIN debut d ON o.user_id = d.user_id
+        WHERE d.debut >= '{ORDER_SPAN[0]}') AS new_order_user_count,
+       (SELECT {O.money_sum_sql('final_total_amount')} / NULLIF(COUNT(DISTINCT user_id), 0) FROM orders7) AS pct"""))
+def _m7(spark, sf_dir):
+    c = cat(spark, sf_dir)
+    return Q.user_totals(_log7(spark, sf_dir), c.order_facts(*ORDER_SPAN), c.order_facts(), ORDER_SPAN[0])
+
+
+@register("m8_order_total_days", O.with_views(["order_info"], f"""
+SELECT COUNT(*) AS order_count, COALESCE({O.money_sum_sql('final_total_amount')}, 0) AS order_amount,
+       COUNT(DISTINCT user_id) AS order_user FROM order_info WHERE {_IN_ORDERS}"""))
+def _m8(spark, sf_dir):
+    return Q.order_total(cat(spark, sf_dir).order_facts(*ORDER_SPAN))
+
+
+@register("m9_area_days", O.with_views(["order_enriched"], f"""
+SELECT province_name AS name, COUNT(*) AS value FROM order_enriched WHERE {_IN_ORDERS} GROUP BY province_name"""))
+def _m9(spark, sf_dir):
+    return Q.orders_by_area(cat(spark, sf_dir).order_provinces(*ORDER_SPAN))
+
+
+def _m10(spark, sf_dir, by):
+    c = cat(spark, sf_dir)
+    return Q.top_items(c.sold_lines(*ORDER_SPAN), c.products, by)
 
 
+_W7 = "substr(w.create_time, 1, 10) BETWEEN '{}' AND '{}'".format(*ORDER_SPAN)
+
+
+@register("m10_category_days", _top_items_sql("p_type", Q.TOP, _W7))
+def _m10_category(spark, sf_dir):
+    return _m10(spark, sf_dir, "category")
+
+
+@register("m10_spu_days", _top_items_sql("p_name", Q.TOP, _W7))
+def _m10_spu(spark, sf_dir):
+    return _m10(spark, sf_dir, "spu")
+
+
+@register("m10_tm_days", _top_items_sql("p_brand", Q.TOP, _W7))
+def _m10_tm(spark, sf_dir):
+    return _m10(spark, sf_dir, "tm")
+
 
 # ---------------------------------------------------------------- streaming jobs (stream = batch)
 
@@ -547,25 +737,59 @@ def _top_brand(spark, sf_dir):
 def _stream_dau(spark, sf_dir):
     """Raw app log through the log-split and DAU streaming jobs."""
     from martflow.streaming import pipeline
-    return pipeline.run_dau(spark, sf_dir, as_of=AS_OF)
+    table, _ = pipeline.run_dau(spark, sf_dir, as_of=AS_OF)
+    return table.table().select(*schemas.names(schemas.DAU_INFO))
 
 
 @register("stream_order_wide", O.with_views(["order_wide"], "SELECT * FROM order_wide"))
 def _stream_order_wide(spark, sf_dir):
-    """Order and line topics through the time-bounded stream join."""
+    """Order and line topics through the time-bounded stream join, four micro-batches."""
     from martflow.streaming import pipeline
-    return pipeline.run_order_join(spark, sf_dir, as_of=AS_OF)
+    table, late, _ = pipeline.run_order_join(spark, sf_dir, as_of=AS_OF)
+    if late:
+        raise RuntimeError(f"{late} rows of a time-ordered topic were late")
+    return table.table().select(*schemas.names(schemas.ORDER_WIDE))
+
+
+@register("stream_order_wide_lines_first", O.with_views(["order_wide"], "SELECT * FROM order_wide"))
+def _stream_order_wide_lines_first(spark, sf_dir):
+    """The same with the lines ahead of their orders (two files against six)."""
+    from martflow.streaming import pipeline
+    table, late, _ = pipeline.run_order_join(spark, sf_dir, as_of=AS_OF, files=6, line_files=2)
+    if late:
+        raise RuntimeError(f"{late} rows of a time-ordered topic were late")
+    return table.table().select(*schemas.names(schemas.ORDER_WIDE))
+
+
+@register("stream_order_wide_reconciled", O.with_views(["order_wide"], "SELECT * FROM order_wide"))
+def _stream_order_wide_reconciled(spark, sf_dir):
+    """Topics in random order: the stream drops late rows, the reconcile job brings
+    their pairs in."""
+    from martflow.streaming import pipeline
+    table, late, missed = pipeline.run_order_join(spark, sf_dir, as_of=AS_OF, ordered=False, reconcile=True)
+    if missed and not late:
+        raise RuntimeError(f"{missed} pairs were missing without late rows")
+    return table.table().select(*schemas.names(schemas.ORDER_WIDE))
+
+
+def _dim_rows(dims_table):
+    from pyspark.sql import functions as F
+    return dims_table.table().select(
+        F.col("table").alias("table_name"), F.col("id").cast("long").alias("id"), "op",
+        F.get_json_object("data", "$.value").cast("double").alias("amount"), F.col("offset").alias("src_offset"))
 
 
 @register("stream_cdc_dim_snapshot", _dim_sql(False))
 def _stream_cdc_dim(spark, sf_dir):
-    from pyspark.sql import functions as F
     from martflow.streaming import pipeline
-    _, dims_table = pipeline.run_cdc(spark, sf_dir)
-    snap = dims_table.table()
-    return snap.select(F.col("table").alias("table_name"), F.col("id").cast("long").alias("id"), "op",
-                       F.get_json_object("data", "$.value").cast("double").alias("amount"),
-                       F.col("offset").alias("src_offset"))
+    return _dim_rows(pipeline.run_cdc(spark, sf_dir)[1])
+
+
+@register("stream_cdc_dim_two_checkpoints", _dim_sql(False))
+def _stream_cdc_dim_two(spark, sf_dir):
+    """Two checkpoints one after the other update the same keys; batch ids restart."""
+    from martflow.streaming import pipeline
+    return _dim_rows(pipeline.run_cdc(spark, sf_dir, files=2, checkpoints=2)[1])
 
 
 @register("stream_cdc_fact_counts", f"""
@@ -579,14 +803,116 @@ def _stream_cdc_facts(spark, sf_dir):
     return facts.read().groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("stream_log_route_counts", REGISTRY["log_route_counts"][1])
+@register("stream_log_route_counts", REGISTRY["log_route_counts"][1] + """
+UNION ALL SELECT 'BAD_RECORDS', 0""")
 def _stream_log_counts(spark, sf_dir):
+    """Messages per topic, BAD_RECORDS always among them (none expected)."""
     from pyspark.sql import functions as F
     from martflow.streaming import pipeline
-    dwd = pipeline.run_log_split(spark, sf_dir)
-    return (spark.read.parquet(dwd).where(F.col("topic") != "BAD_RECORDS")
-            .groupBy("topic").agg(F.count(F.lit(1)).alias("n")))
-
+    routed = spark.read.parquet(pipeline.run_log_split(spark, sf_dir))
+    bad = routed.agg(F.count(F.when(F.col("topic") == "BAD_RECORDS", 1)).alias("n"))
+    return (routed.where(F.col("topic") != "BAD_RECORDS").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+            .unionByName(bad.select(F.lit("BAD_RECORDS").alias("topic"), "n")))
+
+
+@register("stream_batch_counts", O.with_views(["page_log", "dau"], """
+SELECT 'input' AS name, COUNT(*) AS n FROM page_log WHERE page_id IN ('view', 'click', 'purchase')
+UNION ALL SELECT 'entries', COUNT(*) FROM page_log WHERE page_id = 'view'
+UNION ALL SELECT 'no_user', 0
+UNION ALL SELECT 'no_province', 0"""))
+def _stream_batch_counts(spark, sf_dir):
+    """The counts that the DAU job reports per micro-batch, summed."""
+    from martflow.streaming import pipeline
+    said = []
+    _, query = pipeline.run_dau(spark, sf_dir, as_of=AS_OF, report=lambda name, batch, counts: said.append(counts))
+    seen = [p["observedMetrics"] for p in query.recentProgress]
+    n = {"input": sum(m["dau_input"]["rows"] for m in seen if "dau_input" in m),
+         "entries": sum(m["dau_entries"]["rows"] for m in seen if "dau_entries" in m),
+         **{k: sum(c[k] for c in said) for k in ("no_user", "no_province")}}
+    return spark.createDataFrame(sorted(n.items()), "name string, n long")
+
+
+@register("stream_dau_restart", O.with_views(["dau"], "SELECT DISTINCT mid, dt FROM dau"))
+def _stream_dau_restart(spark, sf_dir):
+    """The first-arrival job restarted without its state reads the whole topic
+    again; the devices already in the sink are dropped, so each is there once."""
+    from martflow.sources import tables
+    from martflow.session import work_dir
+    from martflow.streaming import jobs, pipeline
+    base = work_dir(spark, "dau_restart")
+    tables.page_log(spark, sf_dir).write.parquet(f"{base}/page")
+    table = jobs.KeyedTable(spark, f"{base}/dau", keys=["mid", "dt", "ts"], slice_col="dt")
+    for run in ("first", "second"):
+        page = spark.readStream.schema(schemas.PAGE_LOG).parquet(f"{base}/page")
+        pipeline.finish(jobs.dau_job(page, pipeline.dims_of(spark, sf_dir), table, f"{base}/_ckpt/{run}", "availableNow",
+                                     as_of=AS_OF, mode="first_arrival", bootstrap_from_sink=True))
+    return table.table().select("mid", "dt")
+
+
+# ---------------------------------------------------------------- sinks and config tables
+
+def _dau_sink(spark, sf_dir, name):
+    from martflow.session import work_dir
+    from martflow.streaming import jobs
+    return jobs.dau_table(spark, work_dir(spark, name))
+
+
+@register("sink_day_slice_field", O.with_views(["dau"], f"SELECT mid FROM dau WHERE dt = '{TD}'"))
+def _sink_field(spark, sf_dir):
+    """One field of a day slice of a stored table."""
+    table = _dau_sink(spark, sf_dir, "sink_field")
+    table.upsert(cat(spark, sf_dir).dau_info(), 0, "a")
+    return table.field("mid", TD)
+
+
+@register("sink_replayed", O.with_views(["dau"], "SELECT * FROM dau"))
+def _sink_replayed(spark, sf_dir):
+    """A batch written twice, and once more by another writer, is there once."""
+    table, rows = _dau_sink(spark, sf_dir, "sink_replayed"), cat(spark, sf_dir).dau_info()
+    table.upsert(rows, 0, "a")
+    table.upsert(rows, 0, "a")
+    table.upsert(rows, 0, "b")
+    return table.table().select(*schemas.names(schemas.DAU_INFO))
+
+
+FRESH_DAY = "2024-01-16"
+
+
+@register("stream_fresh_dimension", O.with_views(["dau"], f"""
+SELECT mid, dt, CASE WHEN dt >= '{FRESH_DAY}' OR province_id = '0' THEN province_name END AS province_name FROM dau"""))
+def _stream_fresh_dimension(spark, sf_dir):
+    """Provinces that are stored between two micro-batches show in the second."""
+    from pyspark.sql import functions as F
+    from martflow.functions.dates import day_of_millis
+    from martflow.session import work_dir
+    from martflow.sources import tables
+    from martflow.streaming import jobs, pipeline
+    base = work_dir(spark, "fresh_dimension")
+    provinces, table = tables.base_province(spark, sf_dir), jobs.dau_table(spark, f"{base}/dau")
+    log = tables.page_log(spark, sf_dir)
+    now = lambda: (tables.user_info(spark, sf_dir), spark.read.parquet(f"{base}/provinces"))
+    for rows, known in ((day_of_millis("ts") < FRESH_DAY, "id = 0"), (day_of_millis("ts") >= FRESH_DAY, "id <> 0")):
+        log.where(rows).write.mode("append").parquet(f"{base}/page")
+        provinces.where(F.expr(known)).write.mode("append").parquet(f"{base}/provinces")
+        page = spark.readStream.schema(schemas.PAGE_LOG).parquet(f"{base}/page")
+        pipeline.finish(jobs.dau_job(page, now, table, f"{base}/_ckpt", "availableNow", as_of=AS_OF))
+    return table.table().select("mid", "dt", "province_name")
+
+
+@register("cdc_listed_tables", f"""
+SELECT 'DWD_' || upper(t) || '_' || op AS topic, COUNT(*) AS n FROM (
+  SELECT *, {_OP_SQL} AS op, CASE WHEN user_id % 2 = 0 THEN 'user_info' ELSE 'order_info' END AS t FROM events) e
+WHERE op IS NOT NULL GROUP BY 1""")
+def _cdc_listed(spark, sf_dir):
+    """The table list read from a stored config table that was edited."""
+    from pyspark.sql import functions as F
+    from martflow.operators import cdc
+    from martflow.session import work_dir
+    path = work_dir(spark, "table_list")
+    for name in ("order_info", "user_info"):
+        cdc.table_list(spark, [name]).write.mode("append").parquet(f"{path}/tables")
+    m = cdc.fact_messages(_changes(spark, sf_dir), cdc.table_list(spark, path=f"{path}/tables"))
+    return m.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _relevance_sql(words, page_no, page_size):
@@ -610,15 +936,15 @@ st AS (SELECT COUNT(*) AS n, AVG(len(toks)) AS avgdl FROM c),
 dfq AS (SELECT t AS term, COUNT(*) AS df FROM (SELECT list_distinct(toks) AS u FROM c) x, unnest(x.u) AS z(t)
         GROUP BY t),
 m AS (SELECT c.*, {score} AS score FROM c, st WHERE {where.replace('sku_name', 'c.sku_name')})
-SELECT create_time, order_price, province_name, {O.highlight_sql('sku_name', words)} AS sku_name,
-       sku_num, split_total_amount AS total_amount, user_age, user_gender,
-       (SELECT COUNT(*) FROM m) AS total
-FROM m ORDER BY score DESC, detail_id LIMIT {page_size} OFFSET {(page_no - 1) * page_size}""")
+SELECT p.*, t.total FROM (SELECT COUNT(*) AS total FROM m) t LEFT JOIN (
+  SELECT create_time, order_price, province_name, {O.highlight_sql('sku_name', words)} AS sku_name,
+         sku_num, split_total_amount AS total_amount, user_age, user_gender
+  FROM m ORDER BY score DESC, detail_id LIMIT {page_size} OFFSET {(page_no - 1) * page_size}) p ON true""")
 
 
 @register("detail_by_item_relevance", _relevance_sql(_RED_BOLT, 2, 15))
 def _detail_rel(spark, sf_dir):
-    return Q.detail_by_item(cat(spark, sf_dir).order_wide, None, "red bolt", 2, 15, order="score")
+    return _detail_page(spark, sf_dir, "red bolt", 2, 15, order="score")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -24,20 +24,22 @@ COMMON_FIELDS = [
 ]
 COMMON_COLUMNS = [name for name, _ in COMMON_FIELDS]
 
-# Raw app log: one JSON document per record.
+# Raw app log: one JSON document per record.  Numbers are read as text and
+# cast when the rows are made, so a number in quotes counts like the number;
+# text that is no number gives null.  ``err`` is kept as its JSON text.
 LOG_SCHEMA = _struct(
     ("common", _struct(("ar", S), ("uid", S), ("os", S), ("ch", S), ("is_new", S),
                        ("md", S), ("mid", S), ("vc", S), ("ba", S))),
-    ("page", _struct(("page_id", S), ("item", S), ("during_time", L), ("item_type", S),
+    ("page", _struct(("page_id", S), ("item", S), ("during_time", S), ("item_type", S),
                      ("last_page_id", S), ("source_type", S))),
     ("displays", T.ArrayType(_struct(("display_type", S), ("item", S), ("item_type", S),
                                      ("pos_id", S), ("order", S)))),
     ("actions", T.ArrayType(_struct(("item", S), ("action_id", S), ("item_type", S),
-                                    ("ts", L)))),
-    ("start", _struct(("entry", S), ("open_ad_skip_ms", L), ("open_ad_ms", L),
-                      ("loading_time", L), ("open_ad_id", S))),
-    ("err", _struct(("error_code", L), ("msg", S))),
-    ("ts", L),
+                                    ("ts", S)))),
+    ("start", _struct(("entry", S), ("open_ad_skip_ms", S), ("open_ad_ms", S),
+                      ("loading_time", S), ("open_ad_id", S))),
+    ("err", S),
+    ("ts", S),
     # Filled with the record's text when it is not a JSON object of this shape.
     ("_corrupt_record", S),
 )
@@ -102,7 +104,7 @@ ORDER_WIDE = _struct(
 CDC_ENVELOPE = _struct(("type", S), ("table", S))
 
 # Source frames that stand for a topic carry these columns.
-TOPIC_COLUMNS = ["topic", "partition", "offset", "value"]
+TOPIC_COLUMNS = ["topic", "partition", "offset", "timestamp", "value"]
 
 # Demo document index.
 MOVIE = _struct(("id", S), ("name", S), ("doubanScore", D),

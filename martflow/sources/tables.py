@@ -10,10 +10,11 @@ views from the same rules (``martflow.plans.oracle``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.dates import ts_to_millis
+from martflow.operators.dims import sized_side
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -30,41 +31,9 @@ CHANGE_TABLE_EVEN, CHANGE_TABLE_ODD = "user_info", "order_info"
 BIRTHDAY_EPOCH, BIRTHDAY_MULT, BIRTHDAY_SPAN = "1950-01-01", 7919, 25000
 
 
-# One scan relation per (session, path): file listing and footer reads run
-# once, and repeated dashboard queries only re-plan from a resolved scan.
-_SCANS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
-
-
-_SMALL: dict = {}
-
-
-def _checked_small(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> bool:
-    """The bounded row-count check of ``dims.is_small`` for a given table,
-    made once per session and folder."""
-    from martflow.operators.dims import broadcast_rows_limit, is_small
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name,
-           broadcast_rows_limit(spark))
-    if key not in _SMALL:
-        _SMALL[key] = is_small(df, broadcast_rows_limit(spark))
-    return _SMALL[key]
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that came back in fewer partitions than there are task
-    slots (a small file with one row group) before per-row heavy work such
-    as JSON building or parsing.  Large inputs already split into at least
-    that many partitions and are left as they are (no extra shuffle)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    """A given table, listed anew each time, so that new files are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _lookup(mapping: dict, col) -> F.Column:
@@ -130,13 +99,36 @@ def events_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.join(cust, ev.user_id == cust.c_custkey, "left").drop("c_custkey")
 
 
-def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def day_range(col: str, first: str, last: str | None = None) -> F.Column:
+    """``col`` within the calendar days ``first``..``last`` ('yyyy-MM-dd'), as a range on
+    the raw timestamp column with typed literals, so the scan receives it as pushed
+    filters (row-group and partition skipping) where a test on formatted text could only
+    run after the scan."""
+    lo, hi = (F.expr(f"TIMESTAMP_NTZ '{d} 00:00:00'") for d in (first, last or first))
+    return (F.col(col) >= lo) & (F.col(col) < hi + F.expr("INTERVAL 1 DAY"))
+
+
+def session_starts(spark: SparkSession, sf_dir: str, first: str | None = None,
+                   last: str | None = None) -> DataFrame:
+    """``mid, ts`` of the page records that open a session, all that the daily-active
+    counts need: no dimension is joined, and days become a pushed range."""
+    e = table(spark, sf_dir, "events")
+    if first is not None:
+        e = e.where(day_range("ts", first, last))
+    return e.where(F.col("event_type") == "view") \
+        .select(F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"), ts_to_millis("ts").alias("ts"))
+
+
+def page_log(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """The page-log topic as typed rows (16 columns of the page bean).
 
     Every event is a page view whose ``page_id`` is the event type; only
-    ``view`` events start a session (``last_page_id`` null).
+    ``view`` events start a session (``last_page_id`` null).  ``first`` and
+    ``last`` keep a range of days (pushed to the scan).
     """
     e = events_with_nation(spark, sf_dir)
+    if first is not None:
+        e = e.where(day_range("ts", first, last))
     u = F.col("user_id")
     dev = _device_columns(u, F.col("c_nationkey"))
     dev[4] = F.when(F.col("event_type") == "signup", "1").otherwise("0").alias("is_new")
@@ -156,17 +148,20 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- app log JSON
 
-def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw app-log topic: ``topic, partition, offset, value`` with one
-    JSON document per event.
+def app_log(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The raw app-log topic: ``topic, partition, offset, timestamp, value``
+    with one JSON document per event.
 
     error -> ``err`` + ``page``; view -> ``page`` + displays; click ->
     ``page`` + displays + actions; signup -> ``start`` only; purchase ->
     ``page`` + ``start``.  ``k`` of ``props`` drives the number of displays
-    (k % 3) and actions (k % 2 + 1).
+    (k % 3) and actions (k % 2 + 1).  ``first`` and ``last`` keep a range of
+    days (pushed to the scan).
     """
-    e = spread(events_with_nation(spark, sf_dir)).withColumn(
-        "_k", F.get_json_object("props", "$.k").cast("long"))
+    e = events_with_nation(spark, sf_dir)
+    if first is not None:
+        e = e.where(day_range("ts", first, last))
+    e = e.withColumn("_k", F.get_json_object("props", "$.k").cast("long"))
     et, u = F.col("event_type"), F.col("user_id")
     k = F.col("_k")
     ms = ts_to_millis("ts")
@@ -222,6 +217,7 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("ODS_BASE_LOG").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
         F.to_json(doc).alias("value"),
     )
 
@@ -229,9 +225,9 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- change records
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change-record topic: ``topic, partition, offset, value`` where
+    """The change-record topic: ``topic, partition, offset, timestamp, value`` where
     value is ``{"type":…, "table":…, "data":{"id":…, "value":…}}``."""
-    e = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"))
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     env = F.struct(
         _lookup(EVENT_TO_CHANGE_TYPE, F.col("event_type")).alias("type"),
         F.when(F.col("user_id") % 2 == 0, CHANGE_TABLE_EVEN).otherwise(CHANGE_TABLE_ODD).alias("table"),
@@ -241,38 +237,35 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("ODS_BASE_DB").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
         F.to_json(env).alias("value"),
     )
 
 
 # ---------------------------------------------------------------- order facts
 
-def order_day_range(day: str, col: str = "o_orderdate") -> F.Column:
-    """``col`` within the calendar day ``day`` ('yyyy-MM-dd'), as a range on
-    the raw timestamp column with typed literals, so the scan receives it as
-    pushed filters (row-group and partition skipping) where a test on the
-    formatted ``create_date`` text could only run after the scan."""
-    lo = F.expr(f"TIMESTAMP_NTZ '{day} 00:00:00'")
-    return (F.col(col) >= lo) & (F.col(col) < lo + F.expr("INTERVAL 1 DAY"))
-
-
-def _orders(spark: SparkSession, sf_dir: str, day: str | None, *cols: str) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, first: str | None, last: str | None, *cols: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(*cols)
-    return o if day is None else o.where(order_day_range(day))
+    return o if first is None else o.where(day_range("o_orderdate", first, last))
 
 
-def order_info(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
+def order_info(spark: SparkSession, sf_dir: str, day: str | None = None, last_day: str | None = None,
+               with_province: bool = True) -> DataFrame:
     """Order facts as they arrive (14 fields); province = the buyer's nation.
-    ``day`` keeps the orders created that day (pushed to the scan)."""
-    o = _orders(spark, sf_dir, day, "o_orderkey", "o_custkey", "o_orderstatus",
+    ``day`` (to ``last_day``) keeps the orders created then (pushed to the scan).
+    ``with_province=False`` leaves ``province_id`` out, and with it the join."""
+    o = _orders(spark, sf_dir, day, last_day, "o_orderkey", "o_custkey", "o_orderstatus",
                 "o_totalprice", "o_orderdate")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    o = o.join(cust, o.o_custkey == cust.c_custkey, "left")
+    province = []
+    if with_province:
+        cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        o = o.join(cust, o.o_custkey == cust.c_custkey, "left")
+        province = [F.col("c_nationkey").cast("long").alias("province_id")]
     zero = F.lit(0.0).cast("double")
     null_s = F.lit(None).cast("string")
     return o.select(
         F.col("o_orderkey").alias("id"),
-        F.col("c_nationkey").cast("long").alias("province_id"),
+        *province,
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_totalprice").alias("final_total_amount"),
@@ -288,62 +281,62 @@ def order_info(spark: SparkSession, sf_dir: str, day: str | None = None) -> Data
     )
 
 
-# Line order used to number the lines of one order (the data has no line id).
-_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-               "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus"]
+def line_id() -> F.Column:
+    """The id of an order line, from its own columns: 60 bits of the MD5 of their text.
+    The data has no line id; a rank within the order would put an order's lines in one
+    task.  Lines equal in all of these columns would share an id (none do here)."""
+    cents = [F.round(F.col(c) * 100).cast("long").cast("string")
+             for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+                       *cents, F.date_format("l_shipdate", "yyyy-MM-dd"), "l_returnflag", "l_linestatus")
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def order_detail(spark: SparkSession, sf_dir: str, with_ship_time: bool = False,
-                 day: str | None = None) -> DataFrame:
+                 day: str | None = None, with_create_time: bool = True) -> DataFrame:
     """Order-line facts (10 fields).
 
-    ``id`` = order key * 1000 + the line's rank inside its order; the
-    detail's ``create_time`` is its order's.  ``with_ship_time`` adds the
-    line's ship date as ``ship_time`` text (the event time of the
-    time-bounded join).  ``day`` keeps the lines of the orders created that
-    day: the lines are semi-joined with that day's order keys before any
-    other work (all lines of an order share its day, so numbering is
-    unchanged).
+    A line's ``create_time`` is its order's; ``with_create_time=False``
+    leaves it out, and with it a join, for callers that join the orders
+    anyway.  ``with_ship_time`` adds the line's ship date as ``ship_time``
+    text (the event time of the time-bounded join).  ``day`` keeps the lines
+    of the orders created that day, by a semi-join with their keys.
     """
     li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    orders = _orders(spark, sf_dir, day, "o_orderkey", "o_orderdate")
     if day is not None:
-        keys = orders.select(F.col("o_orderkey").alias("_day_key"))
-        li = li.join(keys, F.col("l_orderkey") == F.col("_day_key"), "left_semi")
-    # Where the part join goes depends on part's checked size.  Within the
-    # broadcast bound it is a map-side join after the numbering, so the
-    # window's shuffle stays narrow.  Beyond it, the part join comes first
-    # (a shuffle on the part key), and the window's exchange on the order
-    # key is then shared by the order join here and the order/line join of
-    # the wide row: two shuffles of the lines instead of three.
-    # Fixture-only numbering: real order lines carry their own id.
-    part_small = _checked_small(spark, sf_dir, "part", part)
-    if not part_small:
-        li = li.join(part, li.l_partkey == part.p_partkey, "left")
-    w = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
-    li = li.withColumn("_rn", F.row_number().over(w))
-    if part_small:
-        li = li.join(F.broadcast(part), li.l_partkey == part.p_partkey, "left")
-    d = li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
+        keys = _orders(spark, sf_dir, day, day, "o_orderkey", "o_orderdate").select("o_orderkey")
+        li = li.join(keys, li.l_orderkey == keys.o_orderkey, "left_semi")
+    d = li.join(sized_side(part), li.l_partkey == part.p_partkey, "left")
+    if with_create_time:
+        orders = _orders(spark, sf_dir, day, day, "o_orderkey", "o_orderdate")
+        d = d.join(orders, d.l_orderkey == orders.o_orderkey, "left")
     zero = F.lit(0.0).cast("double")
     cols = [
-        (F.col("l_orderkey") * 1000 + F.col("_rn")).alias("id"),
+        line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         F.col("p_retailprice").alias("order_price"),
         F.col("l_quantity").cast("long").alias("sku_num"),
         F.col("p_name").alias("sku_name"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
         F.col("l_extendedprice").alias("split_total_amount"),
         zero.alias("split_activity_amount"),
         zero.alias("split_coupon_amount"),
     ]
+    if with_create_time:
+        cols.insert(6, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"))
     if with_ship_time:
         cols.append(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("ship_time"))
     return d.select(*cols)
 
 
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sku_id, sku_name, category, tm, spu``: type, brand and name of each part."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"), F.col("p_type").alias("category"),
+        F.col("p_brand").alias("tm"), F.col("p_name").alias("spu"))
+
+
 # ---------------------------------------------------------------- demo documents
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:

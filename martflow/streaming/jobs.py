@@ -11,21 +11,22 @@
 Every job writes through its checkpoint (offsets, state) and an idempotent
 sink, so a restart or a replayed batch gives the same tables (J6).
 Dimensions are read inside ``foreachBatch`` (a static frame read once would
-go stale).
+go stale).  ``report`` (name, batch id, counts) gets per-batch counts, such as
+rows without a user or province; no job runs for them besides the write.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martflow import schemas
 from martflow.functions.dates import day_of_millis
-from martflow.operators import cdc, dau, orders, parse
-from martflow.streaming.sinks import KeyedTable, TopicFiles, writer_tag
+from martflow.operators import cdc, dau, dims as lookups, orders, parse
+from martflow.streaming.sinks import KafkaTopic, KeyedTable, TopicFiles, writer_tag
 
 # The micro-batch interval and the time bounds of state.
 BATCH_INTERVAL = "5 seconds"
@@ -34,6 +35,24 @@ JOIN_WATERMARK = "24 hours"
 JOIN_BOUND = "24 hours"
 
 Dims = Callable[[], tuple[DataFrame, DataFrame]]
+Report = Callable[[str, int, dict], None]
+
+
+def _write(table: KeyedTable, rows: DataFrame, batch_id: int, checkpoint: str, name: str,
+           report: Report | None, province: str = "province_name") -> None:
+    """Upsert a batch; the counts of unmatched dimension rows come from the same pass."""
+    if report is None:
+        table.upsert(rows, batch_id, writer=writer_tag(checkpoint))
+        return
+    seen = Observation(f"{name}_{batch_id}")
+    table.upsert(rows.observe(seen, *lookups.unmatched(province=province)), batch_id, writer=writer_tag(checkpoint))
+    report(name, batch_id, seen.get)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Input rows that the query dropped as later than its watermark, over the
+    micro-batches that its progress still has."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
 
 
 def _start(writer, checkpoint: str, trigger: str | None, name: str, path: str | None = None) -> StreamingQuery:
@@ -52,21 +71,24 @@ def _start(writer, checkpoint: str, trigger: str | None, name: str, path: str |
 ROUTED_SCHEMA = "partition int, offset long, value string, topic string"
 
 
-def log_split_job(raw: DataFrame, out_path: str, checkpoint: str, trigger: str | None = None,
+def log_split_job(raw: DataFrame, out: "str | KafkaTopic", checkpoint: str, trigger: str | None = None,
                   strict_reference: bool = False) -> StreamingQuery:
     """Route every raw log record to its topics in one streaming query.
 
-    The file sink is exactly-once (its commit log lists finished files);
-    readers of ``out_path`` see topic folders ``topic=<name>``.  Malformed
-    records go to ``topic=BAD_RECORDS`` with their text.
+    ``out`` is a folder (the file sink is exactly-once: its commit log lists
+    finished files, and readers see topic folders ``topic=<name>``) or a
+    Kafka sink.  Malformed records go to ``BAD_RECORDS`` with their text.
     """
     parsed = parse.parse_log(raw)
     routed = parse.route_log(parsed, keep=["partition", "offset"], strict_reference=strict_reference)
     bad = (parse.bad_records(parsed)
            .select("partition", "offset", F.lit("BAD_RECORDS").alias("topic"), "value"))
-    out = routed.unionByName(bad)
-    writer = out.writeStream.format("parquet").partitionBy("topic").outputMode("append")
-    return _start(writer, checkpoint, trigger, "log_split", out_path)
+    messages = routed.unionByName(bad)
+    if isinstance(out, KafkaTopic):
+        writer = out.messages(messages).writeStream.format("kafka").options(**out.options).outputMode("append")
+        return _start(writer, checkpoint, trigger, "log_split")
+    writer = messages.writeStream.format("parquet").partitionBy("topic").outputMode("append")
+    return _start(writer, checkpoint, trigger, "log_split", out)
 
 
 def read_routed(spark, path: str, topic: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -81,38 +103,44 @@ def read_routed(spark, path: str, topic: str, schema, max_files_per_trigger: int
 
 # ---------------------------------------------------------------- change split
 
-def cdc_split_job(raw: DataFrame, facts: TopicFiles, dims_table: KeyedTable,
+def cdc_split_job(raw: DataFrame, facts: TopicFiles | KafkaTopic, dims_table: KeyedTable,
                   fact_tables: Callable[[], DataFrame], dim_tables: Callable[[], DataFrame],
                   checkpoint: str, trigger: str | None = None,
                   apply_deletes: bool = False) -> StreamingQuery:
-    """Fact changes to ``DWD_<TABLE>_<OP>`` files, dimension changes into a
+    """Fact changes to ``DWD_<TABLE>_<OP>`` topics of the given sink,
+    malformed records to ``BAD_RECORDS``, dimension changes into a
     latest-per-(table, id) table.  The table lists are callables evaluated
     per micro-batch (A13)."""
-    parsed = cdc.parse_change(raw, keep=["offset"])
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # J8: one input, two outputs
         try:
-            facts.write_batch(cdc.fact_messages(batch, fact_tables(), keep=["offset"]), batch_id)
-            latest = cdc.upsert_dimension(cdc.dim_changes(batch, dim_tables()))
+            changes = cdc.parse_change(batch, keep=cdc.CHANGE_ORDER)
+            messages = cdc.fact_messages(changes, fact_tables(), keep=["offset"])
+            facts.write_batch(messages.unionByName(cdc.bad_changes(batch), allowMissingColumns=True), batch_id,
+                              writer=writer_tag(checkpoint))
+            latest = cdc.upsert_dimension(cdc.dim_changes(changes, dim_tables()))
             deleted = (F.col("op") == "D") if apply_deletes else F.lit(False)
             dims_table.upsert(latest.withColumn(KeyedTable.DELETED, deleted), batch_id,
                               writer=writer_tag(checkpoint))
         finally:
             batch.unpersist()
 
-    return _start(parsed.writeStream.foreachBatch(each), checkpoint, trigger, "cdc_split")
+    return _start(raw.writeStream.foreachBatch(each), checkpoint, trigger, "cdc_split")
 
 
-def dimension_snapshot(dims_table: KeyedTable) -> DataFrame:
-    return dims_table.table()
+def dimension_table(spark, path: str) -> KeyedTable:
+    """Dimension rows keyed by (table, id), the latest change by record time,
+    partition and offset; so the order of batches and checkpoints that bring
+    changes doesn't matter."""
+    return KeyedTable(spark, path, keys=["table", "id"], slice_col="table", order_cols=cdc.CHANGE_ORDER)
 
 
 # ---------------------------------------------------------------- daily active
 
 def dau_job(page_log: DataFrame, dims: Dims, table: KeyedTable, checkpoint: str,
             trigger: str | None = None, as_of=None, mode: str = "earliest",
-            bootstrap_from_sink: bool = False) -> StreamingQuery:
+            bootstrap_from_sink: bool = False, report: Report | None = None) -> StreamingQuery:
     """Daily active devices from a page-log stream.
 
     ``mode='earliest'`` (default): a streaming aggregation keeps, per
@@ -125,11 +153,14 @@ def dau_job(page_log: DataFrame, dims: Dims, table: KeyedTable, checkpoint: str,
     dropped 48 h after it ends.
 
     ``bootstrap_from_sink`` (J4/D10): devices already in the sink for the
-    batch's days are dropped before the write, for a query restarted
-    without its state.  E7: per-batch counts of the input and of the
+    batch's days are dropped before the write, for a query restarted without
+    its state.  Only for ``first_arrival``: where the earliest visit counts,
+    the sink decides by ``ts`` itself, and an earlier visit must get there.  E7: per-batch counts of the input and of the
     session entries are reported as observed metrics (``dau_input``,
     ``dau_entries``) in the query progress.
     """
+    if bootstrap_from_sink and mode != "first_arrival":
+        raise ValueError("bootstrap_from_sink is for mode='first_arrival'")
     page_log = page_log.observe("dau_input", F.count(F.lit(1)).alias("rows"))
     entries = dau.session_entries(page_log).observe("dau_entries", F.count(F.lit(1)).alias("rows"))
     entries = entries.drop(*[c for c in entries.columns if c not in schemas.names(schemas.PAGE_LOG)])
@@ -152,8 +183,7 @@ def dau_job(page_log: DataFrame, dims: Dims, table: KeyedTable, checkpoint: str,
             if seen is not None:
                 seen = seen.where(~F.col(KeyedTable.DELETED)).select("mid", "dt")
                 visits = visits.join(seen, ["mid", "dt"], "left_anti")
-        table.upsert(dau.to_dau_info(visits, users, provinces, as_of), batch_id,
-                     writer=writer_tag(checkpoint))
+        _write(table, dau.to_dau_info(visits, users, provinces, as_of), batch_id, checkpoint, "dau", report)
 
     writer = firsts.writeStream.outputMode(output_mode).foreachBatch(each)
     return _start(writer, checkpoint, trigger, f"dau_{mode}")
@@ -168,7 +198,8 @@ def dau_table(spark, path: str) -> KeyedTable:
 
 def order_join_job(order_info: DataFrame, order_detail: DataFrame, dims: Dims, table: KeyedTable,
                    checkpoint: str, trigger: str | None = None, as_of=None,
-                   bound: str = JOIN_BOUND, watermark: str = JOIN_WATERMARK) -> StreamingQuery:
+                   bound: str = JOIN_BOUND, watermark: str = JOIN_WATERMARK,
+                   report: Report | None = None) -> StreamingQuery:
     """Orders with their lines, whichever arrives first, within ``bound`` of
     event time (J5, J7, D8).
 
@@ -176,6 +207,10 @@ def order_join_job(order_info: DataFrame, order_detail: DataFrame, dims: Dims, t
     unmatched rows in state until the watermark passes the bound, then
     drops them (inner join: no output for them).  Enrichment with the
     current dimensions and the wide row are built per micro-batch.
+
+    Rows that arrive later than the watermark can't be joined here:
+    :func:`late_rows` counts them, and :func:`reconcile_orders` brings their
+    pairs in from the stored topics.
     """
     o = (order_info.withColumn("_et", F.to_timestamp("create_time")).withWatermark("_et", watermark))
     d = order_detail.select(*[F.col(c).alias(orders.DETAIL_PREFIX + c) for c in order_detail.columns])
@@ -189,12 +224,29 @@ def order_join_job(order_info: DataFrame, order_detail: DataFrame, dims: Dims, t
     def each(batch: DataFrame, batch_id: int) -> None:
         users, provinces = dims()
         enriched = orders.enrich_orders(batch, users, provinces, as_of=as_of, keep_extra=True)
-        table.upsert(orders.wide_from_pairs(enriched), batch_id, writer=writer_tag(checkpoint))
+        _write(table, orders.wide_from_pairs(enriched), batch_id, checkpoint, "order_join", report)
 
     return _start(pairs.writeStream.outputMode("append").foreachBatch(each), checkpoint, trigger,
                   "order_join")
 
 
+def reconcile_orders(order_info: DataFrame, order_detail: DataFrame, dims: Dims, table: KeyedTable,
+                     run_id: int = 0, as_of=None, bound: str = JOIN_BOUND) -> int:
+    """Bring the pairs that the stream missed into the table: the batch join of
+    the stored topics, without the lines that the table has.  Returns their
+    number; a run repeated under its ``run_id`` replaces its own rows."""
+    known = table.read()
+    lines = order_detail
+    if known is not None:
+        lines = lines.join(known.select(F.col("detail_id").alias("_known")), lines.id == F.col("_known"), "left_anti")
+    users, provinces = dims()
+    o = orders.enrich_orders(order_info, users, provinces, as_of=as_of).withColumn("_et", F.to_timestamp("create_time"))
+    missed = orders.order_wide_within(o, lines.withColumn("_et", F.to_timestamp("create_time")), "_et", "_et", bound)
+    seen = Observation(f"reconcile_{run_id}")
+    table.upsert(missed.observe(seen, F.count(F.lit(1)).alias("rows")), run_id, writer="reconcile")
+    return seen.get["rows"]
+
+
 def order_wide_table(spark, path: str, slice_by: str = "month") -> KeyedTable:
     """Wide orders keyed by line id.  ``slice_by='day'`` stores one slice
     per ``create_date`` (the original's day index, right when a day holds

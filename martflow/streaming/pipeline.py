@@ -1,10 +1,12 @@
 """End-to-end runs of the streaming jobs over the driver tables.
 
-The input topics are staged as Parquet files of ``topic, partition,
-offset, value`` in the shared work folder (derived from the tables by
-Spark), then the jobs run with ``availableNow`` and their sink tables are
-returned as batch DataFrames.  This is how the registry checks stream =
-batch, and how a backfill would run the same code.
+The input topics are staged as Parquet files of ``topic, partition, offset,
+timestamp, value`` in the shared work folder (derived from the tables by
+Spark), oldest event time first, one file per micro-batch; then the jobs run
+with ``availableNow`` and their sink tables are returned as batch
+DataFrames.  This is how the registry checks stream = batch, and how a
+backfill would run the same code: state is bounded by the watermark, not by
+the history.
 """
 
 from __future__ import annotations
@@ -17,104 +19,111 @@ from martflow.operators import cdc, parse
 from martflow.session import work_dir
 from martflow.sources import tables
 from martflow.streaming import jobs
-from martflow.streaming.sinks import KeyedTable, TopicFiles
+from martflow.streaming.sinks import TopicFiles
 from martflow.streaming.sources import read_topic
 
+BATCHES = 4
 
-def stage_topic(df: DataFrame, path: str, files: int = 1, ordered: bool = True) -> str:
-    """Write a topic frame as ``files`` files.  ``ordered`` writes offset
-    ranges one after another (so file age follows offsets, as a log
-    would); otherwise the rows are spread at random.
 
-    ``files <= 1`` stages the topic for one micro-batch: it is written with
-    the plan's own parallelism (one file per task), and the reader, with no
-    per-trigger file limit, takes every file in its first batch.  Forcing a
-    single file would run the whole upstream plan in one task.
+def stage_topic(df: DataFrame, path: str, files: int = BATCHES, ordered: bool = True) -> str:
+    """Write a topic frame as ``files`` files, one per micro-batch.
+
+    ``ordered`` writes ranges of the record time one after another, as a log
+    grows; a watermark then passes only what came before.  Otherwise the rows
+    are spread at random (input as late as it can be).
     """
-    if files <= 1:
-        df.write.mode("overwrite").parquet(path)
-        return path
     if not ordered:
         df.repartition(files).write.mode("overwrite").parquet(path)
         return path
-    # Range-partition on offset (sampled boundaries, no single-task sort),
+    # Range-partition on time (sampled boundaries, no single-task sort),
     # then write the ranges oldest first.
-    staged = (df.repartitionByRange(files, "offset")
-                .withColumn("_f", F.spark_partition_id()).persist())
-    try:
-        for i in range(files):
-            staged.where(F.col("_f") == i).drop("_f").coalesce(1).write.mode("append").parquet(path)
-    finally:
-        staged.unpersist()
+    staged = f"{path}_ranges"
+    (df.repartitionByRange(files, "timestamp", "offset").withColumn("_f", F.spark_partition_id())
+       .write.mode("overwrite").partitionBy("_f").parquet(staged))
+    ranges = df.sparkSession.read.parquet(staged)
+    for i in range(files):
+        ranges.where(F.col("_f") == i).drop("_f").coalesce(1).write.mode("append").parquet(path)
     return path
 
 
-def as_topic(df: DataFrame, topic: str, offset_col: str) -> DataFrame:
+def as_topic(df: DataFrame, topic: str, offset_col: str, time_col: str) -> DataFrame:
     """Rows as JSON messages of one topic."""
     return df.select(F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
-                     F.col(offset_col).cast("long").alias("offset"),
+                     F.col(offset_col).cast("long").alias("offset"), F.to_timestamp(time_col).alias("timestamp"),
                      F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
 
 
-def _dims(spark, sf_dir):
+def dims_of(spark, sf_dir) -> jobs.Dims:
+    """The dimensions as they are now, for each micro-batch."""
     return lambda: (tables.user_info(spark, sf_dir), tables.base_province(spark, sf_dir))
 
 
-def _await(q) -> None:
+def finish(q) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
-def run_log_split(spark: SparkSession, sf_dir: str, files: int = 1, base: str | None = None) -> str:
+def run_log_split(spark: SparkSession, sf_dir: str, files: int = BATCHES, base: str | None = None) -> str:
     base = base or work_dir(spark, "log_split")
     src = stage_topic(tables.app_log(spark, sf_dir), f"{base}/ods_base_log", files)
-    raw = read_topic(spark, "parquet", src, max_files_per_trigger=1 if files > 1 else None)
-    _await(jobs.log_split_job(raw, f"{base}/dwd", f"{base}/_ckpt/log_split", trigger="availableNow"))
+    raw = read_topic(spark, "parquet", src, max_files_per_trigger=1)
+    finish(jobs.log_split_job(raw, f"{base}/dwd", f"{base}/_ckpt/log_split", trigger="availableNow"))
     return f"{base}/dwd"
 
 
-def run_dau(spark: SparkSession, sf_dir: str, as_of=None, files: int = 1,
-            mode: str = "earliest") -> DataFrame:
-    """Raw log -> log split job -> page topic -> DAU job -> daily-active table."""
+def run_dau(spark: SparkSession, sf_dir: str, as_of=None, files: int = BATCHES, mode: str = "earliest",
+            report: jobs.Report | None = None):
+    """Raw log -> log split job -> page topic -> DAU job -> (daily-active table, query)."""
     base = work_dir(spark, "dau_pipeline")
     dwd = run_log_split(spark, sf_dir, files, base)
-    page = jobs.read_routed(spark, dwd, parse.PAGE_TOPIC, schemas.PAGE_LOG,
-                            max_files_per_trigger=1 if files > 1 else None).drop("offset")
+    page = jobs.read_routed(spark, dwd, parse.PAGE_TOPIC, schemas.PAGE_LOG, max_files_per_trigger=8).drop("offset")
     table = jobs.dau_table(spark, f"{base}/dau_info")
-    _await(jobs.dau_job(page, _dims(spark, sf_dir), table, f"{base}/_ckpt/dau", "availableNow",
-                        as_of=as_of, mode=mode))
-    return table.table().select(*schemas.names(schemas.DAU_INFO))
+    query = jobs.dau_job(page, dims_of(spark, sf_dir), table, f"{base}/_ckpt/dau", "availableNow",
+                         as_of=as_of, mode=mode, report=report)
+    finish(query)
+    return table, query
+
 
+def run_order_join(spark: SparkSession, sf_dir: str, as_of=None, files: int = BATCHES, line_files: int | None = None,
+                   ordered: bool = True, reconcile: bool = False):
+    """Order and line topics -> order join job -> (wide-order table, late rows, reconciled pairs).
 
-def run_order_join(spark: SparkSession, sf_dir: str, as_of=None, files: int = 1) -> DataFrame:
-    """Order and line topics -> order join job -> wide-order table."""
+    ``line_files`` below ``files`` lets the lines run ahead of their orders.
+    """
     base = work_dir(spark, "order_join")
-    o_src = stage_topic(as_topic(tables.order_info(spark, sf_dir), "DWD_ORDER_INFO_I", "id"),
-                        f"{base}/order_info", files)
-    d_src = stage_topic(as_topic(tables.order_detail(spark, sf_dir), "DWD_ORDER_DETAIL_I", "id"),
-                        f"{base}/order_detail", files)
-    mf = 1 if files > 1 else None
-    o = (read_topic(spark, "parquet", o_src, max_files_per_trigger=mf)
+    orders, lines = tables.order_info(spark, sf_dir), tables.order_detail(spark, sf_dir)
+    o_src = stage_topic(as_topic(orders, "DWD_ORDER_INFO_I", "id", "create_time"), f"{base}/order_info", files, ordered)
+    d_src = stage_topic(as_topic(lines, "DWD_ORDER_DETAIL_I", "id", "create_time"), f"{base}/order_detail",
+                        line_files or files, ordered)
+    o = (read_topic(spark, "parquet", o_src, max_files_per_trigger=1)
          .select(F.from_json("value", schemas.ORDER_INFO_RAW).alias("r")).select("r.*"))
-    d = (read_topic(spark, "parquet", d_src, max_files_per_trigger=mf)
+    d = (read_topic(spark, "parquet", d_src, max_files_per_trigger=1)
          .select(F.from_json("value", schemas.ORDER_DETAIL).alias("r")).select("r.*"))
     table = jobs.order_wide_table(spark, f"{base}/order_wide")
-    _await(jobs.order_join_job(o, d, _dims(spark, sf_dir), table, f"{base}/_ckpt/join", "availableNow",
-                               as_of=as_of))
-    return table.table().select(*schemas.names(schemas.ORDER_WIDE))
+    query = jobs.order_join_job(o, d, dims_of(spark, sf_dir), table, f"{base}/_ckpt/join", "availableNow", as_of=as_of)
+    finish(query)
+    missed = jobs.reconcile_orders(orders, lines, dims_of(spark, sf_dir), table, as_of=as_of) if reconcile else 0
+    return table, jobs.late_rows(query), missed
+
 
+def run_cdc(spark: SparkSession, sf_dir: str, files: int = BATCHES, apply_deletes: bool = False,
+            checkpoints: int = 1):
+    """Change topic -> change split job -> (fact topic files, dimension table).
 
-def run_cdc(spark: SparkSession, sf_dir: str, files: int = 1, apply_deletes: bool = False):
-    """Change topic -> change split job -> (fact topic files, dimension table)."""
+    ``checkpoints`` > 1 cuts the topic in as many parts and runs each under a
+    checkpoint of its own, the newest part first: batch ids restart and older
+    changes come after newer ones, as after a lost checkpoint."""
     base = work_dir(spark, "cdc_split")
-    src = stage_topic(tables.change_log(spark, sf_dir), f"{base}/ods_base_db", files)
-    raw = read_topic(spark, "parquet", src, max_files_per_trigger=1 if files > 1 else None)
     facts = TopicFiles(spark, f"{base}/dwd")
-    dims_table = KeyedTable(spark, f"{base}/dim", keys=["table", "id"], slice_col="table",
-                            order_cols=["offset"])
-    _await(jobs.cdc_split_job(raw, facts, dims_table,
-                              lambda: cdc.table_list(spark, cdc.FACT_TABLES),
-                              lambda: cdc.table_list(spark, cdc.DIM_TABLES),
-                              f"{base}/_ckpt/cdc", "availableNow", apply_deletes=apply_deletes))
+    dims_table = jobs.dimension_table(spark, f"{base}/dim")
+    log = tables.change_log(spark, sf_dir)
+    for k in reversed(range(checkpoints)):
+        part = log.where(F.pmod(F.col("offset"), F.lit(checkpoints)) == k)
+        src = stage_topic(part, f"{base}/ods_base_db_{k}", files)
+        raw = read_topic(spark, "parquet", src, max_files_per_trigger=1)
+        finish(jobs.cdc_split_job(raw, facts, dims_table,
+                                  lambda: cdc.table_list(spark, cdc.FACT_TABLES),
+                                  lambda: cdc.table_list(spark, cdc.DIM_TABLES),
+                                  f"{base}/_ckpt/cdc_{k}", "availableNow", apply_deletes=apply_deletes))
     return facts, dims_table

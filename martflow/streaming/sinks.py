@@ -1,28 +1,23 @@
 """Sinks (A6-A11, A16, A18, J6).
 
 ``KeyedTable`` is the idempotent "bulk save by id into a day slice": a
-Parquet table partitioned by a day (or any slice) column where each key has
-one current row.  It is merge-on-read: a micro-batch writes only its own
-rows, into one folder per (slice, writer, batch id), by dynamic partition
-overwrite, so a replayed batch replaces exactly what it wrote before and
-a write costs the size of the batch, not of the slices it touches.
-Readers resolve the current row per key (partial aggregate on the key);
-a filter on the slice column prunes folders before that.  ``compact``
-folds a slice's folders into one (run every ``compact_every`` batches, or
-as maintenance); it only deletes the folders it read, after its output is
-complete, so a crash or a concurrent write at any point leaves a table
-that still resolves to the same rows.
-
-``TopicFiles`` is a topic on files: each micro-batch is written once into
-its own ``batch_id=`` folder, so a replay overwrites rather than
-duplicates.  ``kafka_writer`` sets up the Kafka sink where the connector
-is available.
+Parquet table where each key has one current row.  It is merge-on-read: a
+micro-batch writes only its own rows, into the folder of its (writer, batch
+id), partitioned by the slice (a day, say).  Writing replaces that folder as
+a whole, so a replayed batch leaves exactly what it wrote last, also when it
+has fewer slices than before, and a write costs the size of the batch.
+Readers resolve the current row per key (partial aggregate on the key); a
+filter on the slice column prunes folders before that.
+
+``TopicFiles`` is a topic on files: each micro-batch is written into the
+folder of its (writer, batch id), with the same replay rule.  ``KafkaTopic``
+takes the same messages to Kafka where the connector is available.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,29 +41,28 @@ def writer_tag(checkpoint: str) -> str:
 
 
 class KeyedTable:
-    """A table with one current row per ``keys``, partitioned by
-    ``slice_col`` (a function of the key) and by the writing batch.
-
-    Competing rows of one key are ordered by the batch id (``_version``)
-    and then ``order_cols``; the greatest wins.  Deletes are tombstones
-    (``_deleted``), so they are upserts too and replay the same way.
+    """A table with one current row per ``keys``, partitioned by the
+    writing batch and by ``slice_col`` (a function of the key).
+
+    Competing rows of one key are ordered by ``order_cols`` (the source's
+    own order: record time, partition, offset) and then by ``_version``, the
+    time at which their batch was written; the greatest wins.  Batch ids
+    don't take part: they restart at 0 on a new checkpoint.  Deletes are
+    tombstones (``_deleted``), so they are upserts too and replay the same way.
     """
 
     VERSION, DELETED, BATCH = "_version", "_deleted", "_batch"
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], slice_col: str,
-                 order_cols: list[str] | None = None, slice_expr=None, keep: str = "latest",
-                 compact_every: int = 50):
+                 order_cols: list[str] | None = None, slice_expr=None, keep: str = "latest"):
         """``slice_expr`` derives the storage slice from other columns when
         the batch lacks ``slice_col`` (e.g. the month of a day).
 
-        ``keep='latest'`` lets the newest batch win (then ``order_cols``);
-        ``keep='earliest'`` keeps the smallest ``order_cols`` whatever batch
-        brought it (a first-visit table), so replays, restarts without
-        state and late arrivals can never replace an earlier row.
-
-        ``compact_every`` compacts the slices of every n-th batch (0: only
-        when :meth:`compact` is called).
+        ``keep='latest'`` lets the greatest ``order_cols`` win (then the
+        batch written last); ``keep='earliest'`` keeps the smallest
+        ``order_cols`` whatever batch brought it (a first-visit table), so
+        replays, restarts without state and late arrivals can never replace
+        an earlier row.
         """
         if keep not in ("latest", "earliest"):
             raise ValueError(keep)
@@ -77,24 +71,18 @@ class KeyedTable:
         self.order_cols = order_cols or []
         self.slice_expr = slice_expr
         self.keep = keep
-        self.compact_every = compact_every
         self.data_path = f"{self.path}/data"
 
     # ------------------------------------------------------------ reading
 
-    def _raw(self, folders: list[str] | None = None) -> DataFrame | None:
-        """Every stored row version (with ``_batch``), or those of the
-        given folders."""
-        if folders is not None:
-            df = self.spark.read.option("basePath", self.data_path).parquet(*folders)
-        elif _readable(self.spark, self.data_path):
-            df = self.spark.read.parquet(self.data_path)
-        else:
+    def _raw(self) -> DataFrame | None:
+        """Every stored row version."""
+        if not _readable(self.spark, self.data_path):
             return None
         # Slice values are text; undo partition-value type inference
         # (a day such as 2024-01-15 would come back as a date).
-        return (df.withColumn(self.slice_col, F.col(self.slice_col).cast("string"))
-                  .withColumn(self.BATCH, F.col(self.BATCH).cast("string")))
+        df = self.spark.read.parquet(self.data_path)
+        return df.withColumn(self.slice_col, F.col(self.slice_col).cast("string")).drop(self.BATCH)
 
     def read(self) -> DataFrame | None:
         """The current row per key, tombstones and ``_version`` included."""
@@ -108,19 +96,22 @@ class KeyedTable:
             raise FileNotFoundError(self.data_path)
         return df.where(~F.col(self.DELETED)).drop(self.VERSION, self.DELETED)
 
+    def field(self, name: str, slice_value: str) -> DataFrame:
+        """One field of the current rows of a slice (its folders only)."""
+        return self.table().where(F.col(self.slice_col) == slice_value).select(name)
+
     def _resolve(self, raw: DataFrame) -> DataFrame:
         """Latest (or earliest) row per key.  The slice column is grouped on
         as well (it is a function of the key), so a slice filter on the
         result is pushed below the aggregate into the scan."""
-        raw = raw.drop(self.BATCH)
         group = self.keys + ([self.slice_col] if self.slice_col not in self.keys else [])
+        order = [c for c in self.order_cols if c not in (self.VERSION, *group)]
         if self.keep == "earliest":
             # Tombstones sort first among equals so a delete still wins.
-            order = [c for c in self.order_cols if c != self.VERSION]
             rest = [c for c in raw.columns if c not in group and c not in order]
             pick = F.min(F.struct(*order, (~F.col(self.DELETED)).alias("_live"), *rest))
         else:
-            order = [self.VERSION] + [c for c in self.order_cols if c != self.VERSION]
+            order = [*order, self.VERSION]
             rest = [c for c in raw.columns if c not in group and c not in order]
             pick = F.max(F.struct(*order, *rest))
         agg = raw.groupBy(*group).agg(pick.alias("_l"))
@@ -130,22 +121,18 @@ class KeyedTable:
 
     def upsert(self, batch: DataFrame, batch_id: int, writer: str = "") -> None:
         """Write ``batch`` as the rows of (``writer``, ``batch_id``);
-        replaying the same batch id replaces them."""
+        replaying the same batch id replaces all of them."""
         if self.slice_col not in batch.columns and self.slice_expr is not None:
             batch = batch.withColumn(self.slice_col, self.slice_expr)
-        if self.VERSION not in batch.columns:
-            batch = batch.withColumn(self.VERSION, F.lit(batch_id).cast("long"))
+        batch = batch.withColumn(self.VERSION, F.lit(time.time_ns() // 1000).cast("long"))
         if self.DELETED not in batch.columns:
             batch = batch.withColumn(self.DELETED, F.lit(False))
-        out = batch.withColumn(self.BATCH, F.lit(f"b{writer}_{batch_id:012d}"))
         # Rebalance on the slice: AQE packs small slices into one file and
         # splits a hot slice over several tasks, so a day holding a third
         # of the rows is not written by one task.
-        (out.hint("rebalance", self.slice_col)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.slice_col, self.BATCH).parquet(self.data_path))
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.compact(min_folders=2, writer=writer, batch_id=batch_id)
+        (batch.hint("rebalance", self.slice_col)
+            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(self.slice_col)
+            .parquet(f"{self.data_path}/{self.BATCH}=b{writer}_{batch_id:012d}"))
 
     def delete(self, ids: DataFrame, batch_id: int, writer: str = "") -> None:
         """A19 on the stored table: tombstone the rows of the given keys."""
@@ -153,111 +140,49 @@ class KeyedTable:
         if cur is None:
             return
         hit = cur.join(ids.select(*self.keys).distinct(), self.keys, "left_semi")
-        self.upsert(hit.withColumn(self.VERSION, F.lit(batch_id).cast("long"))
-                       .withColumn(self.DELETED, F.lit(True)), batch_id, writer)
-
-    # ------------------------------------------------------------ compaction
-
-    def _fs(self):
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.data_path)
-        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), root
-
-    def _folders(self) -> dict[str, list[str]]:
-        """Slice folder -> its batch folders (file listing, no data read)."""
-        fs, root = self._fs()
-        if not fs.exists(root):
-            return {}
-        out = {}
-        for s in fs.listStatus(root):
-            name = s.getPath().getName()
-            if s.isDirectory() and name.startswith(f"{self.slice_col}="):
-                out[s.getPath().toString()] = [
-                    b.getPath().toString() for b in fs.listStatus(s.getPath())
-                    if b.isDirectory() and b.getPath().getName().startswith(f"{self.BATCH}=")]
-        return out
-
-    def compact(self, min_folders: int = 2, writer: str = "", batch_id: int = 0) -> int:
-        """Fold each slice holding at least ``min_folders`` batch folders
-        into one folder of its resolved rows (tombstones kept, each row with
-        its own ``_version``).  Returns the number of slices compacted.
-
-        The rows are resolved from the listed folders only, staged, swapped
-        in under a new folder name, and only then are the listed folders
-        deleted; until the delete the old and new rows coexist and resolve
-        to the same current rows."""
-        listed = {s: b for s, b in self._folders().items() if len(b) >= min_folders}
-        if not listed:
-            return 0
-        folders = [f for bs in listed.values() for f in bs]
-        resolved = self._resolve(self._raw(folders))
-        out = resolved.withColumn(self.BATCH, F.lit(f"c{writer}_{batch_id:012d}"))
-        staged = f"{self.path}/_staging/compact_{writer}_{batch_id}"
-        (out.hint("rebalance", self.slice_col)
-            .write.mode("overwrite").partitionBy(self.slice_col, self.BATCH).parquet(staged))
-        (self.spark.read.parquet(staged)
-             .withColumn(self.slice_col, F.col(self.slice_col).cast("string"))
-             .withColumn(self.BATCH, F.col(self.BATCH).cast("string"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(self.slice_col, self.BATCH).parquet(self.data_path))
-        fs, _ = self._fs()
-        jvm = self.spark._jvm
-        new_name = f"{self.BATCH}=c{writer}_{batch_id:012d}"
-        for f in folders:
-            if not f.rstrip("/").endswith(new_name):
-                fs.delete(jvm.org.apache.hadoop.fs.Path(f), True)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
-        return len(listed)
+        self.upsert(hit.withColumn(self.DELETED, F.lit(True)), batch_id, writer)
+
+    def copy_to(self, target: "KeyedTable") -> None:
+        """Maintenance: the current rows as one batch of a fresh table.  This
+        one stays as it is, so its readers aren't disturbed; switch to the
+        copy when it is complete."""
+        rows = self.read()
+        if rows is not None:
+            target.upsert(rows, 0, "copy")
 
 
 class TopicFiles:
     """A6-A8 on files: messages ``topic, value`` (+ any columns) stored
-    under ``topic=<name>/batch_id=<id>``; readable as a stream source."""
+    under ``batch=<writer>_<id>/topic=<name>``; readable as a stream source."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def write_batch(self, messages: DataFrame, batch_id: int) -> None:
-        out = messages.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", "topic").parquet(self.path))
+    def write_batch(self, messages: DataFrame, batch_id: int, writer: str = "") -> None:
+        """Replaces the batch's folder as a whole, topics that a replay no
+        longer has included."""
+        (messages.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("topic").parquet(f"{self.path}/batch=b{writer}_{batch_id:012d}"))
 
     def read(self, topic: str | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path)
+        df = self.spark.read.parquet(self.path).drop("batch")
         return df if topic is None else df.where(F.col("topic") == topic)
 
-    def topic_glob(self, topic: str) -> str:
-        return f"{self.path}/batch_id=*/topic={topic}"
-
-
-def kafka_writer(messages: DataFrame, bootstrap: str, checkpoint: str, topic: str | None = None):
-    """Stream ``topic`` (unless fixed), optional ``key`` and
-    ``value`` to Kafka with an idempotent, all-replica-ack producer."""
-    w = (messages.writeStream.format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap)
-         .option("kafka.acks", "all")
-         .option("kafka.enable.idempotence", "true")
-         .option("checkpointLocation", checkpoint))
-    if topic:
-        w = w.option("topic", topic)
-    return w
-
-
-def write_once(df: DataFrame, path: str) -> str:
-    """Materialise a batch frame as a table in shared storage (used to cut
-    lineage and to stage stream inputs)."""
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
 
+class KafkaTopic:
+    """A6-A8 on Kafka: each message to the topic it names, ``key`` kept when
+    there is one; an idempotent producer that waits for all replicas.  A
+    replayed batch is sent again (consumers see at-least-once)."""
 
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+    def __init__(self, bootstrap: str, **options: str):
+        self.options = {"kafka.bootstrap.servers": bootstrap, "kafka.acks": "all",
+                        "kafka.enable.idempotence": "true", **options}
 
+    @staticmethod
+    def messages(messages: DataFrame) -> DataFrame:
+        """The columns that Kafka takes: topic, value and, if given, key."""
+        columns = ["topic", *(["key"] if "key" in messages.columns else []), "value"]
+        return messages.select(*[F.col(c).cast("string") for c in columns])
 
-def ensure_dir(path: str) -> None:
-    if is_local(path):
-        os.makedirs(local_path(path), exist_ok=True)
+    def write_batch(self, messages: DataFrame, batch_id: int, writer: str = "") -> None:
+        self.messages(messages).write.format("kafka").options(**self.options).save()

@@ -2,12 +2,16 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from martflow.operators import cdc
 
 
 def changes(spark, *recs):
-    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(recs)], "offset long, value string")
-    return cdc.parse_change(df, keep=["offset"])
+    df = spark.createDataFrame([(0, i, json.dumps(r)) for i, r in enumerate(recs)],
+                               "partition int, offset long, value string") \
+        .withColumn("timestamp", F.timestamp_seconds(F.col("offset")))
+    return cdc.parse_change(df, keep=cdc.CHANGE_ORDER)
 
 
 def facts(spark, parsed, tables=("order_info",)):
@@ -52,7 +56,25 @@ def test_snapshot_merge(spark):
     first = cdc.dim_changes(changes(spark, {"type": "insert", "table": "u", "data": {"id": 1, "v": 1}}),
                             cdc.table_list(spark, ["u"]))
     snap = cdc.upsert_dimension(first)
-    later = spark.createDataFrame([("u", "1", "U", '{"id":1,"v":2}', 10), ("u", "3", "I", '{"id":3}', 11)],
-                                  "table string, id string, op string, data string, offset long")
+    later = spark.createDataFrame([("u", "1", "U", '{"id":1,"v":2}', 0, 10), ("u", "3", "I", '{"id":3}', 0, 11)],
+                                  "table string, id string, op string, data string, partition int, offset long") \
+        .withColumn("timestamp", F.timestamp_seconds(F.col("offset")))
     merged = {r["id"]: r["data"] for r in cdc.upsert_dimension(later, snapshot=snap).collect()}
     assert merged == {"1": '{"id":1,"v":2}', "3": '{"id":3}'}
+
+
+def test_offsets_of_partitions_do_not_compete(spark):
+    """The record's time decides between partitions, whatever their offsets."""
+    rows = [("u", "1", "U", '{"v":"old"}', 0, 900, 1), ("u", "1", "U", '{"v":"new"}', 1, 5, 2),
+            ("u", "2", "U", '{"v":"a"}', 0, 7, 1), ("u", "2", "U", '{"v":"b"}', 1, 6, 1)]
+    df = spark.createDataFrame(rows, "table string, id string, op string, data string, partition int, offset long, t long") \
+        .withColumn("timestamp", F.timestamp_seconds(F.col("t")))
+    got = {r["id"]: json.loads(r["data"])["v"] for r in cdc.upsert_dimension(df).collect()}
+    assert got == {"1": "new", "2": "b"}
+
+
+def test_bad_changes_are_kept(spark):
+    values = ["not json", "[1]", '{"table":"t"}', '{"type":"insert","table":"t","data":{"id":1}}', '{"type":"odd"}', None]
+    raw = spark.createDataFrame([(v,) for v in values], "value string")
+    got = sorted(r["value"] for r in cdc.bad_changes(raw).collect())
+    assert got == sorted(["not json", "[1]", '{"table":"t"}'])

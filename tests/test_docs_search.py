@@ -22,8 +22,10 @@ def test_search_by_filter_any_term_score_edge(spark):
     out = Q.search_by_filter(movies(spark), 5.0, "red sea", page_no=1, page_size=2).collect()
     assert [(r["id"], r["name"], r["total"]) for r in out] == [
         ("1", "<em>red</em> <em>sea</em> operation", 2), ("2", "the <em>sea</em>", 2)]
-    past_end = Q.search_by_filter(movies(spark), 5.0, "red sea", page_no=5, page_size=2)
-    assert past_end.count() == 0
+    past_end = Q.search_by_filter(movies(spark), 5.0, "red sea", page_no=5, page_size=2).collect()
+    assert [(r["id"], r["name"], r["total"]) for r in past_end] == [(None, None, 2)]
+    nothing = Q.search_by_filter(movies(spark), 5.0, "nosuch", page_no=1, page_size=2).collect()
+    assert [(r["id"], r["total"]) for r in nothing] == [(None, 0)]
 
 
 def test_actor_stats_count_once_per_film(spark):
@@ -70,7 +72,7 @@ def test_document_writes(spark):
 def test_bm25_orders_by_relevance(spark):
     df = spark.createDataFrame([(1, "red bolt"), (2, "red red bolt"), (3, "blue bolt"), (4, "red gear big")],
                                "id long, name string")
-    scored = search.bm25(df, "id", "name", "red").collect()
+    scored = search.bm25(df.withColumn("n", F.lit(1)), "name", "red", "n").collect()
     s = {r["id"]: r["score"] for r in scored}
     assert s[3] == 0.0
     assert s[2] > s[1] > s[4] > 0
@@ -86,7 +88,15 @@ def test_bm25_orders_by_relevance(spark):
 def test_detail_by_item_relevance_order(spark):
     from martflow.plans.catalog import Catalog
     from conftest import SF_SMALL
-    w = Catalog(spark, SF_SMALL, "2024-01-31").order_wide
-    page = Q.detail_by_item(w, None, "red", 1, 5, order="score").collect()
+    c = Catalog(spark, SF_SMALL, "2024-01-31")
+    page = Q.detail_by_item(c.sales(), c.enrich_sales, "red", 1, 5, order="score").collect()
     assert len(page) == 5 and all("<em>red</em>" in r["sku_name"] for r in page)
     assert len({r["total"] for r in page}) == 1
+
+
+def test_weighted_statistics_equal_repeated_documents(spark):
+    df = spark.createDataFrame([("red bolt", 3), ("red red gear", 1), ("blue bolt", 4)], "name string, n int")
+    each = df.select("name", F.explode(F.sequence(F.lit(1), "n"))).select("name").withColumn("n", F.lit(1))
+    a = {r["name"]: r["score"] for r in search.bm25(df, "name", "red bolt", "n").collect()}
+    b = {r["name"]: r["score"] for r in search.bm25(each, "name", "red bolt", "n").collect()}
+    assert a == b

@@ -1,7 +1,9 @@
 """Streaming jobs: stream = batch, restart, replay, arrival order."""
 
+import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from martflow import schemas
@@ -22,8 +24,8 @@ def rows(df, cols=None):
 
 def test_dau_stream_equals_batch_over_several_files(spark):
     batch = Catalog(spark, SF_SMALL, AS_OF).dau_info()
-    stream = pipeline.run_dau(spark, SF_SMALL, as_of=AS_OF, files=3)
-    assert rows(stream) == rows(batch)
+    table, _ = pipeline.run_dau(spark, SF_SMALL, as_of=AS_OF, files=3)
+    assert rows(table.table().select(*schemas.names(schemas.DAU_INFO))) == rows(batch)
 
 
 def test_dau_restart_on_same_checkpoint(spark, tmp_dir):
@@ -139,10 +141,19 @@ def test_order_join_arrival_orders(spark, tmp_dir):
     assert r["order_id"] == 2 and r["user_gender"] == "M" and r["province_name"] == "NATION_1"
 
 
-def test_order_join_stream_equals_batch(spark):
+@pytest.mark.parametrize("files, line_files", [(1, 1), (2, 2), (4, 4), (8, 8), (6, 2), (2, 5)])
+def test_order_join_is_the_batch_join_for_any_number_of_batches(spark, files, line_files):
+    batch = Catalog(spark, SF_SMALL, AS_OF).order_wide
+    table, late, _ = pipeline.run_order_join(spark, SF_SMALL, as_of=AS_OF, files=files, line_files=line_files)
+    assert late == 0
+    assert rows(table.table().select(*schemas.names(schemas.ORDER_WIDE))) == rows(batch)
+
+
+def test_order_join_reports_late_rows_and_reconciles_them(spark):
     batch = Catalog(spark, SF_SMALL, AS_OF).order_wide
-    stream = pipeline.run_order_join(spark, SF_SMALL, as_of=AS_OF, files=2)
-    assert rows(stream) == rows(batch)
+    table, late, missed = pipeline.run_order_join(spark, SF_SMALL, as_of=AS_OF, files=4, ordered=False, reconcile=True)
+    assert late > 0 and missed > 0
+    assert rows(table.table().select(*schemas.names(schemas.ORDER_WIDE))) == rows(batch)
 
 
 def test_cdc_table_list_edit_applies_next_batch(spark, tmp_dir):
@@ -152,20 +163,23 @@ def test_cdc_table_list_edit_applies_next_batch(spark, tmp_dir):
     rec = lambda t, i: json.dumps({"type": "insert", "table": t, "data": {"id": i}})
     cdc.table_list(spark, ["order_info"]).write.mode("overwrite").parquet(conf)
     facts = TopicFiles(spark, f"{tmp_dir}/dwd")
-    dims_t = KeyedTable(spark, f"{tmp_dir}/dim", keys=["table", "id"], slice_col="table", order_cols=["offset"])
+    dims_t = jobs.dimension_table(spark, f"{tmp_dir}/dim")
+    topic = "topic string, partition int, offset long, timestamp timestamp, value string"
 
     def run(values, start):
-        spark.createDataFrame([("ODS", 0, start + k, v) for k, v in enumerate(values)],
-                              "topic string, partition int, offset long, value string") \
+        spark.createDataFrame([("ODS", 0, start + k, datetime.datetime(2024, 1, 1, 0, 0, start + k), v)
+                               for k, v in enumerate(values)], topic) \
             .coalesce(1).write.mode("append").parquet(src)
-        raw = spark.readStream.schema("topic string, partition int, offset long, value string").parquet(src)
+        raw = spark.readStream.schema(topic).parquet(src)
         q = jobs.cdc_split_job(raw, facts, dims_t, lambda: cdc.table_list(spark, path=conf),
                                lambda: cdc.table_list(spark, ["user_info"]), f"{tmp_dir}/ckpt", "availableNow")
         q.awaitTermination()
     run([rec("order_info", 1), rec("order_detail", 2)], 0)
     cdc.table_list(spark, ["order_info", "order_detail"]).write.mode("overwrite").parquet(conf)
-    run([rec("order_detail", 3), rec("user_info", 4)], 10)
-    topics = sorted((r["topic"], json.loads(r["value"])["id"]) for r in facts.read().collect())
+    run([rec("order_detail", 3), rec("user_info", 4), "no json"], 10)
+    bad = facts.read("BAD_RECORDS").collect()
+    assert [r["value"] for r in bad] == ["no json"]
+    topics = sorted((r["topic"], json.loads(r["value"])["id"]) for r in facts.read().where("topic <> 'BAD_RECORDS'").collect())
     assert topics == [("DWD_ORDER_DETAIL_I", 3), ("DWD_ORDER_INFO_I", 1)]
     assert [(r["table"], r["id"]) for r in dims_t.table().collect()] == [("user_info", "4")]
 
@@ -205,31 +219,97 @@ def test_earliest_table_keeps_first_visit(spark, tmp_dir):
     assert [x["page_id"] for x in t.table().collect()] == ["early"]
 
 
-def test_keyed_sink_merge_on_read_compaction(spark, tmp_dir):
+def test_keyed_sink_merge_on_read(spark, tmp_dir):
     schema = "id long, dt string, v string"
-    t = KeyedTable(spark, f"{tmp_dir}/kt_c", keys=["id"], slice_col="dt", compact_every=0)
-    t.upsert(spark.createDataFrame([(1, "2024-01-01", "a"), (2, "2024-01-02", "b")], schema), 0, writer="w")
-    t.upsert(spark.createDataFrame([(2, "2024-01-02", "c"), (3, "2024-01-02", "d")], schema), 1, writer="w")
+    make = lambda rs: spark.createDataFrame(rs, schema)
+    t = KeyedTable(spark, f"{tmp_dir}/kt_c", keys=["id"], slice_col="dt")
+    t.upsert(make([(1, "2024-01-01", "a"), (2, "2024-01-02", "b")]), 0, writer="w")
+    t.upsert(make([(2, "2024-01-02", "c"), (3, "2024-01-02", "d")]), 1, writer="w")
     t.delete(spark.createDataFrame([(3,)], "id long"), 2, writer="w")
     expected = [("2024-01-01", 1, "a"), ("2024-01-02", 2, "c")]
     assert rows(t.table()) == expected
-    # a batch writes its own folder per slice; day 2 holds three of them
-    assert sorted(len(b) for b in t._folders().values()) == [1, 3]
-    assert t.compact(min_folders=2, writer="w", batch_id=2) == 1
-    assert sorted(len(b) for b in t._folders().values()) == [1, 1]
-    assert rows(t.table()) == expected
-    # replaying batch 1 after compaction and a new writer restarting at
-    # batch 0 leave the resolved rows as they were / apply the new put
-    t.upsert(spark.createDataFrame([(2, "2024-01-02", "c"), (3, "2024-01-02", "d")], schema), 1, writer="w")
-    assert rows(t.table()) == expected
-    t.upsert(spark.createDataFrame([(4, "2024-01-01", "e")], schema), 0, writer="other")
-    assert rows(t.table()) == sorted(expected + [("2024-01-01", 4, "e")])
+    # a new writer restarting at batch 0 puts a newer row over an existing key
+    t.upsert(make([(2, "2024-01-02", "e")]), 0, writer="other")
+    assert rows(t.table()) == [expected[0], ("2024-01-02", 2, "e")]
+    assert [r["v"] for r in t.field("v", "2024-01-02").collect()] == ["e"]
     # a slice filter reaches the scan as a partition filter
     plan = t.table().where(F.col("dt") == "2024-01-01")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-01" in plan
-    # compaction every second batch runs inside upsert
-    auto = KeyedTable(spark, f"{tmp_dir}/kt_auto", keys=["id"], slice_col="dt", compact_every=2)
-    for b, v in enumerate(["x", "y", "z"]):
-        auto.upsert(spark.createDataFrame([(9, "2024-01-03", v)], schema), b, writer="w")
-    assert [len(f) for f in auto._folders().values()] == [1]
-    assert rows(auto.table()) == [("2024-01-03", 9, "z")]
+    copy = KeyedTable(spark, f"{tmp_dir}/kt_copy", keys=["id"], slice_col="dt")
+    t.copy_to(copy)
+    assert rows(copy.table()) == rows(t.table())
+
+
+def test_source_order_beats_batch_order(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/kt_o", keys=["id"], slice_col="dt", order_cols=["offset"])
+    make = lambda o, v: spark.createDataFrame([(1, "d", o, v)], "id long, dt string, offset long, v string")
+    t.upsert(make(100, "old"), 7, writer="aaa")
+    t.upsert(make(200, "new"), 0, writer="bbb")
+    t.upsert(make(150, "between"), 9, writer="aaa")
+    assert [r["v"] for r in t.table().collect()] == ["new"]
+
+
+def test_replay_with_less_leaves_nothing_behind(spark, tmp_dir):
+    from martflow.streaming.sinks import TopicFiles
+    facts = TopicFiles(spark, f"{tmp_dir}/topics")
+    make = lambda names: spark.createDataFrame([(n, "v") for n in names], "topic string, value string")
+    facts.write_batch(make("AB"), 3, "w")
+    facts.write_batch(make("A"), 3, "w")
+    facts.write_batch(make("C"), 3, "other")
+    assert sorted(r["topic"] for r in facts.read().collect()) == ["A", "C"]
+    t = KeyedTable(spark, f"{tmp_dir}/kt_r", keys=["id"], slice_col="dt")
+    t.upsert(spark.createDataFrame([(1, "x"), (2, "y")], "id long, dt string"), 0, "w")
+    t.upsert(spark.createDataFrame([(1, "x")], "id long, dt string"), 0, "w")
+    assert [r["id"] for r in t.table().collect()] == [1]
+
+
+def test_bad_user_ids_and_unmatched_counts(spark, tmp_dir):
+    """An id that is no number finds no user and stops nothing; the counts say so."""
+    page = tables.page_log(spark, SF_SMALL).where("last_page_id IS NULL").limit(5).withColumn("user_id", F.lit("abc"))
+    page.write.parquet(f"{tmp_dir}/page")
+    said = []
+    dims = lambda: (tables.user_info(spark, SF_SMALL), tables.base_province(spark, SF_SMALL))
+    table = jobs.dau_table(spark, f"{tmp_dir}/dau")
+    q = jobs.dau_job(spark.readStream.schema(schemas.PAGE_LOG).parquet(f"{tmp_dir}/page"), dims, table, f"{tmp_dir}/c",
+                     "availableNow", as_of=AS_OF, report=lambda *x: said.append(x))
+    pipeline.finish(q)
+    n = table.table().count()
+    assert n > 0 and said[0][0] == "dau" and said[0][2]["rows"] == said[0][2]["no_user"] == n
+    assert said[0][2]["no_province"] == 0
+
+
+def test_bootstrap_is_for_first_arrival_only(spark, tmp_dir):
+    page = spark.readStream.schema(schemas.PAGE_LOG).parquet(tmp_dir)
+    with pytest.raises(ValueError):
+        jobs.dau_job(page, None, jobs.dau_table(spark, f"{tmp_dir}/t"), f"{tmp_dir}/c", bootstrap_from_sink=True)
+
+
+def test_processing_time_trigger(spark, tmp_dir):
+    """A running query with an interval trigger takes new files by itself."""
+    path = f"{tmp_dir}/in"
+    tables.app_log(spark, SF_SMALL).limit(50).coalesce(1).write.parquet(path)
+    from martflow.streaming.sources import read_topic
+    q = jobs.log_split_job(read_topic(spark, "parquet", path), f"{tmp_dir}/out", f"{tmp_dir}/c", trigger="1 second")
+    try:
+        q.processAllAvailable()
+        first = spark.read.parquet(f"{tmp_dir}/out").count()
+        tables.app_log(spark, SF_SMALL).limit(80).coalesce(1).write.mode("append").parquet(path)
+        q.processAllAvailable()
+        assert spark.read.parquet(f"{tmp_dir}/out").count() > first > 0
+    finally:
+        q.stop()
+
+
+def test_kafka_options_and_messages(spark):
+    """A1, A2, A6, A7 without a broker: options and columns."""
+    from martflow.streaming.sinks import KafkaTopic
+    from martflow.streaming.sources import kafka_options
+    assert kafka_options("h:1", "t")["startingOffsets"] == "latest"
+    explicit = kafka_options("h:1", "t", {"t": {0: 5, 1: 7}}, failOnDataLoss="false")
+    assert json.loads(explicit["startingOffsets"]) == {"t": {"0": 5, "1": 7}} and explicit["failOnDataLoss"] == "false"
+    out = KafkaTopic("h:1", **{"kafka.linger.ms": "5"})
+    assert out.options["kafka.acks"] == "all" and out.options["kafka.linger.ms"] == "5"
+    unkeyed = spark.createDataFrame([("t", 1, "v")], "topic string, offset long, value string")
+    assert out.messages(unkeyed).columns == ["topic", "value"]
+    keyed = spark.createDataFrame([("t", 4, "v")], "topic string, key long, value string")
+    assert out.messages(keyed).dtypes == [("topic", "string"), ("key", "string"), ("value", "string")]
