@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 # Text handed to numpy at a time: bounds a Python worker's memory whatever the
 # size of an Arrow batch (one document longer than this is a chunk of its own).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,15 +59,13 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str,
            max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches into row runs of at most ``max_bytes`` of text."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        texts = as_bytes(batch.column(batch.schema.get_field_index(text)))
-        ends = np.cumsum([len(t) for t in texts])
+        column = batch.column(batch.schema.get_field_index(text))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
-        while at < len(texts):
+        while at < batch.num_rows:
             done = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, done + max_bytes, side="right")))
-            yield batch.slice(at, to - at), texts[at:to]
+            yield batch.slice(at, to - at), as_bytes(column.slice(at, to - at))
             at = to
 
 

@@ -27,6 +27,7 @@ input; null ids come first; an empty table gives no rows; extra columns are igno
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -70,7 +71,11 @@ class Lines:
         full = last > first
         self.doc, self.number, self.begin, self.end = doc[full], number[full], starts[full], ends[full]
         self.first, self.last = first[full], last[full]
-        self.h = self.words.hashes(lower=True)
+
+    @functools.cached_property
+    def h(self) -> np.ndarray:
+        """Hashes of the words."""
+        return self.words.hashes(lower=True)
 
     def sequences(self) -> np.ndarray:
         """A hash of each line's words in order."""

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, broadcast_if_small, map_texts, mix, read_table, save, window_hashes
+from .common import CHUNK_BYTES, Words, broadcast_if_small, map_texts, mix, read_table, save, window_hashes
 
 WIDTH = 5
 PERCENT = 75
@@ -164,7 +164,7 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> D
             while at < len(left):
                 # bounded runs of pairs, each distinct text of a run decoded once
                 to, seen, size = at, {}, 0
-                while to < len(left) and (size < 4 << 20 or to == at):
+                while to < len(left) and (size < CHUNK_BYTES or to == at):
                     for t in (left[to], right[to]):
                         if t not in seen:
                             seen[t] = len(seen)

@@ -39,7 +39,7 @@ from .common import Words, chunks, distinct, read_table, save, window_hashes
 
 WINDOW = 35
 BLOCK = (WINDOW + 1) // 2
-BLOB_BYTES = 4 << 20
+BLOB_BYTES = 2 << 20
 BUCKET_VALUES = 2_000_000      # probes a bucket should hold
 MAX_BUCKET_BITS = 20
 BROADCAST_BYTES = 32 << 20     # of answers, checked before they are broadcast
