@@ -293,3 +293,28 @@ def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM texts WHERE len(w) > 0) t),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+near AS (
+  SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * common >= 75 * (a.n + b.n - common)),
+links AS (SELECT x, y FROM near UNION ALL SELECT y, x FROM near),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
+"""

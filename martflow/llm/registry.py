@@ -29,7 +29,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op10_exact_dedup": exact_dedup.OP10_SQL}
+    sql = {"op3_minhash_near_dedup": minhash.OP3_SQL, "op7_substring_dedup": substring_dedup.OP7_SQL,
+           "op10_exact_dedup": exact_dedup.OP10_SQL}
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql

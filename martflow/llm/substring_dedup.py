@@ -267,3 +267,24 @@ def _without(blob: Blob, ids, starts: np.ndarray) -> dict:
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(read_table(spark, sf_dir, "documents")) \
         .select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP7_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+starts AS (
+  SELECT row, i, array_to_string(w[i:i + 34], ' ') AS win
+  FROM (SELECT row, w, unnest(generate_series(1, len(w) - 34)) AS i FROM texts WHERE len(w) >= 35) t),
+again AS (
+  SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY win) AS n FROM starts) s WHERE n > 1),
+marked AS (
+  SELECT p.row, p.i, p.word,
+         max(CASE WHEN a.i IS NOT NULL THEN p.i END)
+           OVER (PARTITION BY p.row ORDER BY p.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM (SELECT row, unnest(generate_series(1, len(w))) AS i, unnest(w) AS word FROM texts) p
+  LEFT JOIN again a ON a.row = p.row AND a.i = p.i)
+SELECT any_value(t.doc_id) AS doc_id, any_value(len(t.w)) AS n_words, count(CASE WHEN m.gone THEN 1 END) AS n_removed,
+       sha256(coalesce(string_agg(CASE WHEN NOT m.gone THEN m.word END, ' ' ORDER BY m.i), '')) AS kept_sha256
+FROM texts t LEFT JOIN marked m ON m.row = t.row GROUP BY t.row
+"""
