@@ -101,35 +101,32 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTES = mix(np.arange(256, dtype=np.uint64), 7)
-_LOWER = _BYTES.copy()
-_LOWER[65:91] = _BYTES[97:123]
+HASH_BYTES = 1 << 16        # bytes hashed at a time: the arrays stay in a core's cache
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            steps = np.full(n, base, dtype=np.uint64)
+            steps = np.full(max(n, 2 * HASH_BYTES), base, dtype=np.uint64)
             steps[0] = 1
             _powers[k] = np.cumprod(steps)
     return _powers[0], _powers[1]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans [starts, ends) of ``data``; spans are in order
-    and don't overlap. Prefix sums of byte values times powers of an odd base give
-    each span's polynomial; a finaliser mixes it with the span's length."""
+    and don't overlap. Prefix sums of bytes times powers of an odd base give each span's
+    polynomial; a finaliser mixes it with the span's length."""
     out = np.zeros(len(starts), dtype=np.uint64)
-    table = _LOWER if lower else _BYTES
     at = 0
     while at < len(starts):
         first = int(starts[at])
-        to = max(at + 1, int(np.searchsorted(ends, first + CHUNK_BYTES, side="right")))
-        last = int(ends[to - 1])
-        power, inverse = _power_tables(max(last - first, CHUNK_BYTES if last - first > 65536 else 65536) + 1)
-        sums = np.zeros(last - first + 1, dtype=np.uint64)
-        np.cumsum(table[data[first:last]] * power[:last - first], out=sums[1:])
+        to = max(at + 1, int(np.searchsorted(ends, first + HASH_BYTES, side="right")))
+        n = int(ends[to - 1]) - first
+        power, inverse = _power_tables(n + 1)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(np.multiply(data[first:first + n], power[:n], dtype=np.uint64), out=sums[1:])
         s, e = starts[at:to] - first, ends[at:to] - first
         out[at:to] = (sums[e] - sums[s]) * inverse[s]
         at = to
@@ -154,7 +151,9 @@ class Words:
         self.counts = np.diff(self.first)
 
     def hashes(self, lower: bool = False) -> np.ndarray:
-        return span_hashes(self.data, self.starts, self.ends, lower)
+        """Of the words as they are, or lower-cased A-Z."""
+        data = np.frombuffer(self.data.tobytes().lower(), dtype=np.uint8) if lower else self.data
+        return span_hashes(data, self.starts, self.ends)
 
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)

@@ -16,9 +16,10 @@ similarity of at least ``PERCENT`` / 100 with it, whether or not that one stays.
    128-bit signatures (a bit that only one line has is a word that only it has) leave few
    pairs.
 4. Remaining pairs are verified on the full word sets. A line needs one earlier match, so
-   at first only its ``FIRST_TRIES`` closest candidates of a word go on; lines without a
-   match that had more get all their candidates in a second pass. Nothing is lost, and a
-   large group of variants of a line isn't expanded into all its pairs.
+   at first only its ``FIRST_TRIES`` closest candidates of a word go on. Lines without a
+   match that had more are tried against all their candidates in a second pass, inside
+   the bucket's task, which gets the texts of the lines for it, and stops at a line's
+   first match. Nothing is lost, and a group of variants isn't expanded into its pairs.
 
 Defined cases: a null text has no line; lines without words are never removed and match
 nothing; a repeated row is a later document, ties of ids go by the rows' place in the
@@ -44,9 +45,10 @@ PERCENT = 85
 COUNTERS_LOG2 = 18
 FIRST_TRIES = 3
 ID_BITS = 44                   # of a word: 14 of frequency, 30 of hash
-BUCKET_WORDS = 6_000_000       # words of text whose prefixes a bucket should hold
+BUCKET_WORDS = 3_000_000       # words of text whose prefixes a bucket should hold
 MAX_BUCKET_BITS = 16
-PAIR_BLOCK = 1 << 20           # pairs compared at a time in a bucket
+PAIR_BLOCK = 1 << 18           # pairs compared at a time in a bucket
+SLOTS_LOG2 = 20                # of the table of words that the second pass looks at
 FIRST_ID = -(1 << 63)          # where null ids are ordered
 
 
@@ -222,12 +224,12 @@ def _ones(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 
 
-def _candidates(c: dict, tries: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs of one bucket: rows of the later and the earlier line, and whether
-    the later one had more candidates than ``tries`` for the shared word. ``c`` has the
-    postings sorted by word and size."""
+def _candidates(c: dict, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs of one bucket: rows of the later and the earlier line, and how far
+    apart their signatures are at least. ``c`` has the postings sorted by word and size;
+    ``wanted`` limits the pairs to those whose later line it marks."""
     n = len(c["token"])
-    size, place = c["size"].astype(np.int64), c["place"].astype(np.int64)
+    size, place, doc, line = c["size"].astype(np.int64), c["place"].astype(np.int64), c["doc"].view(np.int64), c["line"]
     # each line meets the following ones of the same word that are at most 1/t times as long
     key = c["token"].astype(np.uint64) << np.uint64(32)
     reach = np.searchsorted(key | size.astype(np.uint64), key | (size * 100 // PERCENT).astype(np.uint64), side="right")
@@ -240,6 +242,9 @@ def _candidates(c: dict, tries: int | None) -> tuple[np.ndarray, np.ndarray, np.
         to = max(at + 1, int(np.searchsorted(ends, done + PAIR_BLOCK, side="right")))
         left = np.repeat(np.arange(at, to), width[at:to])
         right = left + 1 + np.arange(len(left)) - np.repeat(ends[at:to] - width[at:to] - done, width[at:to])
+        if wanted is not None:
+            ok = wanted[left] | wanted[right]
+            left, right = left[ok], right[ok]
         need = -(-PERCENT * (size[left] + size[right]) // (100 + PERCENT))     # common words a match must have
         a, b = place[left], place[right]
         ok = np.minimum(a, b) + np.minimum(size[left] - a, size[right] - b) >= need
@@ -248,70 +253,151 @@ def _candidates(c: dict, tries: int | None) -> tuple[np.ndarray, np.ndarray, np.
         only_left = _ones(low_l & ~low_r) + _ones(high_l & ~high_r)
         only_right = _ones(low_r & ~low_l) + _ones(high_r & ~high_l)
         ok = (size[left] - only_left >= need) & (size[right] - only_right >= need)
-        left, right = left[ok], right[ok]
-        found.append((left, right, (only_left + only_right)[ok] / (size[left] + size[right])))
+        left, right, apart = left[ok], right[ok], (only_left + only_right)[ok]
+        swap = (doc[left] > doc[right]) | ((doc[left] == doc[right]) & (line[left] > line[right])) \
+            | ((doc[left] == doc[right]) & (line[left] == line[right])
+               & ((c["blob"][left] > c["blob"][right])
+                  | ((c["blob"][left] == c["blob"][right]) & (c["leader"][left] > c["leader"][right]))))
+        later, earlier = np.where(swap, left, right), np.where(swap, right, left)
+        apart = apart / (size[left] + size[right])
+        if wanted is not None:
+            later, earlier, apart = later[wanted[later]], earlier[wanted[later]], apart[wanted[later]]
+        found.append((later, earlier, apart))
         at = to
-    left, right, apart = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-    doc, line = c["doc"].view(np.int64), c["line"]
-    swap = (doc[left] > doc[right]) | ((doc[left] == doc[right]) & (line[left] > line[right])) \
-        | ((doc[left] == doc[right]) & (line[left] == line[right])
-           & ((c["blob"][left] > c["blob"][right]) | ((c["blob"][left] == c["blob"][right]) & (c["leader"][left] > c["leader"][right]))))
-    later, earlier = np.where(swap, left, right), np.where(swap, right, left)
-    if tries is None or not len(later):
-        return later, earlier, np.zeros(len(later), bool)
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _closest(later, earlier, apart, tries: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``tries`` closest candidates of each line, and whether it had more."""
     order = np.lexsort((apart, later))
     later, earlier = later[order], earlier[order]
-    start = np.concatenate([[True], later[1:] != later[:-1]])
+    start = np.ones(len(later), bool)
+    start[1:] = later[1:] != later[:-1]
     rank = np.arange(len(later)) - np.maximum.accumulate(np.where(start, np.arange(len(later)), 0))
     crowded = np.bincount(later, minlength=n) > tries
     take = rank < tries
     return later[take], earlier[take], crowded[later[take]]
 
 
+def _posting_rows(row, lines: Lines, sets: WordSets, leaders, bits: int, slots: np.ndarray | None) -> tuple:
+    """(buckets, arrays by column, leaders' rows of each bucket) of a blob; ``slots`` keeps
+    only words whose slot it marks."""
+    at = sets.prefix()
+    value = mix(sets.word[at], 55) >> np.uint64(32 - bits)
+    if slots is not None:
+        ok = slots[_slot(value)]
+        at, value = at[ok], value[ok]
+    own = sets.owner[at]
+    low, high = sets.signatures()
+    doc = _order_ids(row["ids"])[lines.doc[leaders]]
+    column = {"token": value & np.uint64((1 << 32) - 1), "doc": doc.view(np.uint64)[own], "line": lines.number[leaders][own],
+              "leader": leaders[own], "size": sets.size[own], "place": sets.place[at], "low": low[own], "high": high[own]}
+    bucket = (value >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")           # by line within a bucket, so ids pack well
+    cuts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
+    used = np.flatnonzero(np.diff(cuts))
+    return used, {n: [column[n][order][cuts[b]:cuts[b + 1]].astype(k) for b in used] for n, k in _POSTING}
+
+
+def _slot(value: np.ndarray) -> np.ndarray:
+    return (mix(value, 60) >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
+
+
+def _joined(table: pa.Table) -> dict:
+    """A bucket's postings, sorted by word and size."""
+    runs = {name: [unpack(v, kind) for v in table.column(name).to_pylist()] for name, kind in _POSTING}
+    c = {name: np.concatenate(v) for name, v in runs.items()}
+    c["blob"] = np.repeat(table.column("blob").to_numpy(), [len(v) for v in runs["token"]])
+    del runs
+    order = np.argsort((c["token"].astype(np.uint64) << np.uint64(32)) | c["size"], kind="stable")
+    return {k: v[order] for k, v in c.items()}
+
+
 _SIDES = ["x_blob", "x_place", "y_blob", "y_place"]
+_POSTED = "bucket int, blob long, " + ", ".join(f"{n} binary" for n, _ in _POSTING)
 
 
-def _pairs(blobs: DataFrame, counts, bits: int, tries: int | None) -> DataFrame:
-    """(x_blob, x_place, y_blob, y_place, more): candidate pairs of leaders, x the later line."""
+def _pairs(blobs: DataFrame, counts, bits: int) -> DataFrame:
+    """(x_blob, x_place, y_blob, y_place, slot): the closest candidate pairs of leaders, x the
+    later line; ``slot`` is that of a word for which x had more, else -1."""
     context = blobs.sparkSession.sparkContext.broadcast(counts)   # fixed size
 
     def post(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 lines, leaders = Lines(_texts(row)), np.array(sorted(row["leaders"] or []), np.int64)
-                sets = WordSets(lines, leaders, context.value)
-                at = sets.prefix()
-                own, value = sets.owner[at], mix(sets.word[at], 55) >> np.uint64(32 - bits)
-                low, high = sets.signatures()
-                doc = _order_ids(row["ids"])[lines.doc[leaders]]
-                column = {"token": value & np.uint64((1 << 32) - 1), "doc": doc.view(np.uint64)[own],
-                          "line": lines.number[leaders][own], "leader": leaders[own], "size": sets.size[own],
-                          "place": sets.place[at], "low": low[own], "high": high[own]}
-                bucket = (value >> np.uint64(32)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")           # by line within a bucket, so ids pack well
-                cuts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
-                used = np.flatnonzero(np.diff(cuts))
-                arrays = [pa.array(used, pa.int32()), pa.array(np.full(len(used), row["blob"]), pa.int64())]
-                for name, kind in _POSTING:
-                    v = column[name][order].astype(kind)
-                    arrays.append(pa.array([pack(v[cuts[b]:cuts[b + 1]]) for b in used], pa.binary()))
-                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "blob", *(n for n, _ in _POSTING)])
+                used, columns = _posting_rows(row, lines, WordSets(lines, leaders, context.value), leaders, bits, None)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used, pa.int32()), pa.array(np.full(len(used), row["blob"]), pa.int64()),
+                     *(pa.array([pack(v) for v in columns[n]], pa.binary()) for n, _ in _POSTING)],
+                    ["bucket", "blob", *(n for n, _ in _POSTING)])
 
     def meet(table: pa.Table) -> pa.Table:
-        runs = {name: [unpack(v, kind) for v in table.column(name).to_pylist()] for name, kind in _POSTING}
-        c = {name: np.concatenate(v) for name, v in runs.items()}
-        c["blob"] = np.repeat(table.column("blob").to_numpy(), [len(v) for v in runs["token"]])
-        del runs
-        order = np.argsort((c["token"].astype(np.uint64) << np.uint64(32)) | c["size"], kind="stable")
-        c = {k: v[order] for k, v in c.items()}
-        later, earlier, more = _candidates(c, tries)
+        c, bucket = _joined(table), table.column("bucket")[0].as_py()
+        later, earlier, more = _closest(*_candidates(c), FIRST_TRIES, len(c["token"]))
         sides = [c[k][s].astype(kind) for s in (later, earlier) for k, kind in (("blob", np.int64), ("leader", np.int32))]
-        return pa.table([*map(pa.array, sides), pa.array(more)], [*_SIDES, "more"])
-    posted = blobs.select("blob", "ids", "sizes", "data", "leaders").mapInArrow(
-        post, "bucket int, blob long, " + ", ".join(f"{n} binary" for n, _ in _POSTING))
-    met = posted.groupBy("bucket").applyInArrow(
-        meet, "x_blob long, x_place int, y_blob long, y_place int, more boolean")
-    return met.groupBy(*_SIDES).agg(F.max("more").alias("more"))
+        slot = np.where(more, _slot((np.uint64(bucket) << np.uint64(32)) | c["token"].astype(np.uint64)[later]), -1)
+        return pa.table([*map(pa.array, sides), pa.array(slot.astype(np.int32))], [*_SIDES, "slot"])
+    posted = blobs.select("blob", "ids", "sizes", "data", "leaders").mapInArrow(post, _POSTED)
+    return posted.groupBy("bucket").applyInArrow(
+        meet, "x_blob long, x_place int, y_blob long, y_place int, slot int").distinct()
+
+
+def _later_matches(blobs: DataFrame, undecided: DataFrame, counts, bits: int) -> DataFrame:
+    """(blob, place) of the undecided lines (blob, place, slot) that match any earlier line.
+    Only lines with a word of the undecided ones' slots are posted, with their texts."""
+    slots = np.zeros(1 << SLOTS_LOG2, bool)
+    slots[undecided.select("slot").distinct().toArrow().column("slot").to_numpy()] = True    # at most 2^20 rows
+    spark = blobs.sparkSession
+    context, looked_at = spark.sparkContext.broadcast(counts), spark.sparkContext.broadcast(slots)   # fixed sizes
+    lists = save(undecided.groupBy("blob").agg(F.collect_set("place").alias("undecided")), "line-undecided-lists")
+
+    def post(batches):
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for row in batch.to_pylist():
+                lines, leaders = Lines(_texts(row)), np.array(sorted(row["leaders"] or []), np.int64)
+                used, columns = _posting_rows(row, lines, WordSets(lines, leaders, context.value), leaders, bits, looked_at.value)
+                open_lines = np.array(row["undecided"] or [], np.int64)
+                raw = lines.words.data.tobytes()
+                named = [distinct(v) for v in columns["leader"]]
+                texts = [squeeze.compress(b"\n".join(raw[lines.begin[p]:lines.end[p]] for p in v)) for v in named]
+                marks = [np.packbits(np.isin(v, open_lines)).tobytes() for v in named]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used, pa.int32()), pa.array(np.full(len(used), row["blob"]), pa.int64()),
+                     *(pa.array([pack(v) for v in columns[n]], pa.binary()) for n, _ in _POSTING),
+                     pa.array(texts, pa.binary()), pa.array(marks, pa.binary())],
+                    ["bucket", "blob", *(n for n, _ in _POSTING), "texts", "marks"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        text, marked, unpress = {}, set(), zstandard.ZstdDecompressor()
+        for blob, leader, texts, marks in zip(*(table.column(k).to_pylist() for k in ("blob", "leader", "texts", "marks"))):
+            named = distinct(unpack(leader, np.uint32)).tolist()
+            text.update(zip(((blob, p) for p in named), unpress.decompress(texts).split(b"\n")))
+            bits_of = np.unpackbits(np.frombuffer(marks, np.uint8), count=len(named))
+            marked.update((blob, p) for p, m in zip(named, bits_of) if m)
+        c = _joined(table)
+        names = list(zip(c["blob"].tolist(), c["leader"].tolist()))
+        later, earlier, apart = _candidates(c, np.array([name in marked for name in names], bool))
+        words, done = {}, set()
+
+        def of(name):
+            if name not in words:
+                words[name] = frozenset(text[name].lower().split())
+            return words[name]
+        for k in np.lexsort((apart, later)):
+            x = names[later[k]]
+            if x not in done:
+                a, b = of(x), of(names[earlier[k]])
+                common = len(a & b)
+                if 100 * common >= PERCENT * (len(a) + len(b) - common):
+                    done.add(x)
+        return pa.table({"blob": pa.array([x[0] for x in done], pa.int64()), "place": pa.array([x[1] for x in done], pa.int32())})
+    source = _beside(blobs, lists).select("blob", "ids", "sizes", "data", "leaders", "undecided")
+    return source.mapInArrow(post, _POSTED + ", texts binary, marks binary") \
+        .groupBy("bucket").applyInArrow(meet, "blob long, place int").distinct()
 
 
 def _matches(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
@@ -349,24 +435,22 @@ def _matches(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
     return joined.select("x_blob", "x_place", "x_line", "y_line").mapInArrow(verify, "blob long, place int").distinct()
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_lines, n_removed, kept_sha256, kept_text), one per input row."""
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
+    """Rows (doc_id, n_lines, n_removed, kept_sha256, kept_text), one per input row;
+    ``with_text=False`` leaves ``kept_text`` null."""
     plain = save(_blobs(docs, id_col, text_col), "line-blobs")
     counts = word_counts(plain)
     bits = min(MAX_BUCKET_BITS, max(3, int(np.ceil(np.log2(max(1, int(counts.sum()) / BUCKET_WORDS))))))
     leaders = save(_leaders(plain), "line-leaders")
     blobs = _beside(plain, leaders)
 
-    pairs = save(_pairs(blobs, counts, bits, FIRST_TRIES), "line-pairs")
-    matched = save(_matches(pairs, plain), "line-matched")
+    pairs = save(_pairs(blobs, counts, bits), "line-pairs")
+    matched = save(_matches(pairs.select(*_SIDES).distinct(), plain), "line-matched")
     # lines that had more candidates and no match: all their candidates
-    later = [F.col("x_blob").alias("blob"), F.col("x_place").alias("place")]
-    undecided = save(pairs.where("more").select(*later).distinct().join(matched, ["blob", "place"], "left_anti"),
-                     "line-undecided").select(F.col("blob").alias("x_blob"), F.col("place").alias("x_place"))
+    undecided = save(pairs.where("slot >= 0").select(F.col("x_blob").alias("blob"), F.col("x_place").alias("place"), "slot")
+                     .distinct().join(matched, ["blob", "place"], "left_anti"), "line-undecided")
     if not undecided.isEmpty():
-        rest = save(_pairs(blobs, counts, bits, None).join(undecided, ["x_blob", "x_place"], "left_semi")
-                    .join(pairs.select(*_SIDES), _SIDES, "left_anti"), "line-more-pairs")
-        matched = matched.union(_matches(rest, plain)).distinct()
+        matched = matched.union(_later_matches(blobs, undecided, counts, bits)).distinct()
     gone = save(matched.groupBy("blob").agg(F.collect_list("place").alias("matched")), "line-gone")
 
     schema = "doc_id long, n_lines long, n_removed long, kept_sha256 string, kept_text string"
@@ -390,10 +474,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["ids"], pa.int64()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()),
                      pa.array([hashlib.sha256(t).hexdigest() for t in kept_texts]),
-                     pa.array([t.decode() for t in kept_texts], pa.string())], [f.split()[0] for f in schema.split(", ")])
+                     pa.array([t.decode() if with_text else None for t in kept_texts], pa.string())],
+                    [f.split()[0] for f in schema.split(", ")])
     source = plain.select("blob", "ids", "sizes", "data", "docs", "numbers")
     return _beside(_beside(source, leaders), gone).mapInArrow(remove, schema)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+    return line_dedup(read_table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_lines", "n_removed", "kept_sha256")

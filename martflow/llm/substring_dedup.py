@@ -192,9 +192,10 @@ def _with_answers(blobs: DataFrame, answers: DataFrame) -> DataFrame:
     return blobs.join(side, "blob", "left")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """Rows (doc_id, n_words, n_removed, kept_sha256, repeats, kept_text), one per input row;
-    ``repeats`` has the maximal repeats as (start, end) word positions."""
+    ``repeats`` has the maximal repeats as (start, end) word positions; ``with_text=False``
+    leaves ``kept_text`` null."""
     blobs = save(_blobs(docs, id_col, text_col), "passage-blobs")
     total = blobs.agg(F.sum("n_words")).first()[0] or 0
     bits = min(MAX_BUCKET_BITS, max(4, int(np.ceil(np.log2(max(1, total / BUCKET_VALUES))))))
@@ -230,12 +231,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 values, _, block = blob.anchors(bits)
                 starts, h = blob.candidates(bits, values[block][_bits_of(row["hits"])])
                 again = distinct(h)[_bits_of(row["answers"])]
-                yield pa.RecordBatch.from_pydict(_without(blob, row["ids"], starts[np.isin(h, again)]), schema=kind)
+                yield pa.RecordBatch.from_pydict(_without(blob, row["ids"], starts[np.isin(h, again)], with_text), schema=kind)
     both = _with_answers(_with_answers(blobs, hits).withColumnRenamed("answers", "hits"), found)
     return both.mapInArrow(remove, schema)
 
 
-def _without(blob: Blob, ids, starts: np.ndarray) -> dict:
+def _without(blob: Blob, ids, starts: np.ndarray, with_text: bool) -> dict:
     """The output rows of a blob's texts without the windows that begin at ``starts``."""
     mark = np.zeros(len(blob.h) + 1, dtype=np.int32)
     np.add.at(mark, starts, 1)
@@ -259,13 +260,13 @@ def _without(blob: Blob, ids, starts: np.ndarray) -> dict:
         out["n_removed"].append(removed)
         out["kept_sha256"].append(hashlib.sha256(kept_text).hexdigest())
         out["repeats"].append(spans)
-        out["kept_text"].append(kept_text.decode())
+        out["kept_text"].append(kept_text.decode() if with_text else None)
     out["n_words"] = pa.array(out["n_words"], pa.int64())
     return out
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(read_table(spark, sf_dir, "documents")) \
+    return repeated_passages(read_table(spark, sf_dir, "documents"), with_text=False) \
         .select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
