@@ -32,11 +32,8 @@ class Encoder:
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True
-        self.fast = None
+        self.path, self.fast = path, None
         ranks = path.removesuffix(".json") + ".tiktoken"
         try:
             lines = open(ranks, "rb").read().splitlines()
@@ -46,6 +43,14 @@ class Encoder:
         self.fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges,
                                       special_tokens={})
 
+    @functools.cached_property
+    def exact(self):
+        """The library itself; loaded only where a text needs it."""
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
     def pre_tokens(self, text: str) -> list[str]:
         """The text cut where no merge crosses; each piece is encoded on its own."""
         if self.fast is not None and not _BEYOND.search(text):
