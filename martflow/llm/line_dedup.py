@@ -43,11 +43,12 @@ from .substring_dedup import BLOB_BYTES, BROADCAST_BYTES, pack, unpack
 
 PERCENT = 85
 COUNTERS_LOG2 = 18
-FIRST_TRIES = 3
+FIRST_TRIES = 5
 ID_BITS = 44                   # of a word: 14 of frequency, 30 of hash
 BUCKET_WORDS = 3_000_000       # words of text whose prefixes a bucket should hold
 MAX_BUCKET_BITS = 16
 PAIR_BLOCK = 1 << 18           # pairs compared at a time in a bucket
+FEWER_BITS = 2                 # a bucket of the second pass holds so many (log 2) of the first
 SLOTS_LOG2 = 20                # of the table of words that the second pass looks at
 FIRST_ID = -(1 << 63)          # where null ids are ordered
 
@@ -281,9 +282,10 @@ def _closest(later, earlier, apart, tries: int, n: int) -> tuple[np.ndarray, np.
     return later[take], earlier[take], crowded[later[take]]
 
 
-def _posting_rows(row, lines: Lines, sets: WordSets, leaders, bits: int, slots: np.ndarray | None) -> tuple:
-    """(buckets, arrays by column, leaders' rows of each bucket) of a blob; ``slots`` keeps
-    only words whose slot it marks."""
+def _posting_rows(row, lines: Lines, sets: WordSets, leaders, bits: int, slots: np.ndarray | None = None,
+                  fewer_bits: int = 0) -> tuple:
+    """(buckets, arrays by column) of a blob's postings; ``slots`` keeps only words whose
+    slot it marks, ``fewer_bits`` joins buckets."""
     at = sets.prefix()
     value = mix(sets.word[at], 55) >> np.uint64(32 - bits)
     if slots is not None:
@@ -294,9 +296,9 @@ def _posting_rows(row, lines: Lines, sets: WordSets, leaders, bits: int, slots:
     doc = _order_ids(row["ids"])[lines.doc[leaders]]
     column = {"token": value & np.uint64((1 << 32) - 1), "doc": doc.view(np.uint64)[own], "line": lines.number[leaders][own],
               "leader": leaders[own], "size": sets.size[own], "place": sets.place[at], "low": low[own], "high": high[own]}
-    bucket = (value >> np.uint64(32)).astype(np.int32)
+    bucket = (value >> np.uint64(32 + fewer_bits)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")           # by line within a bucket, so ids pack well
-    cuts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
+    cuts = np.searchsorted(bucket[order], np.arange((1 << (bits - fewer_bits)) + 1))
     used = np.flatnonzero(np.diff(cuts))
     return used, {n: [column[n][order][cuts[b]:cuts[b + 1]].astype(k) for b in used] for n, k in _POSTING}
 
@@ -328,7 +330,7 @@ def _pairs(blobs: DataFrame, counts, bits: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 lines, leaders = Lines(_texts(row)), np.array(sorted(row["leaders"] or []), np.int64)
-                used, columns = _posting_rows(row, lines, WordSets(lines, leaders, context.value), leaders, bits, None)
+                used, columns = _posting_rows(row, lines, WordSets(lines, leaders, context.value), leaders, bits)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array(np.full(len(used), row["blob"]), pa.int64()),
                      *(pa.array([pack(v) for v in columns[n]], pa.binary()) for n, _ in _POSTING)],
@@ -359,7 +361,8 @@ def _later_matches(blobs: DataFrame, undecided: DataFrame, counts, bits: int) ->
         for batch in batches:
             for row in batch.to_pylist():
                 lines, leaders = Lines(_texts(row)), np.array(sorted(row["leaders"] or []), np.int64)
-                used, columns = _posting_rows(row, lines, WordSets(lines, leaders, context.value), leaders, bits, looked_at.value)
+                used, columns = _posting_rows(row, lines, WordSets(lines, leaders, context.value), leaders, bits,
+                                              looked_at.value, FEWER_BITS)
                 open_lines = np.array(row["undecided"] or [], np.int64)
                 raw = lines.words.data.tobytes()
                 named = [distinct(v) for v in columns["leader"]]
