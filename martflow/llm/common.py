@@ -46,6 +46,18 @@ def broadcast_if_small(saved: DataFrame, max_rows: int = BROADCAST_ROWS) -> Data
     return F.broadcast(saved) if saved.limit(max_rows + 1).count() <= max_rows else saved
 
 
+ARROW_BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold at most a few MB: long texts would
+    otherwise come to a Python worker 64 MB at a time. A smaller setting is left alone."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if int(str(conf.get(key)).rstrip("b")) > ARROW_BATCH_BYTES:
+        conf.set(key, str(ARROW_BATCH_BYTES))
+    return df
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
@@ -76,7 +88,7 @@ def map_texts(df: DataFrame, text: str, make: Callable[[], Callable], schema: st
         f = make()
         for batch, texts in chunks(batches, text):
             yield f(batch, texts)
-    return df.mapInArrow(run, schema)
+    return bounded_batches(df).mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------------------

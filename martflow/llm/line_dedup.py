@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, distinct, mix, read_table, save
+from .common import Words, bounded_batches, chunks, distinct, mix, read_table, save
 from .substring_dedup import BLOB_BYTES, BROADCAST_BYTES, pack, unpack
 
 PERCENT = 85
@@ -109,7 +109,8 @@ def _blobs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                  "sequences": [pack(lines.sequences())], "slots": [pack(slots.astype(np.uint32))],
                  "slot_counts": [pack(counts[slots].astype(np.uint32))]}, schema=_BLOB_KINDS)
             k += 1
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _BLOB)
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, _BLOB)
 
 
 def _texts(row) -> list[bytes]:

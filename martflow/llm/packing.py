@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import chunks, read_table, save
+from .common import bounded_batches, chunks, read_table, save
 from .tokens import default_path, encoder
 
 MAX_TOKENS = 1024
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, max_tokens: i
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                              [f.split()[0] for f in PIECES.split(", ")])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
         .mapInArrow(run, PIECES)
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, map_texts, mix, read_table, span_hashes, window_hashes
+from .common import Words, bounded_batches, chunks, map_texts, mix, read_table, span_hashes, window_hashes
 
 MIN_BASE_WORDS = 20
 REPEAT_WINDOW = 8
@@ -149,7 +149,7 @@ def references(docs: DataFrame, text_col: str, lang_col: str) -> dict:
                 [pa.array([lang] * len(slots), pa.string()), pa.array(slots, pa.int32()), pa.array(total[slots])],
                 ["lang", "slot", "n"])
 
-    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")) \
+    rows = bounded_batches(docs).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")) \
         .mapInArrow(add, schema).groupBy("lang", "slot").agg(F.sum("n").alias("n")).collect()
     out: dict = {}
     for lang, slot, n in rows:
@@ -233,7 +233,7 @@ def keep_rows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -
             m = measure(texts)
             kept = ~(m["base_failed"] | judge.rejects(m, *judge.distances(m)))
             yield batch.filter(pa.array(kept))
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, distinct, read_table, save, window_hashes
+from .common import Words, bounded_batches, chunks, distinct, read_table, save, window_hashes
 
 WINDOW = 35
 BLOCK = (WINDOW + 1) // 2
@@ -78,7 +78,8 @@ def _blobs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 schema=pa.schema([("blob", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
                                   ("n_words", pa.int64()), ("data", pa.binary())]))
             k += 1
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, schema)
 
 
 def _texts(sizes: list[int], data: bytes) -> list[bytes]:
