@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import Words, bounded_batches, chunks, distinct, mix, read_table, save
 from .substring_dedup import BLOB_BYTES, BROADCAST_BYTES, pack, unpack
 
-PERCENT = 85
+PERCENT = 80
 COUNTERS_LOG2 = 18
 FIRST_TRIES = 5
 ID_BITS = 44                   # of a word: 14 of frequency, 30 of hash

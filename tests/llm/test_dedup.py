@@ -183,6 +183,14 @@ def test_lines_edge_rows(frame):
     assert line_dedup.line_dedup(frame([], DOCS)).count() == 0
 
 
+def test_lines_at_080_are_removed(frame):
+    """One word replaced in nine (8/10) and in twelve (11/13) matches; 7/9 does not."""
+    nine, twelve, eight = ([f"{p}{k}" for k in range(n)] for p, n in (("a", 9), ("b", 12), ("c", 8)))
+    text = "\n".join(" ".join(x) for w in (nine, twelve, eight) for x in (w, w[:-1] + ["other" + w[0]]))
+    (row,) = line_dedup.line_dedup(frame(documents([text]), DOCS)).collect()
+    assert row.n_removed == 2 and row.kept_text.split("\n") == [text.split("\n")[k] for k in (0, 2, 4, 5)]
+
+
 def test_lines_second_pass_is_needed_and_exact(frame, monkeypatch):
     """With one try per word many lines need the second pass; the result is the same."""
     monkeypatch.setattr(line_dedup, "FIRST_TRIES", 1)
