@@ -19,7 +19,10 @@ similarity of at least ``PERCENT`` / 100 with it, whether or not that one stays.
    at first only its ``FIRST_TRIES`` closest candidates of a word go on. Lines without a
    match that had more are tried against all their candidates in a second pass, inside
    the bucket's task, which gets the texts of the lines for it, and stops at a line's
-   first match. Nothing is lost, and a group of variants isn't expanded into its pairs.
+   first match. Where a word has very many lines, each meets ``NEIGHBOURS`` of them at
+   first, and those without a match meet the rest in the second pass. Nothing is lost;
+   both passes hold a bounded number of pairs, and a group of variants isn't expanded into
+   its pairs. A word's postings meet in one task, which is linear in their number.
 
 Defined cases: a null text has no line; lines without words are never removed and match
 nothing; a repeated row is a later document, ties of ids go by the rows' place in the
@@ -30,6 +33,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +48,12 @@ from .substring_dedup import BLOB_BYTES, BROADCAST_BYTES, pack, unpack
 PERCENT = 80
 COUNTERS_LOG2 = 18
 FIRST_TRIES = 5
+NEIGHBOURS = 1 << 13           # lines of a word that a line meets at first
 ID_BITS = 44                   # of a word: 14 of frequency, 30 of hash
 BUCKET_WORDS = 3_000_000       # words of text whose prefixes a bucket should hold
 MAX_BUCKET_BITS = 16
 PAIR_BLOCK = 1 << 18           # pairs compared at a time in a bucket
+SETS_KEPT = 100_000            # word sets of lines that a bucket of the second pass keeps
 FEWER_BITS = 2                 # a bucket of the second pass holds so many (log 2) of the first
 SLOTS_LOG2 = 20                # of the table of words that the second pass looks at
 FIRST_ID = -(1 << 63)          # where null ids are ordered
@@ -226,36 +232,51 @@ def _ones(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 
 
-def _candidates(c: dict, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs of one bucket: rows of the later and the earlier line, and how far
-    apart their signatures are at least. ``c`` has the postings sorted by word and size;
-    ``wanted`` limits the pairs to those whose later line it marks."""
+def _reach(c: dict) -> np.ndarray:
+    """Each line meets the following ones of the same word that are at most 1/t times as long:
+    the place where these end. ``c`` has the postings sorted by word and size."""
+    key, size = c["token"].astype(np.uint64) << np.uint64(32), c["size"].astype(np.int64)
+    return np.searchsorted(key | size.astype(np.uint64), key | (size * 100 // PERCENT).astype(np.uint64), side="right")
+
+
+def _candidates(c: dict, reach: np.ndarray, neighbours: int = 0, wanted: np.ndarray | None = None) \
+        -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Candidate pairs of one bucket, of about ``PAIR_BLOCK`` compared at a time: rows of the
+    later and the earlier line, and how far apart their signatures are at least. A line meets
+    at most ``neighbours`` following ones. With ``wanted``, read anew for every block, the
+    lines that it marks are the later ones, and meet all others."""
     n = len(c["token"])
     size, place, doc, line = c["size"].astype(np.int64), c["place"].astype(np.int64), c["doc"].view(np.int64), c["line"]
-    # each line meets the following ones of the same word that are at most 1/t times as long
-    key = c["token"].astype(np.uint64) << np.uint64(32)
-    reach = np.searchsorted(key | size.astype(np.uint64), key | (size * 100 // PERCENT).astype(np.uint64), side="right")
-    width = reach - np.arange(n) - 1
-    ends = np.cumsum(width)
-    found, at = [], 0
-    while at < n:
+    if wanted is None:
+        rows, begin = np.arange(n), np.arange(1, n + 1)
+        finish = np.minimum(reach, begin + neighbours)
+    else:
+        rows = np.flatnonzero(wanted)
+        begin, finish = np.searchsorted(reach, rows, side="right"), reach[rows]
+    ends = np.cumsum(finish - begin)
+    at = 0
+    while at < len(rows):
         # lines with a bounded number of pairs together
         done = ends[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(ends, done + PAIR_BLOCK, side="right")))
-        left = np.repeat(np.arange(at, to), width[at:to])
-        right = left + 1 + np.arange(len(left)) - np.repeat(ends[at:to] - width[at:to] - done, width[at:to])
+        some = np.arange(at, to)
         if wanted is not None:
-            ok = wanted[left] | wanted[right]
-            left, right = left[ok], right[ok]
+            some = some[wanted[rows[some]]]
+        at, width = to, finish[some] - begin[some]
+        left = np.repeat(rows[some], width)
+        right = np.repeat(begin[some] - np.cumsum(width) + width, width) + np.arange(len(left))
+        own = left
+        if wanted is not None:
+            left, right = np.minimum(left, right), np.maximum(left, right)
         need = -(-PERCENT * (size[left] + size[right]) // (100 + PERCENT))     # common words a match must have
         a, b = place[left], place[right]
         ok = np.minimum(a, b) + np.minimum(size[left] - a, size[right] - b) >= need
-        left, right, need = left[ok], right[ok], need[ok]
+        left, right, need, own = left[ok], right[ok], need[ok], own[ok]
         low_l, low_r, high_l, high_r = c["low"][left], c["low"][right], c["high"][left], c["high"][right]
         only_left = _ones(low_l & ~low_r) + _ones(high_l & ~high_r)
         only_right = _ones(low_r & ~low_l) + _ones(high_r & ~high_l)
         ok = (size[left] - only_left >= need) & (size[right] - only_right >= need)
-        left, right, apart = left[ok], right[ok], (only_left + only_right)[ok]
+        left, right, own, apart = left[ok], right[ok], own[ok], (only_left + only_right)[ok]
         swap = (doc[left] > doc[right]) | ((doc[left] == doc[right]) & (line[left] > line[right])) \
             | ((doc[left] == doc[right]) & (line[left] == line[right])
                & ((c["blob"][left] > c["blob"][right])
@@ -263,24 +284,36 @@ def _candidates(c: dict, wanted: np.ndarray | None = None) -> tuple[np.ndarray,
         later, earlier = np.where(swap, left, right), np.where(swap, right, left)
         apart = apart / (size[left] + size[right])
         if wanted is not None:
-            later, earlier, apart = later[wanted[later]], earlier[wanted[later]], apart[wanted[later]]
-        found.append((later, earlier, apart))
-        at = to
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def _closest(later, earlier, apart, tries: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``tries`` closest candidates of each line, and whether it had more."""
-    order = np.lexsort((apart, later))
-    later, earlier = later[order], earlier[order]
-    start = np.ones(len(later), bool)
-    start[1:] = later[1:] != later[:-1]
-    rank = np.arange(len(later)) - np.maximum.accumulate(np.where(start, np.arange(len(later)), 0))
-    crowded = np.bincount(later, minlength=n) > tries
-    take = rank < tries
-    return later[take], earlier[take], crowded[later[take]]
+            ok = (later == own) & (earlier != own)
+            later, earlier, apart = later[ok], earlier[ok], apart[ok]
+        yield later, earlier, apart
+
+
+def _closest(blocks: Iterable[tuple], tries: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``tries`` closest candidates of each line, and whether it had more. Pairs are cut to
+    these as they come, so no more than ``tries`` a line and a few blocks are held."""
+    kept = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    met, waiting, held = np.zeros(n, np.int64), [], 0
+
+    def cut():
+        later, earlier, apart = (np.concatenate(x) for x in zip(kept, *waiting))
+        order = np.lexsort((apart, later))
+        later = later[order]
+        start = np.ones(len(later), bool)
+        start[1:] = later[1:] != later[:-1]
+        rank = np.arange(len(later)) - np.maximum.accumulate(np.where(start, np.arange(len(later)), 0))
+        take = order[rank < tries]
+        kept[:] = later[rank < tries], earlier[take], apart[take]
+        waiting.clear()
+    for block in blocks:
+        np.add.at(met, block[0], 1)
+        waiting.append(block)
+        held += len(block[0])
+        if held > max(PAIR_BLOCK, len(kept[0])):
+            cut()
+            held = 0
+    cut()
+    return kept[0], kept[1], (met > tries)[kept[0]]
 
 
 def _posting_rows(row, lines: Lines, sets: WordSets, leaders, bits: int, slots: np.ndarray | None = None,
@@ -324,7 +357,8 @@ _POSTED = "bucket int, blob long, " + ", ".join(f"{n} binary" for n, _ in _POSTI
 
 def _pairs(blobs: DataFrame, counts, bits: int) -> DataFrame:
     """(x_blob, x_place, y_blob, y_place, slot): the closest candidate pairs of leaders, x the
-    later line; ``slot`` is that of a word for which x had more, else -1."""
+    later line; ``slot`` is that of a word for which x had more, else -1. A row with y -1
+    only says that x may have more."""
     context = blobs.sparkSession.sparkContext.broadcast(counts)   # fixed size
 
     def post(batches):
@@ -339,10 +373,17 @@ def _pairs(blobs: DataFrame, counts, bits: int) -> DataFrame:
 
     def meet(table: pa.Table) -> pa.Table:
         c, bucket = _joined(table), table.column("bucket")[0].as_py()
-        later, earlier, more = _closest(*_candidates(c), FIRST_TRIES, len(c["token"]))
-        sides = [c[k][s].astype(kind) for s in (later, earlier) for k, kind in (("blob", np.int64), ("leader", np.int32))]
-        slot = np.where(more, _slot((np.uint64(bucket) << np.uint64(32)) | c["token"].astype(np.uint64)[later]), -1)
-        return pa.table([*map(pa.array, sides), pa.array(slot.astype(np.int32))], [*_SIDES, "slot"])
+        reach, n = _reach(c), len(c["token"])
+        later, earlier, more = _closest(_candidates(c, reach, NEIGHBOURS), FIRST_TRIES, n)
+        # of a word where a line has more than NEIGHBOURS to meet, any line may have more
+        first = np.searchsorted(c["token"], c["token"])
+        over = np.flatnonzero(np.bincount(first[reach - np.arange(n) - 1 > NEIGHBOURS], minlength=n)[first])
+        x = [c[k][np.concatenate([later, over])].astype(kind) for k, kind in (("blob", np.int64), ("leader", np.int32))]
+        y = [np.concatenate([c[k][earlier].astype(kind), np.full(len(over), -1, kind)])
+             for k, kind in (("blob", np.int64), ("leader", np.int32))]
+        slot = _slot((np.uint64(bucket) << np.uint64(32)) | c["token"].astype(np.uint64))
+        slot = np.concatenate([np.where(more, slot[later], -1), slot[over]])
+        return pa.table([*map(pa.array, x + y), pa.array(slot.astype(np.int32))], [*_SIDES, "slot"])
     posted = blobs.select("blob", "ids", "sizes", "data", "leaders").mapInArrow(post, _POSTED)
     return posted.groupBy("bucket").applyInArrow(
         meet, "x_blob long, x_place int, y_blob long, y_place int, slot int").distinct()
@@ -384,20 +425,27 @@ def _later_matches(blobs: DataFrame, undecided: DataFrame, counts, bits: int) ->
             marked.update((blob, p) for p, m in zip(named, bits_of) if m)
         c = _joined(table)
         names = list(zip(c["blob"].tolist(), c["leader"].tolist()))
-        later, earlier, apart = _candidates(c, np.array([name in marked for name in names], bool))
-        words, done = {}, set()
+        wanted, words, done = np.array([name in marked for name in names], bool), {}, set()
+        rows_of = {}
+        for k in np.flatnonzero(wanted).tolist():
+            rows_of.setdefault(names[k], []).append(k)
 
         def of(name):
             if name not in words:
+                if len(words) >= SETS_KEPT:
+                    words.clear()
                 words[name] = frozenset(text[name].lower().split())
             return words[name]
-        for k in np.lexsort((apart, later)):
-            x = names[later[k]]
-            if x not in done:
-                a, b = of(x), of(names[earlier[k]])
-                common = len(a & b)
-                if 100 * common >= PERCENT * (len(a) + len(b) - common):
-                    done.add(x)
+        for later, earlier, apart in _candidates(c, _reach(c), wanted=wanted):
+            # a line that has its match is looked at no more, in this block or the next ones
+            for k in np.lexsort((apart, later)):
+                x = names[later[k]]
+                if x not in done:
+                    a, b = of(x), of(names[earlier[k]])
+                    common = len(a & b)
+                    if 100 * common >= PERCENT * (len(a) + len(b) - common):
+                        done.add(x)
+                        wanted[rows_of[x]] = False
         return pa.table({"blob": pa.array([x[0] for x in done], pa.int64()), "place": pa.array([x[1] for x in done], pa.int32())})
     source = _beside(blobs, lists).select("blob", "ids", "sizes", "data", "leaders", "undecided")
     return source.mapInArrow(post, _POSTED + ", texts binary, marks binary") \
@@ -449,7 +497,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blobs = _beside(plain, leaders)
 
     pairs = save(_pairs(blobs, counts, bits), "line-pairs")
-    matched = save(_matches(pairs.select(*_SIDES).distinct(), plain), "line-matched")
+    matched = save(_matches(pairs.where("y_place >= 0").select(*_SIDES).distinct(), plain), "line-matched")
     # lines that had more candidates and no match: all their candidates
     undecided = save(pairs.where("slot >= 0").select(F.col("x_blob").alias("blob"), F.col("x_place").alias("place"), "slot")
                      .distinct().join(matched, ["blob", "place"], "left_anti"), "line-undecided")

@@ -1,6 +1,7 @@
 """Exact, near, passage and line dedup against brute force."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -197,3 +198,27 @@ def test_lines_second_pass_is_needed_and_exact(frame, monkeypatch):
     r = rng(8)
     rows = documents(["\n".join(prose(r, r.randrange(4, 10), 9) for _ in range(50)) for _ in range(5)])
     check_lines(frame(rows, DOCS), [x[:2] for x in rows])
+
+
+def test_lines_of_a_hot_word_are_exact(frame, monkeypatch):
+    """Words with far more lines than a line meets at first; the result is that of all pairs."""
+    monkeypatch.setattr(line_dedup, "NEIGHBOURS", 3)
+    r = rng(12)
+    same = prose(r, 14)
+    rows = documents(["\n".join(f"{same} n{r.randrange(10**6)}" if r.randrange(3) else prose(r, r.randrange(5, 9), 10)
+                                for _ in range(60)) for _ in range(4)])
+    check_lines(frame(rows, DOCS), [x[:2] for x in rows])
+
+
+def test_lines_memory_does_not_follow_the_square_of_a_group():
+    """6000 variants of a line have 18 million pairs (430 MB); only the closest are held."""
+    n = 6000
+    c = {"token": np.zeros(n, np.uint32), "doc": np.arange(n, dtype=np.uint64), "line": np.zeros(n, np.uint32),
+         "leader": np.arange(n), "blob": np.zeros(n, np.int64), "size": np.full(n, 15, np.uint32),
+         "place": np.zeros(n, np.uint32), "low": np.full(n, 0x7FFF, np.uint64), "high": np.zeros(n, np.uint64)}
+    tracemalloc.start()
+    later, earlier, more = line_dedup._closest(line_dedup._candidates(c, line_dedup._reach(c), n), 5, n)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (np.bincount(later, minlength=n) == np.minimum(np.arange(n), 5)).all() and (earlier < later).all()
+    assert (more == (later > 5)).all() and peak < 120 << 20, peak
