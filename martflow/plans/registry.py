@@ -822,12 +822,12 @@ UNION ALL SELECT 'no_user', 0
 UNION ALL SELECT 'no_province', 0"""))
 def _stream_batch_counts(spark, sf_dir):
     """The counts that the DAU job reports per micro-batch, summed."""
-    from martflow.streaming import pipeline
+    from martflow.streaming import jobs, pipeline
     said = []
-    _, query = pipeline.run_dau(spark, sf_dir, as_of=AS_OF, report=lambda name, batch, counts: said.append(counts))
-    seen = [p["observedMetrics"] for p in query.recentProgress]
-    n = {"input": sum(m["dau_input"]["rows"] for m in seen if "dau_input" in m),
-         "entries": sum(m["dau_entries"]["rows"] for m in seen if "dau_entries" in m),
+    with jobs.Progress(spark) as progress:
+        _, query = pipeline.run_dau(spark, sf_dir, as_of=AS_OF, report=lambda name, batch, counts: said.append(counts))
+        n = {"input": progress.observed(query, "dau_input"), "entries": progress.observed(query, "dau_entries")}
+    n = {**n,
          **{k: sum(c[k] for c in said) for k in ("no_user", "no_province")}}
     return spark.createDataFrame(sorted(n.items()), "name string, n long")
 

@@ -17,11 +17,13 @@ rows without a user or province; no job runs for them besides the write.
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from martflow import schemas
 from martflow.functions.dates import day_of_millis
@@ -49,10 +51,55 @@ def _write(table: KeyedTable, rows: DataFrame, batch_id: int, checkpoint: str, n
     report(name, batch_id, seen.get)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Input rows that the query dropped as later than its watermark, over the
-    micro-batches that its progress still has."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+class Progress(StreamingQueryListener):
+    """What every micro-batch reports, of all queries that start within ``with``.  The query's
+    own ``recentProgress`` keeps only its last 100 batches; here a batch is a few numbers."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._batches, self._ended = spark, {}, defaultdict(threading.Event)
+
+    def __enter__(self) -> Progress:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        self._batches[str(event.runId)] = {}
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self._batches[str(p.runId)][p.batchId] = {
+            "observed": {name: row.asDict() for name, row in p.observedMetrics.items()},
+            "late": sum(int(op.numRowsDroppedByWatermark) for op in p.stateOperators)}
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def batches(self, query: StreamingQuery, timeout: float = 60) -> list[dict]:
+        """Per batch of a terminated query, ``observed`` metrics and ``late`` rows.  Events come
+        after the batches; a batch that is missing is an error, not a smaller sum."""
+        run = str(query.runId)
+        if not self._ended[run].wait(timeout):
+            raise RuntimeError(f"no end of query {run} reported")
+        seen = self._batches.get(run, {})
+        last = query.lastProgress
+        if last is not None and (last["batchId"] not in seen or len(seen) != max(seen) - min(seen) + 1):
+            raise RuntimeError(f"progress of query {run} is incomplete")
+        return [seen[k] for k in sorted(seen)]
+
+    def observed(self, query: StreamingQuery, name: str, column: str = "rows") -> int:
+        """The sum of an observed metric over all batches."""
+        return sum(b["observed"][name][column] for b in self.batches(query) if name in b["observed"])
+
+
+def late_rows(query: StreamingQuery, progress: Progress) -> int:
+    """Input rows that the query dropped as later than its watermark, over all micro-batches."""
+    return sum(b["late"] for b in progress.batches(query))
 
 
 def _start(writer, checkpoint: str, trigger: str | None, name: str, path: str | None = None) -> StreamingQuery:
@@ -157,7 +204,7 @@ def dau_job(page_log: DataFrame, dims: Dims, table: KeyedTable, checkpoint: str,
     its state.  Only for ``first_arrival``: where the earliest visit counts,
     the sink decides by ``ts`` itself, and an earlier visit must get there.  E7: per-batch counts of the input and of the
     session entries are reported as observed metrics (``dau_input``,
-    ``dau_entries``) in the query progress.
+    ``dau_entries``) in the query progress, summed by :class:`Progress`.
     """
     if bootstrap_from_sink and mode != "first_arrival":
         raise ValueError("bootstrap_from_sink is for mode='first_arrival'")

@@ -101,10 +101,12 @@ def run_order_join(spark: SparkSession, sf_dir: str, as_of=None, files: int = BA
     d = (read_topic(spark, "parquet", d_src, max_files_per_trigger=1)
          .select(F.from_json("value", schemas.ORDER_DETAIL).alias("r")).select("r.*"))
     table = jobs.order_wide_table(spark, f"{base}/order_wide")
-    query = jobs.order_join_job(o, d, dims_of(spark, sf_dir), table, f"{base}/_ckpt/join", "availableNow", as_of=as_of)
-    finish(query)
+    with jobs.Progress(spark) as progress:
+        query = jobs.order_join_job(o, d, dims_of(spark, sf_dir), table, f"{base}/_ckpt/join", "availableNow", as_of=as_of)
+        finish(query)
+        late = jobs.late_rows(query, progress)
     missed = jobs.reconcile_orders(orders, lines, dims_of(spark, sf_dir), table, as_of=as_of) if reconcile else 0
-    return table, jobs.late_rows(query), missed
+    return table, late, missed
 
 
 def run_cdc(spark: SparkSession, sf_dir: str, files: int = BATCHES, apply_deletes: bool = False,

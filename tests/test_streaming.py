@@ -156,6 +156,23 @@ def test_order_join_reports_late_rows_and_reconciles_them(spark):
     assert rows(table.table().select(*schemas.names(schemas.ORDER_WIDE))) == rows(batch)
 
 
+def test_counts_do_not_depend_on_the_progress_that_a_query_keeps(spark):
+    """A query that keeps only its last progress record still reports all batches."""
+    from martflow.plans.registry import REGISTRY
+    build = REGISTRY["stream_batch_counts"][0]
+    want = rows(build(spark, SF_SMALL))
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "1")
+    try:
+        got = rows(build(spark, SF_SMALL))
+        _, late, _ = pipeline.run_order_join(spark, SF_SMALL, as_of=AS_OF, files=4, ordered=False)
+    finally:
+        spark.conf.unset(key)
+    page = tables.page_log(spark, SF_SMALL).where("page_id in ('view', 'click', 'purchase')")
+    assert got == want and (page.count(), "input") in got
+    assert late > 0
+
+
 def test_cdc_table_list_edit_applies_next_batch(spark, tmp_dir):
     from martflow.operators import cdc
     from martflow.streaming.sinks import TopicFiles
