@@ -3,7 +3,9 @@
 Each word of a text gets a language; the text's language is the one with the largest sum
 of word marginals. Emissions are sums of weights of hashed features: affixes (1 to 4
 bytes), character n-grams (2 to 4 bytes, with word boundaries), the whole word, and per
-language whether the word is in its lexicon (its most frequent training words).
+language whether the word is in its lexicon (its most frequent training words). A word is
+a run without ASCII white space; one longer than ``WORD_BYTES`` is cut into pieces that are
+words of the chain, so every byte of an unspaced text is read.
 Transitions are learned, and the marginals come from forward-backward.
 
 Learning: a bounded sample of labelled texts (``TRAIN_TEXTS`` of each language,
@@ -35,7 +37,9 @@ TRAIN_WORDS = 100         # of each of these texts
 MAX_LANGUAGES = 64
 LEXICON = 300             # words of each language
 SLOTS_LOG2 = 18           # of the hashed feature weights
-WORD_BYTES = 24           # n-grams and prefixes are read here; suffixes from the word's end
+WORD_BYTES = 24           # longer words are cut into pieces of at most so many
+AFTER, GOES_ON = b"\xfe", b"\xff"     # marks of cut words; no bytes of UTF-8
+_PUNCTUATION = b".,;:!?\"'()[]{}|#*$%&<>+-=/"
 SPAN = (4, 24)            # words of one language in a code-switched training sequence
 TRAIN_STEPS = 30
 LENGTH = 64               # words of a segment
@@ -45,15 +49,41 @@ CACHE_WORDS = 400_000     # distinct words kept per worker
 # ---------------------------------------------------------------------------
 # Features
 
+def pieces(words: list[bytes]) -> list[bytes]:
+    """Words longer than ``WORD_BYTES`` cut at characters into pieces of at most that; ``AFTER``
+    and ``GOES_ON`` mark where a piece was cut. Pieces stay as they are."""
+    if not words or len(max(words, key=len)) <= WORD_BYTES:
+        return words
+    out = []
+    for w in words:
+        if len(w) > WORD_BYTES and not (w.startswith(AFTER) or w.endswith(GOES_ON)):
+            w = w.strip(_PUNCTUATION) or w
+            at, n = 0, len(w)
+            while n - at > WORD_BYTES:
+                to = at + WORD_BYTES
+                while w[to] & 0xC0 == 0x80:
+                    to -= 1
+                out.append((AFTER if at else b"") + w[at:to] + GOES_ON)
+                at = to
+            out.append((AFTER if at else b"") + w[at:])
+        else:
+            out.append(w)
+    return out
+
+
 def _feature_slots(words: list[bytes]) -> np.ndarray:
-    """(words, features) slots of the hashed weights; -1 where a word is too short."""
+    """(words, features) slots of the hashed weights; -1 where a word is too short. A cut end of
+    a piece has a mark of its own, and no prefix or suffix."""
     n = len(words)
+    cut_before = np.array([w.startswith(AFTER) for w in words], dtype=bool)
+    cut_behind = np.array([w.endswith(GOES_ON) for w in words], dtype=bool)
+    words = [w.strip(AFTER + GOES_ON) for w in words]
     head = np.zeros((n, WORD_BYTES + 2), dtype=np.uint64)
     raw = np.array([w[:WORD_BYTES] for w in words], dtype=f"S{WORD_BYTES}")
     head[:, 1:-1] = raw.view(np.uint8).reshape(n, WORD_BYTES)
     length = np.array([min(len(w), WORD_BYTES) for w in words])
-    head[:, 0] = 256
-    head[np.arange(n), length + 1] = 257
+    head[:, 0] = np.where(cut_before, 258, 256)
+    head[np.arange(n), length + 1] = np.where(cut_behind, 259, 257)
     tail = np.array([w[-4:].rjust(4, b"\0") for w in words], dtype="S4")
     tail = np.frombuffer(tail.tobytes().ljust(4 * n, b"\0"), np.uint8).reshape(n, 4).astype(np.uint64)
     whole = np.zeros(n, dtype=np.uint64)
@@ -67,6 +97,8 @@ def _feature_slots(words: list[bytes]) -> np.ndarray:
         found += [mix(prefix, 10 + k)[:, None], mix(suffix, 20 + k)[:, None]]
     width = WORD_BYTES + 2
     used = [np.ones((n, 9), dtype=bool)]
+    used[0][cut_before, 1::2] = False
+    used[0][cut_behind, 2::2] = False
     for size in (2, 3, 4):
         gram = np.zeros((n, width - size + 1), dtype=np.uint64)
         for k in range(size):
@@ -79,7 +111,7 @@ def _feature_slots(words: list[bytes]) -> np.ndarray:
 
 
 def normal(words: list[bytes]) -> list[bytes]:
-    return [w.strip(b".,;:!?\"'()[]{}|#*$%&<>+-=/").lower() for w in words]
+    return [w.strip(_PUNCTUATION).lower() for w in words]
 
 
 class Model:
@@ -201,7 +233,7 @@ def fit(samples: list[tuple[str, list[bytes]]], seed: int = 5) -> Model | None:
     if not langs:
         return None
     rng, k = np.random.default_rng(seed), len(langs)
-    samples = [(lang, normal(words)) for lang, words in samples]
+    samples = [(lang, normal(pieces(words))) for lang, words in samples]
     lexicon = []
     for lang in langs:
         counts: dict[bytes, int] = {}
@@ -299,7 +331,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     def some_words(batch, texts):
         out = []
         for h, text in zip(batch.column(0).to_pylist(), texts):
-            words = text.split()
+            words = pieces(text.split())
             at = int(h * 7919 * max(1, len(words))) % max(1, len(words) - TRAIN_WORDS + 1)
             out.append(b" ".join(words[at:at + TRAIN_WORDS]))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(out, pa.binary())],
@@ -334,13 +366,13 @@ class Labeller:
         for at in range(0, len(new), 20_000):
             some = new[at:at + 20_000]
             rows.append(self.model.emissions(normal(some)))
-            letters.append(np.array([any(c.isalpha() for c in w.decode()) for w in some]))
+            letters.append(np.array([any(c.isalpha() for c in w.decode(errors="ignore")) for w in some]))
         self.table, self.letters = np.concatenate(rows), np.concatenate(letters)
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
     def label(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(words, languages) marginals of all words, and whether each has a letter."""
-        split = [t.split() for t in texts]
+        split = [pieces(t.split()) for t in texts]
         ids = self._ids([w for words in split for w in words])
         self.first = np.concatenate([[0], np.cumsum([len(w) for w in split])])
         if not len(ids):

@@ -195,6 +195,21 @@ def test_language_edge_rows(frame):
     assert {r.lang_pred for r in language_id.predict(docs, None).collect()} == {"und"}
 
 
+def test_language_of_unspaced_texts_shows_after_the_first_bytes(frame):
+    """Two languages that share the first 24 bytes and the end; a text is one word."""
+    r = rng(4)
+    text = lambda letters: "漢字文書漢字文書" + "".join(r.choice(letters) for _ in range(300)) + "終了"
+    rows = [(i, text("のはをにがでとも" if i % 2 else "的是在不了有和人"), "ja" if i % 2 else "zh", "s", 310) for i in range(120)]
+    docs = frame(rows, DOCS)
+    got = language_id.predict(docs, language_id.learn(docs)).collect()
+    assert {(x.doc_id % 2, x.lang_pred) for x in got} == {(1, "ja"), (0, "zh")}
+    words = [t.encode() for _, t, *_ in rows] + [b"short", b"=" * 70, b"(" + b"a" * 24 + b")"]
+    cut = language_id.pieces(words)
+    bare = [w.strip(b"\xfe\xff") for w in cut]
+    assert language_id.pieces(cut) == cut and max(map(len, bare)) <= 24 and [w.decode() for w in bare]
+    assert b"".join(bare) == b"".join(words[:-1]) + b"a" * 24
+
+
 def plain_marginals(scores, start, transitions):
     """Forward-backward in logarithms, one word at a time."""
     n, k = scores.shape
