@@ -3,9 +3,12 @@
 For every text two histograms are made, over character classes and over common words,
 and compared with references of each language by Jensen-Shannon distance (base 2, 0 to
 1). The references are summed over all documents of the language that pass the base
-rules, so they follow the corpus. A text is judged by its nearest language: the smallest
-distance over the languages. The word test needs ``MIN_WORDS`` words and the class test
-``MIN_CHARS`` characters; shorter texts are only subject to the base rules.
+rules, so they follow the corpus. A language needs ``MIN_SUPPORT`` such documents to have
+one; documents of other languages are judged by the references that there are. A text is
+kept when one reference, without the text's own counts, is near in both histograms; so
+one language judges, and no text is its own norm. The word test needs ``MIN_WORDS`` words
+and the class test ``MIN_CHARS`` characters; shorter texts are only subject to the base
+rules. The distances returned are the smallest over the references, each for itself.
 
 Character classes are read from UTF-8 lead bytes, so they need no decoding: small and
 capital ASCII letters, digits, sentence punctuation, the symbols of the base rule, other
@@ -15,10 +18,10 @@ other characters. Common words are those whose hashed bucket is among a language
 that, the reference of a language has a fixed size whatever the corpus.
 
 Defined cases: a null or empty text has zero counts and fails the base rules (fewer than
-20 words). Without any document that has a language and passes the base rules there is
-no reference, and the verdict is that of the base rules. Documents with null language
-don't enter the references but are judged like others. Repeated rows are each judged;
-extra columns are ignored.
+20 words). Without any language of enough documents there is no reference, and the
+verdict is that of the base rules. Documents with null language don't
+enter the references but are judged like others. Repeated rows are each judged; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ REPEAT_PERCENT = 30
 CLASSES = 10
 BUCKETS = 4096
 TOP_WORDS = 64
+MIN_SUPPORT = 10           # documents of a language that pass the base rules
 MIN_WORDS = 40
 MIN_CHARS = 300
 MAX_CLASS_DISTANCE = 0.30
@@ -127,7 +131,7 @@ def measure(texts: list[bytes]) -> dict:
 
 def references(docs: DataFrame, text_col: str, lang_col: str) -> dict:
     """{lang: (class counts, word bucket counts)} over all documents that have a language
-    and pass the base rules. Each task adds up fixed-size vectors per language; Spark sums
+    and pass the base rules, for languages with ``MIN_SUPPORT`` of these. Each task adds up fixed-size vectors per language; Spark sums
     them, so the driver gets one pair of vectors per language."""
     schema = "lang string, slot int, n long"
 
@@ -140,9 +144,10 @@ def references(docs: DataFrame, text_col: str, lang_col: str) -> dict:
             doc = m["words"].doc_of_word()
             for lang in {x for x, ok in zip(langs, which) if ok}:
                 own = which & np.array([x == lang for x in langs])
-                total = sums.setdefault(lang, np.zeros(CLASSES + BUCKETS, dtype=np.int64))
+                total = sums.setdefault(lang, np.zeros(CLASSES + BUCKETS + 1, dtype=np.int64))
+                total[-1] += own.sum()
                 total[:CLASSES] += m["classes"][own].sum(axis=0)
-                total[CLASSES:] += np.bincount(m["buckets"][own[doc]], minlength=BUCKETS)
+                total[CLASSES:-1] += np.bincount(m["buckets"][own[doc]], minlength=BUCKETS)
         for lang, total in sums.items():
             slots = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
@@ -153,14 +158,15 @@ def references(docs: DataFrame, text_col: str, lang_col: str) -> dict:
         .mapInArrow(add, schema).groupBy("lang", "slot").agg(F.sum("n").alias("n")).collect()
     out: dict = {}
     for lang, slot, n in rows:
-        out.setdefault(lang, np.zeros(CLASSES + BUCKETS))[slot] = n
-    return {lang: (v[:CLASSES], v[CLASSES:]) for lang, v in sorted(out.items())}
+        out.setdefault(lang, np.zeros(CLASSES + BUCKETS + 1))[slot] = n
+    return {lang: (v[:CLASSES], v[CLASSES:-1]) for lang, v in sorted(out.items()) if v[-1] >= MIN_SUPPORT}
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Square root of the Jensen-Shannon divergence (base 2) of each row of ``p`` from ``q``."""
+    """Square root of the Jensen-Shannon divergence (base 2) of each row of ``p`` from ``q``,
+    one histogram or one for each row."""
     p = p / np.maximum(p.sum(axis=1, keepdims=True), 1)
-    q = q / max(q.sum(), 1)
+    q = q / np.maximum(q.sum(axis=-1, keepdims=True), 1)
     middle = (p + q) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
         a = np.where(p > 0, p * np.log2(p / middle), 0).sum(axis=1)
@@ -169,31 +175,34 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class Judge:
-    """Distances of texts from the references, nearest language first."""
+    """Distances of texts from the references, and the verdict by them."""
 
     def __init__(self, refs: dict):
         self.refs = []
-        for classes, buckets in refs.values():
+        for lang, (classes, buckets) in refs.items():
             top = np.argsort(-buckets, kind="stable")[:TOP_WORDS]
             place = np.full(BUCKETS, TOP_WORDS, dtype=np.int64)
             place[top] = np.arange(TOP_WORDS)
-            self.refs.append((classes, np.append(buckets[top], buckets.sum() - buckets[top].sum()), place))
+            self.refs.append((lang, classes, np.append(buckets[top], buckets.sum() - buckets[top].sum()), place))
 
-    def distances(self, m: dict) -> tuple[np.ndarray, np.ndarray]:
+    def judge(self, m: dict, langs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The smallest class and word distances, and which texts no reference accepts.
+        ``langs`` are the texts' languages: the reference of its own judges a text without
+        the counts that it put there."""
         n = len(m["n_words"])
-        by_class, by_word = np.ones(n), np.ones(n)
+        by_class, by_word, accepted = np.ones(n), np.ones(n), np.zeros(n, dtype=bool)
         doc = m["words"].doc_of_word() * (TOP_WORDS + 1)
-        for classes, common, place in self.refs:
-            counts = np.bincount(doc + place[m["buckets"]], minlength=n * (TOP_WORDS + 1))
-            by_class = np.minimum(by_class, js_distance(m["classes"], classes))
-            by_word = np.minimum(by_word, js_distance(counts.reshape(n, TOP_WORDS + 1), common))
-        return by_class, by_word
-
-    def rejects(self, m: dict, by_class: np.ndarray, by_word: np.ndarray) -> np.ndarray:
-        if not self.refs:
-            return np.zeros(len(m["n_words"]), dtype=bool)
-        return ((m["classes"].sum(axis=1) >= MIN_CHARS) & (by_class > MAX_CLASS_DISTANCE)) \
-            | ((m["n_words"] >= MIN_WORDS) & (by_word > MAX_WORD_DISTANCE))
+        long, wordy = m["classes"].sum(axis=1) >= MIN_CHARS, m["n_words"] >= MIN_WORDS
+        for lang, classes, common, place in self.refs:
+            counts = np.bincount(doc + place[m["buckets"]], minlength=n * (TOP_WORDS + 1)).reshape(n, TOP_WORDS + 1)
+            c, w = js_distance(m["classes"], classes), js_distance(counts, common)
+            by_class, by_word = np.minimum(by_class, c), np.minimum(by_word, w)
+            own = np.flatnonzero(np.array([x == lang for x in langs], dtype=bool) & ~m["base_failed"])
+            if len(own):
+                c[own] = js_distance(m["classes"][own], classes - m["classes"][own])
+                w[own] = js_distance(counts[own], common - counts[own])
+            accepted |= ~(long & (c > MAX_CLASS_DISTANCE)) & ~(wordy & (w > MAX_WORD_DISTANCE))
+        return by_class, by_word, ~accepted if self.refs else accepted
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -212,14 +221,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
         def f(batch, texts):
             m = measure(texts)
-            by_class, by_word = judge.distances(m)
-            kept = ~(m["base_failed"] | judge.rejects(m, by_class, by_word))
+            by_class, by_word, rejected = judge.judge(m, batch.column(2).to_pylist())
+            kept = ~(m["base_failed"] | rejected)
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(m[c].astype(np.int64)) for c in COUNTS), pa.array(m["base_failed"]),
                  pa.array(kept), pa.array(by_class), pa.array(by_word)], names)
         return f
-    return map_texts(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
-                     "text", make, schema)
+    return map_texts(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                                 F.col(lang_col).cast("string").alias("lang")), "text", make, schema)
 
 
 def keep_rows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -231,7 +240,8 @@ def keep_rows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -
         judge = Judge(refs)
         for batch, texts in chunks(batches, text_col):
             m = measure(texts)
-            kept = ~(m["base_failed"] | judge.rejects(m, *judge.distances(m)))
+            langs = batch.column(batch.schema.get_field_index(lang_col)).cast(pa.string()).to_pylist()
+            kept = ~(m["base_failed"] | judge.judge(m, langs)[2])
             yield batch.filter(pa.array(kept))
     return bounded_batches(docs).mapInArrow(run, docs.schema)
 

@@ -94,6 +94,30 @@ def test_quality_edge_rows(frame):
     assert quality.keep_rows(frame(rows, DOCS)).columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_quality_junk_is_not_its_own_reference(frame):
+    """Junk with a language code of its own, with or without one long text, and junk whose
+    classes are near one language and whose words are near another."""
+    r = rng(6)
+    good = [(i, prose(r, 80, 60), "en", "s", 1) for i in range(30)]
+    junk = lambda: " ".join(f"#{r.randrange(10**9)}$|" for _ in range(80))
+    alone = [(100, junk(), "zz", "s", 1), (101, junk(), "zy", "s", 1)]
+    docs = frame(good + alone, DOCS)
+    kept = {x.doc_id: x.kept for x in quality.quality_rules(docs).collect()}
+    assert all(kept[i] for i in range(30)) and not kept[100] and not kept[101]
+    assert sorted(x.doc_id for x in quality.keep_rows(docs).collect()) == list(range(30))
+    # one text outweighs its language of ten
+    loud = [(200, " ".join(junk() for _ in range(300)), "yy", "s", 1)] + [(201 + k, prose(r, 200, 60), "yy", "s", 1) for k in range(10)]
+    kept = {x.doc_id: x.kept for x in quality.quality_rules(frame(good + loud, DOCS)).collect()}
+    assert not kept[200] and kept[201]
+    # classes of "up", words of "en"
+    upper = [(300 + k, " ".join(f"W{r.randrange(60)}QQQQ" for _ in range(80)), "up", "s", 1) for k in range(30)]
+    refs = quality.references(frame(good + upper, DOCS), "text", "lang")
+    mixed = (np.array(refs["en"][0]), np.array(refs["up"][1]))
+    judge = quality.Judge({"a": (refs["up"][0], refs["en"][1]), "b": mixed})
+    by_class, by_word, rejected = judge.judge(quality.measure([good[0][1].encode()]), [None])
+    assert by_class[0] <= quality.MAX_CLASS_DISTANCE and by_word[0] <= quality.MAX_WORD_DISTANCE and rejected[0]
+
+
 # -- mixing -----------------------------------------------------------------
 
 def test_targets():
