@@ -2,7 +2,9 @@
 
 1. The page is read into a tree, tolerant of unclosed and stray tags. Subtrees that are
    boilerplate by their tag (navigation, header, footer, aside, form, script, style ...)
-   or by a word of their class, id or role (advert, comment, menu, notice ...) go.
+   or by a word of their class, id or role (advert, comment, menu, notice ...) go; but a
+   wrapper of the page's article, main or most of its text stays, without what is
+   boilerplate inside it.
 2. Every node gets its composite text density: characters per tag, scaled by how much
    of it is link text, and a density sum, the densities of its children added.
 3. The body's descendant (or the body) with the largest density sum is the core; the
@@ -51,6 +53,9 @@ DROPPED_WORDS = frozenset(
     "social related recommended widget toolbar pagination pager search login signup alert complementary "
     "contentinfo".split())
 KEPT_TAGS = frozenset(["html", "body", "article", "main"])
+NEVER_TEXT = frozenset("head button input audio video canvas".split())
+WRAPPER_TAGS = frozenset("form fieldset label dialog".split())     # of the dropped tags, may hold a whole page
+WRAPPED_CHARS = 200       # outside links, for a wrapper without article or main
 # an element that a new one closes when it is still open
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -58,20 +63,21 @@ SCOPES = frozenset("article body div section table ul ol dl td th main blockquot
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "sum", "chosen")
+    __slots__ = ("tag", "parent", "items", "dropped", "article", "chars", "tags", "link_chars", "link_tags", "density", "sum", "chosen")
 
-    def __init__(self, tag, parent=None, dropped=False):
+    def __init__(self, tag, parent=None, dropped=False, article=False):
         self.tag, self.parent, self.items, self.dropped, self.chosen = tag, parent, [], dropped, False
+        self.article = article      # an article or main that isn't a comment's, by its hints
 
     def children(self):
         return [x for x in self.items if type(x) is Node and not x.dropped]
 
 
 def _boilerplate(tag: str, attributes: str) -> bool:
-    if tag in DROPPED_TAGS:
-        return True
-    if not attributes or tag in KEPT_TAGS:
-        return False
+    return tag in DROPPED_TAGS or tag not in KEPT_TAGS and _hinted(attributes)
+
+
+def _hinted(attributes: str) -> bool:
     for found in _HINTS.finditer(attributes):
         value = (found[1] or found[2] or found[3] or "").lower()
         if not DROPPED_WORDS.isdisjoint(_WORDS.findall(value)):
@@ -113,7 +119,7 @@ def parse(page: str) -> Node:
                 if node.tag == "p" or closing and node.tag in closing:
                     here = node.parent
                 node = node.parent
-        node = Node(tag, here, _boilerplate(tag, token[4]))
+        node = Node(tag, here, _boilerplate(tag, token[4]), tag in ("article", "main") and not _hinted(token[4]))
         here.items.append(node)
         if not token[4].rstrip().endswith("/"):
             here = node
@@ -122,6 +128,57 @@ def parse(page: str) -> Node:
     return root
 
 
+def _plain(root: Node) -> dict[Node, tuple[int, int, bool, int]]:
+    """Of every node, dropped ones included: characters outside links, those of them in an
+    article or main that shows, whether an article or main is in it, and those that show."""
+    order, todo, out = [], [root], {}
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [x for x in node.items if type(x) is Node]
+    for node in reversed(order):
+        chars = 0 if node.tag in ("a", "button") else sum(len("".join(x.split())) for x in node.items if type(x) is str)
+        shown, inside, visible = 0, node.article, chars
+        for x in node.items:
+            if type(x) is Node:
+                own = out[x]
+                if node.tag not in ("a", "button"):
+                    chars += own[0]
+                    if not x.dropped:
+                        shown += own[1]
+                        visible += own[3]
+                inside = inside or own[2]
+        out[node] = (chars, visible if node.tag in ("article", "main") else shown, inside, visible)
+    return out
+
+
+def _unwrap(root: Node) -> None:
+    """Take back the drop of wrappers: while no article or main shows a tenth of the body's
+    text outside links, the largest dropped node that contains one, else a hinted node or
+    form with most of that text. What is dropped inside it stays so."""
+    while True:
+        plain = _plain(root)
+        total, shown = plain[root][:2]
+        if 10 * shown >= total:
+            return
+        best, todo = None, [root]
+        while todo:
+            for x in todo.pop().items:
+                if type(x) is not Node:
+                    continue
+                if not x.dropped:
+                    todo.append(x)
+                elif x.tag not in NEVER_TEXT:
+                    chars, _, inside, _ = plain[x]
+                    wraps = inside or (x.tag not in DROPPED_TAGS or x.tag in WRAPPER_TAGS) and 2 * chars > total \
+                        and chars >= WRAPPED_CHARS
+                    if wraps and chars and (best is None or (inside, chars) > best[0]):
+                        best = (inside, chars), x
+        if best is None:
+            return
+        best[1].dropped = False
+
+
 def _measure(root: Node) -> None:
     """Characters, tags and their link shares of every node, bottom up, then densities."""
     order, todo = [], [root]
@@ -223,6 +280,7 @@ def _blocks(root: Node) -> list[str]:
 
 def extract(page: str) -> str:
     root = parse(page)
+    _unwrap(root)
     _measure(root)
     if not root.chars:
         return ""

@@ -300,6 +300,23 @@ def test_extraction_cases(page, text):
     assert html_extract.extract(page) == text
 
 
+STORY = " ".join([P] * 4)
+TALK = "".join(f"<li class=comment><p>First! {P}</p></li>" for _ in range(9))
+WRAPPED = [
+    f"<body><div class='content-sidebar-wrap'><article><p>{STORY}</p></article><div class=sidebar>{P}</div></div><footer>{P}</footer></body>",
+    f"<body><div class='has-sidebar no-comments'><div class='social-share-enabled'><p>{STORY}</p></div></div><div class=menu><a href=x>{STORY}</a></div></body>",
+    f"<body><form id=aspnet><input><div><main><p>{STORY}</p></main></div><label>Find {P}</label></form></body>",
+    f"<body><form><p>{STORY}</p><div class=newsletter>{P}</div></form></body>",
+    f"<body><article><p>{STORY}</p></article><div class=comments><ol>{TALK}</ol></div></body>",
+    f"<body><div class=post><p>{STORY}</p></div><div class=comments><article class=comment><p>{P}</p></article></div></body>",
+]
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_extraction_of_wrapped_articles(page):
+    assert html_extract.extract(page) == STORY
+
+
 def test_extraction_edge_rows(frame):
     kind = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, "u", None, "x", "y"), (1, "u", None, "x", "y"), (2, None, "<p>a</p>", "x", "y"), (None, "u", "<p>" * 5000 + "deep", "x", "y"),
