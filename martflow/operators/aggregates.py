@@ -34,9 +34,16 @@ def dense_hours(dau: DataFrame, series: dict[str, str], day_col: str = "dt",
     global aggregate, which returns exactly one row even when no day has
     data, and the dense series is generated from that row.
     """
-    days = list(series.values())
-    counts = (dau.where(F.col(day_col).isin(days))
+    counts = (dau.where(F.col(day_col).isin(list(series.values())))
                  .groupBy(day_col, hour_col).agg(F.count(F.lit(1)).alias("n")))
+    return dense_hours_of_counts(counts, series, day_col, hour_col, total_series)
+
+
+def dense_hours_of_counts(counts: DataFrame, series: dict[str, str], day_col: str = "dt",
+                          hour_col: str = "hr", total_series: str | None = None) -> DataFrame:
+    """:func:`dense_hours` from counts per day and hour (``n``), such as a maintained table
+    has: it reads the rows of its days, 24 each at most."""
+    counts = counts.where(F.col(day_col).isin(list(series.values())))
     key = F.concat_ws("|", F.col(day_col), F.col(hour_col))
     aggs = [F.map_from_entries(F.collect_list(F.struct(key, F.col("n")))).alias("m")]
     if total_series is not None:

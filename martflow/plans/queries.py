@@ -28,6 +28,11 @@ def dau_realtime(dau: DataFrame, td: str) -> DataFrame:
     return aggregates.dense_hours(dau, {"td": td, "yd": previous_day(td)}, total_series="td")
 
 
+def dau_realtime_of_counts(counts: DataFrame, td: str) -> DataFrame:
+    """L1 + L4 from maintained hourly counts ``dt, hr, n``: reads two days' rows of them."""
+    return aggregates.dense_hours_of_counts(counts, {"td": td, "yd": previous_day(td)}, total_series="td")
+
+
 # ---------------------------------------------------------------- L2
 
 def _day_slice(df: DataFrame, day: str | None, day_col: str) -> DataFrame:
@@ -175,8 +180,9 @@ def _visit_fields(of) -> dict:
     pick = lambda c: F.when(of, c)
     visits, views = F.count(pick(F.lit(1))), F.sum(pick(F.col("views")))
     return {"views": views.cast("double"), "visitors": F.count_distinct(pick(F.col("mid"))).cast("double"),
-            "bounce_percent": F.lit(100.0) * F.count(pick(F.when(F.col("views") == 1, 1))) / visits,
-            "mean_time": F.sum(pick(F.col("time"))) / F.sum(pick(F.col("timed"))), "mean_pages": views / visits}
+            "bounce_percent": F.try_divide(F.lit(100.0) * F.count(pick(F.when(F.col("views") == 1, 1))), visits),
+            "mean_time": F.try_divide(F.sum(pick(F.col("time"))), F.sum(pick(F.col("timed")))),
+            "mean_pages": F.try_divide(views, visits)}
 
 
 def new_visit_table(page_log: DataFrame) -> DataFrame:

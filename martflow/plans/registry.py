@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martflow import schemas
 from martflow.functions.dates import previous_day
+from martflow.operators import sessions as S
 from martflow.plans import oracle as O
 from martflow.plans.catalog import Catalog
 from martflow.plans import queries as Q
@@ -636,6 +637,51 @@ def _m4_br(spark, sf_dir):
     return Q.channel(_log7(spark, sf_dir), "br")
 
 
+_RECORD_ORDER = ", ".join(f"{c} NULLS FIRST" for c in ("ts", *S.READ))
+_SESSIONS = f"""
+numbered AS (
+  SELECT *, SUM(CASE WHEN last_page_id IS NULL THEN 1 ELSE 0 END) OVER w AS k, row_number() OVER w AS rn FROM {{log}}
+  WINDOW w AS (PARTITION BY mid ORDER BY {_RECORD_ORDER} ROWS UNBOUNDED PRECEDING)),
+found AS (
+  SELECT mid, MIN(ts) AS start_ts, MAX(ts) AS end_ts, k > 0 AS opened, COUNT(*) AS views,
+         CAST(SUM(during_time) AS BIGINT) AS time, COUNT(during_time) AS timed, MAX(is_new) AS is_new,
+         arg_min_null(channel, rn) AS channel, arg_min_null(page_id, rn) AS entry_page, arg_max_null(page_id, rn) AS exit_page
+  FROM numbered GROUP BY mid, k)"""
+_SESSIONS7 = f", {_LOG7}, {_SESSIONS.format(log='log7')}"
+
+
+def _sessions7(spark, sf_dir):
+    from martflow.sources import tables
+    return S.sessions(tables.page_log(spark, sf_dir, *LOG_SPAN, with_province=False))
+
+
+@register("sessions_days", O.with_views(["page_log"], f"{_SESSIONS7} SELECT * FROM found"))
+def _sessions_days(spark, sf_dir):
+    """The sessions of the range, islands opened by a record without ``last_page_id``."""
+    return _sessions7(spark, sf_dir)
+
+
+@register("m3_sessions_days", O.with_views(["page_log"], f"""{_SESSIONS7},
+side AS (SELECT is_new, CAST(SUM(views) AS DOUBLE) AS views, CAST(COUNT(DISTINCT mid) AS DOUBLE) AS visitors,
+  100.0::DOUBLE * COUNT(CASE WHEN opened AND views = 1 THEN 1 END) / COUNT(*) AS bounce_percent,
+  CAST(SUM(time) AS DOUBLE) / CAST(SUM(timed) AS DOUBLE) AS mean_time,
+  CAST(SUM(views) AS DOUBLE) / COUNT(*) AS mean_pages FROM found GROUP BY is_new)
+SELECT f.field, f.o AS old, f.n AS new
+FROM (SELECT 1) one LEFT JOIN side o ON o.is_new = '0' LEFT JOIN side n ON n.is_new = '1',
+LATERAL (VALUES ('views', coalesce(o.views, 0), coalesce(n.views, 0)), ('visitors', coalesce(o.visitors, 0), coalesce(n.visitors, 0)),
+  ('bounce_percent', o.bounce_percent, n.bounce_percent), ('mean_time', o.mean_time, n.mean_time),
+  ('mean_pages', o.mean_pages, n.mean_pages)) f(field, o, n)"""))
+def _m3_sessions(spark, sf_dir):
+    return S.visit_table(_sessions7(spark, sf_dir))
+
+
+@register("m4_bounce_sessions_days", O.with_views(["page_log"], f"""{_SESSIONS7}
+SELECT channel AS name, 100.0::DOUBLE * COUNT(CASE WHEN opened AND views = 1 THEN 1 END) / COUNT(*) AS value
+FROM found GROUP BY channel"""))
+def _m4_sessions(spark, sf_dir):
+    return S.bounce_by_channel(_sessions7(spark, sf_dir))
+
+
 @register("m5_page_links_days", O.with_views(["page_log"], f"""
 , {_LOG7} SELECT last_page_id AS source, page_id AS target, COUNT(*) AS value FROM log7 GROUP BY 1, 2"""))
 def _m5_links(spark, sf_dir):
@@ -832,6 +878,13 @@ def _stream_batch_counts(spark, sf_dir):
     return spark.createDataFrame(sorted(n.items()), "name string, n long")
 
 
+@register("stream_sessions", O.with_views(["page_log"], f", {_SESSIONS.format(log='page_log')} SELECT * FROM found"))
+def _stream_sessions(spark, sf_dir):
+    """M3, M4 in a stream: sessions kept up to date while records arrive in no order."""
+    from martflow.streaming import pipeline
+    return pipeline.run_sessions(spark, sf_dir).sessions()
+
+
 @register("stream_dau_restart", O.with_views(["dau"], "SELECT DISTINCT mid, dt FROM dau"))
 def _stream_dau_restart(spark, sf_dir):
     """The first-arrival job restarted without its state reads the whole topic
@@ -849,6 +902,29 @@ def _stream_dau_restart(spark, sf_dir):
     return table.table().select("mid", "dt")
 
 
+@register("stream_dau_state_restart", O.with_views(["dau"], "SELECT * FROM dau"))
+def _stream_dau_state_restart(spark, sf_dir):
+    """State with a TTL; a second run without its checkpoint starts from the table."""
+    from martflow.streaming import pipeline
+    table, _ = pipeline.run_first_visits(spark, sf_dir, as_of=AS_OF, runs=2)
+    return table.table().select(*schemas.names(schemas.DAU_INFO))
+
+
+@register("stream_dau_hourly", REGISTRY["dau_hourly"][1])
+def _stream_dau_hourly(spark, sf_dir):
+    """Hourly counts kept by retraction while visits arrive in no order."""
+    from martflow.streaming import pipeline
+    return pipeline.run_first_visits(spark, sf_dir, as_of=AS_OF)[1].counts()
+
+
+@register("stream_dau_realtime", REGISTRY["dau_realtime"][1])
+def _stream_dau_realtime(spark, sf_dir):
+    """L1 from the maintained counts: a dashboard reads two days' rows of them."""
+    from martflow.streaming import pipeline
+    _, hourly = pipeline.run_first_visits(spark, sf_dir, as_of=AS_OF)
+    return Q.dau_realtime_of_counts(hourly.counts(), TD)
+
+
 # ---------------------------------------------------------------- sinks and config tables
 
 def _dau_sink(spark, sf_dir, name):

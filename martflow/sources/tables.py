@@ -119,14 +119,17 @@ def session_starts(spark: SparkSession, sf_dir: str, first: str | None = None,
         .select(F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"), ts_to_millis("ts").alias("ts"))
 
 
-def page_log(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
+def page_log(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None,
+             with_province: bool = True) -> DataFrame:
     """The page-log topic as typed rows (16 columns of the page bean).
 
     Every event is a page view whose ``page_id`` is the event type; only
     ``view`` events start a session (``last_page_id`` null).  ``first`` and
-    ``last`` keep a range of days (pushed to the scan).
+    ``last`` keep a range of days (pushed to the scan).  ``with_province=False``
+    leaves ``province_id`` null, and with it the join to the customers.
     """
-    e = events_with_nation(spark, sf_dir)
+    e = events_with_nation(spark, sf_dir) if with_province else \
+        table(spark, sf_dir, "events").withColumn("c_nationkey", F.lit(None).cast("long"))
     if first is not None:
         e = e.where(day_range("ts", first, last))
     u = F.col("user_id")

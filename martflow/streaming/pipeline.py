@@ -2,8 +2,8 @@
 
 The input topics are staged as Parquet files of ``topic, partition, offset,
 timestamp, value`` in the shared work folder (derived from the tables by
-Spark), oldest event time first, one file per micro-batch; then the jobs run
-with ``availableNow`` and their sink tables are returned as batch
+Spark), oldest event time first, as many files per micro-batch as their size
+asks for; then the jobs run with ``availableNow`` and their sink tables are returned as batch
 DataFrames.  This is how the registry checks stream = batch, and how a
 backfill would run the same code: state is bounded by the watermark, not by
 the history.
@@ -11,6 +11,8 @@ the history.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,32 +20,46 @@ from martflow import schemas
 from martflow.operators import cdc, parse
 from martflow.session import work_dir
 from martflow.sources import tables
-from martflow.streaming import jobs
+from martflow.streaming import first_visits, jobs, page_sessions
 from martflow.streaming.sinks import TopicFiles
 from martflow.streaming.sources import read_topic
 
 BATCHES = 4
+FILE_BYTES = 64 << 20
+MAX_FILES_PER_BATCH = 10_000
+
+
+def files_per_batch(df: DataFrame, batches: int, file_bytes: int = FILE_BYTES) -> int:
+    """Files that a micro-batch reads, by the planner's size of the tables that ``df`` reads
+    (no job runs; a join's own estimate is the product of its sides)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return max(1, min(MAX_FILES_PER_BATCH, math.ceil(size / (batches * file_bytes))))
 
 
-def stage_topic(df: DataFrame, path: str, files: int = BATCHES, ordered: bool = True) -> str:
-    """Write a topic frame as ``files`` files, one per micro-batch.
+def stage_topic(df: DataFrame, path: str, batches: int = BATCHES, ordered: bool = True,
+                by: tuple = ("timestamp", "offset"), parts: int | None = None) -> int:
+    """Write a topic frame for ``batches`` micro-batches of as many files each as its size
+    asks for; returns that number, the reader's ``maxFilesPerTrigger``.
 
-    ``ordered`` writes ranges of the record time one after another, as a log
-    grows; a watermark then passes only what came before.  Otherwise the rows
-    are spread at random (input as late as it can be).
+    ``ordered`` writes ranges of ``by`` one after another, as a log grows (by the record
+    time, a watermark passes only what came before; by the offset, it is the order of
+    arrival).  Otherwise the rows are spread at random (input as late as it can be).
     """
+    parts = parts or files_per_batch(df, batches)
     if not ordered:
-        df.repartition(files).write.mode("overwrite").parquet(path)
-        return path
-    # Range-partition on time (sampled boundaries, no single-task sort),
-    # then write the ranges oldest first.
+        df.repartition(batches * parts).write.mode("overwrite").parquet(path)
+        return parts
+    # Range-partition (sampled boundaries, no single-task sort) into many ranges,
+    # then write a run of them for each micro-batch, oldest first, with a task per file.
     staged = f"{path}_ranges"
-    (df.repartitionByRange(files, "timestamp", "offset").withColumn("_f", F.spark_partition_id())
+    (df.repartitionByRange(batches * parts, *by).withColumn("_f", F.spark_partition_id())
        .write.mode("overwrite").partitionBy("_f").parquet(staged))
     ranges = df.sparkSession.read.parquet(staged)
-    for i in range(files):
-        ranges.where(F.col("_f") == i).drop("_f").coalesce(1).write.mode("append").parquet(path)
-    return path
+    for i in range(batches):
+        mine = ranges.where((F.col("_f") >= i * parts) & (F.col("_f") < (i + 1) * parts)).drop("_f")
+        (mine.coalesce(1) if parts == 1 else mine.repartition(parts)).write.mode("append").parquet(path)
+    return parts
 
 
 def as_topic(df: DataFrame, topic: str, offset_col: str, time_col: str) -> DataFrame:
@@ -66,8 +82,9 @@ def finish(q) -> None:
 
 def run_log_split(spark: SparkSession, sf_dir: str, files: int = BATCHES, base: str | None = None) -> str:
     base = base or work_dir(spark, "log_split")
-    src = stage_topic(tables.app_log(spark, sf_dir), f"{base}/ods_base_log", files)
-    raw = read_topic(spark, "parquet", src, max_files_per_trigger=1)
+    src = f"{base}/ods_base_log"
+    parts = stage_topic(tables.app_log(spark, sf_dir), src, files)
+    raw = read_topic(spark, "parquet", src, max_files_per_trigger=parts)
     finish(jobs.log_split_job(raw, f"{base}/dwd", f"{base}/_ckpt/log_split", trigger="availableNow"))
     return f"{base}/dwd"
 
@@ -93,12 +110,12 @@ def run_order_join(spark: SparkSession, sf_dir: str, as_of=None, files: int = BA
     """
     base = work_dir(spark, "order_join")
     orders, lines = tables.order_info(spark, sf_dir), tables.order_detail(spark, sf_dir)
-    o_src = stage_topic(as_topic(orders, "DWD_ORDER_INFO_I", "id", "create_time"), f"{base}/order_info", files, ordered)
-    d_src = stage_topic(as_topic(lines, "DWD_ORDER_DETAIL_I", "id", "create_time"), f"{base}/order_detail",
-                        line_files or files, ordered)
-    o = (read_topic(spark, "parquet", o_src, max_files_per_trigger=1)
+    o_src, d_src = f"{base}/order_info", f"{base}/order_detail"
+    o_parts = stage_topic(as_topic(orders, "DWD_ORDER_INFO_I", "id", "create_time"), o_src, files, ordered)
+    d_parts = stage_topic(as_topic(lines, "DWD_ORDER_DETAIL_I", "id", "create_time"), d_src, line_files or files, ordered)
+    o = (read_topic(spark, "parquet", o_src, max_files_per_trigger=o_parts)
          .select(F.from_json("value", schemas.ORDER_INFO_RAW).alias("r")).select("r.*"))
-    d = (read_topic(spark, "parquet", d_src, max_files_per_trigger=1)
+    d = (read_topic(spark, "parquet", d_src, max_files_per_trigger=d_parts)
          .select(F.from_json("value", schemas.ORDER_DETAIL).alias("r")).select("r.*"))
     table = jobs.order_wide_table(spark, f"{base}/order_wide")
     with jobs.Progress(spark) as progress:
@@ -122,10 +139,36 @@ def run_cdc(spark: SparkSession, sf_dir: str, files: int = BATCHES, apply_delete
     log = tables.change_log(spark, sf_dir)
     for k in reversed(range(checkpoints)):
         part = log.where(F.pmod(F.col("offset"), F.lit(checkpoints)) == k)
-        src = stage_topic(part, f"{base}/ods_base_db_{k}", files)
-        raw = read_topic(spark, "parquet", src, max_files_per_trigger=1)
+        src = f"{base}/ods_base_db_{k}"
+        raw = read_topic(spark, "parquet", src, max_files_per_trigger=stage_topic(part, src, files))
         finish(jobs.cdc_split_job(raw, facts, dims_table,
                                   lambda: cdc.table_list(spark, cdc.FACT_TABLES),
                                   lambda: cdc.table_list(spark, cdc.DIM_TABLES),
                                   f"{base}/_ckpt/cdc_{k}", "availableNow", apply_deletes=apply_deletes))
     return facts, dims_table
+
+
+def run_sessions(spark: SparkSession, sf_dir: str, files: int = BATCHES) -> "page_sessions.SessionStore":
+    """Page log in random order -> session job -> the store that answers with the sessions."""
+    base = work_dir(spark, "sessions")
+    log = tables.page_log(spark, sf_dir, with_province=False)
+    parts = stage_topic(log, f"{base}/page", files, ordered=False)
+    page = (spark.readStream.schema(schemas.PAGE_LOG).option("maxFilesPerTrigger", str(parts)).parquet(f"{base}/page"))
+    store = page_sessions.SessionStore(spark, f"{base}/store")
+    finish(page_sessions.session_job(page, store, f"{base}/_ckpt", "availableNow"))
+    return store
+
+
+def run_first_visits(spark: SparkSession, sf_dir: str, as_of=None, files: int = 2, runs: int = 1):
+    """Page log in random order -> first-visit job -> (daily-active table, hourly counts).
+
+    With several ``runs`` each has a checkpoint of its own and reads the whole topic, as
+    after a lost checkpoint; state and counts come from the table."""
+    base = work_dir(spark, "first_visits")
+    parts = stage_topic(tables.page_log(spark, sf_dir), f"{base}/page", files, ordered=False)
+    table, hourly = jobs.dau_table(spark, f"{base}/dau"), first_visits.RunningCounts(spark, f"{base}/hourly")
+    for k in range(runs):
+        page = (spark.readStream.schema(schemas.PAGE_LOG).option("maxFilesPerTrigger", str(parts)).parquet(f"{base}/page"))
+        first_visits.drain(first_visits.first_visit_job(
+            page, dims_of(spark, sf_dir), table, f"{base}/_ckpt/{k}", hourly, trigger="availableNow", as_of=as_of))
+    return table, hourly

@@ -33,6 +33,12 @@ def _readable(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when a file or folder is there, on any file system that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def writer_tag(checkpoint: str) -> str:
     """A short stable tag for the query writing a table (its checkpoint):
     batch ids restart at 0 on a new checkpoint, so folders are keyed by
@@ -75,20 +81,32 @@ class KeyedTable:
 
     # ------------------------------------------------------------ reading
 
-    def _raw(self) -> DataFrame | None:
-        """Every stored row version."""
+    def _raw(self, but: str | None = None) -> DataFrame | None:
+        """Every stored row version, without those of the batch folder ``but``."""
         if not _readable(self.spark, self.data_path):
             return None
         # Slice values are text; undo partition-value type inference
         # (a day such as 2024-01-15 would come back as a date).
         df = self.spark.read.parquet(self.data_path)
+        if but is not None:
+            df = df.where(F.col(self.BATCH) != but)
         return df.withColumn(self.slice_col, F.col(self.slice_col).cast("string")).drop(self.BATCH)
 
+    @staticmethod
+    def _tag(batch_id: int, writer: str) -> str:
+        return f"b{writer}_{batch_id:012d}"
+
     def read(self) -> DataFrame | None:
         """The current row per key, tombstones and ``_version`` included."""
         raw = self._raw()
         return None if raw is None else self._resolve(raw)
 
+    def read_but(self, batch_id: int, writer: str = "") -> DataFrame | None:
+        """The current row per key as it is without one batch, so that a replay of the
+        batch can start from what its first run started from."""
+        raw = self._raw(self._tag(batch_id, writer))
+        return None if raw is None else self._resolve(raw)
+
     def table(self) -> DataFrame:
         """The current rows, without tombstones and bookkeeping columns."""
         df = self.read()
@@ -132,7 +150,7 @@ class KeyedTable:
         # of the rows is not written by one task.
         (batch.hint("rebalance", self.slice_col)
             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(self.slice_col)
-            .parquet(f"{self.data_path}/{self.BATCH}=b{writer}_{batch_id:012d}"))
+            .parquet(f"{self.data_path}/{self.BATCH}={self._tag(batch_id, writer)}"))
 
     def delete(self, ids: DataFrame, batch_id: int, writer: str = "") -> None:
         """A19 on the stored table: tombstone the rows of the given keys."""
