@@ -925,6 +925,35 @@ def _stream_dau_realtime(spark, sf_dir):
     return Q.dau_realtime_of_counts(hourly.counts(), TD)
 
 
+@register("stream_offset_ranges", """
+SELECT 'ods_base_db_group' AS "group", 'ODS_BASE_DB' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, MIN(event_id) AS from_offset,
+       MAX(event_id) + 1 AS until_offset, COUNT(*) AS rows, true AS in_order, MAX(event_id) + 1 AS saved
+FROM events GROUP BY event_id % 4""")
+def _stream_offset_ranges(spark, sf_dir):
+    """A3, A4: the ranges that the batches saved, per partition: from the first offset to
+    the last, each batch's after the one before; and the position to go on from (A5)."""
+    from pyspark.sql import Window, functions as F
+    from martflow.streaming import pipeline
+    _, ledger = pipeline.run_ledger(spark, sf_dir)
+    w = Window.partitionBy("group", "topic", "partition").orderBy("batch_id")
+    steps = ledger.history().withColumn("before", F.lag("until_offset").over(w))
+    saved = ledger.saved("ods_base_db_group").select("topic", "partition", F.col("until_offset").alias("saved"))
+    return steps.groupBy("group", "topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"), F.sum("rows").alias("rows"),
+        F.every(F.coalesce(F.col("from_offset") >= F.col("before"), F.lit(True))).alias("in_order")
+    ).join(saved, ["topic", "partition"])
+
+
+@register("stream_restart_from_ledger", REGISTRY["stream_cdc_fact_counts"][1])
+def _stream_restart_from_ledger(spark, sf_dir):
+    """A5: a second query with a new checkpoint goes on from the ledger; the topic files,
+    which keep each writer's batches, have every message once."""
+    from pyspark.sql import functions as F
+    from martflow.streaming import pipeline
+    facts, _ = pipeline.run_ledger(spark, sf_dir, checkpoints=2)
+    return facts.read().groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- sinks and config tables
 
 def _dau_sink(spark, sf_dir, name):

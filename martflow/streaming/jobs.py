@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from martflow import schemas
 from martflow.functions.dates import day_of_millis
 from martflow.operators import cdc, dau, dims as lookups, orders, parse
+from martflow.streaming.offsets import OffsetLedger
 from martflow.streaming.sinks import KafkaTopic, KeyedTable, TopicFiles, writer_tag
 
 # The micro-batch interval and the time bounds of state.
@@ -153,14 +154,16 @@ def read_routed(spark, path: str, topic: str, schema, max_files_per_trigger: int
 def cdc_split_job(raw: DataFrame, facts: TopicFiles | KafkaTopic, dims_table: KeyedTable,
                   fact_tables: Callable[[], DataFrame], dim_tables: Callable[[], DataFrame],
                   checkpoint: str, trigger: str | None = None,
-                  apply_deletes: bool = False) -> StreamingQuery:
+                  apply_deletes: bool = False, ledger: OffsetLedger | None = None,
+                  group: str = "cdc_split") -> StreamingQuery:
     """Fact changes to ``DWD_<TABLE>_<OP>`` topics of the given sink,
     malformed records to ``BAD_RECORDS``, dimension changes into a
     latest-per-(table, id) table.  The table lists are callables evaluated
-    per micro-batch (A13)."""
+    per micro-batch (A13).  A ``ledger`` gets the offsets of each batch after
+    its outputs (A4)."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # J8: one input, two outputs
+        batch = batch.persist()  # J8: one input, two outputs (and the ledger)
         try:
             changes = cdc.parse_change(batch, keep=cdc.CHANGE_ORDER)
             messages = cdc.fact_messages(changes, fact_tables(), keep=["offset"])
@@ -170,6 +173,8 @@ def cdc_split_job(raw: DataFrame, facts: TopicFiles | KafkaTopic, dims_table: Ke
             deleted = (F.col("op") == "D") if apply_deletes else F.lit(False)
             dims_table.upsert(latest.withColumn(KeyedTable.DELETED, deleted), batch_id,
                               writer=writer_tag(checkpoint))
+            if ledger is not None:
+                ledger.save(batch, batch_id, group, writer_tag(checkpoint))
         finally:
             batch.unpersist()
 

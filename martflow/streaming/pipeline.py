@@ -21,6 +21,7 @@ from martflow.operators import cdc, parse
 from martflow.session import work_dir
 from martflow.sources import tables
 from martflow.streaming import first_visits, jobs, page_sessions
+from martflow.streaming.offsets import OffsetLedger
 from martflow.streaming.sinks import TopicFiles
 from martflow.streaming.sources import read_topic
 
@@ -172,3 +173,31 @@ def run_first_visits(spark: SparkSession, sf_dir: str, as_of=None, files: int =
         first_visits.drain(first_visits.first_visit_job(
             page, dims_of(spark, sf_dir), table, f"{base}/_ckpt/{k}", hourly, trigger="availableNow", as_of=as_of))
     return table, hourly
+
+
+PARTITIONS = 4
+
+
+def run_ledger(spark: SparkSession, sf_dir: str, files: int = BATCHES, checkpoints: int = 1):
+    """Change topic of several partitions, in order of arrival -> change split job with an
+    offset ledger -> (fact topic files, ledger).
+
+    With several ``checkpoints`` the topic grows between runs, and each run has a checkpoint
+    of its own and only the ledger to tell what was read."""
+    base = work_dir(spark, "offset_ledger")
+    log = tables.change_log(spark, sf_dir).withColumn("partition", F.pmod("offset", F.lit(PARTITIONS)).cast("int"))
+    parts = stage_topic(log, f"{base}/topic", files, by=("offset",))
+    facts, dims_table = TopicFiles(spark, f"{base}/dwd"), jobs.dimension_table(spark, f"{base}/dim")
+    ledger = OffsetLedger(spark, f"{base}/offsets")
+    half = log.selectExpr("percentile_approx(offset, 0.5)").scalar()
+    for k in range(checkpoints):
+        src = f"{base}/topic"
+        if k + 1 < checkpoints:     # what had arrived by then
+            src = f"{base}/topic_{k}"
+            spark.read.parquet(f"{base}/topic").where(F.col("offset") < half).write.parquet(src)
+        raw = read_topic(spark, "parquet", src, max_files_per_trigger=parts)
+        raw = ledger.unread(raw, "ods_base_db_group")
+        finish(jobs.cdc_split_job(raw, facts, dims_table, lambda: cdc.table_list(spark, cdc.FACT_TABLES),
+                                  lambda: cdc.table_list(spark, cdc.DIM_TABLES), f"{base}/_ckpt/{k}", "availableNow",
+                                  ledger=ledger, group="ods_base_db_group"))
+    return facts, ledger
