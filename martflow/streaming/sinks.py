@@ -2,12 +2,15 @@
 
 ``KeyedTable`` is the idempotent "bulk save by id into a day slice": a
 Parquet table where each key has one current row.  It is merge-on-read: a
-micro-batch writes only its own rows, into the folder of its (writer, batch
-id), partitioned by the slice (a day, say).  Writing replaces that folder as
-a whole, so a replayed batch leaves exactly what it wrote last, also when it
-has fewer slices than before, and a write costs the size of the batch.
-Readers resolve the current row per key (partial aggregate on the key); a
-filter on the slice column prunes folders before that.
+micro-batch writes only its own rows, into a new folder, partitioned by the
+slice (a day, say), and a commit puts that folder in the place of the one
+that the same (writer, batch id) wrote before.  So a replayed batch leaves
+exactly what it wrote last, a write costs the size of the batch, and readers
+see a batch whole or not at all, and a replay as old or new.  Readers resolve
+the current row per key (partial aggregate on the key); a filter on the slice
+column prunes folders before that.  Folders are merged by levels: ``FANOUT``
+of one level become one of the next, so a table of n batches has about
+``FANOUT * log(n)`` folders and each row is rewritten ``log(n)`` times.
 
 ``TopicFiles`` is a topic on files: each micro-batch is written into the
 folder of its (writer, batch id), with the same replay rule.  ``KafkaTopic``
@@ -18,19 +21,13 @@ from __future__ import annotations
 
 import hashlib
 import time
+import uuid
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
-
-def _readable(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a Parquet table."""
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+from martflow.streaming.commits import CommitLog
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -58,9 +55,11 @@ class KeyedTable:
     """
 
     VERSION, DELETED, BATCH = "_version", "_deleted", "_batch"
+    FANOUT = 8
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], slice_col: str,
-                 order_cols: list[str] | None = None, slice_expr=None, keep: str = "latest"):
+                 order_cols: list[str] | None = None, slice_expr=None, keep: str = "latest",
+                 compact: bool = True):
         """``slice_expr`` derives the storage slice from other columns when
         the batch lacks ``slice_col`` (e.g. the month of a day).
 
@@ -68,7 +67,8 @@ class KeyedTable:
         batch written last); ``keep='earliest'`` keeps the smallest
         ``order_cols`` whatever batch brought it (a first-visit table), so
         replays, restarts without state and late arrivals can never replace
-        an earlier row.
+        an earlier row.  ``compact=False`` leaves merging to calls of
+        :meth:`compact` (a maintenance job, say).
         """
         if keep not in ("latest", "earliest"):
             raise ValueError(keep)
@@ -78,23 +78,35 @@ class KeyedTable:
         self.slice_expr = slice_expr
         self.keep = keep
         self.data_path = f"{self.path}/data"
+        self.commits = CommitLog(spark, self.path)
+        self.merging = compact
 
     # ------------------------------------------------------------ reading
 
-    def _raw(self, but: str | None = None) -> DataFrame | None:
-        """Every stored row version, without those of the batch folder ``but``."""
-        if not _readable(self.spark, self.data_path):
+    # A folder's name is ``<level>.<writer and batch id>.<attempt>``.
+
+    @staticmethod
+    def _tag(batch_id: int, writer: str) -> str:
+        return f"b{writer}_{batch_id:012d}"
+
+    @staticmethod
+    def _tag_of(folder: str) -> str:
+        return folder.split(".", 1)[1].rsplit(".", 1)[0]
+
+    def _folder(self, name: str) -> str:
+        return f"{self.data_path}/{self.BATCH}={name}"
+
+    def _rows(self, folders: list[str]) -> DataFrame | None:
+        if not folders:
             return None
         # Slice values are text; undo partition-value type inference
         # (a day such as 2024-01-15 would come back as a date).
-        df = self.spark.read.parquet(self.data_path)
-        if but is not None:
-            df = df.where(F.col(self.BATCH) != but)
+        df = self.spark.read.option("basePath", self.data_path).parquet(*[self._folder(f) for f in folders])
         return df.withColumn(self.slice_col, F.col(self.slice_col).cast("string")).drop(self.BATCH)
 
-    @staticmethod
-    def _tag(batch_id: int, writer: str) -> str:
-        return f"b{writer}_{batch_id:012d}"
+    def _raw(self, but: str | None = None) -> DataFrame | None:
+        """Every stored row version, without those of the batch ``but``."""
+        return self._rows([f for f in self.commits.live()[1] if self._tag_of(f) != but])
 
     def read(self) -> DataFrame | None:
         """The current row per key, tombstones and ``_version`` included."""
@@ -139,18 +151,68 @@ class KeyedTable:
 
     def upsert(self, batch: DataFrame, batch_id: int, writer: str = "") -> None:
         """Write ``batch`` as the rows of (``writer``, ``batch_id``);
-        replaying the same batch id replaces all of them."""
+        replaying the same batch id replaces all of them, in one commit."""
         if self.slice_col not in batch.columns and self.slice_expr is not None:
             batch = batch.withColumn(self.slice_col, self.slice_expr)
         batch = batch.withColumn(self.VERSION, F.lit(time.time_ns() // 1000).cast("long"))
         if self.DELETED not in batch.columns:
             batch = batch.withColumn(self.DELETED, F.lit(False))
+        tag = self._tag(batch_id, writer)
+        name = self._store(batch, f"0.{tag}")
+        self.commits.commit(lambda live: [f for f in live if self._tag_of(f) != tag] + name)
+        if self.merging:
+            self.compact()
+
+    def _store(self, rows: DataFrame, prefix: str) -> list[str]:
+        """Write rows into a new folder, not yet part of the table; none if there are no rows."""
+        name = f"{prefix}.{uuid.uuid4().hex[:12]}"
         # Rebalance on the slice: AQE packs small slices into one file and
         # splits a hot slice over several tasks, so a day holding a third
         # of the rows is not written by one task.
-        (batch.hint("rebalance", self.slice_col)
-            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(self.slice_col)
-            .parquet(f"{self.data_path}/{self.BATCH}={self._tag(batch_id, writer)}"))
+        rows.hint("rebalance", self.slice_col).write.partitionBy(self.slice_col).parquet(self._folder(name))
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(name))
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
+        return [name] if any(s.isDirectory() and "=" in s.getPath().getName() for s in found) else []
+
+    # ------------------------------------------------------------ maintenance
+
+    def _mergeable(self, live: list[str]) -> list[str]:
+        """``FANOUT`` or more folders of one level, the lowest that has so many.  The last
+        batch of each writer stays as it is, since it may be replayed."""
+        last: dict[str, str] = {}
+        for f in live:
+            if f.startswith("0."):
+                writer = self._tag_of(f)[:-13]
+                last[writer] = max(last.get(writer, ""), self._tag_of(f))
+        levels = defaultdict(list)
+        for f in live:
+            if not (f.startswith("0.") and self._tag_of(f) in last.values()):
+                levels[int(f.split(".", 1)[0])].append(f)
+        return next((levels[k] for k in sorted(levels) if len(levels[k]) >= self.FANOUT), [])
+
+    def compact(self) -> None:
+        """Merge folders of a level into one of the next, until no level has ``FANOUT``: the
+        current row per key among them, tombstones included.  Readers go on with what they
+        have; if a folder was replaced meanwhile, the merged one isn't committed."""
+        while old := self._mergeable(self.commits.live()[1]):
+            level = int(old[0].split(".", 1)[0]) + 1
+            new = self._store(self._resolve(self._rows(old)), f"{level}.c")
+            live = self.commits.commit(
+                lambda now: [f for f in now if f not in old] + new if set(old) <= set(now) else now)
+            if not set(new) <= set(live):
+                return
+
+    def vacuum(self, hours: float = 24) -> int:
+        """Delete folders that no kept commit names and that are older than ``hours`` (longer
+        than any reader or writer needs); returns their number."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.data_path)
+        fs, kept, n = path.getFileSystem(self.spark._jsc.hadoopConfiguration()), self.commits.kept(), 0
+        for s in fs.listStatus(path) if fs.exists(path) else []:
+            name = s.getPath().getName().removeprefix(f"{self.BATCH}=")
+            if s.isDirectory() and name not in kept and s.getModificationTime() < (time.time() - hours * 3600) * 1000:
+                n += bool(fs.delete(s.getPath(), True))
+        return n
 
     def delete(self, ids: DataFrame, batch_id: int, writer: str = "") -> None:
         """A19 on the stored table: tombstone the rows of the given keys."""
