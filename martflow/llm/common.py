@@ -37,6 +37,18 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many further underscores as it takes not to be a column of
+    ``df`` (names are compared without case, as Spark does)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 BROADCAST_ROWS = 500_000  # narrow rows (a few longs): tens of MB as a hash table
 
 

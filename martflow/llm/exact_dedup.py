@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, map_texts, read_table, save
+from .common import broadcast_if_small, free_names, map_texts, read_table, save
 
 PREFIX_CHARS = 64
 _UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -96,24 +96,25 @@ def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     key = ["doc_id", "n_bytes", "prefix_hash"]
     decided = save(exact_dedup(docs, id_col, text_col), "exact-decided")
     text = F.coalesce(F.col(text_col), F.lit(""))
+    row, other, mark = free_names(docs, "_row", "_id", "_mark")
     mine = F.struct(F.col(id_col).cast("long").alias("doc_id"),
                     F.octet_length(text).cast("long").alias("n_bytes"), _prefix_hash(text).alias("prefix_hash"))
-    marked = docs.withColumn("_row", mine)
+    marked = docs.withColumn(row, mine)
 
     def against(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-        ids = broadcast_if_small(ids.select(F.struct(*key).alias("_id")))
-        return rows.join(ids, (F.col("_row.n_bytes") == F.col("_id.n_bytes"))
-                         & (F.col("_row.prefix_hash") == F.col("_id.prefix_hash"))
-                         & F.col("_row.doc_id").eqNullSafe(F.col("_id.doc_id")), how)
+        ids = broadcast_if_small(ids.select(F.struct(*key).alias(other)))
+        return rows.join(ids, (F.col(f"{row}.n_bytes") == F.col(f"{other}.n_bytes"))
+                         & (F.col(f"{row}.prefix_hash") == F.col(f"{other}.prefix_hash"))
+                         & F.col(f"{row}.doc_id").eqNullSafe(F.col(f"{other}.doc_id")), how)
 
     rows = against(marked, save(decided.where("not kept").select(*key), "exact-dropped"), "left_anti")
     again = save(decided.where("kept").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                  .select(*key), "exact-repeated")
     if not again.isEmpty():
         once = against(rows, again, "left_anti")
-        twice = against(rows, again, "left_semi").withColumn("_mark", F.sha2(text.cast("binary"), 256))
-        rows = once.unionByName(twice.dropDuplicates(["_row", "_mark"]).drop("_mark"))
-    return rows.drop("_row")
+        twice = against(rows, again, "left_semi").withColumn(mark, F.sha2(text.cast("binary"), 256))
+        rows = once.unionByName(twice.dropDuplicates([row, mark]).drop(mark))
+    return rows.drop(row)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

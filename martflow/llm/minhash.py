@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, Words, broadcast_if_small, map_texts, mix, read_table, save, window_hashes
+from .common import CHUNK_BYTES, Words, broadcast_if_small, free_names, map_texts, mix, read_table, save, window_hashes
 
 WIDTH = 5
 PERCENT = 75
@@ -287,8 +287,9 @@ def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """``docs`` with one document of each near-duplicate class: the one of smallest id. The
     texts are tested against the narrow table of dropped ids, they don't move."""
     decided = near_duplicates(docs, id_col, text_col)
-    gone = broadcast_if_small(save(decided.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    name, = free_names(docs, "_gone")
+    gone = broadcast_if_small(save(decided.where("not kept").select(F.col("doc_id").alias(name)).distinct(), "near-gone"))
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(name), "left_anti")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

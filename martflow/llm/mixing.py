@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_PATTERN, n_words, read_table, save
+from .common import WORD_PATTERN, free_names, n_words, read_table, save
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MAX_REPEATS = 3
@@ -178,22 +178,24 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     plan = save(mix_plan(docs, id_col, text_col, source_col, seed).where("taken > 0"), "mix-plan")
     part = F.col("taken") - F.col("passes") * F.col("size")
     # a text that is used n times has n shards; a cut use of it comes last
+    n, id_, size, passes, cut_part, h, shards, use, shard = free_names(
+        docs, "_n", "_id", "_size", "_passes", "_part", "_h", "_shards", "_use", "_shard")
     uses = plan.dropDuplicates(["doc_id", "size"]).withColumn("part", part)
-    uses = uses.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("passes").alias("_passes"),
-                       F.col("part").alias("_part"), F.col("h").alias("_h"), F.col("shards").alias("_shards"))
-    rows = docs.withColumn("_n", n_words(F.col(text_col))).join(
-        uses, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_size")))
-    n_uses = F.col("_passes") + (F.col("_part") > 0).cast("int")
-    rows = rows.select("*", F.posexplode(F.slice("_shards", 1, n_uses)).alias("_use", "_shard"))
-    cut = (F.col("_use") == F.col("_passes")) & (F.col("_part") > 0)
+    uses = uses.select(F.col("doc_id").alias(id_), F.col("size").alias(size), F.col("passes").alias(passes),
+                       F.col("part").alias(cut_part), F.col("h").alias(h), F.col("shards").alias(shards))
+    rows = docs.withColumn(n, n_words(F.col(text_col))).join(
+        uses, F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.col(n) == F.col(size)))
+    n_uses = F.col(passes) + (F.col(cut_part) > 0).cast("int")
+    rows = rows.select("*", F.posexplode(F.slice(shards, 1, n_uses)).alias(use, shard))
+    cut = (F.col(use) == F.col(passes)) & (F.col(cut_part) > 0)
     head = F.array_join(F.slice(F.regexp_extract_all(
-        F.col(text_col), F.lit(rf"([\x20\x09-\x0D]*{WORD_PATTERN})"), F.lit(1)), F.lit(1), F.col("_part").cast("int")), "")
+        F.col(text_col), F.lit(rf"([\x20\x09-\x0D]*{WORD_PATTERN})"), F.lit(1)), F.lit(1), F.col(cut_part).cast("int")), "")
     rows = rows.withColumn(text_col, F.when(cut, head).otherwise(F.col(text_col)))
     if n_chars_col in docs.columns:
         kind = docs.schema[n_chars_col].dataType
         rows = rows.withColumn(n_chars_col, F.when(cut, F.char_length(text_col).cast(kind)).otherwise(F.col(n_chars_col)))
-    return rows.repartition("_shard").sortWithinPartitions(
-        "_shard", F.xxhash64("_h", "_shard", "_use")).select(*docs.columns)
+    return rows.repartition(shard).sortWithinPartitions(
+        shard, F.xxhash64(h, shard, use)).select(*docs.columns)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
