@@ -194,7 +194,7 @@ def run_ledger(spark: SparkSession, sf_dir: str, files: int = BATCHES, checkpoin
         src = f"{base}/topic"
         if k + 1 < checkpoints:     # what had arrived by then
             src = f"{base}/topic_{k}"
-            spark.read.parquet(f"{base}/topic").where(F.col("offset") < half).write.parquet(src)
+            stage_topic(log.where(F.col("offset") < half), src, files, by=("offset",), parts=parts)
         raw = read_topic(spark, "parquet", src, max_files_per_trigger=parts)
         raw = ledger.unread(raw, "ods_base_db_group")
         finish(jobs.cdc_split_job(raw, facts, dims_table, lambda: cdc.table_list(spark, cdc.FACT_TABLES),
