@@ -52,17 +52,20 @@ def fragments(page_log: DataFrame, slice_unit: str = SLICE) -> DataFrame:
 def stitch(parts: DataFrame) -> DataFrame:
     """Sessions from fragments: ``mid, start_ts, end_ts, opened, views, time, timed, is_new,
     channel, entry_page, exit_page``."""
-    per_slice = parts.groupBy("mid", "slice").agg(F.max("k").alias("most"))
+    sums = ["views", "time", "timed", "is_new", "first", "last"]
+    # a row per (device, slice): its last opening, and its fragment 0, which looks for the
+    # session that is open when the slice begins
+    per_slice = parts.groupBy("mid", "slice").agg(
+        F.max("k").alias("most"), F.max(F.when(F.col("k") == 0, F.struct(*sums))).alias("zero"))
     earlier = Window.partitionBy("mid").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     opening = F.when(F.col("most") > 0, F.struct(F.col("slice").alias("slice"), F.col("most").alias("k")))
-    carried = per_slice.select("mid", "slice", F.last(opening, ignorenulls=True).over(earlier).alias("session"))
-    # a device has one fragment 0 a slice at most: only those look for the open session
-    inside = parts.where("k > 0").withColumn("session", F.struct("slice", "k"))
-    before = parts.where("k = 0").join(carried, ["mid", "slice"], "left")
-    sums = inside.unionByName(before.select(*inside.columns)).groupBy("mid", "session").agg(
+    before = per_slice.select("mid", F.last(opening, ignorenulls=True).over(earlier).alias("session"), "zero") \
+        .where("zero IS NOT NULL").select("mid", "session", "zero.*")
+    inside = parts.where("k > 0").select("mid", F.struct("slice", "k").alias("session"), *sums)
+    whole = inside.unionByName(before).groupBy("mid", "session").agg(
         F.sum("views").alias("views"), F.sum("time").alias("time"), F.sum("timed").alias("timed"),
         F.max("is_new").alias("is_new"), F.min("first").alias("first"), F.max("last").alias("last"))
-    return sums.select("mid", F.col("first.ts").alias("start_ts"), F.col("last.ts").alias("end_ts"),
+    return whole.select("mid", F.col("first.ts").alias("start_ts"), F.col("last.ts").alias("end_ts"),
                        F.col("session").isNotNull().alias("opened"), "views", "time", "timed", "is_new",
                        F.col("first.channel").alias("channel"), F.col("first.page_id").alias("entry_page"),
                        F.col("last.page_id").alias("exit_page"))
