@@ -1004,6 +1004,21 @@ def _stream_fresh_dimension(spark, sf_dir):
     return table.table().select("mid", "dt", "province_name")
 
 
+@register("text_to_number", """
+SELECT event_type AS name, COUNT(*) AS rows, COUNT(n) AS numbers, SUM(n) AS total FROM (
+  SELECT event_type, TRY_CAST(CASE WHEN event_type = 'error' THEN json_extract_string(props, '$.k') || ' pcs'
+                                   ELSE json_extract_string(props, '$.k') END AS DOUBLE) AS n FROM events) t
+GROUP BY event_type""")
+def _text_to_number(spark, sf_dir):
+    """Numbers out of text; the error events' text is no number and gives null."""
+    from pyspark.sql import functions as F
+    from martflow.functions import labels
+    k = F.get_json_object("props", "$.k")
+    text = F.when(F.col("event_type") == "error", F.concat(k, F.lit(" pcs"))).otherwise(k)
+    rows = cat(spark, sf_dir).table("events").select(F.col("event_type").alias("name"), labels.to_number(text).alias("n"))
+    return rows.groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.count("n").alias("numbers"), F.sum("n").alias("total"))
+
+
 @register("cdc_listed_tables", f"""
 SELECT 'DWD_' || upper(t) || '_' || op AS topic, COUNT(*) AS n FROM (
   SELECT *, {_OP_SQL} AS op, CASE WHEN user_id % 2 = 0 THEN 'user_info' ELSE 'order_info' END AS t FROM events) e

@@ -230,12 +230,18 @@ def dau_job(page_log: DataFrame, dims: Dims, table: KeyedTable, checkpoint: str,
     def each(batch: DataFrame, batch_id: int) -> None:
         users, provinces = dims()
         visits = batch.withColumn("dt", day_of_millis("ts")).drop("day_ts")
-        if bootstrap_from_sink:
-            seen = table.read()
-            if seen is not None:
-                seen = seen.where(~F.col(KeyedTable.DELETED)).select("mid", "dt")
-                visits = visits.join(seen, ["mid", "dt"], "left_anti")
-        _write(table, dau.to_dau_info(visits, users, provinces, as_of), batch_id, checkpoint, "dau", report)
+        seen = table.read() if bootstrap_from_sink else None
+        if seen is None:
+            _write(table, dau.to_dau_info(visits, users, provinces, as_of), batch_id, checkpoint, "dau", report)
+            return
+        visits = visits.persist()   # the state is asked once; the batch's days prune the sink's folders
+        try:
+            days = [r.dt for r in visits.select("dt").distinct().collect()]     # a batch has few
+            seen = seen.where(F.col("dt").isin(days) & ~F.col(KeyedTable.DELETED)).select("mid", "dt")
+            visits = visits.join(seen, ["mid", "dt"], "left_anti")
+            _write(table, dau.to_dau_info(visits, users, provinces, as_of), batch_id, checkpoint, "dau", report)
+        finally:
+            visits.unpersist()
 
     writer = firsts.writeStream.outputMode(output_mode).foreachBatch(each)
     return _start(writer, checkpoint, trigger, f"dau_{mode}")

@@ -87,3 +87,10 @@ def test_highlight(spark):
     assert one(spark, text.highlight(F.col("n"), "小米"), n="小米手机") == "<em>小</em><em>米</em>手机"
     assert one(spark, text.highlight(F.col("n"), "a.b"), n="a.b axb") == "<em>a</em>.<em>b</em> axb"
     assert one(spark, text.highlight(F.col("n"), "$1"), n="x 1 y") == "x <em>1</em> y"
+
+
+def test_text_to_number(spark):
+    from martflow.functions.labels import to_number
+    texts = ["12", " 3.5 ", "-1e2", "", "12 pcs", None, "NaN"]
+    got = [r.n for r in spark.createDataFrame([(t,) for t in texts], "t string").select(to_number("t").alias("n")).collect()]
+    assert got[:6] == [12.0, 3.5, -100.0, None, None, None] and got[6] != got[6]
