@@ -154,6 +154,22 @@ def visit_total(page_log: DataFrame) -> DataFrame:
                         F.count_distinct(F.when(F.col("is_new") == "1", F.col("mid"))).alias("new_count"))
 
 
+def _named(*names: str) -> list:
+    """Aggregates that turn rows ``name, n`` into one column per name; zero where there is none."""
+    return [F.coalesce(F.sum(F.when(F.col("name") == x, F.col("n"))), F.lit(0)).cast("long").alias(x) for x in names]
+
+
+def pv_uv_series_of_state(per_day: DataFrame, td: str, days: int = DAYS) -> DataFrame:
+    """M1 from maintained counts ``name, dt, n``: reads the rows of the range's days only."""
+    return aggregates.dense_days(per_day, "dt", *day_span(td, days),
+                                 {x: F.sum(F.when(F.col("name") == x, F.col("n"))) for x in ("pv", "uv")})
+
+
+def visit_total_of_state(total: DataFrame) -> DataFrame:
+    """M2 from maintained counts ``name, n`` of the range."""
+    return total.agg(*_named("pv", "uv", "uv_new")).toDF("pv_count", "uv_count", "new_count")
+
+
 def new_visit_stats(page_log: DataFrame) -> DataFrame:
     """M3 long form, per new/old device: views, visitors, sessions (records that open
     a session), mean page time in ms, views per session."""
@@ -282,6 +298,16 @@ def user_totals(page_log: DataFrame, orders: DataFrame, all_orders: DataFrame, f
         buyers.select(F.when(F.col("n") > 0, F.col("amount") / F.col("n"))).scalar().alias("pct"))
 
 
+def user_totals_of_state(pages: DataFrame, orders: DataFrame) -> DataFrame:
+    """M7 from maintained counts ``name, n`` of the two ranges; amounts are whole cents."""
+    o = orders.agg(*_named("buyers", "cents", "debuts"))
+    amount = (F.col("cents").cast("decimal(20,0)") / 100).cast("decimal(20,2)").cast("double")
+    return pages.agg(*_named("users", "users_new")).select(
+        F.col("users").alias("user_total"), o.select("buyers").scalar().alias("order_user_total"),
+        F.col("users_new").alias("new_user_count"), o.select("debuts").scalar().alias("new_order_user_count"),
+        o.select(F.when(F.col("buyers") > 0, amount / F.col("buyers"))).scalar().alias("pct"))
+
+
 def user_total(page_log: DataFrame, order_info: DataFrame) -> DataFrame:
     """M7: visitors, buyers, new visitors, and mean spend per buyer."""
     visitors = page_log.agg(F.count_distinct("user_id").alias("user_total"),

@@ -925,6 +925,28 @@ def _stream_dau_realtime(spark, sf_dir):
     return Q.dau_realtime_of_counts(hourly.counts(), TD)
 
 
+@register("stream_pv_uv_days", REGISTRY["m1_pv_uv_days"][1])
+def _stream_pv_uv(spark, sf_dir):
+    """M1 from bitmaps and sums per day, kept while records arrive in no order."""
+    from martflow.streaming import pipeline
+    return Q.pv_uv_series_of_state(pipeline.run_page_counts(spark, sf_dir).per_day(*LOG_SPAN), TD)
+
+
+@register("stream_visit_total_days", REGISTRY["m2_visit_total_days"][1])
+def _stream_visit_total(spark, sf_dir):
+    """M2: the days' bitmaps or-ed over the range, not added up."""
+    from martflow.streaming import pipeline
+    return Q.visit_total_of_state(pipeline.run_page_counts(spark, sf_dir).total(*LOG_SPAN))
+
+
+@register("stream_user_total_days", REGISTRY["m7_user_total_days"][1])
+def _stream_user_total(spark, sf_dir):
+    """M7: buyers and first-time buyers of the range without a look at older orders."""
+    from martflow.streaming import pipeline
+    pages, orders = pipeline.run_page_counts(spark, sf_dir), pipeline.run_order_counts(spark, sf_dir)
+    return Q.user_totals_of_state(pages.total(*LOG_SPAN), orders.total(*ORDER_SPAN))
+
+
 @register("stream_offset_ranges", """
 SELECT 'ods_base_db_group' AS "group", 'ODS_BASE_DB' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, MIN(event_id) AS from_offset,
        MAX(event_id) + 1 AS until_offset, COUNT(*) AS rows, true AS in_order, MAX(event_id) + 1 AS saved

@@ -20,7 +20,7 @@ from martflow import schemas
 from martflow.operators import cdc, parse
 from martflow.session import work_dir
 from martflow.sources import tables
-from martflow.streaming import first_visits, jobs, page_sessions
+from martflow.streaming import distinct_counts, first_visits, jobs, page_sessions
 from martflow.streaming.offsets import OffsetLedger
 from martflow.streaming.sinks import TopicFiles
 from martflow.streaming.sources import read_topic
@@ -175,6 +175,30 @@ def run_first_visits(spark: SparkSession, sf_dir: str, as_of=None, files: int =
     return table, hourly
 
 
+def run_page_counts(spark: SparkSession, sf_dir: str, files: int = 2) -> "distinct_counts.DistinctStore":
+    """Page log in random order -> distinct-count job -> its store of sets and sums per day."""
+    base = work_dir(spark, "page_counts")
+    log = distinct_counts.page_days(tables.page_log(spark, sf_dir, with_province=False)).select(
+        "dt", "mid", "user_id", "is_new")
+    parts = stage_topic(log, f"{base}/page", files, ordered=False)
+    rows = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", str(parts)).parquet(f"{base}/page")
+    store = distinct_counts.page_store(spark, f"{base}/store")
+    finish(distinct_counts.distinct_job(rows, store, f"{base}/_ckpt", "availableNow"))
+    return store
+
+
+def run_order_counts(spark: SparkSession, sf_dir: str, files: int = 2) -> "distinct_counts.DistinctStore":
+    """Orders in random order -> distinct-count job -> its store of sets, sums and debuts per day."""
+    base = work_dir(spark, "order_counts")
+    orders = distinct_counts.order_days(tables.order_info(spark, sf_dir, with_province=False)).select(
+        "dt", "user_id", "final_total_amount")
+    parts = stage_topic(orders, f"{base}/orders", files, ordered=False)
+    rows = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", str(parts)).parquet(f"{base}/orders")
+    store = distinct_counts.order_store(spark, f"{base}/store")
+    finish(distinct_counts.distinct_job(rows, store, f"{base}/_ckpt", "availableNow"))
+    return store
+
+
 PARTITIONS = 4
 
 
