@@ -41,11 +41,15 @@ def _day_slice(df: DataFrame, day: str | None, day_col: str) -> DataFrame:
 
 
 def stats_by_item(order_wide: DataFrame, item: str, day: str | None, t: str,
-                  max_groups: int | None = None) -> DataFrame:
+                  max_groups: int | None = None, found: DataFrame | None = None) -> DataFrame:
     """L2: amount of the lines whose ``sku_name`` holds every token of
-    ``item``, per gender (labelled) or per age bucket: ``name, value``."""
+    ``item``, per gender (labelled) or per age bucket: ``name, value``.
+    ``found`` (``doc``, the matching products from stored postings) spares the
+    matching of texts here."""
     field = labels.stat_field(t)
-    m = _day_slice(order_wide, day, "create_date").where(text.match_all("sku_name", item))
+    m = _day_slice(order_wide, day, "create_date")
+    m = m.where(text.match_all("sku_name", item)) if found is None else \
+        m.join(found.select("doc"), F.col("sku_id") == F.col("doc"), "left_semi")
     if t == "gender":
         g = aggregates.sum_by_group(m, field, "split_total_amount", max_groups=max_groups)
         return g.select(labels.gender_label(F.col("name")).alias("name"), "value")
@@ -60,7 +64,7 @@ DETAIL_FIELDS = ["create_time", "order_price", "province_name", "sku_name", "sku
 
 
 def detail_by_item(sales: DataFrame, enrich: Callable[[DataFrame], DataFrame], item: str, page_no: int = 1,
-                   page_size: int = 20, order: str = "id") -> DataFrame:
+                   page_size: int = 20, order: str = "id", scored: DataFrame | None = None) -> DataFrame:
     """L3: one page of matching lines with the keyword highlighted and the
     number of all matches beside each row.
 
@@ -70,12 +74,14 @@ def detail_by_item(sales: DataFrame, enrich: Callable[[DataFrame], DataFrame], i
     ``order='id'`` pages by line id; ``order='score'`` by BM25 relevance
     (G5), ties by line id.  Relevance depends on the product alone, so
     products are scored (weighted by their lines) and the lines of the
-    matching ones looked up.
+    matching ones looked up.  ``scored`` (``sku_id, _lines, score`` of the
+    matching products, from stored postings) spares the scoring of texts here.
     """
     is_match = text.match_all("sku_name", item)
     if order == "score":
-        per_product = sales.groupBy("sku_id", "sku_name").agg(F.count(F.lit(1)).alias("_lines"))
-        scored = search.bm25(per_product, "sku_name", item, "_lines").where(is_match)
+        if scored is None:
+            per_product = sales.groupBy("sku_id", "sku_name").agg(F.count(F.lit(1)).alias("_lines"))
+            scored = search.bm25(per_product, "sku_name", item, "_lines").where(is_match)
         rows = sales.join(scored.select(F.col("sku_id").alias("_sku"), "score"), F.col("sku_id") == F.col("_sku"))
         total = scored.agg(F.coalesce(F.sum("_lines"), F.lit(0)).cast("long").alias("n"))
         keys = [F.desc("score"), F.col("id")]

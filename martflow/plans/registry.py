@@ -1089,6 +1089,61 @@ def _detail_rel(spark, sf_dir):
     return _detail_page(spark, sf_dir, "red bolt", 2, 15, order="score")
 
 
+# ---------------------------------------------------------------- stored by key, then asked
+
+def _order_buckets(spark, sf_dir):
+    from martflow.session import work_dir
+    from martflow.sources.buckets import OrderBuckets
+    from martflow.sources import tables
+    c = cat(spark, sf_dir)
+    return OrderBuckets(spark, work_dir(spark, "order_buckets"), c.order_info,
+                        tables.order_detail(spark, sf_dir, with_ship_time=True, with_create_time=False))
+
+
+@register("stored_order_wide", REGISTRY["order_wide"][1])
+def _stored_order_wide(spark, sf_dir):
+    """D8 from tables bucketed by order: no exchange in the join."""
+    return _order_buckets(spark, sf_dir).order_wide()
+
+
+@register("stored_order_wide_within_24h", REGISTRY["order_wide_within_24h"][1])
+def _stored_order_wide_within(spark, sf_dir):
+    """D8 with the time bound from the same tables."""
+    from pyspark.sql import functions as F
+    return _order_buckets(spark, sf_dir).order_wide_within(F.to_timestamp("create_time"), F.to_timestamp("ship_time"))
+
+
+@register("stored_m10_spu_days", REGISTRY["m10_spu_days"][1])
+def _stored_m10(spark, sf_dir):
+    """M10 from the same tables: lines meet their orders without an exchange."""
+    return Q.top_items(_order_buckets(spark, sf_dir).sold_lines(*ORDER_SPAN), cat(spark, sf_dir).products, "spu")
+
+
+def _line_postings(spark, sf_dir):
+    """Postings of the product names, weighted by the lines that have an order."""
+    from pyspark.sql import functions as F
+    from martflow.operators.postings import write_postings
+    from martflow.session import work_dir
+    products = cat(spark, sf_dir).sales().groupBy("sku_id", "sku_name").agg(F.count(F.lit(1)).alias("lines"))
+    return write_postings(products, work_dir(spark, "postings"), "sku_id", "sku_name", F.col("lines"))
+
+
+@register("stored_detail_by_item_relevance", REGISTRY["detail_by_item_relevance"][1])
+def _stored_detail_rel(spark, sf_dir):
+    """G5 from stored postings: no text is tokenized by the query."""
+    from pyspark.sql import functions as F
+    c, q = cat(spark, sf_dir), "red bolt"
+    scored = _line_postings(spark, sf_dir).bm25(q).select(F.col("doc").alias("sku_id"), F.col("weight").alias("_lines"), "score")
+    return Q.detail_by_item(c.sales(), c.enrich_sales, q, 2, 15, "score", scored=scored)
+
+
+@register("stored_stats_by_item_gender", _gender_sql(_RED_BOLT))
+def _stored_stats(spark, sf_dir):
+    """C7 from stored postings, the rarest term first."""
+    found = _line_postings(spark, sf_dir).match_all("Bolt RED")
+    return Q.stats_by_item(cat(spark, sf_dir).buyer_sales(), "Bolt RED", None, "gender", found=found)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
