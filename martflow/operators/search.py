@@ -25,6 +25,68 @@ def page(df: DataFrame, keys: list, page_no: int = 1, page_size: int = 20) -> Da
     return (ordered.offset(start) if start else ordered).limit(page_size)
 
 
+PARTS = 200             # ranges that a step of the search for a rank counts
+SORTED_ROWS = 50_000    # rows among which a page is found by sorting
+
+
+def page_by_rank(df: DataFrame, keys: list[tuple[str, bool]], page_no: int = 1, page_size: int = 20,
+                 parts: int = PARTS, sorted_rows: int = SORTED_ROWS) -> DataFrame:
+    """G1 + G2 for deep pages: the rows of :func:`page` by ``keys`` (numbers; column, descending).
+
+    :func:`page` moves from+size rows out of every task.  Here quantiles of the first key cut
+    its values into ranges, the rows of each are counted, and only the range that holds
+    ``from`` goes on, until it has at most ``sorted_rows``; so a step returns some hundred
+    counts, and no rows are moved but those.  A quantile itself is a range of its own, and
+    where one value (a hot score) has more rows than that, the next key cuts them.  What the
+    page needs from later ranges is a plain top.  Nulls come where ``orderBy`` puts them; rows
+    equal in all keys come in any order.  Each step runs two jobs while the plan is built.
+    """
+    start, order = (max(page_no, 1) - 1) * page_size, [F.desc(k) if down else F.asc(k) for k, down in keys]
+    rest, todo, later = df, list(keys), []
+    while todo:
+        key, down = todo[0]
+        cuts, n = rest.agg(F.percentile_approx(key, [(i + 1) / parts for i in range(parts)]), F.count(F.lit(1))).first()
+        if start >= n:
+            return df.where(F.lit(False))
+        if n <= sorted_rows:
+            break
+        bounds = sorted({b for b in cuts or [] if b == b})
+        # range 2i + 1 is bound i itself, range 2i what is between it and the one before; -1: nulls
+        values = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
+        place = F.when(F.col(key).isNull(), -1).otherwise(
+            2 * F.size(F.filter(values, lambda b: b < F.col(key))) + F.array_contains(values, F.col(key)).cast("int"))
+        counts = rest.groupBy(place.alias("i")).agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = sorted(((r["i"], r["n"]) for r in counts), reverse=down)
+        for at, size in counts:
+            if start < size:
+                break
+            start -= size
+        if start + page_size > size and at != counts[-1][0]:
+            later.append(rest.where(place < at if down else place > at))
+        k = at // 2
+        if at < 0:
+            mine = F.col(key).isNull()
+        elif at % 2:
+            mine = F.col(key) == F.lit(bounds[k])
+        else:
+            mine = F.col(key).isNotNull()
+            if k > 0:
+                above = F.col(key) > F.lit(bounds[k - 1])
+                # NaN is above all numbers, which the statistics of a cached table don't tell
+                mine = mine & (above | F.isnan(key) if rest.schema[key].dataType.typeName() in ("double", "float") else above)
+            if k < len(bounds):
+                mine = mine & (F.col(key) < F.lit(bounds[k]))
+        rest = rest.where(mine)
+        if at % 2:              # one value, or null
+            todo.pop(0)
+        elif size == n:         # values too near each other to be told apart by quantiles
+            break
+    found = rest.orderBy(*order).offset(start).limit(page_size)
+    for more in later:
+        found = found.unionByName(more.orderBy(*order).limit(page_size))
+    return found.orderBy(*order).limit(page_size) if later else found
+
+
 def bm25(docs: DataFrame, text_col: str, q: str, weight: str) -> DataFrame:
     """Add ``score`` = BM25 of ``text_col`` for the query ``q``.
 

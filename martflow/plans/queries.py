@@ -64,7 +64,8 @@ DETAIL_FIELDS = ["create_time", "order_price", "province_name", "sku_name", "sku
 
 
 def detail_by_item(sales: DataFrame, enrich: Callable[[DataFrame], DataFrame], item: str, page_no: int = 1,
-                   page_size: int = 20, order: str = "id", scored: DataFrame | None = None) -> DataFrame:
+                   page_size: int = 20, order: str = "id", scored: DataFrame | None = None,
+                   deep: bool = False) -> DataFrame:
     """L3: one page of matching lines with the keyword highlighted and the
     number of all matches beside each row.
 
@@ -76,6 +77,7 @@ def detail_by_item(sales: DataFrame, enrich: Callable[[DataFrame], DataFrame], i
     products are scored (weighted by their lines) and the lines of the
     matching ones looked up.  ``scored`` (``sku_id, _lines, score`` of the
     matching products, from stored postings) spares the scoring of texts here.
+    ``deep`` finds the page by ranks (:func:`search.page_by_rank`) instead.
     """
     is_match = text.match_all("sku_name", item)
     if order == "score":
@@ -84,12 +86,15 @@ def detail_by_item(sales: DataFrame, enrich: Callable[[DataFrame], DataFrame], i
             scored = search.bm25(per_product, "sku_name", item, "_lines").where(is_match)
         rows = sales.join(scored.select(F.col("sku_id").alias("_sku"), "score"), F.col("sku_id") == F.col("_sku"))
         total = scored.agg(F.coalesce(F.sum("_lines"), F.lit(0)).cast("long").alias("n"))
-        keys = [F.desc("score"), F.col("id")]
+        keys = [("score", True), ("id", False)]
     else:
         rows = sales.where(is_match)
         total = aggregates.count_of(rows)
-        keys = [F.col("id")]
-    page = enrich(search.page(rows, keys, page_no, page_size))
+        keys = [("id", False)]
+    if deep:
+        page = enrich(search.page_by_rank(rows, keys, page_no, page_size))
+    else:
+        page = enrich(search.page(rows, [F.desc(k) if down else F.asc(k) for k, down in keys], page_no, page_size))
     page = page.select(*DETAIL_FIELDS).withColumn("sku_name", text.highlight("sku_name", item))
     return aggregates.with_total(rename(page, {"split_total_amount": "total_amount"}), total)
 

@@ -1119,6 +1119,13 @@ def _stored_m10(spark, sf_dir):
     return Q.top_items(_order_buckets(spark, sf_dir).sold_lines(*ORDER_SPAN), cat(spark, sf_dir).products, "spu")
 
 
+@register("deep_detail_by_item", _detail_sql(_RED, None, 150, 20))
+def _deep_detail(spark, sf_dir):
+    """G1 for a deep page: the range that holds it is found by counts."""
+    c = cat(spark, sf_dir)
+    return Q.detail_by_item(c.sales(), c.enrich_sales, ITEM, 150, 20, deep=True)
+
+
 def _line_postings(spark, sf_dir):
     """Postings of the product names, weighted by the lines that have an order."""
     from pyspark.sql import functions as F

@@ -100,3 +100,24 @@ def test_weighted_statistics_equal_repeated_documents(spark):
     a = {r["name"]: r["score"] for r in search.bm25(df, "name", "red bolt", "n").collect()}
     b = {r["name"]: r["score"] for r in search.bm25(each, "name", "red bolt", "n").collect()}
     assert a == b
+
+
+def test_pages_by_rank_are_those_of_a_full_sort(spark):
+    import random
+    rng = random.Random(5)
+    data = [(rng.choice([1.5, 1.5, 2.5, -3.0, None, rng.random()]), k) for k in range(3000)]
+    data += [(7.25, k) for k in range(3000, 4500)] + [(float("nan"), 4500), (float("nan"), 4501)]   # a third are one score
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "score double, id long").repartition(3).cache()
+    for keys in ([("score", True), ("id", False)], [("score", False), ("id", True)], [("id", False)]):
+        order = [F.desc(k) if down else F.asc(k) for k, down in keys]
+        full = [r["id"] for r in df.orderBy(*order).collect()]
+        for page_no, size in ((1, 7), (20, 50), (31, 49), (90, 50), (91, 50), (1000, 50)):
+            found = search.page_by_rank(df, keys, page_no, size, parts=8, sorted_rows=100)
+            at = (page_no - 1) * size
+            assert [r["id"] for r in found.collect()] == full[at:at + size], (keys, page_no, size)
+    one = spark.createDataFrame([(1.0, 2**60 + k) for k in range(300)], "score double, id long")
+    found = search.page_by_rank(one, [("score", True), ("id", False)], 5, 20, parts=4, sorted_rows=10)
+    assert [r["id"] - 2**60 for r in found.collect()] == list(range(80, 100))
+    assert search.page_by_rank(df.limit(0), [("id", False)], 1, 5).collect() == []
+    df.unpersist()
