@@ -79,6 +79,12 @@ class Postings:
             found = self._of(t).select("doc", "weight").join(F.broadcast(side) if small else side, "doc", "left_semi")
         return found
 
+    def few(self, q: str) -> bool:
+        """Whether so few documents can have every token of ``q`` that they may be broadcast."""
+        tokens = self._query(q)
+        known = self._terms(tokens)
+        return len(known) < len(tokens) or min((r["docs"] for r in known.values()), default=0) <= BROADCAST_DOCS
+
     def match_all(self, q: str) -> DataFrame:
         """``doc, weight`` of the documents that have every token of ``q``."""
         tokens = self._query(q)

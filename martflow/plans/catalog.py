@@ -71,17 +71,27 @@ class Catalog:
         order's side of the join."""
         return orders.order_wide(self.order_info, self.lines())
 
-    def lines(self, day: str | None = None) -> DataFrame:
-        return tables.order_detail(self.spark, self.sf_dir, day=day, with_create_time=False)
+    def lines(self, day: str | None = None, skus: DataFrame | None = None) -> DataFrame:
+        return tables.order_detail(self.spark, self.sf_dir, day=day, with_create_time=False, skus=skus)
 
-    def sales(self, day: str | None = None) -> DataFrame:
+    def sales(self, day: str | None = None, skus: DataFrame | None = None) -> DataFrame:
         """Lines with the raw columns of their order (not yet enriched), for queries that
         choose rows first: the line's columns, ``user_id``, ``create_time``,
-        ``create_date``.  A day is a pushed filter of the orders scan."""
+        ``create_date``.  A day is a pushed filter of the orders scan; of ``skus`` (one
+        column), only the lines that have them are moved."""
         o = self.order_facts(day, day).select(F.col("id").alias("_order"), "user_id", "create_time", "create_date")
-        li = self.lines(day)
+        li = self.lines(day, skus)
         return li.join(o, li.order_id == F.col("_order")).drop("_order")
 
+    def product_sales(self) -> DataFrame:
+        """``sku_id, sku_name, lines``: how many rows :meth:`sales` has of each product.  Two
+        keys of a line are moved to its orders, and names meet the counts."""
+        li = self.table("lineitem").select("l_orderkey", F.col("l_partkey").alias("sku_id"))
+        keys = self.table("orders").select("o_orderkey")
+        n = li.join(keys, li.l_orderkey == keys.o_orderkey).groupBy("sku_id").agg(F.count(F.lit(1)).alias("n"))
+        part = self.table("part").select("p_partkey", F.col("p_name").alias("sku_name"))
+        return n.join(part, n.sku_id == part.p_partkey, "left").groupBy("sku_id", "sku_name").agg(F.sum("n").alias("lines"))
+
     def enrich_sales(self, rows: DataFrame) -> DataFrame:
         """User and province attributes of chosen sales rows."""
         cust = self.table("customer").select(F.col("c_custkey").alias("_c"), F.col("c_nationkey").alias("province_id"))

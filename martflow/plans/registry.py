@@ -1131,8 +1131,7 @@ def _line_postings(spark, sf_dir):
     from pyspark.sql import functions as F
     from martflow.operators.postings import write_postings
     from martflow.session import work_dir
-    products = cat(spark, sf_dir).sales().groupBy("sku_id", "sku_name").agg(F.count(F.lit(1)).alias("lines"))
-    return write_postings(products, work_dir(spark, "postings"), "sku_id", "sku_name", F.col("lines"))
+    return write_postings(cat(spark, sf_dir).product_sales(), work_dir(spark, "postings"), "sku_id", "sku_name", F.col("lines"))
 
 
 @register("stored_detail_by_item_relevance", REGISTRY["detail_by_item_relevance"][1])
@@ -1140,8 +1139,11 @@ def _stored_detail_rel(spark, sf_dir):
     """G5 from stored postings: no text is tokenized by the query."""
     from pyspark.sql import functions as F
     c, q = cat(spark, sf_dir), "red bolt"
-    scored = _line_postings(spark, sf_dir).bm25(q).select(F.col("doc").alias("sku_id"), F.col("weight").alias("_lines"), "score")
-    return Q.detail_by_item(c.sales(), c.enrich_sales, q, 2, 15, "score", scored=scored)
+    postings = _line_postings(spark, sf_dir)
+    scored = postings.bm25(q).select(F.col("doc").alias("sku_id"), F.col("weight").alias("_lines"), "score")
+    skus = scored.select("sku_id")
+    skus = F.broadcast(skus) if postings.few(q) else skus
+    return Q.detail_by_item(c.sales(skus=skus), c.enrich_sales, q, 2, 15, "score", scored=scored)
 
 
 @register("stored_stats_by_item_gender", _gender_sql(_RED_BOLT))

@@ -162,8 +162,11 @@ def app_log(spark: SparkSession, sf_dir: str, first: str | None = None, last: st
     days (pushed to the scan).
     """
     e = events_with_nation(spark, sf_dir)
-    if first is not None:
-        e = e.where(day_range("ts", first, last))
+    return app_log_messages(e if first is None else e.where(day_range("ts", first, last)))
+
+
+def app_log_messages(e: DataFrame) -> DataFrame:
+    """The records of :func:`app_log` from rows of :func:`events_with_nation`."""
     e = e.withColumn("_k", F.get_json_object("props", "$.k").cast("long"))
     et, u = F.col("event_type"), F.col("user_id")
     k = F.col("_k")
@@ -296,17 +299,20 @@ def line_id() -> F.Column:
 
 
 def order_detail(spark: SparkSession, sf_dir: str, with_ship_time: bool = False,
-                 day: str | None = None, with_create_time: bool = True) -> DataFrame:
+                 day: str | None = None, with_create_time: bool = True, skus: DataFrame | None = None) -> DataFrame:
     """Order-line facts (10 fields).
 
     A line's ``create_time`` is its order's; ``with_create_time=False``
     leaves it out, and with it a join, for callers that join the orders
     anyway.  ``with_ship_time`` adds the line's ship date as ``ship_time``
     text (the event time of the time-bounded join).  ``day`` keeps the lines
-    of the orders created that day, by a semi-join with their keys.
+    of the orders created that day, by a semi-join with their keys; ``skus``
+    (one column) those of some products, before any other join.
     """
     li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    if skus is not None:
+        li = li.join(skus.toDF("_sku"), F.col("l_partkey") == F.col("_sku"), "left_semi")
     if day is not None:
         keys = _orders(spark, sf_dir, day, day, "o_orderkey", "o_orderdate").select("o_orderkey")
         li = li.join(keys, li.l_orderkey == keys.o_orderkey, "left_semi")
