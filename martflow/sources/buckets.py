@@ -27,7 +27,7 @@ from martflow.operators import orders as ops
 from martflow.operators.dims import sized_side
 
 HOT_LINES = 100_000             # lines of one order; more are kept apart
-BUCKET_BYTES = 256 << 20        # of the files that the lines come from
+BUCKET_BYTES = 16 << 20         # of the files that the lines come from; a task sorts a bucket, some 20 times that
 MAX_BUCKETS = 50_000            # more bytes make larger buckets, which sort on disk
 
 
