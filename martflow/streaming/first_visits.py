@@ -63,7 +63,7 @@ class FirstVisit(StatefulProcessor):
                 best, held = r.ts, {r.mark: r}
             elif r.ts == best:
                 held.setdefault(r.mark, r)
-        seen = self.first.get() if self.first.exists() else None
+        seen = self.first.get()     # None if there is none; one call per key
         old, mark = seen if seen is not None else (None, None)
         if best is None or old is not None and best > old:
             return
