@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 
 from martflow.streaming.commits import CommitLog
 
+ADAPTIVE, SKIPPED_RULES = "spark.sql.adaptive.enabled", "spark.sql.adaptive.optimizer.excludedRules"
+EMPTY_RULE = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when a file or folder is there, on any file system that Spark reads."""
@@ -170,14 +173,18 @@ class KeyedTable:
         # splits a hot slice over several tasks, so a day holding a third
         # of the rows is not written by one task.
         # Only AQE does that, and a stateful query's batches have it off (their state's
-        # partitions are fixed, and made by then): without it a slice is one task.
+        # partitions are fixed, and made by then): without it a slice is one task.  It must
+        # not cut an empty plan short, as the plan's observed counts would be missing then.
         conf = rows.sparkSession.conf
-        adaptive = conf.get("spark.sql.adaptive.enabled")
-        conf.set("spark.sql.adaptive.enabled", "true")
+        skipped = conf.get(SKIPPED_RULES, None)
+        before = {ADAPTIVE: conf.get(ADAPTIVE), SKIPPED_RULES: skipped}
+        conf.set(ADAPTIVE, "true")
+        conf.set(SKIPPED_RULES, f"{skipped},{EMPTY_RULE}" if skipped else EMPTY_RULE)
         try:
             rows.hint("rebalance", self.slice_col).write.partitionBy(self.slice_col).parquet(self._folder(name))
         finally:
-            conf.set("spark.sql.adaptive.enabled", adaptive)
+            for key, value in before.items():
+                conf.unset(key) if value is None else conf.set(key, value)
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(name))
         found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
         return [name] if any(s.isDirectory() and "=" in s.getPath().getName() for s in found) else []
