@@ -4,7 +4,7 @@ The input topics are staged as Parquet files of ``topic, partition, offset,
 timestamp, value`` in the shared work folder (derived from the tables by
 Spark), oldest event time first, as many files per micro-batch as their size
 asks for; then the jobs run with ``availableNow`` and their sink tables are returned as batch
-DataFrames.  This is how the registry checks stream = batch, and how a
+DataFrames.  The order join's topics grow in steps, each a run of the job under its checkpoint.  This is how the registry checks stream = batch, and how a
 backfill would run the same code: state is bounded by the watermark, not by
 the history.
 """
@@ -176,8 +176,8 @@ def run_order_join(spark: SparkSession, sf_dir: str, as_of=None, files: int = BA
     """
     base = work_dir(spark, "order_join")
     orders, lines = tables.order_info(spark, sf_dir), tables.order_detail(spark, sf_dir)
-    o_src, d_src, line_files, by = f"{base}/order_info", f"{base}/order_detail", line_files or files, (
-        F.to_timestamp("create_time"), F.col("id"))
+    o_src, d_src, line_files = f"{base}/order_info", f"{base}/order_detail", line_files or files
+    by = (F.to_timestamp("create_time"), F.col("id"))
     steps = max(1, math.ceil(source_bytes(lines) / step_bytes))
     o_parts, d_parts = files_per_batch(orders, steps * files), files_per_batch(lines, steps * line_files)
     o_files = deal_out(orders, f"{o_src}_ranges", steps * files * o_parts, ordered, by,
