@@ -35,6 +35,9 @@ from martflow.streaming.sinks import KeyedTable, writer_tag
 
 SHARDS = 64     # of a dictionary; each numbers its own members, and they are equally large
 LANES = 8       # folders of a batch of first days
+TASK_ROWS = 400_000     # members (day and set) of a batch that a task of its shuffles holds, about
+SHUFFLES, READ_BYTES = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+TASK_BYTES = 8 << 20    # of shuffled rows that adaptive execution puts together for a task at most
 
 # The sets and sums of the dashboard: set -> (member column, condition), sum -> whole number per row.
 PAGE_SETS = {"uv": ("mid", "true"), "uv_new": ("mid", "is_new = '1'"),
@@ -97,13 +100,22 @@ class DistinctStore:
     # ------------------------------------------------------------ writing
 
     def add(self, rows: DataFrame, batch_id: int, writer: str = "") -> None:
-        """Take in a micro-batch: rows with a day ``dt`` (text) and the columns of sets and sums."""
+        """Take in a micro-batch: rows with a day ``dt`` (text) and the columns of sets and sums.
+        Its shuffles have as many partitions as its rows ask for, at least the session's."""
         rows = rows.where("dt IS NOT NULL")
-        self._add_sets(rows, batch_id, writer)
-        changes = self._sums(rows)
-        if self.debut is not None:
-            changes = changes.unionByName(self._add_debuts(rows, batch_id, writer))
-        self.counts.upsert(changes.groupBy("name", "dt").agg(F.sum("n").alias("n")), batch_id, writer)
+        conf = rows.sparkSession.conf
+        before = {key: conf.get(key) for key in (SHUFFLES, READ_BYTES)}
+        conf.set(SHUFFLES, str(max(int(before[SHUFFLES]), -(-rows.count() * len(self.sets) // TASK_ROWS))))
+        conf.set(READ_BYTES, str(TASK_BYTES))
+        try:
+            self._add_sets(rows, batch_id, writer)
+            changes = self._sums(rows)
+            if self.debut is not None:
+                changes = changes.unionByName(self._add_debuts(rows, batch_id, writer))
+            self.counts.upsert(changes.groupBy("name", "dt").agg(F.sum("n").alias("n")), batch_id, writer)
+        finally:
+            for key, value in before.items():
+                conf.set(key, value)
 
     def _add_sets(self, rows: DataFrame, batch_id: int, writer: str) -> None:
         one = [F.when(F.expr(where), F.struct(F.lit(name).alias("name"), F.lit(col).alias("domain"),

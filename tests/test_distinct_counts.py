@@ -113,3 +113,15 @@ def test_merged_folders_count_the_same(spark, tmp_dir):
     got = {(r.name, r.dt): r.n for r in table.table().collect()}
     assert got.pop(("pv", "2024-01-31")) == table.FANOUT + 1 + 5
     assert got == {(f"x{k}", "2024-02-01"): k for k in range(table.FANOUT + 1)}     # the last batch was replaced
+
+
+def test_f13_a_batch_has_as_many_tasks_as_its_rows_ask_for(spark, tmp_dir, monkeypatch):
+    """The largest task of the bitmaps' join and sort holds no more when the batch grows."""
+    monkeypatch.setattr(dc, "TASK_ROWS", 1_000)
+    store, before, parts = dc.DistinctStore(spark, tmp_dir, {"uv": ("mid", "true")}, {"pv": "1"}), spark.conf.get(dc.SHUFFLES), []
+    upsert = store.bits.upsert
+    store.bits.upsert = lambda rows, *where: (parts.append(spark.conf.get(dc.SHUFFLES)), upsert(rows, *where))
+    for k, n in enumerate((100, 20_000)):
+        store.add(spark.range(n).selectExpr("'2024-01-30' AS dt", "'m' || id AS mid"), k, "w")
+    assert parts == [before, "20"] and spark.conf.get(dc.SHUFFLES) == before
+    assert answers(store) == ({("uv", "2024-01-30"): 20_000, ("pv", "2024-01-30"): 20_100}, {"uv": 20_000, "pv": 20_100})
