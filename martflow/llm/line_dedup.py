@@ -13,13 +13,13 @@ similarity of at least ``PERCENT`` / 100 with it, whether or not that one stays.
 3. Prefix filter: two lines can only match when they share one of their first
    s - ceil(t s) + 1 words. Leaders meet in the buckets of these words, where the length
    filter, the positional filter (words left behind the shared one) and a bound from
-   128-bit signatures (a bit that only one line has is a word that only it has) leave few
-   pairs.
+   128-bit signatures (a bit that only one line has is a word that only it has; common
+   words, which long lines share anyway, have few of the bits) leave few pairs.
 4. Remaining pairs are verified on the full word sets. A line needs one earlier match, so
-   at first only its ``FIRST_TRIES`` closest candidates of a word go on. Lines without a
-   match that had more are tried against all their candidates in a second pass, inside
-   the bucket's task, which gets the texts of the lines for it, and stops at a line's
-   first match. Where a word has very many lines, each meets ``NEIGHBOURS`` of them at
+   at first only its ``FIRST_TRIES`` closest candidates of a word go on, the closest of all
+   its words before the others. Lines without a match that had more are tried against all
+   their candidates in a second pass, inside the bucket's task, which gets the texts of the
+   lines whose size lets them match, and stops at a line's first match. Where a word has very many lines, each meets ``NEIGHBOURS`` of them at
    first, and those without a match meet the rest in the second pass. Nothing is lost;
    both passes hold a bounded number of pairs, and a group of variants isn't expanded into
    its pairs. A word's postings meet in one task, which is linear in their number.
@@ -56,6 +56,7 @@ PAIR_BLOCK = 1 << 18           # pairs compared at a time in a bucket
 SETS_KEPT = 100_000            # word sets of lines that a bucket of the second pass keeps
 FEWER_BITS = 2                 # a bucket of the second pass holds so many (log 2) of the first
 SLOTS_LOG2 = 20                # of the table of words that the second pass looks at
+COMMON_SHARE, COMMON_BITS = 0.6, 16     # of occurrences that common words have, and of a signature's bits
 FIRST_ID = -(1 << 63)          # where null ids are ordered
 
 
@@ -177,15 +178,16 @@ def _beside(blobs: DataFrame, lists: DataFrame) -> DataFrame:
 # Candidates
 
 class WordSets:
-    """Distinct words of the leading lines, in rarity order."""
+    """Distinct words of the leading lines, in rarity order; ``order`` is that of :func:`_word_order`."""
 
-    def __init__(self, lines: Lines, leaders: np.ndarray, counts: np.ndarray):
+    def __init__(self, lines: Lines, leaders: np.ndarray, order: tuple[np.ndarray, int]):
+        ranks, self.common = order
         n = (lines.last - lines.first)[leaders]
         owner = np.repeat(np.arange(len(leaders)), n)
         at = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lines.first[leaders], n)
         h = lines.h[at]
         # ids by rarity: the count's magnitude, then the hash
-        rank = _ranks(counts)[(h >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)]
+        rank = ranks[(h >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)]
         word = (rank << np.uint64(30)) | (h & np.uint64((1 << 30) - 1))
         self.owner, self.word = _distinct_by_line(owner, word)
         self.size = np.bincount(self.owner, minlength=len(leaders))
@@ -197,7 +199,9 @@ class WordSets:
         return np.flatnonzero(self.place < keep[self.owner])
 
     def signatures(self) -> tuple[np.ndarray, np.ndarray]:
-        bit = mix(self.word, 54)
+        h, rare = mix(self.word, 54) >> np.uint64(32), np.uint64(128 - COMMON_BITS)
+        bit = np.where((self.word >> np.uint64(30)) < np.uint64(self.common), (h * rare) >> np.uint64(32),
+                       rare + ((h * np.uint64(COMMON_BITS)) >> np.uint64(32)))
         one, upper = np.uint64(1) << (bit & np.uint64(63)), (bit & np.uint64(64)) != 0
         zero = np.uint64(0)
         if not len(self.size):
@@ -210,6 +214,14 @@ def _ranks(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(counts + 1.0) * 400, 16383).astype(np.uint64)
 
 
+def _word_order(counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The rank of each slot of words, and the one from which words are common."""
+    down = np.sort(counts)[::-1]
+    sums = np.cumsum(down)
+    at = min(int(np.searchsorted(sums, COMMON_SHARE * sums[-1])), len(down) - 1)
+    return _ranks(counts), int(_ranks(down[at:at + 1])[0]) + 1
+
+
 def _distinct_by_line(owner: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct words of each line in order; lines in slices so that one sort key holds both."""
     owners, words, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
@@ -232,6 +244,12 @@ def _ones(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 
 
+def _only(c: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many words only the left lines have, and only the right ones, at least."""
+    low_l, low_r, high_l, high_r = c["low"][left], c["low"][right], c["high"][left], c["high"][right]
+    return _ones(low_l & ~low_r) + _ones(high_l & ~high_r), _ones(low_r & ~low_l) + _ones(high_r & ~high_l)
+
+
 def _reach(c: dict) -> np.ndarray:
     """Each line meets the following ones of the same word that are at most 1/t times as long:
     the place where these end. ``c`` has the postings sorted by word and size."""
@@ -272,9 +290,7 @@ def _candidates(c: dict, reach: np.ndarray, neighbours: int = 0, wanted: np.ndar
         a, b = place[left], place[right]
         ok = np.minimum(a, b) + np.minimum(size[left] - a, size[right] - b) >= need
         left, right, need, own = left[ok], right[ok], need[ok], own[ok]
-        low_l, low_r, high_l, high_r = c["low"][left], c["low"][right], c["high"][left], c["high"][right]
-        only_left = _ones(low_l & ~low_r) + _ones(high_l & ~high_r)
-        only_right = _ones(low_r & ~low_l) + _ones(high_r & ~high_l)
+        only_left, only_right = _only(c, left, right)
         ok = (size[left] - only_left >= need) & (size[right] - only_right >= need)
         left, right, own, apart = left[ok], right[ok], own[ok], (only_left + only_right)[ok]
         swap = (doc[left] > doc[right]) | ((doc[left] == doc[right]) & (line[left] > line[right])) \
@@ -316,14 +332,16 @@ def _closest(blocks: Iterable[tuple], tries: int, n: int) -> tuple[np.ndarray, n
     return kept[0], kept[1], (met > tries)[kept[0]]
 
 
-def _posting_rows(row, lines: Lines, sets: WordSets, leaders, bits: int, slots: np.ndarray | None = None,
-                  fewer_bits: int = 0) -> tuple:
-    """(buckets, arrays by column) of a blob's postings; ``slots`` keeps only words whose
-    slot it marks, ``fewer_bits`` joins buckets."""
+def _posting_rows(row, lines: Lines, sets: WordSets, leaders, bits: int,
+                  slots: tuple[np.ndarray, np.ndarray] | None = None, fewer_bits: int = 0) -> tuple:
+    """(buckets, arrays by column) of a blob's postings; ``slots`` has the smallest and the
+    largest line that is looked at by slot, and keeps only the lines that can match one of
+    such sizes, ``fewer_bits`` joins buckets."""
     at = sets.prefix()
     value = mix(sets.word[at], 55) >> np.uint64(32 - bits)
     if slots is not None:
-        ok = slots[_slot(value)]
+        slot, size = _slot(value), sets.size[sets.owner[at]]
+        ok = (100 * size >= PERCENT * slots[0][slot]) & (PERCENT * size <= 100 * slots[1][slot])
         at, value = at[ok], value[ok]
     own = sets.owner[at]
     low, high = sets.signatures()
@@ -352,14 +370,15 @@ def _joined(table: pa.Table) -> dict:
 
 
 _SIDES = ["x_blob", "x_place", "y_blob", "y_place"]
+_PAIR = "x_blob long, x_place int, y_blob long, y_place int, slot int, x_size int, apart int"
 _POSTED = "bucket int, blob long, " + ", ".join(f"{n} binary" for n, _ in _POSTING)
 
 
 def _pairs(blobs: DataFrame, counts, bits: int) -> DataFrame:
-    """(x_blob, x_place, y_blob, y_place, slot): the closest candidate pairs of leaders, x the
-    later line; ``slot`` is that of a word for which x had more, else -1. A row with y -1
-    only says that x may have more."""
-    context = blobs.sparkSession.sparkContext.broadcast(counts)   # fixed size
+    """(x_blob, x_place, y_blob, y_place, slot, x_size, apart): the closest candidate pairs of
+    leaders, x the later line; ``slot`` is that of a word for which x had more, else -1. A row
+    with y -1 only says that x may have more."""
+    context = blobs.sparkSession.sparkContext.broadcast(_word_order(counts))   # fixed size
 
     def post(batches):
         for batch in batches:
@@ -383,19 +402,25 @@ def _pairs(blobs: DataFrame, counts, bits: int) -> DataFrame:
              for k, kind in (("blob", np.int64), ("leader", np.int32))]
         slot = _slot((np.uint64(bucket) << np.uint64(32)) | c["token"].astype(np.uint64))
         slot = np.concatenate([np.where(more, slot[later], -1), slot[over]])
-        return pa.table([*map(pa.array, x + y), pa.array(slot.astype(np.int32))], [*_SIDES, "slot"])
+        size = c["size"][np.concatenate([later, over])].astype(np.int32)
+        apart = np.concatenate([sum(_only(c, later, earlier)) * 10_000 // (c["size"][later] + c["size"][earlier]),
+                                np.zeros(len(over), np.int64)])
+        return pa.table([*map(pa.array, x + y), *(pa.array(v.astype(np.int32)) for v in (slot, size, apart))],
+                        [f.split()[0] for f in _PAIR.split(", ")])
     posted = blobs.select("blob", "ids", "sizes", "data", "leaders").mapInArrow(post, _POSTED)
-    return posted.groupBy("bucket").applyInArrow(
-        meet, "x_blob long, x_place int, y_blob long, y_place int, slot int").distinct()
+    return posted.groupBy("bucket").applyInArrow(meet, _PAIR).distinct()
 
 
 def _later_matches(blobs: DataFrame, undecided: DataFrame, counts, bits: int) -> DataFrame:
-    """(blob, place) of the undecided lines (blob, place, slot) that match any earlier line.
-    Only lines with a word of the undecided ones' slots are posted, with their texts."""
-    slots = np.zeros(1 << SLOTS_LOG2, bool)
-    slots[undecided.select("slot").distinct().toArrow().column("slot").to_numpy()] = True    # at most 2^20 rows
-    spark = blobs.sparkSession
-    context, looked_at = spark.sparkContext.broadcast(counts), spark.sparkContext.broadcast(slots)   # fixed sizes
+    """(blob, place) of the undecided lines (blob, place, slot, size) that match any earlier
+    line. Only lines with a word of the undecided ones' slots, and of a size that can match
+    theirs, are posted, with their texts."""
+    slots = np.full(1 << SLOTS_LOG2, 1 << 40), np.zeros(1 << SLOTS_LOG2, np.int64)
+    found = undecided.groupBy("slot").agg(F.min("size").alias("low"), F.max("size").alias("high")).toArrow()   # at most 2^20 rows
+    for of_slot, name in zip(slots, ("low", "high")):
+        of_slot[found.column("slot").to_numpy()] = found.column(name).to_numpy()
+    spark = blobs.sparkSession      # both of fixed sizes
+    context, looked_at = spark.sparkContext.broadcast(_word_order(counts)), spark.sparkContext.broadcast(slots)
     lists = save(undecided.groupBy("blob").agg(F.collect_set("place").alias("undecided")), "line-undecided-lists")
 
     def post(batches):
@@ -452,8 +477,8 @@ def _later_matches(blobs: DataFrame, undecided: DataFrame, counts, bits: int) ->
         .groupBy("bucket").applyInArrow(meet, "blob long, place int").distinct()
 
 
-def _matches(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
-    """(blob, place) of the later lines of the pairs whose full word sets reach the similarity."""
+def _line_texts(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
+    """(blob, place, line): the texts of the lines of the pairs."""
     sides = F.explode(F.array(*[F.struct(F.col(f"{s}_blob").alias("blob"), F.col(f"{s}_place").alias("place")) for s in "xy"]))
     wanted = save(pairs.select(sides.alias("s")).select("s.*").distinct().groupBy("blob")
                   .agg(F.collect_list("place").alias("places")), "line-wanted")
@@ -469,7 +494,11 @@ def _matches(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
                         [pa.array(np.full(len(some), row["blob"]), pa.int64()), pa.array(some, pa.int32()),
                          pa.array([raw[lines.begin[p]:lines.end[p]] for p in some], pa.binary())], ["blob", "place", "line"])
     source = _beside(blobs.select("blob", "sizes", "data"), wanted).where("places IS NOT NULL")
-    lines = save(source.mapInArrow(emit, "blob long, place int, line binary"), "line-texts")
+    return save(source.mapInArrow(emit, "blob long, place int, line binary"), "line-texts")
+
+
+def _matches(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(blob, place) of the later lines of the pairs whose full word sets reach the similarity."""
     joined = pairs
     for s in "xy":
         joined = joined.join(lines.select(F.col("blob").alias(f"{s}_blob"), F.col("place").alias(f"{s}_place"),
@@ -497,9 +526,17 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blobs = _beside(plain, leaders)
 
     pairs = save(_pairs(blobs, counts, bits), "line-pairs")
-    matched = save(_matches(pairs.where("y_place >= 0").select(*_SIDES).distinct(), plain), "line-matched")
+    tried = save(pairs.where("y_place >= 0").select(*_SIDES, "apart").distinct(), "line-tried")
+    lines, x = _line_texts(tried, plain), ["x_blob", "x_place"]
+    # one match is enough: the closest of all words first, the others of lines that it doesn't match then
+    closest = save(tried.groupBy(*x).agg(F.min(F.struct("apart", "y_blob", "y_place")).alias("y")).select(*x, "y.y_blob", "y.y_place"),
+                   "line-closest")
+    matched = save(_matches(closest, lines), "line-matched")
+    others = tried.select(*_SIDES).join(matched.toDF(*x), x, "left_anti").join(closest, _SIDES, "left_anti")
+    matched = save(matched.union(_matches(others, lines)).distinct(), "line-matched-all")
     # lines that had more candidates and no match: all their candidates
-    undecided = save(pairs.where("slot >= 0").select(F.col("x_blob").alias("blob"), F.col("x_place").alias("place"), "slot")
+    undecided = save(pairs.where("slot >= 0").select(F.col("x_blob").alias("blob"), F.col("x_place").alias("place"), "slot",
+                                                          F.col("x_size").alias("size"))
                      .distinct().join(matched, ["blob", "place"], "left_anti"), "line-undecided")
     if not undecided.isEmpty():
         matched = matched.union(_later_matches(blobs, undecided, counts, bits)).distinct()

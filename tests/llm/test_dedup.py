@@ -222,3 +222,47 @@ def test_lines_memory_does_not_follow_the_square_of_a_group():
     tracemalloc.stop()
     assert (np.bincount(later, minlength=n) == np.minimum(np.arange(n), 5)).all() and (earlier < later).all()
     assert (more == (later > 5)).all() and peak < 120 << 20, peak
+
+
+def test_lines_common_words_leave_the_signature_to_rare_ones():
+    """Lines of 200 words of which 140 are common: no pair can match, and the signatures tell."""
+    texts = [" ".join([f"c{k}" for k in range(140)] + [f"r{n}x{k}" for k in range(60)]).encode() for n in range(40)]
+    lines = line_dedup.Lines([b"\n".join(texts)])
+    slots = (lines.h >> np.uint64(64 - line_dedup.COUNTERS_LOG2)).astype(np.int64)
+    ranks = line_dedup._ranks(np.bincount(slots, minlength=1 << line_dedup.COUNTERS_LOG2))
+    sets = line_dedup.WordSets(lines, np.arange(40), (ranks, int(line_dedup._ranks(np.array([20]))[0])))
+    c = dict(zip(("low", "high"), sets.signatures()))
+    a, b = np.triu_indices(40, 1)
+    one, two = line_dedup._only(c, a, b)
+    assert one.max() <= 60 and (one > 200 - 178).mean() > 0.5 and (np.maximum(one, two) > 200 - 178).mean() > 0.7
+
+
+def test_lines_words_are_common_by_their_share():
+    ranks, common = line_dedup._word_order(np.array([1] * 500 + [50] * 10))
+    assert (ranks[:500] < common).all() and (ranks[500:] >= common).all()
+    line_dedup._word_order(np.zeros(8, np.int64))       # no words
+
+
+def test_lines_second_pass_posts_only_sizes_that_can_match():
+    line = " ".join(f"a{k}" for k in range(100))
+    lines = line_dedup.Lines([f"{line}\n{line[:29]}\n{line[:32]} b\n{line[:23]}".encode()])      # 100, 10, 11, 8 words
+    counts = np.ones(1 << line_dedup.COUNTERS_LOG2, np.int64)
+    sets = line_dedup.WordSets(lines, np.arange(4), line_dedup._word_order(counts))
+    assert sets.size.tolist() == [100, 10, 11, 8]
+    for low, high, want in ((10, 10, [1, 2, 3]), (100, 100, [0]), (1 << 40, 0, [])):
+        slots = tuple(np.full(1 << line_dedup.SLOTS_LOG2, n) for n in (low, high))
+        _, columns = line_dedup._posting_rows({"ids": [7]}, lines, sets, np.arange(4), 3, slots)
+        assert sorted({n for v in columns["leader"] for n in v.tolist()}) == want
+
+
+def test_lines_closest_pair_of_a_line_is_verified_first(frame, monkeypatch):
+    asked, matches = [], line_dedup._matches
+    monkeypatch.setattr(line_dedup, "_matches", lambda pairs, lines: (asked.append(pairs), matches(pairs, lines))[1])
+    r = rng(21)
+    line = prose(r, 16)
+    rows = documents(["\n".join([edited(line, r, r.randrange(1, 4)) for _ in range(12)] +
+                                [prose(r, r.randrange(4, 10), 9) for _ in range(20)]) for _ in range(4)])
+    check_lines(frame(rows, DOCS), [x[:2] for x in rows])
+    first, others = ([tuple(p)[:4] for p in pairs.select(*line_dedup._SIDES).collect()] for pairs in asked)
+    assert len({p[:2] for p in first}) == len(first) and not set(first) & set(others)
+    assert {p[:2] for p in others} <= {p[:2] for p in first} and len(others) < len(first) * 3
